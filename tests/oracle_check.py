@@ -1,0 +1,110 @@
+"""Run every registered query in Spark and its oracle in DuckDB; compare row count, column
+names and an order-insensitive hash of the values (the driver's correctness gate, locally).
+
+    python tests/oracle_check.py [sf_dir] [name ...]
+"""
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import hashlib
+import math
+import sys
+import time
+
+import duckdb
+
+sys.path.insert(0, __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__))))
+
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+def norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return float(f"{v:.10g}")
+    if isinstance(v, decimal.Decimal):
+        return float(f"{float(v):.10g}")
+    if isinstance(v, dt.datetime):
+        return v.replace(tzinfo=None).isoformat(sep=" ")
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    if isinstance(v, (list, tuple)):
+        return tuple(norm(x) for x in v)
+    if isinstance(v, bool):
+        return bool(v)
+    return v
+
+
+def digest(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    keyed = sorted(repr(tuple(norm(r[i]) for i in order)) for r in rows)
+    return hashlib.sha1("\n".join(keyed).encode()).hexdigest(), [cols[i] for i in order]
+
+
+def duck(sf_dir):
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def main(argv):
+    sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
+    only = [a for a in argv[1:] if not a.startswith("/")]
+    from tickvault.session import get_session
+    import __spark_entry__ as E
+    spark = get_session("oracle-check", "local[8]", {"spark.sql.shuffle.partitions": "8",
+                                                     "spark.driver.memory": "8g"})
+    qs, sql = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    bad = 0
+    for name, fn in qs.items():
+        if only and name not in only:
+            continue
+        t0 = time.time()
+        try:
+            df = fn(spark, sf_dir)
+            cols = df.columns
+            rows = [tuple(r) for r in df.collect()]
+        except Exception as e:  # noqa
+            print(f"FAIL {name}: spark error {type(e).__name__}: {str(e)[:400]}")
+            bad += 1
+            continue
+        ts = time.time() - t0
+        if name not in sql:
+            print(f"ROWS {name}: {len(rows)} rows (no oracle) {ts:.1f}s")
+            continue
+        try:
+            cur = con.execute(sql[name])
+            ocols = [c[0] for c in cur.description]
+            orows = cur.fetchall()
+        except Exception as e:  # noqa
+            print(f"FAIL {name}: duckdb error {str(e)[:400]}")
+            bad += 1
+            continue
+        h1, c1 = digest(cols, rows)
+        h2, c2 = digest(ocols, orows)
+        ok = len(rows) == len(orows) and c1 == c2 and h1 == h2
+        print(f"{'OK  ' if ok else 'FAIL'} {name}: spark {len(rows)} rows / oracle {len(orows)} rows"
+              f"{'' if c1 == c2 else f' cols {c1} vs {c2}'}{'' if h1 == h2 else ' hash differs'} {ts:.1f}s")
+        if not ok:
+            bad += 1
+            if c1 == c2:
+                order = sorted(range(len(cols)), key=lambda i: cols[i])
+                oorder = sorted(range(len(ocols)), key=lambda i: ocols[i])
+                s1 = {repr(tuple(norm(r[i]) for i in order)) for r in rows}
+                s2 = {repr(tuple(norm(r[i]) for i in oorder)) for r in orows}
+                print("   cols:", c1)
+                print("   only spark:", sorted(s1 - s2)[:3])
+                print("   only oracle:", sorted(s2 - s1)[:3])
+    print(f"{bad} failing")
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(1 if main(sys.argv) else 0)
