@@ -45,6 +45,17 @@ def digest(cols, rows):
     return hashlib.sha1("\n".join(keyed).encode()).hexdigest(), [cols[i] for i in order]
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "float": "FLOAT",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "smallint": "SMALLINT",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_diff(df, cur):
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    dt_ = {c[0]: str(c[1]) for c in cur.description}
+    return {c: (st[c], dt_.get(c)) for c in st if c in dt_ and st[c] != dt_[c]}
+
+
 def duck(sf_dir):
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
@@ -87,6 +98,9 @@ def main(argv):
             print(f"FAIL {name}: duckdb error {str(e)[:400]}")
             bad += 1
             continue
+        tdiff = type_diff(df, cur)
+        if tdiff:
+            print(f"TYPE {name}: {tdiff}")
         h1, c1 = digest(cols, rows)
         h2, c2 = digest(ocols, orows)
         ok = len(rows) == len(orows) and c1 == c2 and h1 == h2

@@ -57,6 +57,6 @@ def indicators(bars: DataFrame, key: str, ts: str, close: str = "close", span: i
     roll = w.rowsBetween(-(span - 1), 0)
     prev = F.lag(close).over(w)
     return bars.select("*", prev.alias("prev_close"),
-                       ((F.col(close) - prev) / prev).alias("ret"),
+                       F.try_divide(F.col(close) - prev, prev).alias("ret"),
                        F.avg(close).over(roll).alias(f"ma_{span}"),
                        F.stddev_samp(close).over(roll).alias(f"sd_{span}"))

@@ -119,7 +119,7 @@ bars AS (SELECT coin_id, date_trunc('day', ts) AS bucket_start, arg_max(price, t
          FROM prices GROUP BY coin_id, date_trunc('day', ts))
 SELECT coin_id, bucket_start, close,
        lag(close) OVER w AS prev_close,
-       (close - lag(close) OVER w) / lag(close) OVER w AS ret,
+       (close - lag(close) OVER w) / nullif(lag(close) OVER w, 0) AS ret,
        round(avg(close) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS ma_7
 FROM bars WINDOW w AS (PARTITION BY coin_id ORDER BY bucket_start)""")
 def price_indicators(spark, d):
@@ -367,7 +367,8 @@ pairs AS (SELECT p.submission_id, p.score, p.created_utc, k.kw,
           FROM posts p JOIN kws k ON contains(lower(p.text), k.kw)),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kw ORDER BY score DESC NULLS LAST, submission_id) AS rank
                         FROM pairs) WHERE rank <= {SEARCH_LIMIT})
-SELECT c.coin_id, c.keyword, b.submission_id, b.score, b.created_utc, b.hits, b.rank, 'top' AS sort_type
+SELECT c.coin_id, c.keyword, b.submission_id, b.score, b.created_utc, b.hits, CAST(b.rank AS INTEGER) AS rank,
+       'top' AS sort_type
 FROM best b JOIN ck c ON b.kw = c.kw""")
 def keyword_search_topk(spark, d):
     """S5 + F5 + F10 + J3 + O3 + R1 + U4: posts per coin keyword, best ``limit`` by score."""

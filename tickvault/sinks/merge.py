@@ -2,14 +2,16 @@
 
 ``upsert`` keeps one row per key in a partitioned parquet table:
 
-1. read only the partitions the batch touches (``left_semi`` on the batch's partition values ->
+0. when none of the batch's keys exist in the partitions it touches (new ticks - the normal
+   case), append the de-duplicated batch and stop: no partition is rewritten;
+1. otherwise read only the partitions the batch touches (``left_semi`` on the batch's partition values ->
    dynamic partition pruning at the scan);
 2. union them with the batch, tagging stored rows 0 and batch rows 1;
 3. keep the greatest version per key (batch wins, then the ``order`` columns, then the rest of the
    row for determinism) with a decomposable ``max(struct)`` aggregate - pre-combined map-side;
-4. write the result to a staging table in the shared checkpoint folder (cuts the lineage so a
-   lost executor recomputes from the staged files, never from a half-replaced target);
-5. dynamically overwrite exactly those partitions of the target from the staged copy.
+4. checkpoint the result into the shared checkpoint folder (cuts the lineage so a lost
+   executor recomputes from the checkpoint files, never from a half-replaced target);
+5. dynamically overwrite exactly those partitions of the target from the checkpointed copy.
 
 Merging the same batch twice gives the same table (idempotent), which is what makes stream
 redelivery harmless. One writer per table is assumed; plain parquet has no atomic multi-partition
@@ -20,20 +22,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tickvault.operators.topn import latest_per_key
-from tickvault.session import delete_path, path_exists, scratch_path
+from tickvault.session import ensure_checkpoint_dir, path_exists
 
 SRC = "_tv_src"
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: str | list[str] | None,
-                         fmt: str = "parquet") -> None:
-    """K1: replace only the partitions present in ``df`` (dynamic partition overwrite)."""
+                         fmt: str = "parquet", clustered: bool = False) -> None:
+    """K1: replace only the partitions present in ``df`` (dynamic partition overwrite).
+
+    Rows are clustered by partition value first (unless ``clustered``), so each partition is
+    written by one task: one file per partition instead of one per task and partition.
+    """
     cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols or [])
+    if cols and not clustered:
+        df = df.repartition(*cols)
     w = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if cols:
-        # cluster rows by partition value so each task writes few files per partition
-        df = df.repartition(*cols)
-        w = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*cols)
+        # tasks commit straight into Spark's own staging folder, which is swapped in per partition
+        # at job commit - one rename pass instead of two, same visibility guarantees
+        w = w.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(*cols)
     w.save(path)
 
 
@@ -43,9 +51,26 @@ def merge_frames(existing: DataFrame, batch: DataFrame, key: list[str], order: l
     return latest_per_key(both, key, [SRC] + list(order or [])).drop(SRC)
 
 
+def _layout(df: DataFrame, parts: list[str], key: list[str]) -> DataFrame:
+    """Range-partition by (partition columns, key) into a fixed number of write tasks.
+
+    Each task gets a contiguous slice, so a small partition is written as one file by one task,
+    a hot partition (one day holding a third of the rows) is split by key range across many
+    tasks, and the task count is not coalesced away by AQE for small inputs.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartitionByRange(n, *[F.col(c) for c in parts + key])
+
+
+def _overlaps(batch: DataFrame, stored: DataFrame, key: list[str]) -> bool:
+    """Does any batch key already exist in the touched partitions? Reads only the key columns."""
+    return bool(batch.select(*key).join(stored.select(*key), key, "left_semi").limit(1).count())
+
+
 def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
            partition_cols: list[str] | None = None, order: list[str] | None = None,
-           stats: bool = False) -> dict | None:
+           stats: bool = False, insert_only: bool = True) -> dict | None:
     """K2/K3: merge ``batch`` into the table at ``path`` by ``key``.
 
     ``partition_cols`` must be functions of the key (e.g. ``date`` of ``read_timestamp``), so a
@@ -55,22 +80,27 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
     spark = batch.sparkSession
     parts = list(partition_cols or [])
     batch = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    if path_exists(spark, path):
-        stored = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-        if parts:
-            touched = batch.select(*parts).distinct()
-            stored = stored.join(touched, parts, "left_semi")
-        merged = merge_frames(stored, batch, key, order)
-    else:
+    exists = path_exists(spark, path)
+    stored = spark.read.schema(schema).parquet(path).select(*schema.fieldNames()) if exists else None
+    if stored is not None and parts:
+        stored = stored.join(batch.select(*parts).distinct(), parts, "left_semi")   # touched partitions only
+    append = stored is None or (bool(parts) and insert_only and not _overlaps(batch, stored, key))
+    if append:
+        # new keys only (the normal hourly case): write the de-duplicated batch, rewrite nothing
         merged = merge_frames(spark.createDataFrame([], schema), batch, key, order)
-    stage = scratch_path(spark, "stage")
-    w = merged.repartition(*parts) if parts else merged
-    (w.write.mode("overwrite").partitionBy(*parts) if parts else w.write.mode("overwrite")).parquet(stage)
-    staged = spark.read.schema(schema).parquet(stage).select(*schema.fieldNames())
-    if parts or not path_exists(spark, path):
-        overwrite_partitions(staged, path, parts)
     else:
-        staged.write.mode("overwrite").parquet(path)
-    out = {"rows": spark.read.parquet(stage).count()} if stats else None
-    delete_path(spark, stage)
+        merged = merge_frames(stored, batch, key, order)
+    # cut the lineage in the shared checkpoint folder: a lost executor recomputes from these
+    # files, never from the target partitions that the overwrite below replaces
+    ensure_checkpoint_dir(spark)
+    staged = merged.checkpoint(eager=True)
+    laid_out = _layout(staged, parts, key)
+    if append:
+        w = laid_out.write.mode("append" if exists else "overwrite")
+        (w.partitionBy(*parts) if parts else w).parquet(path)
+    elif parts:
+        overwrite_partitions(laid_out, path, parts, clustered=True)
+    else:
+        laid_out.write.mode("overwrite").parquet(path)
+    out = {"rows": staged.count(), "mode": "append" if append else "merge"} if stats else None
     return out

@@ -175,4 +175,15 @@ def stream_posts_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "coin_id", "submission_id", "title", "score", "num_comments", "created_utc", "author", "flair")
 
 
-STREAM_POSTS_SQL = None
+STREAM_POSTS_SQL = """
+WITH raw_posts AS (
+  SELECT d.doc_id AS id, d.source AS subreddit, d.n_chars AS score, d.lang, d.text,
+         CASE WHEN l.quality IS NULL THEN NULL WHEN l.quality = 0 THEN '' ELSE split_part(d.text, chr(10), 1) END AS title,
+         len(string_split(d.text, chr(10))) - 1 AS num_comments, 1704067200 + d.doc_id * 3600 AS created_utc,
+         CASE WHEN d.lang = 'de' THEN NULL ELSE 'user_' || d.source END AS author
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+SELECT subreddit AS coin_id, CAST(id AS VARCHAR) AS submission_id, coalesce(nullif(title, ''), '') AS title,
+       CAST(score AS INTEGER) AS score, CAST(num_comments AS INTEGER) AS num_comments,
+       make_timestamp(CAST(created_utc AS BIGINT) * 1000000) AS created_utc, author,
+       coalesce(nullif(lang, ''), '') AS flair
+FROM raw_posts"""
