@@ -1,0 +1,56 @@
+from tickvault.operators import aggregate, joins, selection
+
+COINS = [("a", "A", "A", 1, True, True, "coin"), ("b", "B", "B", 2, False, True, "coin"),
+         ("c", "C", "C", 0, True, True, "coin"), ("d", "D", "D", 30, True, True, "coin"),
+         ("e", "E", "E", 30, True, True, "coin"), ("f", "F", "F", 3, True, False, "coin")]
+SCHEMA = "coin_id string, name string, symbol string, rank int, is_new boolean, is_active boolean, type string"
+
+
+def test_rank_range_filters_zero_and_above_n(spark):
+    df = spark.createDataFrame(COINS, SCHEMA)
+    assert sorted(r.coin_id for r in selection.rank_range(df, 3).collect()) == ["a", "b", "f"]
+
+
+def test_top_k_tie_broken_by_id(spark):
+    df = spark.createDataFrame(COINS, SCHEMA)
+    # new & active: a(1), c(0), d(30), e(30); k = 6 // 2 = 3 -> c, a, d (d before e on the tie)
+    assert [r.coin_id for r in selection.new_active_top(df, 6).collect()] == ["c", "a", "d"]
+
+
+def test_union_all_keeps_duplicates_distinct_does_not(spark):
+    df = spark.createDataFrame(COINS, SCHEMA)
+    ua = [r.coin_id for r in selection.universe(df, 4).collect()]
+    assert sorted(ua) == ["a", "a", "b", "c", "f"]             # top-4 by rank a,b,f ; new top-2: c, a
+    ud = sorted(r.coin_id for r in selection.universe(df, 4, distinct=True).collect())
+    assert ud == sorted(set(ua))
+
+
+def test_missing_ids_anti_vs_except_and_nulls(spark):
+    active = spark.createDataFrame([("a",), ("b",), (None,), ("c",)], "coin_id string")
+    prices = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 3.0)], "coin_id string, price double")
+    anti = sorted(r.coin_id for r in joins.missing_ids(active, prices).collect())
+    exc = sorted(r.coin_id for r in joins.missing_ids(active, prices, method="except").collect())
+    assert anti == exc == ["b", "c"]
+
+
+def test_merge_right_wins_even_on_null_and_drops_unmatched(spark):
+    meta = spark.createDataFrame([("a", "Name", "SYM", 1), ("z", "Z", "Z", 9)], "id string, name string, symbol string, rank int")
+    tick = spark.createDataFrame([("a", None, 7, 1.0)], "id string, symbol string, rank int, price double")
+    r = joins.merge_right_wins(meta, tick, "id").collect()
+    assert len(r) == 1 and r[0]["symbol"] is None and r[0]["rank"] == 7 and r[0]["name"] == "Name"
+
+
+def test_counts_and_distinct(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "coin_id string")
+    assert aggregate.row_count(df).first()[0] == 4
+    assert sorted(r[0] for r in aggregate.distinct_ids(df).collect()) == ["a", "b"]
+
+
+def test_time_range_and_language_and_community(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), "en", "all1"), (2, dt.datetime(2024, 1, 5), "de", "x"),
+                                (3, dt.datetime(2024, 1, 9), "en", "x")], "id int, ts timestamp_ntz, lang string, sub string")
+    assert [r.id for r in selection.time_range(df, "ts", after="2024-01-01", before="2024-01-09").collect()] == [2]
+    assert sorted(r.id for r in selection.time_range(df, "ts", within="7 days", anchor="2024-01-10").collect()) == [2, 3]
+    assert [r.id for r in selection.language(df, "de").collect()] == [2]
+    assert selection.community(df, "all", "sub").count() == 3 and selection.community(df, "x", "sub").count() == 2

@@ -46,10 +46,14 @@ def decode_prices(msgs: DataFrame) -> DataFrame:
     """
     doc = msgs.select(F.col("value").alias("payload"), F.from_json("value", schemas.TICKER).alias("t"))
     q = F.try_element_at(F.col("t.quotes"), F.lit("USD"))
-    out = doc.select("payload", *flatten.price_rows_from(F.col("t.id"), F.col("t.last_updated"), q["price"],
-                                                          q["volume_24h"], q["market_cap"]))
-    return out.withColumn("problem", F.when(F.col("payload").isNull(), F.lit("null message"))
-                          .otherwise(flatten.price_row_problem()))
+    undecodable = F.col("t").isNull() | (F.to_json(F.col("t")) == F.lit("{}"))
+    out = doc.select("payload", undecodable.alias("_bad"),
+                     *flatten.price_rows_from(F.col("t.id"), F.col("t.last_updated"), q["price"],
+                                              q["volume_24h"], q["market_cap"]))
+    problem = (F.when(F.col("payload").isNull(), F.lit("null message"))
+                .when(F.col("_bad"), F.lit("not decodable"))
+                .otherwise(flatten.price_row_problem()))
+    return out.withColumn("problem", problem).drop("_bad")
 
 
 def price_batch_writer(table_path: str, quarantine_path: str, partition_cols=None):
