@@ -2,8 +2,9 @@
 
 ``upsert`` keeps one row per key in a partitioned parquet table:
 
-0. when none of the batch's keys exist in the partitions it touches (new ticks - the normal
-   case), append the de-duplicated batch and stop: no partition is rewritten;
+0. the batch is de-duplicated by key (``max(struct)``, pre-combined map-side) and checkpointed
+   into the shared checkpoint folder - it is computed once; when none of its keys exist in the
+   partitions it touches (new ticks - the normal case), it is appended and nothing is rewritten;
 1. otherwise read only the partitions the batch touches (``left_semi`` on the batch's partition values ->
    dynamic partition pruning at the scan);
 2. union them with the batch, tagging stored rows 0 and batch rows 1;
@@ -81,19 +82,20 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
     parts = list(partition_cols or [])
     batch = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     exists = path_exists(spark, path)
+    ensure_checkpoint_dir(spark)
+    # the batch is computed once: de-duplicated by key and checkpointed into the shared folder,
+    # which also cuts its lineage (a lost executor re-reads these files, not the sources)
+    fresh = merge_frames(spark.createDataFrame([], schema), batch, key, order).checkpoint(eager=True)
     stored = spark.read.schema(schema).parquet(path).select(*schema.fieldNames()) if exists else None
     if stored is not None and parts:
-        stored = stored.join(batch.select(*parts).distinct(), parts, "left_semi")   # touched partitions only
-    append = stored is None or (bool(parts) and insert_only and not _overlaps(batch, stored, key))
+        stored = stored.join(fresh.select(*parts).distinct(), parts, "left_semi")   # touched partitions only
+    append = stored is None or (bool(parts) and insert_only and not _overlaps(fresh, stored, key))
     if append:
-        # new keys only (the normal hourly case): write the de-duplicated batch, rewrite nothing
-        merged = merge_frames(spark.createDataFrame([], schema), batch, key, order)
+        # new keys only (the normal hourly case): write the batch, rewrite nothing
+        staged = fresh
     else:
-        merged = merge_frames(stored, batch, key, order)
-    # cut the lineage in the shared checkpoint folder: a lost executor recomputes from these
-    # files, never from the target partitions that the overwrite below replaces
-    ensure_checkpoint_dir(spark)
-    staged = merged.checkpoint(eager=True)
+        # the merged partitions are checkpointed before the overwrite replaces what they were read from
+        staged = merge_frames(stored, fresh, key, order).checkpoint(eager=True)
     laid_out = _layout(staged, parts, key)
     if append:
         w = laid_out.write.mode("append" if exists else "overwrite")
