@@ -109,3 +109,23 @@ def test_array_messages_bounded_and_roundtrip(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
     junk = spark.createDataFrame([("nope",)], "value string")
     assert bad_messages(junk, "array<struct<a:int>>", "t").count() == 1
+
+
+def test_transform_hook_applies_before_merge(spark, tmpdir_path):
+    topic, table, quarantine, ckpt = _paths(tmpdir_path)
+    _write_messages(topic, "m.json", [_tick("btc", "2024-01-01T01:00:00Z", 1.0), _tick("eth", "2024-01-01T01:00:00Z", 2.0)])
+    only_btc = lambda df: df.filter(F.col("coin_id") == "btc")        # noqa: E731
+    ingest.start_price_stream(spark, topic, table, quarantine, ckpt, transform=only_btc).awaitTermination()
+    assert _table(spark, table) == [("btc", "2024-01-01 01:00:00", 1.0)]
+
+
+def test_logged_reraises(caplog):
+    import pytest
+    from tickvault.errors import logged
+
+    @logged("demo")
+    def boom():
+        raise ValueError("x")
+    with pytest.raises(ValueError):
+        boom()
+    assert any("demo" in r.getMessage() for r in caplog.records)

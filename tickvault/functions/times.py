@@ -27,10 +27,10 @@ def strip_iso(c) -> Column:
 def parse_iso(c) -> Column:
     """ISO text (with 'T' or ' ', optional fraction, optional Z/+00:00) -> TIMESTAMP_NTZ.
 
-    Empty or malformed text gives NULL.
+    The first 19 characters carry date and time, so a zone suffix or fraction is cut rather than
+    matched; 'T' -> ' ' is a character translation, not a regex. Empty or malformed text gives NULL.
     """
-    text = strip_iso(c)
-    secs = F.substring(text, 1, 19)
+    secs = F.substring(F.translate(_col(c), "T", " "), 1, 19)
     return F.try_to_timestamp(secs, F.lit(ISO_SPACE)).cast("timestamp_ntz")
 
 

@@ -14,6 +14,7 @@ from tickvault.operators import flatten, joins, search, selection
 from tickvault.plans import tables as tb
 from tickvault.plans.oracle_ctes import COINS, HISTORY, META, POSTS, PRICES, RAW_POSTS, TICK, with_
 from tickvault.session import scratch_path
+from tickvault.errors import logged
 from tickvault.sinks.merge import upsert
 
 TOP_N = 20
@@ -29,6 +30,7 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
 
 # ---- W1 ---------------------------------------------------------------------------------
 
+@logged("jobs.load_metadata")
 def load_metadata(coins: DataFrame, docs: DataFrame, path: str, n: int = TOP_N) -> None:
     """S1 -> F1 u (F2, O1) -> J1 docs -> P1 -> K3 (merge by coin_id; rank a plain column)."""
     ids = selection.universe(coins, n, distinct=True).select(F.col("coin_id").alias("id"))
@@ -87,6 +89,7 @@ SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM (
 
 # ---- W2 ---------------------------------------------------------------------------------
 
+@logged("jobs.backfill")
 def backfill(monitored_ids: DataFrame, history: DataFrame, path: str, quarantine: str) -> None:
     """F7 -> J2 (coins without stored prices) -> S4 history of those -> P3 -> K2.
 
@@ -134,6 +137,7 @@ SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM (
 
 # ---- W4 ---------------------------------------------------------------------------------
 
+@logged("jobs.load_posts")
 def load_posts(coins: DataFrame, posts: DataFrame, records: DataFrame, path: str,
                limit: int = SEARCH_LIMIT, sort_type: str = search.SORT_TOP) -> None:
     """Monitored coins -> keyword search (J3/O3) -> full records (J4) -> P4 -> K2 on

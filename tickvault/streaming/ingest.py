@@ -75,9 +75,15 @@ def price_batch_writer(table_path: str, quarantine_path: str, partition_cols=Non
 
 def start_price_stream(spark: SparkSession, folder: str, table_path: str, quarantine_path: str,
                        checkpoint: str, available_now: bool = True, interval: str | None = None,
-                       partition_cols=None):
-    """ST1: start the price ingest query (``availableNow`` or a processing-time trigger)."""
+                       partition_cols=None, transform=None):
+    """ST1: start the price ingest query (``availableNow`` or a processing-time trigger).
+
+    ``transform`` is the extension point (a ``DataFrame -> DataFrame`` applied with
+    ``df.transform`` to the decoded rows before they are merged).
+    """
     rows = decode_prices(message_stream(spark, folder))
+    if transform is not None:
+        rows = rows.transform(transform)
     w = (rows.writeStream.foreachBatch(price_batch_writer(table_path, quarantine_path, partition_cols))
              .option("checkpointLocation", checkpoint).queryName(f"prices_{abs(hash(table_path))}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "3600 seconds")
