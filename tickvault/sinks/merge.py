@@ -2,17 +2,17 @@
 
 ``upsert`` keeps one row per key in a partitioned parquet table:
 
-0. the batch is de-duplicated by key (``max(struct)``, pre-combined map-side) and checkpointed
-   into the shared checkpoint folder - it is computed once; when none of its keys exist in the
+0. the batch is de-duplicated by key (``max(struct)``, pre-combined map-side) and staged as a
+   parquet table in the shared checkpoint folder - it is computed once; when none of its keys exist in the
    partitions it touches (new ticks - the normal case), it is appended and nothing is rewritten;
 1. otherwise read only the partitions the batch touches (``left_semi`` on the batch's partition values ->
    dynamic partition pruning at the scan);
 2. union them with the batch, tagging stored rows 0 and batch rows 1;
 3. keep the greatest version per key (batch wins, then the ``order`` columns, then the rest of the
    row for determinism) with a decomposable ``max(struct)`` aggregate - pre-combined map-side;
-4. checkpoint the result into the shared checkpoint folder (cuts the lineage so a lost
-   executor recomputes from the checkpoint files, never from a half-replaced target);
-5. dynamically overwrite exactly those partitions of the target from the checkpointed copy.
+4. stage the result in the shared checkpoint folder (cuts the lineage so a lost executor
+   recomputes from the staged files, never from a half-replaced target);
+5. dynamically overwrite exactly those partitions of the target from the staged copy.
 
 Merging the same batch twice gives the same table (idempotent), which is what makes stream
 redelivery harmless. One writer per table is assumed; plain parquet has no atomic multi-partition
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tickvault.operators.topn import latest_per_key
-from tickvault.session import ensure_checkpoint_dir, path_exists
+from tickvault.session import delete_path, path_exists, scratch_path
 
 SRC = "_tv_src"
 
@@ -52,16 +52,41 @@ def merge_frames(existing: DataFrame, batch: DataFrame, key: list[str], order: l
     return latest_per_key(both, key, [SRC] + list(order or [])).drop(SRC)
 
 
+WRITE_TASK_BYTES = 256 * 1024 * 1024
+
+
+def _write_tasks(df: DataFrame) -> int:
+    """Write tasks for ``df``: one per ~256 MB of its estimated size, at least one per core,
+    at most ``spark.sql.shuffle.partitions`` (sized for the cluster by the deployment)."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    cap = max(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
+    try:
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = v if isinstance(v, int) else int(v.toString())
+    except Exception:  # pragma: no cover - statistics unavailable: use the cap
+        return cap
+    return max(cores, min(cap, -(-size // WRITE_TASK_BYTES)))
+
+
 def _layout(df: DataFrame, parts: list[str], key: list[str]) -> DataFrame:
-    """Range-partition by (partition columns, key) into a fixed number of write tasks.
+    """Range-partition by (partition columns, key) into a size-derived number of write tasks.
 
     Each task gets a contiguous slice, so a small partition is written as one file by one task,
     a hot partition (one day holding a third of the rows) is split by key range across many
     tasks, and the task count is not coalesced away by AQE for small inputs.
     """
+    return df.repartitionByRange(_write_tasks(df), *[F.col(c) for c in parts + key])
+
+
+def _stage(df: DataFrame, schema: T.StructType, stages: list[str]) -> DataFrame:
+    """Write ``df`` as an unpartitioned parquet table in the shared checkpoint folder and read it
+    back: one job computes it once, and the lineage of what follows starts at these files."""
     spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartitionByRange(n, *[F.col(c) for c in parts + key])
+    path = scratch_path(spark, "stage")
+    stages.append(path)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _overlaps(batch: DataFrame, stored: DataFrame, key: list[str]) -> bool:
@@ -82,10 +107,10 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
     parts = list(partition_cols or [])
     batch = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     exists = path_exists(spark, path)
-    ensure_checkpoint_dir(spark)
-    # the batch is computed once: de-duplicated by key and checkpointed into the shared folder,
-    # which also cuts its lineage (a lost executor re-reads these files, not the sources)
-    fresh = merge_frames(spark.createDataFrame([], schema), batch, key, order).checkpoint(eager=True)
+    # the batch is computed once: de-duplicated by key and staged as a table in the shared
+    # checkpoint folder, which also cuts its lineage (a lost executor re-reads these files)
+    stages = []
+    fresh = _stage(merge_frames(spark.createDataFrame([], schema), batch, key, order), schema, stages)
     stored = spark.read.schema(schema).parquet(path).select(*schema.fieldNames()) if exists else None
     if stored is not None and parts:
         stored = stored.join(fresh.select(*parts).distinct(), parts, "left_semi")   # touched partitions only
@@ -94,8 +119,8 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
         # new keys only (the normal hourly case): write the batch, rewrite nothing
         staged = fresh
     else:
-        # the merged partitions are checkpointed before the overwrite replaces what they were read from
-        staged = merge_frames(stored, fresh, key, order).checkpoint(eager=True)
+        # the merged partitions are staged before the overwrite replaces what they were read from
+        staged = _stage(merge_frames(stored, fresh, key, order), schema, stages)
     laid_out = _layout(staged, parts, key)
     if append:
         w = laid_out.write.mode("append" if exists else "overwrite")
@@ -105,4 +130,6 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
     else:
         laid_out.write.mode("overwrite").parquet(path)
     out = {"rows": staged.count(), "mode": "append" if append else "merge"} if stats else None
+    for st in stages:
+        delete_path(spark, st)
     return out
