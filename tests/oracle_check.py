@@ -16,6 +16,7 @@ import duckdb
 
 sys.path.insert(0, __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__))))
 
+EXACT = bool(__import__("os").environ.get("ORACLE_EXACT"))
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -25,7 +26,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.10g}")
+        return v if EXACT else float(f"{v:.10g}")
     if isinstance(v, decimal.Decimal):
         return float(f"{float(v):.10g}")
     if isinstance(v, dt.datetime):

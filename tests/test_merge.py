@@ -26,7 +26,7 @@ def test_upsert_batch_wins_and_other_hours_survive(spark, tmpdir_path):
     fix = spark.createDataFrame([_row("btc", "2024-01-01 02:00:00", 20.0), _row("btc", "2024-01-01 03:00:00", 30.0)],
                                 schemas.PRICE_TABLE)
     info = upsert(fix, path, schemas.PRICE_KEY, schemas.PRICE_TABLE, ["date"], stats=True)
-    assert info["mode"] == "merge"
+    assert info["mode"] == "merge" and info["rows"] == 3       # the rewritten 2024-01-01 partition
     got = _read(spark, path)
     assert [r[4] for r in got] == [1.0, 20.0, 30.0, 3.0]     # 01:00 kept, 02:00 replaced, 03:00 added, eth untouched
 
@@ -48,7 +48,7 @@ def test_new_keys_take_the_append_path(spark, tmpdir_path):
            path, schemas.PRICE_KEY, schemas.PRICE_TABLE, ["date"])
     info = upsert(spark.createDataFrame([_row("btc", "2024-01-01 02:00:00", 2.0)], schemas.PRICE_TABLE),
                   path, schemas.PRICE_KEY, schemas.PRICE_TABLE, ["date"], stats=True)
-    assert info["mode"] == "append" and len(_read(spark, path)) == 2
+    assert info["mode"] == "append" and info["rows"] == 1 and len(_read(spark, path)) == 2
 
 
 def test_metadata_rank_change_keeps_one_row_per_coin(spark, tmpdir_path):

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickvault.functions import times
-from tickvault.sources.files import input_bytes, spread
+from tickvault.sources.files import spread
 
 # Anchors of the derived time columns.
 POST_EPOCH_START = 1704067200          # 2024-01-01T00:00:00Z, first post; one post per hour of doc_id
@@ -19,8 +19,7 @@ META_START = "2010-01-01 00:00:00"     # started_at = META_START + c_custkey hou
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table; a large one stored as a single split is spread over the cores."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread(spark.read.parquet(path), input_bytes(spark, path))
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def iso_z(ts: Column) -> Column:

@@ -20,10 +20,11 @@ swap, so readers may briefly see a mix of old and new partitions.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from tickvault.operators.topn import latest_per_key
 from tickvault.session import delete_path, path_exists, scratch_path
+from tickvault.sources.files import estimated_bytes
 
 SRC = "_tv_src"
 
@@ -61,10 +62,8 @@ def _write_tasks(df: DataFrame) -> int:
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     cap = max(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
-    try:
-        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = v if isinstance(v, int) else int(v.toString())
-    except Exception:  # pragma: no cover - statistics unavailable: use the cap
+    size = estimated_bytes(df)
+    if size is None:  # pragma: no cover - statistics unavailable: use the cap
         return cap
     return max(cores, min(cap, -(-size // WRITE_TASK_BYTES)))
 
@@ -122,6 +121,11 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
         # the merged partitions are staged before the overwrite replaces what they were read from
         staged = _stage(merge_frames(stored, fresh, key, order), schema, stages)
     laid_out = _layout(staged, parts, key)
+    obs = None
+    if stats:
+        # A1: count the written rows on the way out (no second pass over the data)
+        obs = Observation(f"upsert_{len(stages)}")
+        laid_out = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"))
     if append:
         w = laid_out.write.mode("append" if exists else "overwrite")
         (w.partitionBy(*parts) if parts else w).parquet(path)
@@ -129,7 +133,7 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
         overwrite_partitions(laid_out, path, parts, clustered=True)
     else:
         laid_out.write.mode("overwrite").parquet(path)
-    out = {"rows": staged.count(), "mode": "append" if append else "merge"} if stats else None
+    out = {"rows": obs.get["rows"], "mode": "append" if append else "merge"} if stats else None
     for st in stages:
         delete_path(spark, st)
     return out

@@ -90,19 +90,23 @@ def frame_from_records(spark: SparkSession, records, schema: T.StructType) -> Da
 SPREAD_MIN_BYTES = 1 << 20
 
 
-def input_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate (for a file scan: the file index Spark already listed)."""
+    try:
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return v if isinstance(v, int) else int(v.toString())
+    except Exception:  # pragma: no cover
+        return None
 
 
-def spread(df: DataFrame, size_bytes: int | None = None, min_partitions: int | None = None) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give CPU-heavy per-row work (JSON, regex, text search) every core when a large input
     arrives in fewer splits than cores (a single-row-group file). On a cluster reading many
     files this is a no-op: the scan already has more partitions than there are cores."""
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if size_bytes is not None and size_bytes < SPREAD_MIN_BYTES:
+    size = estimated_bytes(df)
+    if size is not None and size < SPREAD_MIN_BYTES:
         return df
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
