@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickvault import schemas
 from tickvault.functions import nulls, times
 from tickvault.functions.nested import quote_field, field_of_each, present
 
@@ -157,5 +156,3 @@ def index_rows(posts: DataFrame, symbol: Column | None = None) -> DataFrame:
         F.lit(None).cast("float").alias("sentiment_score"),
     )
 
-
-PRICE_COLUMNS = schemas.PRICE_TABLE.fieldNames()

@@ -12,7 +12,7 @@ from tickvault import schemas
 from tickvault.functions import times
 from tickvault.operators import flatten, joins, search, selection
 from tickvault.plans import tables as tb
-from tickvault.plans.oracle_ctes import COINS, HISTORY, META, POSTS, PRICES, RAW_POSTS, TICK, with_
+from tickvault.plans.oracle_ctes import COINS, HISTORY, META, POSTS, PRICES, TICK, with_
 from tickvault.session import scratch_path
 from tickvault.errors import logged
 from tickvault.sinks.merge import upsert
@@ -176,6 +176,3 @@ SELECT f.coin_id, f.submission_id, split_part(d.text, chr(10), 1) AS title, CAST
        d.lang AS flair
 FROM found f JOIN documents d ON f.submission_id = CAST(d.doc_id AS VARCHAR)"""
 
-
-__all__ = ["job_metadata", "job_backfill", "job_posts", "upsert_latest", "load_metadata", "backfill", "load_posts",
-           "RAW_POSTS"]

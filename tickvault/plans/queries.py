@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickvault import schemas
 from tickvault.functions import nulls, times
 from tickvault.functions.nested import quote_field
 from tickvault.operators import aggregate, flatten, joins, search, selection
@@ -493,5 +492,3 @@ def registry() -> tuple[dict, dict]:
         _register_late()
     return QUERIES, ORACLE
 
-
-PRICE_COLUMNS = schemas.PRICE_TABLE.fieldNames()
