@@ -43,12 +43,16 @@ def get_session(app_name: str = "tickvault", master: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only when none is configured (tests)."""
+    """Return the shared checkpoint folder from the session. Only in local mode, when none is
+    configured (tests), a temporary folder is set; on a cluster a missing setting is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="tickvault-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               "(staging tables and stream checkpoints live there)")
+        d = tempfile.mkdtemp(prefix="tickvault-ckpt-")   # single-machine runs and tests only
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
