@@ -13,7 +13,7 @@ from tickvault.functions import times
 from tickvault.operators import flatten, joins, search, selection
 from tickvault.plans import tables as tb
 from tickvault.plans.oracle_ctes import COINS, HISTORY, META, POSTS, PRICES, TICK, with_
-from tickvault.session import scratch_path
+from tickvault.session import delete_path, scratch_path
 from tickvault.errors import logged
 from tickvault.sinks.merge import upsert
 
@@ -99,16 +99,18 @@ def backfill(monitored_ids: DataFrame, history: DataFrame, path: str, quarantine
     from tickvault.sources.files import read_or_empty
     stored = read_or_empty(spark, path, schemas.PRICE_TABLE)
     missing = joins.missing_ids(monitored_ids, stored, "coin_id")
-    pts = history.join(missing, "coin_id", "left_semi").withColumn("problem", flatten.price_row_problem())
-    pts = pts.persist()
-    try:
-        upsert(pts.filter(F.col("problem").isNull()).drop("problem"), path, schemas.PRICE_KEY,
-               schemas.PRICE_TABLE, schemas.PRICE_PARTITION)
-        pts.filter(F.col("problem").isNotNull()).select(
-            F.lit("history").alias("source"), F.col("problem").alias("reason"),
-            F.to_json(F.struct("coin_id", "price")).alias("payload")).write.mode("append").parquet(quarantine)
-    finally:
-        pts.unpersist()
+    # "missing" must be decided against the table as it is now: stage the selected points before
+    # the table changes, then store and quarantine from the staged files
+    stage = scratch_path(spark, "backfill")
+    history.join(missing, "coin_id", "left_semi").withColumn("problem", flatten.price_row_problem()) \
+        .write.mode("overwrite").parquet(stage)
+    pts = spark.read.parquet(stage)
+    upsert(pts.filter(F.col("problem").isNull()).drop("problem"), path, schemas.PRICE_KEY,
+           schemas.PRICE_TABLE, schemas.PRICE_PARTITION)
+    pts.filter(F.col("problem").isNotNull()).select(
+        F.lit("history").alias("source"), F.col("problem").alias("reason"),
+        F.to_json(F.struct("coin_id", "price")).alias("payload")).write.mode("append").parquet(quarantine)
+    delete_path(spark, stage)
 
 
 def job_backfill(spark: SparkSession, d: str) -> DataFrame:
