@@ -129,3 +129,13 @@ def test_logged_reraises(caplog):
     with pytest.raises(ValueError):
         boom()
     assert any("demo" in r.getMessage() for r in caplog.records)
+
+
+def test_kafka_source_is_requested_with_the_built_options(spark):
+    """The Kafka jar is not in this build: the stream asks Spark for the kafka source with our
+    options and fails cleanly; with the jar on the classpath the same call starts reading."""
+    import pytest
+    from tickvault.sources.kafka import kafka_source_options
+    with pytest.raises(Exception) as e:
+        ingest.message_stream(spark, kafka_source_options("broker:9092", "prices"))
+    assert "kafka" in str(e.value).lower()

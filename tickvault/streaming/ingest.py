@@ -24,18 +24,30 @@ log = logging.getLogger("tickvault.streaming")
 MESSAGE = T.StructType([T.StructField("value", T.StringType())])
 
 
-def publish(df: DataFrame, folder: str, key=None) -> None:
-    """ST3/K7 (file transport): append one JSON message per row to ``folder``."""
+def publish(df: DataFrame, target: str | dict, key=None) -> None:
+    """ST3/K7: one JSON message per row, to a Kafka topic (``target`` = Kafka sink options) or
+    appended to a message folder (``target`` = path; the file transport used in tests)."""
     from tickvault.sources.kafka import json_value
-    json_value(df, key).select("value").write.mode("append").text(folder)
-
-
-def message_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Messages of a folder as a stream of ``value`` strings (S10 stand-in)."""
+    msgs = json_value(df, key)
+    if isinstance(target, dict):
+        msgs.write.format("kafka").options(**target).save()
+    else:
+        msgs.select("value").write.mode("append").text(target)
+
+
+def message_stream(spark: SparkSession, source: str | dict, max_per_trigger: int | None = None) -> DataFrame:
+    """Messages as a stream of ``value`` strings: from Kafka (``source`` = Kafka source options,
+    see ``sources.kafka.kafka_source_options``) or from a folder of JSON message files."""
+    if isinstance(source, dict):
+        from tickvault.sources.kafka import read_kafka_stream
+        opts = dict(source)
+        if max_per_trigger:
+            opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
+        return read_kafka_stream(spark, opts).select("value")
     r = spark.readStream.schema(MESSAGE)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.text(folder)
+    if max_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_per_trigger)
+    return r.text(source)
 
 
 def decode_prices(msgs: DataFrame) -> DataFrame:
@@ -73,7 +85,7 @@ def price_batch_writer(table_path: str, quarantine_path: str, partition_cols=Non
     return write
 
 
-def start_price_stream(spark: SparkSession, folder: str, table_path: str, quarantine_path: str,
+def start_price_stream(spark: SparkSession, folder: str | dict, table_path: str, quarantine_path: str,
                        checkpoint: str, available_now: bool = True, interval: str | None = None,
                        partition_cols=None, transform=None):
     """ST1: start the price ingest query (``availableNow`` or a processing-time trigger).
@@ -107,7 +119,7 @@ def post_batch_writer(table_path: str, quarantine_path: str):
     return write
 
 
-def start_post_stream(spark: SparkSession, folder: str, table_path: str, quarantine_path: str,
+def start_post_stream(spark: SparkSession, folder: str | dict, table_path: str, quarantine_path: str,
                       checkpoint: str, available_now: bool = True, interval: str | None = None):
     """ST2: array messages of posts -> key merge on (coin_id, submission_id)."""
     msgs = message_stream(spark, folder).select(F.col("value").alias("payload"))
