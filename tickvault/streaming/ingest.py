@@ -102,13 +102,17 @@ def start_price_stream(spark: SparkSession, folder: str | dict, table_path: str,
     return w.start()
 
 
-def post_batch_writer(table_path: str, quarantine_path: str):
+def post_batch_writer(table_path: str, quarantine_path: str, transform=None):
+    """foreachBatch body: decode array messages, explode, optional ``transform``, key merge;
+    undecodable messages -> quarantine."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
             dec = batch.select("payload", F.from_json("payload", schemas.SUBMISSION_MESSAGE).alias("m"))
             rows = dec.filter(F.col("m").isNotNull()).select(F.explode("m").alias("s")).select("s.*")
             rows = rows.withColumn("created_utc", times.parse_iso("created_utc"))
+            if transform is not None:
+                rows = rows.transform(transform)
             ok = rows.filter(F.col("coin_id").isNotNull() & F.col("submission_id").isNotNull())
             upsert(ok, table_path, schemas.POST_KEY, schemas.POST_TABLE)
             dec.filter(F.col("m").isNull()).select(F.lit("posts").alias("source"),
@@ -120,10 +124,11 @@ def post_batch_writer(table_path: str, quarantine_path: str):
 
 
 def start_post_stream(spark: SparkSession, folder: str | dict, table_path: str, quarantine_path: str,
-                      checkpoint: str, available_now: bool = True, interval: str | None = None):
+                      checkpoint: str, available_now: bool = True, interval: str | None = None,
+                      transform=None):
     """ST2: array messages of posts -> key merge on (coin_id, submission_id)."""
     msgs = message_stream(spark, folder).select(F.col("value").alias("payload"))
-    w = (msgs.writeStream.foreachBatch(post_batch_writer(table_path, quarantine_path))
+    w = (msgs.writeStream.foreachBatch(post_batch_writer(table_path, quarantine_path, transform))
              .option("checkpointLocation", checkpoint).queryName(f"posts_{abs(hash(table_path))}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "43200 seconds")
     return w.start()
