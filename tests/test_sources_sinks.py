@@ -49,8 +49,8 @@ def test_kafka_and_connector_options():
     s = kafka.kafka_source_options("broker:9092", "prices", group="g1")
     assert s["startingOffsets"] == "earliest" and s["subscribe"] == "prices" and s["kafka.group.id"] == "g1"
     assert kafka.kafka_sink_options("b:1", "t") == {"kafka.bootstrap.servers": "b:1", "topic": "t"}
-    c = connectors.cassandra_options("crypto_price_data", "crypto_data", "cass", 9042, "u", "p")
-    assert c["table"] == "crypto_price_data" and c["keyspace"] == "crypto_data"
+    c = connectors.cassandra_options("price_table", "market", "cass", 9042, "u", "p")
+    assert c["table"] == "price_table" and c["keyspace"] == "market"
     e = connectors.es_options("es", 9200, "posts", id_col="submission_id")
     assert e["es.mapping.id"] == "submission_id" and e["es.write.operation"] == "upsert"
 

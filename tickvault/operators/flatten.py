@@ -122,6 +122,10 @@ def submission_rows(raw: DataFrame, coin_id: Column, sort_type: str) -> DataFram
     )
 
 
+# The tweet link format.
+TWEET_URL = "https://twitter.com/%s/status/%s"
+
+
 def tweet_rows(raw: DataFrame) -> DataFrame:
     """P10: raw tweet -> 15-field tweet row."""
     return raw.select(
@@ -136,7 +140,7 @@ def tweet_rows(raw: DataFrame) -> DataFrame:
         F.col("favorite_count").cast("int").alias("favorite_count"),
         field_of_each("entities.hashtags", "text").alias("hashtags"),
         F.col("coin"), F.col("symbol"),
-        F.format_string("https://twitter.com/%s/status/%s", F.col("user.screen_name"),
+        F.format_string(TWEET_URL, F.col("user.screen_name"),
                         F.col("id_str")).alias("tweet_url"),
         F.col("lang"),
         present("retweeted_status").alias("is_retweet"),
