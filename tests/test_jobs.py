@@ -37,8 +37,13 @@ def test_coin_list_scan_is_a_json_array(spark, tmpdir_path):
 def test_metadata_backfill_and_posts_jobs(spark, tmpdir_path):
     coins = files.read_coin_list(spark, _land(tmpdir_path, "coins", COINS, one_array=True)) \
         .withColumnRenamed("id", "coin_id")
-    meta = files.read_meta(spark, _land(tmpdir_path, "meta", [{"id": c["id"], "name": c["name"], "symbol": c["symbol"],
-                                                                "rank": c["rank"]} for c in COINS]))
+    meta_dir = _land(tmpdir_path, "meta", [{"id": c["id"], "name": c["name"], "symbol": c["symbol"],
+                                            "rank": c["rank"]} for c in COINS])
+    # an older fetch of bitcoin's metadata landed earlier in the same folder: the newer one wins
+    with open(os.path.join(meta_dir, "old.json"), "w") as f:
+        json.dump({"id": "btc-bitcoin", "name": "Old name", "symbol": "BTC", "rank": 1}, f)
+    os.utime(os.path.join(meta_dir, "old.json"), (1_000_000_000, 1_000_000_000))
+    meta = files.read_meta(spark, meta_dir, landed_at=True)
     tick = files.read_tickers(spark, _land(tmpdir_path, "tick", [
         {"id": c["id"], "name": c["name"], "symbol": c["symbol"], "rank": c["rank"],
          "last_updated": "2024-05-01T10:00:00Z",
@@ -46,10 +51,11 @@ def test_metadata_backfill_and_posts_jobs(spark, tmpdir_path):
     meta_path, price_path, q_path = (f"{tmpdir_path}/{n}" for n in ("meta_t", "price_t", "quar"))
 
     # Top-2 by rank plus the best new coin; the inactive rank-50 coin is not loaded
-    jobs.load_metadata(coins, joins.merge_right_wins(meta, tick, "id"), meta_path, n=2)
+    jobs.load_metadata(coins, meta, tick, meta_path, n=2)
     stored = {r.coin_id: r for r in spark.read.parquet(meta_path).collect()}
     assert sorted(stored) == ["btc-bitcoin", "eth-ethereum", "new-coin"]
     assert stored["btc-bitcoin"].price_usd == 1.0 and stored["btc-bitcoin"].is_monitored
+    assert stored["btc-bitcoin"].name == "Bitcoin"
 
     # Btc already has prices; eth and new-coin get their landed history
     flatten_btc = flatten.price_points(tick.filter("id = 'btc-bitcoin'"))

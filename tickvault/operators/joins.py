@@ -5,6 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
+def latest_docs(docs: DataFrame, key: str = "id", version: str | None = "landed_at") -> DataFrame:
+    """One document per key: the newest fetch (by ``version`` when present, then the whole row,
+    so the choice is deterministic). Decomposable, so many copies of one coin stay cheap."""
+    from tickvault.operators.topn import latest_per_key
+    order = [version] if version and version in docs.columns else []
+    out = latest_per_key(docs, [key], order)
+    return out.select(*docs.columns).drop(*order)
+
+
 def merge_right_wins(left: DataFrame, right: DataFrame, key: str | list[str]) -> DataFrame:
     """``{**left, **right}`` per key: every shared field comes from ``right``, even when NULL.
 

@@ -8,7 +8,7 @@ group is inside the union of the per-salt top n), and no task ever sorts a whole
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int,
@@ -27,13 +27,27 @@ def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int,
     return out.withColumnRenamed(tmp, rank_col) if rank_col else out.drop(tmp)
 
 
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return False
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    return True
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key: the greatest by ``order``, then by the remaining columns (deterministic).
+    """One row per key: the greatest by ``order``, then by the remaining orderable columns
+    (deterministic unless two versions differ only inside a map).
 
-    A ``max`` over a struct is a decomposable aggregate: every map task combines the versions of
-    a key before the shuffle, so a key holding a third of all rows still ships one row per task.
+    ``max_by(row, ordering)`` is a decomposable aggregate: every map task combines the versions
+    of a key before the shuffle, so a key holding a third of all rows still ships one row per task.
     """
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.max(F.struct(*[F.col(f"`{c}`") for c in order + rest])).alias("_tv_v")
+    ordering = F.struct(*[F.col(f"`{c}`") for c in order + [c for c in rest if _orderable(types[c])]])
+    value = F.struct(*[F.col(f"`{c}`") for c in order + rest])
+    packed = F.max_by(value, ordering).alias("_tv_v")
     return df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(packed).select(
         *[F.col(f"`{k}`") for k in keys], *[F.col(f"_tv_v.`{c}`").alias(c) for c in order + rest])

@@ -31,17 +31,19 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
 # ---- W1 ---------------------------------------------------------------------------------
 
 @logged("jobs.load_metadata")
-def load_metadata(coins: DataFrame, docs: DataFrame, path: str, n: int = TOP_N) -> None:
-    """S1 -> F1 u (F2, O1) -> J1 docs -> P1 -> K3 (merge by coin_id; rank a plain column)."""
+def load_metadata(coins: DataFrame, meta: DataFrame, tickers: DataFrame, path: str, n: int = TOP_N) -> None:
+    """S1 -> F1 u (F2, O1) -> latest document per coin on each side -> J1 -> P1 -> K3
+    (merge by coin_id; rank is a plain column)."""
     ids = selection.universe(coins, n, distinct=True).select(F.col("coin_id").alias("id"))
-    rows = flatten.metadata_rows(docs.join(ids, "id", "left_semi"), defaults=True)
+    docs = joins.merge_right_wins(joins.latest_docs(meta.join(ids, "id", "left_semi")),
+                                  joins.latest_docs(tickers.join(ids, "id", "left_semi")), "id")
+    rows = flatten.metadata_rows(docs, defaults=True)
     upsert(rows, path, schemas.METADATA_KEY, schemas.METADATA_TABLE)
 
 
 def job_metadata(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "metadata")
-    docs = joins.merge_right_wins(tb.meta_docs(spark, d), tb.ticker_docs(spark, d), "id")
-    load_metadata(tb.coins(spark, d), docs, path)
+    load_metadata(tb.coins(spark, d), tb.meta_docs(spark, d), tb.ticker_docs(spark, d), path)
     return read_table(spark, path, schemas.METADATA_TABLE)
 
 

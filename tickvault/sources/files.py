@@ -12,17 +12,22 @@ from tickvault.session import path_exists
 
 
 def read_json_docs(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False,
-                   corrupt_column: str | None = None) -> DataFrame:
+                   corrupt_column: str | None = None, landed_at: bool = False) -> DataFrame:
     """JSON documents with a declared schema. ``multiline`` for one array/document per file.
 
     With ``corrupt_column`` malformed records are kept (PERMISSIVE) with their raw text there.
+    With ``landed_at`` the file's modification time is added as ``landed_at`` (the version of a
+    document when a folder holds several fetches of the same coin).
     """
     reader = spark.read.schema(schema if not corrupt_column else
                                T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())]))
     reader = reader.option("multiLine", str(multiline).lower()).option("mode", "PERMISSIVE")
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.json(path)
+    df = reader.json(path)
+    if landed_at:
+        df = df.withColumn("landed_at", F.col("_metadata.file_modification_time"))
+    return df
 
 
 def read_coin_list(spark: SparkSession, path: str) -> DataFrame:
@@ -30,14 +35,14 @@ def read_coin_list(spark: SparkSession, path: str) -> DataFrame:
     return read_json_docs(spark, path, schemas.COIN_LIST, multiline=True)
 
 
-def read_tickers(spark: SparkSession, path: str) -> DataFrame:
-    """One ticker document per coin."""
-    return read_json_docs(spark, path, schemas.TICKER, multiline=True)
+def read_tickers(spark: SparkSession, path: str, landed_at: bool = False) -> DataFrame:
+    """Ticker documents (one per coin and fetch)."""
+    return read_json_docs(spark, path, schemas.TICKER, multiline=True, landed_at=landed_at)
 
 
-def read_meta(spark: SparkSession, path: str) -> DataFrame:
-    """S3: one metadata document per coin."""
-    return read_json_docs(spark, path, schemas.META, multiline=True)
+def read_meta(spark: SparkSession, path: str, landed_at: bool = False) -> DataFrame:
+    """S3: metadata documents (one per coin and fetch)."""
+    return read_json_docs(spark, path, schemas.META, multiline=True, landed_at=landed_at)
 
 
 def read_historic(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
