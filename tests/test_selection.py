@@ -52,5 +52,8 @@ def test_time_range_and_language_and_community(spark):
                                 (3, dt.datetime(2024, 1, 9), "en", "x")], "id int, ts timestamp_ntz, lang string, sub string")
     assert [r.id for r in selection.time_range(df, "ts", after="2024-01-01", before="2024-01-09").collect()] == [2]
     assert sorted(r.id for r in selection.time_range(df, "ts", within="7 days", anchor="2024-01-10").collect()) == [2, 3]
+    assert sorted(r.id for r in selection.time_range(df, "ts", within="7d", anchor="2024-01-10").collect()) == [2, 3]
+    assert sorted(r.id for r in selection.time_range(df, "ts", within=dt.timedelta(days=1),
+                                                     anchor="2024-01-10").collect()) == [3]
     assert [r.id for r in selection.language(df, "de").collect()] == [2]
     assert selection.community(df, "all", "sub").count() == 3 and selection.community(df, "x", "sub").count() == 2

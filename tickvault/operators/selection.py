@@ -6,6 +6,9 @@ plans as TakeOrderedAndProject: a k-row heap per task, k rows per task to the fi
 """
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -57,11 +60,28 @@ def time_range(df: DataFrame, ts: str, after=None, before=None, within=None, anc
     if before is not None:
         df = df.filter(c < F.lit(before).cast("timestamp_ntz"))
     if within is not None:
-        start = F.lit(anchor).cast("timestamp_ntz") - F.expr(f"INTERVAL {within}")
-        df = df.filter(c >= start)
+        df = df.filter(c >= F.lit(anchor).cast("timestamp_ntz") - _interval(within))
     return df
 
 
+_INTERVAL_TEXT = re.compile(r"^\s*(\d+)\s*(day|hour|minute|second)s?\s*$", re.IGNORECASE)
+
+
+def _interval(within) -> Column:
+    """A typed interval literal from a ``timedelta`` or text like '7 days' / '12 hours' / '7d'."""
+    if isinstance(within, dt.timedelta):
+        return F.lit(within)
+    text = str(within).strip()
+    short = {"d": "day", "h": "hour", "m": "minute", "s": "second"}
+    if text[:-1].isdigit() and text[-1:] in short:
+        text = f"{text[:-1]} {short[text[-1]]}"
+    m = _INTERVAL_TEXT.match(text)
+    if not m:
+        raise ValueError(f"not an interval: {within!r}")
+    n, unit = int(m.group(1)), m.group(2).lower()
+    return F.lit(dt.timedelta(**{unit + "s": n}))
+
+
 def language(df: DataFrame, lang: str, col: str = "lang") -> DataFrame:
     """F9."""
     return df.filter(F.col(col) == F.lit(lang))
