@@ -81,3 +81,17 @@ def test_dynamic_overwrite_replaces_only_present_partitions(spark, tmpdir_path):
     spark.createDataFrame([(1, "a"), (2, "b")], "p int, v string").write.partitionBy("p").parquet(path)
     overwrite_partitions(spark.createDataFrame([(2, "z")], "p int, v string"), path, "p")
     assert sorted(tuple(r) for r in spark.read.parquet(path).select("p", "v").collect()) == [(1, "a"), (2, "z")]
+
+
+def test_unpartitioned_table_appends_new_keys(spark, tmpdir_path):
+    path = f"{tmpdir_path}/meta"
+    cols = schemas.METADATA_TABLE.fieldNames()
+
+    def meta(coin):
+        vals = {c: None for c in cols}
+        vals.update(coin_id=coin, is_monitored=True)
+        return spark.createDataFrame([tuple(vals[c] for c in cols)], schemas.METADATA_TABLE)
+    upsert(meta("btc"), path, schemas.METADATA_KEY, schemas.METADATA_TABLE)
+    info = upsert(meta("eth"), path, schemas.METADATA_KEY, schemas.METADATA_TABLE, stats=True)
+    assert info == {"rows": 1, "mode": "append"}
+    assert sorted(r.coin_id for r in spark.read.parquet(path).collect()) == ["btc", "eth"]

@@ -20,6 +20,8 @@ swap, so readers may briefly see a mix of old and new partitions.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from tickvault.operators.topn import latest_per_key
@@ -99,8 +101,8 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
     """K2/K3: merge ``batch`` into the table at ``path`` by ``key``.
 
     ``partition_cols`` must be functions of the key (e.g. ``date`` of ``read_timestamp``), so a
-    key never moves between partitions. Returns row counts when ``stats`` is set (from the
-    staged copy, no second pass over the inputs).
+    key never moves between partitions. With ``stats`` it returns the written row count
+    (observed during the write, no second pass) and whether it appended or merged.
     """
     spark = batch.sparkSession
     parts = list(partition_cols or [])
@@ -113,7 +115,7 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
     stored = spark.read.schema(schema).parquet(path).select(*schema.fieldNames()) if exists else None
     if stored is not None and parts:
         stored = stored.join(fresh.select(*parts).distinct(), parts, "left_semi")   # touched partitions only
-    append = stored is None or (bool(parts) and insert_only and not _overlaps(fresh, stored, key))
+    append = stored is None or (insert_only and not _overlaps(fresh, stored, key))
     if append:
         # new keys only (the normal hourly case): write the batch, rewrite nothing
         staged = fresh
@@ -124,7 +126,7 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
     obs = None
     if stats:
         # A1: count the written rows on the way out (no second pass over the data)
-        obs = Observation(f"upsert_{len(stages)}")
+        obs = Observation(f"upsert_{uuid.uuid4().hex}")
         laid_out = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"))
     if append:
         w = laid_out.write.mode("append" if exists else "overwrite")
