@@ -76,3 +76,10 @@ def test_ddl_truncate_and_drop(spark, tmpdir_path):
     dropped = connectors.drop_tables(spark, database="tv_test")
     assert sorted(dropped) == ["idx", "meta", "prices"]
     assert spark.catalog.listTables("tv_test") == []
+
+
+def test_scale_conf_sizes_partitions_from_volume():
+    from tickvault.session import scale_conf
+    big = scale_conf(100 * 2 ** 40, 8000)
+    assert big["spark.sql.shuffle.partitions"] == str(819200)
+    assert scale_conf(10 ** 6, 8)["spark.sql.shuffle.partitions"] == "16"

@@ -42,6 +42,24 @@ def get_session(app_name: str = "tickvault", master: str | None = None,
     return spark
 
 
+def scale_conf(input_bytes: int, cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for an expected input volume (pass to ``get_session(conf=...)``).
+
+    Scan splits of 256 MB; initial shuffle partitions so each holds about ``partition_bytes``
+    (never fewer than 2 per core), which AQE then coalesces toward the advisory size. For 100 TB
+    on 1,000 executors x 8 cores this gives 819,200 partitions of 128 MB before coalescing: each
+    fits an executor's memory share and spills in bounded pieces.
+    """
+    parts = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder from the session. Only in local mode, when none is
     configured (tests), a temporary folder is set; on a cluster a missing setting is an error."""
