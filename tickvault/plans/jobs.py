@@ -149,8 +149,9 @@ def load_posts(coins: DataFrame, posts: DataFrame, records: DataFrame, path: str
     hits = search.keyword_search(posts, coins, F.col("text"), limit, sort_type)
     found = hits.select("coin_id", "submission_id", "sort_type").dropDuplicates(["coin_id", "submission_id"])
     rows = joins.lookup(found, records.drop("coin_id", "sort_type"), "submission_id") \
-        .withColumn("created_utc", times.parse_iso("created_utc"))
-    upsert(rows, path, schemas.POST_KEY, schemas.POST_TABLE)
+        .withColumn("created_utc", times.parse_iso("created_utc")) \
+        .withColumn("created_date", F.to_date("created_utc"))
+    upsert(rows, path, schemas.POST_KEY, schemas.POST_TABLE, schemas.POST_PARTITION)
 
 
 def job_posts(spark: SparkSession, d: str) -> DataFrame:

@@ -111,10 +111,11 @@ def post_batch_writer(table_path: str, quarantine_path: str, transform=None):
             dec = batch.select("payload", F.from_json("payload", schemas.SUBMISSION_MESSAGE).alias("m"))
             rows = dec.filter(F.col("m").isNotNull()).select(F.explode("m").alias("s")).select("s.*")
             rows = rows.withColumn("created_utc", times.parse_iso("created_utc"))
+            rows = rows.withColumn("created_date", F.to_date("created_utc"))
             if transform is not None:
                 rows = rows.transform(transform)
             ok = rows.filter(F.col("coin_id").isNotNull() & F.col("submission_id").isNotNull())
-            upsert(ok, table_path, schemas.POST_KEY, schemas.POST_TABLE)
+            upsert(ok, table_path, schemas.POST_KEY, schemas.POST_TABLE, schemas.POST_PARTITION)
             dec.filter(F.col("m").isNull()).select(F.lit("posts").alias("source"),
                                                    F.lit("not decodable").alias("reason"), "payload") \
                .write.mode("append").parquet(quarantine_path)
