@@ -67,11 +67,13 @@ def test_post_stream_array_messages(spark, tmpdir_path):
             "created_utc": "2024-01-01T00:00:00Z", "selftext": "b", "subreddit": "all", "author": None,
             "sort_type": "hot", "flair": ""}
     _write_messages(topic, "m.json", [json.dumps([post, dict(post, submission_id="s2")]), "not json",
-                                      json.dumps([dict(post, title="again")])])
+                                      json.dumps([dict(post, title="again")]),
+                                      json.dumps([dict(post, submission_id="s3", created_utc="")])])
     ingest.start_post_stream(spark, topic, table, quarantine, ckpt).awaitTermination()
     rows = sorted((r.submission_id, r.title) for r in spark.read.parquet(table).collect())
     assert rows in ([("s1", "again"), ("s2", "t")], [("s1", "t"), ("s2", "t")])
-    assert spark.read.parquet(quarantine).count() == 1
+    assert sorted(r.reason for r in spark.read.parquet(quarantine).collect()) == \
+        ["missing or bad created_utc", "not decodable"]
 
 
 def test_two_streams_side_by_side_and_listener(spark, tmpdir_path):

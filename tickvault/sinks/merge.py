@@ -100,8 +100,9 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
            stats: bool = False, insert_only: bool = True) -> dict | None:
     """K2/K3: merge ``batch`` into the table at ``path`` by ``key``.
 
-    ``partition_cols`` must be functions of the key (e.g. ``date`` of ``read_timestamp``), so a
-    key never moves between partitions. With ``stats`` it returns the written row count
+    ``partition_cols`` must be non-null functions of the key (e.g. ``date`` of
+    ``read_timestamp``), so a key never moves between partitions; callers quarantine rows
+    without them. With ``stats`` it returns the written row count
     (observed during the write, no second pass) and whether it appended or merged.
     """
     spark = batch.sparkSession

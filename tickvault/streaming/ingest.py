@@ -114,11 +114,17 @@ def post_batch_writer(table_path: str, quarantine_path: str, transform=None):
             rows = rows.withColumn("created_date", F.to_date("created_utc"))
             if transform is not None:
                 rows = rows.transform(transform)
-            ok = rows.filter(F.col("coin_id").isNotNull() & F.col("submission_id").isNotNull())
-            upsert(ok, table_path, schemas.POST_KEY, schemas.POST_TABLE, schemas.POST_PARTITION)
+            problem = (F.when(F.col("coin_id").isNull() | F.col("submission_id").isNull(), F.lit("missing key"))
+                        .when(F.col("created_utc").isNull(), F.lit("missing or bad created_utc")))
+            rows = rows.withColumn("problem", problem)
+            upsert(rows.filter(F.col("problem").isNull()).drop("problem"), table_path, schemas.POST_KEY,
+                   schemas.POST_TABLE, schemas.POST_PARTITION)
+            bad_rows = rows.filter(F.col("problem").isNotNull()).select(
+                F.lit("posts").alias("source"), F.col("problem").alias("reason"),
+                F.to_json(F.struct("coin_id", "submission_id", "title")).alias("payload"))
             dec.filter(F.col("m").isNull()).select(F.lit("posts").alias("source"),
                                                    F.lit("not decodable").alias("reason"), "payload") \
-               .write.mode("append").parquet(quarantine_path)
+               .unionByName(bad_rows).write.mode("append").parquet(quarantine_path)
         finally:
             batch.unpersist()
     return write
