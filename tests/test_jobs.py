@@ -90,3 +90,17 @@ def test_metadata_backfill_and_posts_jobs(spark, tmpdir_path):
     got = sorted((r.coin_id, r.submission_id) for r in spark.read.parquet(post_path).collect())
     # 'news' holds 'new' (substring match, as in the source search): new-coin finds p2 too
     assert got == [("btc-bitcoin", "p1"), ("eth-ethereum", "p2"), ("new-coin", "p2")]
+
+
+def test_hourly_price_refresh_from_landed_tickers(spark, tmpdir_path):
+    tick = files.read_tickers(spark, _land(tmpdir_path, "tick", [
+        {"id": "btc-bitcoin", "last_updated": "2024-05-01T10:00:00Z", "quotes": {"USD": {"price": 60000.5}}},
+        {"id": "eth-ethereum", "last_updated": "2024-05-01T10:00:00Z", "quotes": {"EUR": {"price": 3000.0}}},
+        {"id": "old-coin", "last_updated": "2024-05-01T10:00:00Z", "quotes": {"USD": {"price": 1.0}}}]))
+    monitored = spark.createDataFrame([("btc-bitcoin",), ("eth-ethereum",)], "coin_id string")
+    path, quarantine = f"{tmpdir_path}/prices", f"{tmpdir_path}/quar"
+    jobs.refresh_prices(monitored, tick, path, quarantine)
+    jobs.refresh_prices(monitored, tick, path, quarantine)          # the next run re-reads the same landing
+    got = [(r.coin_id, r.price, r.hour) for r in spark.read.parquet(path).collect()]
+    assert got == [("btc-bitcoin", 60000.5, 10)]                       # old-coin not monitored, eth has no USD
+    assert {r.reason for r in spark.read.parquet(quarantine).collect()} == {"missing USD quote"}

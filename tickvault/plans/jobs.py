@@ -89,6 +89,41 @@ SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM (
   FROM cand) WHERE rn = 1"""
 
 
+# ---- W3 ---------------------------------------------------------------------------------
+
+@logged("jobs.refresh_prices")
+def refresh_prices(monitored_ids: DataFrame, tickers: DataFrame, path: str, quarantine: str) -> None:
+    """F7 -> J5 (monitored coins x their landed tickers) -> P2 -> K2 into the price table;
+    tickers without a usable time or USD quote go to quarantine."""
+    spark = monitored_ids.sparkSession
+    ticks = tickers.join(monitored_ids.select(F.col("coin_id").alias("id")), "id", "left_semi")
+    rows = flatten.price_points(ticks).withColumn("problem", flatten.price_row_problem())
+    stage = scratch_path(spark, "refresh")
+    rows.write.mode("overwrite").parquet(stage)
+    staged = spark.read.parquet(stage)
+    upsert(staged.filter(F.col("problem").isNull()).drop("problem"), path, schemas.PRICE_KEY,
+           schemas.PRICE_TABLE, schemas.PRICE_PARTITION)
+    staged.filter(F.col("problem").isNotNull()).select(
+        F.lit("tickers").alias("source"), F.col("problem").alias("reason"),
+        F.to_json(F.struct("coin_id", "price")).alias("payload")).write.mode("append").parquet(quarantine)
+    delete_path(spark, stage)
+
+
+def job_price_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """W3 over the test tables: active coins' tick messages into a fresh price table."""
+    path, quarantine = scratch_path(spark, "prices"), scratch_path(spark, "quarantine")
+    monitored = tb.meta_docs(spark, d).filter(F.col("is_active")).select(F.col("id").alias("coin_id"))
+    refresh_prices(monitored, tb.price_ticks(spark, d), path, quarantine)
+    return read_table(spark, path, schemas.PRICE_TABLE)
+
+
+JOB_PRICE_REFRESH_SQL = with_(PRICES, META) + """
+SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM (
+  SELECT *, row_number() OVER (PARTITION BY coin_id, read_timestamp
+                               ORDER BY date DESC, hour DESC, price DESC, volume_24h DESC, market_cap DESC) AS rn
+  FROM prices WHERE coin_id IN (SELECT id FROM meta WHERE is_active)) WHERE rn = 1"""
+
+
 # ---- W2 ---------------------------------------------------------------------------------
 
 @logged("jobs.backfill")

@@ -478,6 +478,7 @@ def _register_late():
         ("upsert_latest", jobs.upsert_latest, jobs.UPSERT_LATEST_SQL),
         ("job_metadata", jobs.job_metadata, jobs.JOB_METADATA_SQL),
         ("job_backfill", jobs.job_backfill, jobs.JOB_BACKFILL_SQL),
+        ("job_price_refresh", jobs.job_price_refresh, jobs.JOB_PRICE_REFRESH_SQL),
         ("job_posts", jobs.job_posts, jobs.JOB_POSTS_SQL),
         ("stream_price_ingest", ingest.stream_price_ingest, ingest.STREAM_PRICE_SQL),
         ("stream_posts_ingest", ingest.stream_posts_ingest, ingest.STREAM_POSTS_SQL),
