@@ -141,3 +141,14 @@ def test_kafka_source_is_requested_with_the_built_options(spark):
     with pytest.raises(Exception) as e:
         ingest.message_stream(spark, kafka_source_options("broker:9092", "prices"))
     assert "kafka" in str(e.value).lower()
+
+
+def test_replayed_batch_does_not_duplicate_quarantine(spark, tmpdir_path):
+    topic, table, quarantine, _ = _paths(tmpdir_path)
+    _write_messages(topic, "m.json", [_tick("btc", "2024-01-01T01:00:00Z", 1.0), "junk"])
+    writer = ingest.price_batch_writer(table, quarantine)
+    batch = ingest.decode_prices(spark.read.schema(ingest.MESSAGE).text(topic))
+    writer(batch, 7)
+    writer(batch, 7)                      # the same micro-batch delivered again after a failure
+    assert spark.read.parquet(quarantine).count() == 1
+    assert len(_table(spark, table)) == 1

@@ -68,6 +68,13 @@ def decode_prices(msgs: DataFrame) -> DataFrame:
     return out.withColumn("problem", problem).drop("_bad")
 
 
+def write_quarantine(bad: DataFrame, path: str, epoch_id: int) -> None:
+    """Quarantine rows of one micro-batch under ``epoch=<batch id>``, replacing that partition:
+    a batch replayed after a failure rewrites its own rows instead of adding them again."""
+    (bad.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
+
+
 def price_batch_writer(table_path: str, quarantine_path: str, partition_cols=None):
     """foreachBatch body: storable rows -> key merge, the rest -> quarantine (append)."""
     parts = schemas.PRICE_PARTITION if partition_cols is None else partition_cols
@@ -79,7 +86,7 @@ def price_batch_writer(table_path: str, quarantine_path: str, partition_cols=Non
             upsert(good, table_path, schemas.PRICE_KEY, schemas.PRICE_TABLE, parts)
             bad = batch.filter(F.col("problem").isNotNull()).select(
                 F.lit("prices").alias("source"), F.col("problem").alias("reason"), "payload")
-            bad.write.mode("append").parquet(quarantine_path)
+            write_quarantine(bad, quarantine_path, epoch_id)
         finally:
             batch.unpersist()
     return write
@@ -122,9 +129,9 @@ def post_batch_writer(table_path: str, quarantine_path: str, transform=None):
             bad_rows = rows.filter(F.col("problem").isNotNull()).select(
                 F.lit("posts").alias("source"), F.col("problem").alias("reason"),
                 F.to_json(F.struct("coin_id", "submission_id", "title")).alias("payload"))
-            dec.filter(F.col("m").isNull()).select(F.lit("posts").alias("source"),
-                                                   F.lit("not decodable").alias("reason"), "payload") \
-               .unionByName(bad_rows).write.mode("append").parquet(quarantine_path)
+            undecodable = dec.filter(F.col("m").isNull()).select(
+                F.lit("posts").alias("source"), F.lit("not decodable").alias("reason"), "payload")
+            write_quarantine(undecodable.unionByName(bad_rows), quarantine_path, epoch_id)
         finally:
             batch.unpersist()
     return write
