@@ -2,17 +2,18 @@
 
 ``upsert`` keeps one row per key in a partitioned parquet table:
 
-0. the batch is de-duplicated by key (``max(struct)``, pre-combined map-side) and staged as a
-   parquet table in the shared checkpoint folder - it is computed once; when none of its keys exist in the
-   partitions it touches (new ticks - the normal case), it is appended and nothing is rewritten;
-1. otherwise read only the partitions the batch touches (``left_semi`` on the batch's partition values ->
-   dynamic partition pruning at the scan);
-2. union them with the batch, tagging stored rows 0 and batch rows 1;
-3. keep the greatest version per key (batch wins, then the ``order`` columns, then the rest of the
-   row for determinism) with a decomposable ``max(struct)`` aggregate - pre-combined map-side;
-4. stage the result in the shared checkpoint folder (cuts the lineage so a lost executor
+0. the batch is de-duplicated by key (``max_by``, pre-combined map-side) and staged as a parquet
+   table in the shared checkpoint folder - it is computed once; when none of its keys exist in
+   the partitions it touches (new ticks - the normal case), it is appended, nothing rewritten;
+1. otherwise read only the partitions the batch touches (``left_semi`` on the batch's partition
+   values -> dynamic partition pruning at the scan);
+2. keep the stored rows whose key is not in the batch (a left-anti join against the batch's keys,
+   broadcast when the batch is small - no shuffle of the stored partitions) and add the batch:
+   the table holds one row per key and the batch always wins, so this equals the full merge
+   ``merge_frames`` (stored tagged 0, batch 1, greatest version per key);
+3. stage the result in the shared checkpoint folder (cuts the lineage so a lost executor
    recomputes from the staged files, never from a half-replaced target);
-5. dynamically overwrite exactly those partitions of the target from the staged copy.
+4. dynamically overwrite exactly those partitions of the target from the staged copy.
 
 Merging the same batch twice gives the same table (idempotent), which is what makes stream
 redelivery harmless. One writer per table is assumed; plain parquet has no atomic multi-partition
@@ -121,8 +122,12 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
         # new keys only (the normal hourly case): write the batch, rewrite nothing
         staged = fresh
     else:
-        # the merged partitions are staged before the overwrite replaces what they were read from
-        staged = _stage(merge_frames(stored, fresh, key, order), schema, stages)
+        # the table holds one row per key and the batch always wins, so the merge is "stored rows
+        # whose key is not in the batch" + the batch: an anti join against the batch's keys (small,
+        # broadcast by size), not a re-aggregation of whole partitions. Staged before the overwrite
+        # replaces what it was read from.
+        kept = stored.join(fresh.select(*key), key, "left_anti")
+        staged = _stage(kept.unionByName(fresh), schema, stages)
     laid_out = _layout(staged, parts, key)
     obs = None
     if stats:
