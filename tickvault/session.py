@@ -21,6 +21,8 @@ BASE_CONF = {
     # map-side top-n per group (WindowGroupLimit) also for the batch limit of 5000 posts per keyword
     "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
     "spark.ui.enabled": "false",
+    # listing a day-partitioned table: at most 256 listing tasks (not one task per directory)
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
 }
 
 
