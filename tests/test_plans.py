@@ -46,3 +46,16 @@ def test_no_cartesian_products_anywhere(spark):
     for name in ["price_point", "meta_ticker_merge", "active_price_join", "missing_ids_except", "id_exists",
                  "post_lookup", "universe_distinct", "row_count", "json_array_explode", "ohlc_bars"]:
         assert "CartesianProduct" not in plan(E.queries()[name](spark, SF_SMALL)), name
+
+
+def test_merge_streams_stored_rows_through_a_broadcast_anti_join(spark, tmpdir_path):
+    from tickvault.sinks.merge import replace_keys
+    stored_path, batch_path = f"{tmpdir_path}/stored", f"{tmpdir_path}/batch"
+    spark.range(0, 20000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 7).alias("v")) \
+        .write.parquet(stored_path)
+    spark.range(0, 10).select(F.col("id").cast("string").alias("k"), F.lit(99).cast("bigint").alias("v")) \
+        .write.parquet(batch_path)
+    out = replace_keys(spark.read.parquet(stored_path), spark.read.parquet(batch_path), ["k"])
+    p = plan(out)
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p
+    assert out.count() == 20000 and out.filter("v = 99").count() == 10

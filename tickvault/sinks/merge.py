@@ -91,6 +91,13 @@ def _stage(df: DataFrame, schema: T.StructType, stages: list[str]) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def replace_keys(stored: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
+    """Stored rows whose key is not in ``batch``, plus ``batch`` (both one row per key): the merge
+    when the batch wins. The batch keys are the small side of a left-anti join, broadcast by
+    size, so the stored rows are filtered where they are read, never shuffled."""
+    return stored.join(batch.select(*key), key, "left_anti").unionByName(batch)
+
+
 def _overlaps(batch: DataFrame, stored: DataFrame, key: list[str]) -> bool:
     """Does any batch key already exist in the touched partitions? Reads only the key columns."""
     return bool(batch.select(*key).join(stored.select(*key), key, "left_semi").limit(1).count())
@@ -126,8 +133,7 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
         # whose key is not in the batch" + the batch: an anti join against the batch's keys (small,
         # broadcast by size), not a re-aggregation of whole partitions. Staged before the overwrite
         # replaces what it was read from.
-        kept = stored.join(fresh.select(*key), key, "left_anti")
-        staged = _stage(kept.unionByName(fresh), schema, stages)
+        staged = _stage(replace_keys(stored, fresh, key), schema, stages)
     laid_out = _layout(staged, parts, key)
     obs = None
     if stats:
