@@ -20,8 +20,7 @@ def _col(c) -> Column:
 
 def strip_iso(c) -> Column:
     """X1: 'T' -> ' ' and drop a trailing 'Z' / '+00:00' zone suffix."""
-    s = F.regexp_replace(_col(c), "T", " ")
-    return F.regexp_replace(s, "(Z|\\+00:00)$", "")
+    return F.regexp_replace(F.translate(_col(c), "T", " "), "(Z|\\+00:00)$", "")
 
 
 def parse_iso(c) -> Column:
@@ -59,4 +58,5 @@ def ts_hour(c) -> Column:
 
 def days_before(anchor, days: int) -> Column:
     """T5: ``anchor - days`` as a DATE; the anchor is a parameter (never ``now()`` in a query)."""
-    return F.date_sub(F.to_date(_col(anchor) if not isinstance(anchor, str) else F.lit(anchor)), days)
+    a = F.lit(anchor) if isinstance(anchor, str) else anchor
+    return F.date_sub(F.to_date(a), days)
