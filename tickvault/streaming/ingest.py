@@ -9,6 +9,7 @@ is the query checkpoint (ST4).
 from __future__ import annotations
 
 import logging
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQueryListener
@@ -76,7 +77,7 @@ def write_quarantine(bad: DataFrame, path: str, epoch_id: int) -> None:
 
 
 def price_batch_writer(table_path: str, quarantine_path: str, partition_cols=None):
-    """foreachBatch body: storable rows -> key merge, the rest -> quarantine (append)."""
+    """foreachBatch body: storable rows -> key merge, the rest -> quarantine (per micro-batch)."""
     parts = schemas.PRICE_PARTITION if partition_cols is None else partition_cols
 
     def write(batch: DataFrame, epoch_id: int) -> None:
@@ -92,7 +93,7 @@ def price_batch_writer(table_path: str, quarantine_path: str, partition_cols=Non
     return write
 
 
-def start_price_stream(spark: SparkSession, folder: str | dict, table_path: str, quarantine_path: str,
+def start_price_stream(spark: SparkSession, source: str | dict, table_path: str, quarantine_path: str,
                        checkpoint: str, available_now: bool = True, interval: str | None = None,
                        partition_cols=None, transform=None):
     """ST1: start the price ingest query (``availableNow`` or a processing-time trigger).
@@ -100,11 +101,11 @@ def start_price_stream(spark: SparkSession, folder: str | dict, table_path: str,
     ``transform`` is the extension point (a ``DataFrame -> DataFrame`` applied with
     ``df.transform`` to the decoded rows before they are merged).
     """
-    rows = decode_prices(message_stream(spark, folder))
+    rows = decode_prices(message_stream(spark, source))
     if transform is not None:
         rows = rows.transform(transform)
     w = (rows.writeStream.foreachBatch(price_batch_writer(table_path, quarantine_path, partition_cols))
-             .option("checkpointLocation", checkpoint).queryName(f"prices_{abs(hash(table_path))}"))
+             .option("checkpointLocation", checkpoint).queryName(f"prices_{zlib.crc32(table_path.encode())}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "3600 seconds")
     return w.start()
 
@@ -137,13 +138,13 @@ def post_batch_writer(table_path: str, quarantine_path: str, transform=None):
     return write
 
 
-def start_post_stream(spark: SparkSession, folder: str | dict, table_path: str, quarantine_path: str,
+def start_post_stream(spark: SparkSession, source: str | dict, table_path: str, quarantine_path: str,
                       checkpoint: str, available_now: bool = True, interval: str | None = None,
                       transform=None):
     """ST2: array messages of posts -> key merge on (coin_id, submission_id)."""
-    msgs = message_stream(spark, folder).select(F.col("value").alias("payload"))
+    msgs = message_stream(spark, source).select(F.col("value").alias("payload"))
     w = (msgs.writeStream.foreachBatch(post_batch_writer(table_path, quarantine_path, transform))
-             .option("checkpointLocation", checkpoint).queryName(f"posts_{abs(hash(table_path))}"))
+             .option("checkpointLocation", checkpoint).queryName(f"posts_{zlib.crc32(table_path.encode())}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "43200 seconds")
     return w.start()
 
