@@ -51,3 +51,17 @@ def test_salted_top_n_equals_plain(spark):
     a = top_n_per_group(df, ["g"], order, 25, salt_on=["sid"], salt_buckets=16)
     b = top_n_per_group(df, ["g"], order, 25)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_strategies_agree_on_the_test_documents(spark):
+    from tickvault.operators import selection
+    from tickvault.plans import tables as tb
+    from tests.conftest import SF_SMALL
+    coins = selection.rank_range(tb.coins(spark, SF_SMALL), 3)
+    posts = tb.posts(spark, SF_SMALL)
+
+    def run(strategy):
+        out = search.keyword_search(posts, coins, F.col("text"), 20, search.SORT_RELEVANCE, strategy=strategy)
+        return sorted((r.coin_id, r.keyword, r.submission_id, r.hits, r.rank) for r in out.collect())
+    a, b = run("broadcast"), run("automaton")
+    assert a == b and len(a) > 0
