@@ -83,3 +83,18 @@ def test_scale_conf_sizes_partitions_from_volume():
     big = scale_conf(100 * 2 ** 40, 8000)
     assert big["spark.sql.shuffle.partitions"] == str(819200)
     assert scale_conf(10 ** 6, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_jdbc_partitioned_read_splits_into_range_queries(spark):
+    url = "jdbc:derby:memory:tvparts;create=true"
+    opts = jdbc.jdbc_options(url, "PRICES", driver="org.apache.derby.jdbc.EmbeddedDriver")
+    rows = spark.range(0, 1000).select(F.col("id").cast("int").alias("n"),
+                                       F.concat(F.lit("c"), (F.col("id") % 7).cast("string")).alias("coin_id"))
+    try:
+        jdbc.write_jdbc(rows, {**opts, "createTableColumnTypes": "coin_id VARCHAR(16)"}, mode="overwrite")
+    except Exception as e:  # pragma: no cover
+        pytest.skip(f"derby driver unavailable: {e}")
+    df = jdbc.read_jdbc(spark, opts, partition_column="N", lower=0, upper=1000, num_partitions=4)
+    assert df.rdd.getNumPartitions() == 4 and df.count() == 1000
+    assert jdbc.read_jdbc(spark, opts, clauses={"COIN_ID": "c3"}, partition_column="N", lower=0, upper=1000,
+                          num_partitions=4).count() == 143
