@@ -98,3 +98,16 @@ def test_jdbc_partitioned_read_splits_into_range_queries(spark):
     assert df.rdd.getNumPartitions() == 4 and df.count() == 1000
     assert jdbc.read_jdbc(spark, opts, clauses={"COIN_ID": "c3"}, partition_column="N", lower=0, upper=1000,
                           num_partitions=4).count() == 143
+
+
+def test_index_upsert_replaces_documents_by_id(spark, tmpdir_path):
+    import datetime as dt
+    path = f"{tmpdir_path}/index"
+    cols = "submission_id string, coin_id string, symbol string, title string, selftext string, score int, " \
+           "num_comments int, created_utc timestamp_ntz, sentiment_score float"
+    t = dt.datetime(2024, 1, 1)
+    connectors.upsert_index(spark.createDataFrame([("s1", "btc", "BTC", "a", "b", 1, 0, t, None)], cols), path)
+    connectors.upsert_index(spark.createDataFrame([("s1", "btc", "BTC", "a2", "b", 5, 0, t, None),
+                                                   ("s2", "eth", "ETH", "c", "d", 2, 0, t, None)], cols), path)
+    got = sorted((r.submission_id, r.title, r.score) for r in spark.read.parquet(path).collect())
+    assert got == [("s1", "a2", 5), ("s2", "c", 2)]

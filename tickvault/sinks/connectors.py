@@ -45,6 +45,16 @@ def write_es(df: DataFrame, options: dict[str, str]) -> None:
     df.write.format("es").options(**options).mode("append").save()
 
 
+def upsert_index(docs: DataFrame, path: str, id_col: str = "submission_id") -> None:
+    """K6 semantics without a search cluster: the typed 8-field index rows plus the document id,
+    merged by that id into a parquet table (a re-indexed document replaces the old one)."""
+    from pyspark.sql import types as T
+    from tickvault import schemas
+    from tickvault.sinks.merge import upsert
+    schema = T.StructType([T.StructField(id_col, T.StringType())] + list(schemas.INDEX_TABLE.fields))
+    upsert(docs, path, [id_col], schema)
+
+
 def truncate(spark: SparkSession, table: str) -> None:
     """K9."""
     spark.sql(f"TRUNCATE TABLE {table}")
