@@ -4,7 +4,6 @@ All hosts, credentials and sizes come from arguments; nothing is read from the e
 """
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -96,8 +95,8 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return os.path.exists(path)
+    """Through the Hadoop file system, so a scheme-less path resolves against ``fs.defaultFS``
+    (HDFS on a cluster), exactly as Spark's readers and writers resolve it."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
