@@ -59,3 +59,9 @@ def test_merge_streams_stored_rows_through_a_broadcast_anti_join(spark, tmpdir_p
     p = plan(out)
     assert "BroadcastHashJoin" in p and "LeftAnti" in p
     assert out.count() == 20000 and out.filter("v = 99").count() == 10
+
+
+def test_flagship_join_broadcasts_the_coin_dimension(spark):
+    p = plan(E.entry(spark))
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+    assert "PushedFilters: [IsNotNull(c_mktsegment), Not(EqualTo(c_mktsegment,AUTOMOBILE))]" in p
