@@ -57,3 +57,22 @@ def test_time_range_and_language_and_community(spark):
                                                      anchor="2024-01-10").collect()) == [3]
     assert [r.id for r in selection.language(df, "de").collect()] == [2]
     assert selection.community(df, "all", "sub").count() == 3 and selection.community(df, "x", "sub").count() == 2
+
+
+def test_first_row_is_a_one_row_preview(spark):
+    df = spark.createDataFrame(COINS, SCHEMA)
+    from pyspark.sql import functions as F
+    assert [r.coin_id for r in selection.preview(df, 1, [F.col("rank").desc()]).collect()] == ["d"]   # d, e tie: id
+
+
+def test_ohlc_and_indicators_on_a_small_series(spark):
+    import datetime as dt
+    ticks = [("btc", dt.datetime(2024, 1, 1, h), float(p), i) for i, (h, p) in enumerate([(1, 10), (5, 12), (9, 8), (20, 11)])]
+    ticks += [("btc", dt.datetime(2024, 1, 2, 3), 20.0, 9)]
+    df = spark.createDataFrame(ticks, "coin_id string, ts timestamp_ntz, price double, id long")
+    bars = aggregate.ohlc(df, "coin_id", "ts", "price", "1d", tiebreak=["id"]).orderBy("bucket_start")
+    got = [(r.open, r.high, r.low, r.close, r.n_ticks) for r in bars.collect()]
+    assert got == [(10.0, 12.0, 8.0, 11.0, 4), (20.0, 20.0, 20.0, 20.0, 1)]
+    ind = aggregate.indicators(bars, "coin_id", "bucket_start").orderBy("bucket_start").collect()
+    assert ind[0].prev_close is None and ind[1].prev_close == 11.0 and abs(ind[1].ret - 9 / 11) < 1e-12
+    assert ind[1].ma_7 == 15.5
