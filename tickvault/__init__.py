@@ -8,6 +8,9 @@ Everything is DataFrame / Spark SQL work that Catalyst plans. Sub-packages:
 * ``sinks``     – key-merge writer (upsert), connector option builders, DDL
 * ``streaming`` – Structured Streaming ingest (JSON messages -> typed rows -> idempotent merge)
 * ``plans``     – composed jobs and the registered query set used by ``__spark_entry__``
+
+Top-level modules: ``session`` (session factory, shared checkpoint folder, ``scale_conf`` sizing),
+``schemas`` (every declared StructType) and ``errors`` (log-and-re-raise wrapper for jobs).
 """
 
 __version__ = "0.1.0"
