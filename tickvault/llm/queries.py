@@ -4,17 +4,49 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickvault.llm.common import table
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict. A page is labelled bad or good by the ``quality`` of the document its
+    URL names (the last number of the path is that document's id)."""
+    from tickvault.llm.urls import judge, url_path
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(url_path(F.col("url")), r"([0-9]{1,18})[^0-9]*$", 1)
+    of = pages.select("url", F.when(number != "", number).cast("long").alias("doc_id"))
+    marks = table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("bad"))
+    judged = judge(pages, of.join(marks, "doc_id").select("url", "bad"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "bad_rate")
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base counts and verdict, cutoffs certified per language."""
+    from tickvault.llm.quality import judge_quality
+    marks = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 1).alias("good"))
+    judged = judge_quality(table(spark, sf_dir, "documents"), marks)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", F.concat_ws(",", "failed_rules").alias("failed_rules"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data spans."""
     from tickvault.llm.pii import pii_digest
     return pii_digest(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document into which a benchmark item leaks, with the item and the evidence."""
+    from tickvault.llm.contamination import leaked_documents
+    return leaked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_url_filter": op3_url_filter,
+    "op4_quality_rules": op4_quality_rules,
     "op6_pii": op6_pii,
+    "op9_decontamination": op9_decontamination,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
