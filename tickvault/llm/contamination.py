@@ -31,7 +31,7 @@ UNITS = ("mm|cm|m|km|inch|inches|ft|feet|foot|yard|yards|mile|miles|mg|g|kg|lb|l
 # a name: capitalised word right after a small letter, digit or comma and one blank; it is marked
 # with a leading U+0001 so that the tokens keep both the type and the value
 _NAME = r"(?<=[\p{Ll}\p{N},;:]\x20)(?=\p{Lu}\p{Ll})"
-_TOKEN = r"\x01?[\p{L}\p{M}]+|[0-9]+(?:[.,][0-9]+)*"
+_TOKEN = r"\x01?[\p{L}\p{M}]+|[0-9]++(?:[.,][0-9]++)*+"
 
 
 def tokens(text: Column) -> Column:

@@ -42,11 +42,25 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot; equal texts are drawn together."""
+    from tickvault.llm.sharding import shard_documents
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message in reply order, without the passages it quotes."""
+    from tickvault.llm.chat import reply_ordered
+    return reply_ordered(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op6_pii": op6_pii,
+    "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
+    "op10_chat": op10_chat,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
