@@ -9,6 +9,18 @@ from pyspark.sql import functions as F
 from tickvault.llm.common import table
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of 2048 tokens."""
+    from tickvault.llm.packing import pack
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's predicted language, learnt from the documents that are not held out."""
+    from tickvault.llm.langid import languages
+    return languages(table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's verdict. A page is labelled bad or good by the ``quality`` of the document its
     URL names (the last number of the path is that document's id)."""
@@ -30,6 +42,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", F.concat_ws(",", "failed_rules").alias("failed_rules"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    from tickvault.llm.html_text import extract
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's personal data spans."""
     from tickvault.llm.pii import pii_digest
@@ -55,8 +73,11 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op2_language": op2_language,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
+    "op5_html_text": op5_html_text,
     "op6_pii": op6_pii,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
