@@ -21,9 +21,10 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickvault.llm.common import ship
 
@@ -208,13 +209,12 @@ def _ancestors(e: _Element) -> list[_Element]:
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` without ``html``, with ``text`` and ``n_chars`` (replacing columns of these names)."""
     names = [c for c in pages.columns if c not in ("text", "n_chars", html)]
-    schema = ", ".join([f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in names] + ["text string", "n_chars long"])
+    schema = T.StructType([pages.schema[c] for c in names] + [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            res = pdf[names].copy()
-            res["text"] = [main_text(h) for h in pdf[html]]
-            res["n_chars"] = [len(t) for t in res["text"]]
-            yield res
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [main_text(h) for h in batch.column(html).to_pylist()]
+            new = [pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + new, names=[*names, "text", "n_chars"])
 
-    return pages.select(*[F.col(f"`{c}`") for c in [*names, html]]).mapInPandas(run, schema)
+    return pages.select(*[F.col(f"`{c}`") for c in [*names, html]]).mapInArrow(run, schema)

@@ -21,8 +21,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickvault.llm.common import ship
 
@@ -210,19 +212,19 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep_text: bool =
     added = ("lang_pred", "score", "rejected")
     names = [c for c in docs.columns if c not in added]
     out = [c for c in names if keep_text or c != text]
-    schema = ", ".join([f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in out] + ["lang_pred string", "score double", "rejected boolean"])
+    schema = T.StructType([docs.schema[c] for c in out] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                                                         T.StructField("rejected", T.BooleanType())])
     shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shared.value)
-        for pdf in batches:
-            langs, score = m.predict(pdf[text].tolist())
-            res = pdf[out].copy()
-            res["lang_pred"], res["score"] = langs, score
-            res["rejected"] = [(x == UNKNOWN) or s < m.threshold for x, s in zip(langs, score)]
-            yield res
+        for batch in batches:
+            langs, score = m.predict(batch.column(text).to_pylist())
+            rejected = [(x == UNKNOWN) or bool(s < m.threshold) for x, s in zip(langs, score)]
+            new = [pa.array(langs, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in out] + new, names=[*out, *added])
 
-    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInPandas(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(run, schema)
 
 
 def languages(docs: DataFrame) -> DataFrame:

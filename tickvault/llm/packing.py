@@ -24,7 +24,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,27 +69,30 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
            doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document's pieces, in order."""
     path = tokenizer or tokenizer_file()
-    kind = docs.schema[doc_id].dataType.simpleString()
-    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if ids else "")
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * ids
+    types = [T.IntegerType(), T.LongType(), T.LongType(), T.LongType()] + [T.ArrayType(T.IntegerType())] * ids
+    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType)] + [T.StructField(n, k) for n, k in zip(names[1:], types)])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for pdf in batches:
-            for at in range(0, len(pdf), BATCH):
-                part, rows = pdf.iloc[at:at + BATCH], []
-                for d, t in zip(part[doc_id], part[text]):
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH):
+                part, row, rows, cuts = batch.slice(at, BATCH), [], [], []
+                for i, t in enumerate(part.column("text").to_pylist()):
                     tokens = np.append(np.frombuffer(enc.encode_to_numpy(t or ""), dtype="<u4"), np.uint32(END)).astype("<u4")
-                    start, piece = 0, 0
-                    while start < len(tokens):
-                        first = len(tokens) % capacity if len(tokens) > capacity else len(tokens)
-                        end = start + (first or capacity) if piece == 0 else start + capacity
+                    ends = [*range(len(tokens) % capacity or capacity, len(tokens), capacity), len(tokens)] if len(tokens) > capacity else [len(tokens)]
+                    for piece, (start, end) in enumerate(zip([0, *ends], ends)):
                         own = tokens[start:end]
-                        rows.append((d, piece, start, len(own), zlib.crc32(own.tobytes())) + ((own.astype(np.int32),) if ids else ()))
-                        start, piece = end, piece + 1
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * ids)
-                yield out
+                        row.append(i)
+                        rows.append((piece, start, end - start, zlib.crc32(own.tobytes())))
+                        cuts.append(own)
+                columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
+                if ids:
+                    ends = np.cumsum([0] + [len(c) for c in cuts], dtype=np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(cuts).astype(np.int32))))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(row))] + columns, names=names)
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias(text)).withColumnRenamed("doc_id", doc_id).mapInPandas(run, schema)
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
 def knapsack(lengths: np.ndarray, value: np.ndarray, limit: np.ndarray, capacity: int) -> Counter:
@@ -214,21 +217,19 @@ def place(staged: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     names = [c for c in numbered.columns if c != "number"]
     schema = T.StructType([numbered.schema[c] for c in names] + [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        for pdf in batches:
-            out = pdf[names].copy()
-            sequence, offset = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
-            length, number = pdf["length"].to_numpy(), pdf["number"].to_numpy()
+        for batch in batches:
+            length, number = batch.column("length").to_numpy(), batch.column("number").to_numpy()
+            sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
             for x in np.unique(length):
                 at = np.flatnonzero(length == x)
                 first, base, off = table[int(x)]
                 i = np.searchsorted(first, number[at], side="right") - 1
                 sequence[at], offset[at] = base[i] + number[at] - first[i], off[i]
-            out["sequence_id"], out["offset"] = sequence, offset
-            yield out
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
-    return numbered.mapInPandas(run, schema)
+    return numbered.mapInArrow(run, schema)
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY) -> DataFrame:

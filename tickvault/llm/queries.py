@@ -60,6 +60,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near copies."""
+    from tickvault.llm.neardup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot; equal texts are drawn together."""
     from tickvault.llm.sharding import shard_documents
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_html_text": op5_html_text,
     "op6_pii": op6_pii,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_chat": op10_chat,
