@@ -36,6 +36,8 @@ ship(__name__)
 CAPACITY, END = 2048, 0
 TOKENIZER = "byte_bpe_50k.json"
 ROUNDS, ETA = 300, 0.5
+#: Long pieces are worth a little more than their length, so that short ones are left to fill gaps.
+LONG_FIRST = 0.3
 #: Pieces numbered by one task; lengths with more are salted.
 BUCKET_ROWS = 20_000
 #: Rows tokenised together.
@@ -126,7 +128,8 @@ def linear_program(lengths: np.ndarray, counts: np.ndarray, capacity: int, round
     at = {int(x): i for i, x in enumerate(lengths)}
     for _ in range(rounds):
         need = np.clip(1.0 - covered / counts, 0.0, 1.0)
-        price = (lengths / capacity) * np.exp(ETA * 4 * (need - 1)) * (need > 0)
+        size = lengths / capacity
+        price = size * (1 + LONG_FIRST * size) * np.exp(ETA * (need - 1)) * (need > 0)
         if not price.any():
             break
         filling = knapsack(lengths, price + 1e-12 * lengths, counts, capacity)
