@@ -5,9 +5,9 @@ The tree is grown level by level over distinct (host, path shape) rows, never ov
 1. digits inside a segment become ``#``, so ``/en/25`` and ``/en/474`` share one shape;
 2. at each level the branches of one parent are compared. A parent with many, mostly rare branches
    is variable: all its branches become the wildcard ``*``. Otherwise a branch keeps its own node
-   only if its labelled bad rate differs from its siblings' by a two-proportion z test; branches
-   that are statistically alike are merged into ``*`` (segments below ``MAX_DEPTH`` stay joined as
-   one last branch, so no part of a path is ignored);
+   only if its labelled bad rate is above its siblings' by a two-proportion z test; the branches that
+   are below theirs are merged into one node ``*-``, and those that are alike into ``*`` (segments
+   below ``MAX_DEPTH`` stay joined as one last branch, so no part of a path is ignored);
 3. each template's bad rate is smoothed towards its host's, the host's towards the global rate, and
    templates at or over ``threshold`` are blocked.
 
@@ -68,8 +68,10 @@ def _level(shapes: DataFrame, d: int) -> DataFrame:
     gap = F.abs(F.col("bad") / F.greatest(F.col("labelled"), F.lit(1)) - rest_bad / F.greatest(rest, F.lit(1)))
     apart = (F.col("labelled") > 0) & (rest > 0) & (gap > Z_APART * spread)
     variable = (F.col("k") >= VARIABLE_MIN) & (F.col("p_n") <= VARIABLE_MEAN * F.col("k"))
+    worse = F.col("bad") * F.greatest(rest, F.lit(1)) > rest_bad * F.col("labelled")
     node = (F.when(F.col("segment").isNull(), F.lit("$"))            # the path ends here
-            .when((F.col("k") == 1) | (apart & ~variable), F.col("segment")).otherwise(F.lit("*")))
+            .when((F.col("k") == 1) | (apart & worse & ~variable), F.col("segment"))
+            .when(apart & ~variable, F.lit("*-")).otherwise(F.lit("*")))
     decided = (branch.join(parent, ["host", "template"])
                .select("host", "template", "segment", F.concat_ws("/", "template", node).alias("__next")))
     same = [F.col(f"s.{c}").eqNullSafe(F.col(f"d.{c}")) for c in ("host", "template")]
@@ -92,9 +94,9 @@ def template_verdicts(urls: DataFrame, labelled: DataFrame, threshold: float = T
         tree = _level(tree, d)
     spent: list[str] = []
     tree = stage(tree, "url-templates", spent)
-    total = tree.agg(((F.sum("bad") + 1) / (F.sum("labelled") + 2)).alias("global_rate"))
+    total = tree.agg((F.sum("bad") / F.greatest(F.sum("labelled"), F.lit(1))).alias("global_rate"))
     rate = lambda bad, n, prior: (F.sum(bad) + PRIOR_WEIGHT * prior) / (F.sum(n) + PRIOR_WEIGHT)
-    g = float(total.first()[0] or 0.5)                                 # one number
+    g = float(total.first()[0] or 0.0)                                 # one number; no labels, no block
     hosts = tree.groupBy("host").agg(rate("bad", "labelled", F.lit(g)).alias("host_rate"))
     templates = (tree.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("labelled").alias("labelled")).join(hosts, "host")
                  .withColumn("bad_rate", (F.col("bad") + PRIOR_WEIGHT * F.col("host_rate")) / (F.col("labelled") + PRIOR_WEIGHT)))
