@@ -3,10 +3,10 @@
 A text becomes a token sequence in which numbers, names (capitalised words inside a sentence) and
 units are typed placeholders, so a re-parameterised copy of a question ("Ann has 3 apples" /
 "Bob has 7 apples") has the same template. Template windows of ``WINDOW`` tokens (and whole items
-that are shorter) are hashed and joined with the documents' windows. Every aligned candidate is then
-compared token by token, which also removes hash collisions, and its slots are checked: one value
-of the item must always become the same value in the document. An item leaks into a document if
-aligned tokens cover ``COVERAGE`` of it or run over ``RUN`` tokens, with at least ``LITERALS`` plain
+that are shorter) are hashed (64 bits) and joined with the documents' windows. The windows that match
+at one alignment of item and document are put together and their slots are checked: one value of
+the item must always become the same value in the document. An item leaks into a document if the
+matched windows cover ``COVERAGE`` of it or run over ``RUN`` tokens, with at least ``LITERALS`` plain
 words among them and consistent slots.
 
 DataFrame functions only. Null and empty texts have no tokens. Documents are compared by distinct
@@ -16,6 +16,8 @@ reported alike, one row for each (document row, item id).
 """
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,86 +53,73 @@ def template(token_list: Column) -> Column:
         (F.get(ts, i - 1) == NUMBER) & F.array_contains(_units(), t), UNIT).otherwise(t))).otherwise(ts))
 
 
-def window_hashes(words: Column, size: int) -> Column:
-    """64-bit hashes of all windows of ``size`` tokens, by start."""
-    def at(h: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(h) - size), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(size)]))
-    return F.when(F.size(words) < size, F.expr("CAST(array() AS array<bigint>)")).otherwise(
-        let(F.transform(words, lambda w: F.xxhash64(w)), at))
-
-
 def _literal(t: Column) -> Column:
     return ~t.isin(NUMBER, NAME, UNIT)
 
 
-def _aligned(item: Column, item_raw: Column, doc: Column, doc_raw: Column) -> Column:
-    """Compare an item with the document tokens it is laid over (same length, null where the
-    document ends): struct<covered, longest, literals, slots, changed, consistent>."""
-    same = F.zip_with(item, doc, lambda a, b: F.coalesce(a == b, F.lit(False)))
-    step = lambda acc, s: F.struct(
-        F.when(s, acc["run"] + 1).otherwise(0).alias("run"),
-        F.greatest(acc["best"], F.when(s, acc["run"] + 1).otherwise(0)).alias("best"))
-
-    def judged(ok: Column) -> Column:
-        picked = F.filter(F.transform(F.arrays_zip(ok.alias("ok"), item.alias("t"), item_raw.alias("a"), doc_raw.alias("b")), lambda x: x),
-                          lambda x: x["ok"])
-        return let(picked, lambda p: let(F.filter(p, lambda x: ~_literal(x["t"])), lambda slots: F.struct(
-            F.size(p).alias("covered"),
-            F.aggregate(ok, F.struct(F.lit(0).alias("run"), F.lit(0).alias("best")), step, lambda acc: acc["best"]).alias("longest"),
-            F.size(F.filter(p, lambda x: _literal(x["t"]))).alias("literals"),
-            F.size(slots).alias("slots"),
-            F.size(F.filter(slots, lambda x: x["a"] != x["b"])).alias("changed"),
-            (F.size(F.array_distinct(F.transform(slots, lambda x: F.concat_ws("\x02", x["a"], x["b"]))))
-             == F.size(F.array_distinct(F.transform(slots, lambda x: x["a"])))).alias("consistent"))))
-    return let(same, judged)
+def windows(raw: Column, size: int) -> Column:
+    """array<struct<w, pos, hash, slots>> of all windows of ``size`` tokens: the 64-bit hash of the
+    template window, and the values behind its placeholders in order (null if the text has none)."""
+    none = F.expr("CAST(NULL AS array<string>)")
+
+    def at(tpl: Column, h: Column, values: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(h) - size), lambda i: F.struct(
+            F.lit(size).alias("w"), i.alias("pos"), F.xxhash64(*[F.get(h, i + k) for k in range(size)]).alias("hash"),
+            F.when(values.isNull(), none).otherwise(F.filter(F.slice(values, i + 1, size), lambda v: v.isNotNull())).alias("slots")))
+
+    def of(tpl: Column) -> Column:
+        values = F.when(F.exists(tpl, lambda t: ~_literal(t)), F.zip_with(tpl, raw, lambda t, r: F.when(~_literal(t), r))).otherwise(none)
+        return let(F.transform(tpl, lambda w: F.xxhash64(w)), lambda h: let(values, lambda v: at(tpl, h, v)))
+
+    empty = F.expr("CAST(array() AS array<struct<w:int,pos:int,hash:bigint,slots:array<string>>>)")
+    return F.when(F.size(raw) < size, empty).otherwise(let(template(raw), of))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, spent: list[str] | None = None) -> DataFrame:
-    """(text_key, item_id, n_tokens, covered, longest, n_slots, n_changed) for each distinct
-    document text and benchmark item that leaks into it. ``docs``: ``text``; ``benchmark``:
-    ``item_id, text``."""
+    """(text_key, item_ids, null_id, n_tokens, covered, longest, n_slots, n_changed) for each distinct
+    document text and distinct benchmark text that leaks into it. ``docs``: ``text``; ``benchmark``:
+    ``item_id, text``.
+
+    The texts are read once and never shuffled: only windows that occur in the benchmark leave the
+    scan, with their slot values, and an alignment (text, item, shift) has at most as many of them
+    as the item has tokens."""
     own: list[str] = [] if spent is None else spent
-    items = (benchmark.select("item_id", F.col("text").alias("t")).withColumn("i_raw", tokens(F.col("t")))
-             .withColumn("i_tpl", template(F.col("i_raw")))
-             .filter(F.size(F.filter("i_tpl", _literal)) >= LITERALS)
-             .groupBy("i_tpl", "i_raw").agg(F.collect_set("item_id").alias("item_ids"), F.max(F.col("item_id").isNull()).alias("null_id")))
-    items = stage(items.withColumn("item_no", F.xxhash64("i_raw")), "bench-items", own)
-    width = F.least(F.size("i_tpl"), F.lit(WINDOW))
+    items = (benchmark.select("item_id", tokens(F.col("text")).alias("raw")).withColumn("tpl", template(F.col("raw")))
+             .filter(F.size(F.filter("tpl", _literal)) >= LITERALS)
+             .groupBy("tpl", "raw").agg(F.collect_set("item_id").alias("item_ids"), F.max(F.col("item_id").isNull()).alias("null_id")))
+    items = stage(items.withColumn("item_no", F.xxhash64("raw")), "bench-items", own)
+    width = F.least(F.size("tpl"), F.lit(WINDOW))
     sizes = [r[0] for r in items.select(width.alias("w")).distinct().collect()]      # at most WINDOW values
-    wins = None
-    for w in sizes:
-        part = items.filter(width == w).select("item_no", F.lit(w).alias("w"), F.posexplode(window_hashes(F.col("i_tpl"), w)).alias("i_pos", "hash"))
-        wins = part if wins is None else wins.union(part)
-    schema = "text_key string, item_ids array<bigint>, null_id boolean, n_tokens int, covered int, longest int, n_slots int, n_changed int"
-    if wins is None:
-        return docs.sparkSession.createDataFrame([], schema)
-    wins = stage(wins.groupBy("w", "hash").agg(F.collect_set(F.struct("item_no", "i_pos")).alias("at")), "bench-windows", own)
-    keys = wins.select("w", "hash")
+    if not sizes:
+        return docs.sparkSession.createDataFrame([], "text_key string, item_ids array<bigint>, null_id boolean, n_tokens int, covered int, "
+                                                 "longest int, n_slots int, n_changed int")
+    in_items = reduce(DataFrame.union, [items.filter(width == w).select("item_no", F.explode(windows(F.col("raw"), w)).alias("x")) for w in sizes])
+    at = F.struct("item_no", F.col("x.pos").alias("i_pos"), F.col("x.slots").alias("i_slots"))
+    in_items = stage(in_items.groupBy("x.w", "x.hash").agg(F.collect_set(at).alias("at")), "bench-windows", own)
+    keys = in_items.select("w", "hash")
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_WINDOWS else keys
-    seen = docs.select(text_key(F.col("text")).alias("text_key"), template(tokens(F.col("text"))).alias("tpl"))
-
-    def placed_hashes(w: int) -> Column:
-        return F.transform(window_hashes(F.col("tpl"), w), lambda h, i: F.struct(F.lit(w).alias("w"), i.alias("d_pos"), h.alias("hash")))
-
-    every = F.concat(*[placed_hashes(w) for w in sizes])
-    found = (seen.select("text_key", F.explode(every).alias("x")).select("text_key", "x.*")
+    every = docs.select(text_key(F.col("text")).alias("text_key"), tokens(F.col("text")).alias("raw"))
+    found = (every.select("text_key", F.explode(F.concat(*[windows(F.col("raw"), w) for w in sizes])).alias("x")).select("text_key", "x.*")
              .join(keys, ["w", "hash"], "left_semi").distinct())
-    placed = (found.join(wins, ["w", "hash"]).select("text_key", "d_pos", F.explode("at").alias("at"))
-              .select("text_key", F.col("at.item_no").alias("item_no"), (F.col("d_pos") - F.col("at.i_pos")).alias("shift")).distinct())
-    placed = stage(placed, "bench-places", own)
-    # the texts of the documents hit, once each, with all places to compare
-    per_text = placed.groupBy("text_key").agg(F.collect_set("item_no").alias("__items"))
-    hit = (docs.select("text", text_key(F.col("text")).alias("text_key")).join(per_text.select("text_key"), "text_key", "left_semi")
-           .dropDuplicates(["text_key"]).select("text_key", tokens(F.col("text")).alias("d_raw")).withColumn("d_tpl", template(F.col("d_raw"))))
-    span = lambda c: F.transform(F.sequence(F.lit(0), F.size("i_tpl") - 1), lambda i: F.when(
-        F.col("shift") + i >= 0, F.get(c, F.greatest(F.col("shift") + i, F.lit(0)))))
-    compared = (placed.join(hit, "text_key").join(items, "item_no")
-                .withColumn("r", _aligned(F.col("i_tpl"), F.col("i_raw"), span(F.col("d_tpl")), span(F.col("d_raw")))))
-    leaks = ((F.col("r.covered") >= COVERAGE * F.size("i_tpl")) | (F.col("r.longest") >= RUN)) & (F.col("r.literals") >= LITERALS) & F.col("r.consistent")
-    best = F.max(F.struct(F.col("r.covered").alias("covered"), F.col("r.longest").alias("longest"), F.size("i_tpl").alias("n_tokens"),
-                          F.col("r.slots").alias("slots"), F.col("r.changed").alias("changed")))
-    return (compared.filter(leaks).groupBy("text_key", "item_no").agg(best.alias("b"), F.first("item_ids").alias("item_ids"), F.first("null_id").alias("null_id"))
-            .select("text_key", "item_ids", "null_id", "b.n_tokens", "b.covered", "b.longest", F.col("b.slots").alias("n_slots"), F.col("b.changed").alias("n_changed")))
+    placed = (found.join(in_items, ["w", "hash"]).select("text_key", "w", "pos", "slots", F.explode("at").alias("at"))
+              .groupBy("text_key", "at.item_no", (F.col("pos") - F.col("at.i_pos")).alias("shift"))
+              .agg(F.collect_set(F.struct(F.col("at.i_pos").alias("pos"), "w", F.col("at.i_slots").alias("a"), F.col("slots").alias("b"))).alias("hits")))
+    hit = F.transform(F.sequence(F.lit(0), F.size("tpl") - 1), lambda p: F.exists("hits", lambda h: (h["pos"] <= p) & (p < h["pos"] + h["w"])))
+    step = lambda acc, s: F.struct(F.when(s, acc["run"] + 1).otherwise(0).alias("run"),
+                                   F.greatest(acc["best"], F.when(s, acc["run"] + 1).otherwise(0)).alias("best"))
+    slots = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.coalesce(
+        F.zip_with(h["a"], h["b"], lambda a, b: F.struct(a.alias("a"), b.alias("b"))), F.expr("CAST(array() AS array<struct<a:string,b:string>>)")))))
+    judged = (placed.join(items, "item_no").withColumn("hit", hit).withColumn("slots", slots)
+              .withColumn("covered", F.size(F.filter("hit", lambda x: x)))
+              .withColumn("longest", F.aggregate("hit", F.struct(F.lit(0).alias("run"), F.lit(0).alias("best")), step, lambda acc: acc["best"]))
+              .withColumn("literals", F.size(F.filter(F.zip_with("hit", "tpl", lambda s, t: s & _literal(t)), lambda x: x)))
+              .withColumn("n_tokens", F.size("tpl")).withColumn("n_slots", F.size("slots"))
+              .withColumn("n_changed", F.size(F.filter("slots", lambda x: x["a"] != x["b"])))
+              .withColumn("consistent", F.size(F.array_distinct(F.transform("slots", lambda x: x["a"]))) == F.col("n_slots")))
+    leaks = judged.filter(((F.col("covered") >= COVERAGE * F.col("n_tokens")) | (F.col("longest") >= RUN)) & (F.col("literals") >= LITERALS) & F.col("consistent"))
+    best = F.max(F.struct("covered", "longest", "n_tokens", "n_slots", "n_changed"))
+    return (leaks.groupBy("text_key", "item_no").agg(best.alias("b"), F.first("item_ids").alias("item_ids"), F.first("null_id").alias("null_id"))
+            .select("text_key", "item_ids", "null_id", "b.n_tokens", "b.covered", "b.longest", "b.n_slots", "b.n_changed"))
 
 
 def leaked_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -146,4 +135,4 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spent: list[str] = []
     leaks = stage(contaminated(docs, benchmark, spent).select(F.col("text_key").alias("__key")).distinct(), "bench-leaks")
     drop_stages(docs.sparkSession, spent)
-    return docs.withColumn("__key", text_key(F.col("text"))).join(leaks, "__key", "left_anti").drop("__key")
+    return docs.withColumn("__key", text_key(F.col("text"))).join(leaks.hint("merge"), "__key", "left_anti").drop("__key")
