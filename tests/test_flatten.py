@@ -15,14 +15,14 @@ META_DOC = {"id": "usdz-usdz", "name": "USDZ", "symbol": "USDZ", "rank": 900, "i
             "description": "stable", "started_at": None, "development_status": None, "hardware_wallet": False,
             "proof_type": None, "org_structure": "Centralized", "hash_algorithm": "",
             "links": {"website": ["https://example.org"]}, "whitepaper": {"link": None, "thumbnail": None}}
-META_DOC2 = {"id": "sol-solana", "name": "Solana", "symbol": "SOL", "rank": 5, "is_new": False, "is_active": True,
-             "type": "coin", "started_at": "2020-03-16T00:00:00Z", "development_status": "Working product",
-             "hardware_wallet": True, "proof_type": "Proof of Stake", "org_structure": "Semi-centralized",
+META_DOC2 = {"id": "qpx-quipux", "name": "Quipux", "symbol": "QPX", "rank": 77, "is_new": True, "is_active": False,
+             "type": "token", "started_at": "2031-07-09T00:00:00Z", "development_status": "Only a draft",
+             "hardware_wallet": True, "proof_type": "Proof of Knots", "org_structure": "Village council",
              "hash_algorithm": "", "links_extended": [{"url": "https://x", "type": "website"}]}
 TICK_USDZ = {"id": "usdz-usdz", "name": "USDZ", "symbol": "USDZ", "rank": 901, "total_supply": 100, "max_supply": 0,
              "beta_value": 0.1, "last_updated": "2024-10-01T12:00:05Z",
              "quotes": {"USD": {"price": 1.0001, "volume_24h": 12345.5, "market_cap": 100}}}
-TICK_SOL = {"id": "sol-solana", "name": "Solana", "symbol": None, "rank": 5, "total_supply": 5, "max_supply": 9,
+TICK_QPX = {"id": "qpx-quipux", "name": "Quipux", "symbol": None, "rank": 77, "total_supply": 5, "max_supply": 9,
             "last_updated": "", "quotes": {"EUR": {"price": 140.0}}}
 
 
@@ -37,41 +37,41 @@ def _land(tmp, name, docs):
 
 def test_scan_meta_and_tickers_with_declared_schema(spark, tmpdir_path):
     meta = files.read_meta(spark, _land(tmpdir_path, "meta", [META_DOC, META_DOC2]))
-    tick = files.read_tickers(spark, _land(tmpdir_path, "tick", [TICK_USDZ, TICK_SOL]))
+    tick = files.read_tickers(spark, _land(tmpdir_path, "tick", [TICK_USDZ, TICK_QPX]))
     assert meta.schema == schemas.META and tick.schema == schemas.TICKER
     assert meta.count() == 2 and tick.count() == 2
-    r = meta.filter("id = 'sol-solana'").first()
+    r = meta.filter("id = 'qpx-quipux'").first()
     assert r["contracts"] is None and r["parent"] is None       # missing optional fields -> NULL
 
 
 def test_metadata_row_builder_defaults_and_right_wins(spark, tmpdir_path):
     meta = files.read_meta(spark, _land(tmpdir_path, "meta", [META_DOC, META_DOC2]))
-    tick = files.read_tickers(spark, _land(tmpdir_path, "tick", [TICK_USDZ, TICK_SOL]))
+    tick = files.read_tickers(spark, _land(tmpdir_path, "tick", [TICK_USDZ, TICK_QPX]))
     merged = joins.merge_right_wins(meta, tick, "id")
     rows = {r["coin_id"]: r for r in flatten.metadata_rows(merged, defaults=True).collect()}
-    usdz, sol = rows["usdz-usdz"], rows["sol-solana"]
+    usdz, qpx = rows["usdz-usdz"], rows["qpx-quipux"]
     assert usdz["rank"] == 901                                   # ticker wins
     assert usdz["started_at"] == dt.datetime(1970, 1, 1)         # absent -> epoch default
     assert usdz["development_status"] == "" and usdz["proof_type"] == ""
     assert usdz["max_supply"] == 0 and usdz["price_usd"] == 1.0001
     assert usdz["last_updated"] == dt.datetime(2024, 10, 1, 12, 0, 5)
-    assert sol["symbol"] == ""                                   # ticker NULL wins, then default
-    assert sol["last_updated"] is None                           # present but empty -> NULL
-    assert sol["price_usd"] == 0.0                               # no USD quote -> default
-    assert sol["started_at"] == dt.datetime(2020, 3, 16)
+    assert qpx["symbol"] == ""                                   # ticker NULL wins, then default
+    assert qpx["last_updated"] is None                           # present but empty -> NULL
+    assert qpx["price_usd"] == 0.0                               # no USD quote -> default
+    assert qpx["started_at"] == dt.datetime(2031, 7, 9)
     assert all(r["is_monitored"] for r in rows.values())
     strict = {r["coin_id"]: r for r in flatten.metadata_rows(merged, defaults=False).collect()}
-    assert strict["usdz-usdz"]["started_at"] is None and strict["sol-solana"]["price_usd"] is None
+    assert strict["usdz-usdz"]["started_at"] is None and strict["qpx-quipux"]["price_usd"] is None
 
 
 def test_price_points_and_problems(spark, tmpdir_path):
-    tick = files.read_tickers(spark, _land(tmpdir_path, "tick", [TICK_USDZ, TICK_SOL]))
+    tick = files.read_tickers(spark, _land(tmpdir_path, "tick", [TICK_USDZ, TICK_QPX]))
     rows = flatten.price_points(tick).withColumn("problem", flatten.price_row_problem())
     got = {r["coin_id"]: r for r in rows.collect()}
     u = got["usdz-usdz"]
     assert (u["date"], u["hour"], u["price"], u["market_cap"]) == (dt.date(2024, 10, 1), 12, 1.0001, 100.0)
     assert u["problem"] is None
-    assert got["sol-solana"]["problem"] == "missing or bad last_updated"
+    assert got["qpx-quipux"]["problem"] == "missing or bad last_updated"
 
 
 def test_historic_explode_mixed_int_and_float_volumes(spark, tmpdir_path):
@@ -101,9 +101,9 @@ def test_submission_rows_edges(spark):
 
 
 def test_notebook_schema_path(spark):
-    rec = [("btc", "Bitcoin", "BTC", 1, False, True, "coin", None, "2010-07-17T00:00:00Z", None, False, "PoW",
-            None, "SHA256", 19000000, 21000000, "2024-01-01T00:00:00Z", {"USD": {"price": "42000.5"}})]
+    rec = [("qpx", "Quipux", "QPX", 77, False, True, "token", None, "2031-07-09T00:00:00Z", None, False, "PoK",
+            None, "KNOT7", 5, 9, "2032-01-01T00:00:00Z", {"USD": {"price": "3.25"}})]
     df = files.frame_from_records(spark, rec, schemas.NOTEBOOK)
     r = flatten.notebook_rows(df).first()
-    assert r["price_usd"] == 42000.5 and r["description"] == "NA" and r["org_structure"] == "NA"
-    assert r["started_at"] == dt.datetime(2010, 7, 17) and len(r) == 18
+    assert r["price_usd"] == 3.25 and r["description"] == "NA" and r["org_structure"] == "NA"
+    assert r["started_at"] == dt.datetime(2031, 7, 9) and len(r) == 18

@@ -9,11 +9,14 @@ from tickvault import schemas
 
 def test_parse_iso_variants_and_bad_text(spark):
     df = spark.createDataFrame([("2024-01-02T03:04:05Z",), ("2024-01-02T03:04:05+00:00",), ("2024-01-02 03:04:05",),
-                                ("2024-01-02T03:04:05.123Z",), ("",), ("junk",), (None,)], "s string")
+                                ("2024-01-02T05:04:05+02:00",), ("2024-01-01T22:04:05-0500",), ("2024-01-02T03:04:05.100Z",),
+                                ("2024-01-02T03:04:05.900123Z",), ("",), ("junk",), (None,), ("2024-01-02T03:04:05 garbage",),
+                                ("2024-01-02T03:04:05Zx",), ("2024-13-02T03:04:05Z",), ("2024-01-02",)], "s string")
     got = [r[0] for r in df.select(times.parse_iso("s")).collect()]
     want = dt.datetime(2024, 1, 2, 3, 4, 5)
-    assert got[:4] == [want] * 4
-    assert got[4:] == [None, None, None]
+    assert got[:5] == [want] * 5
+    assert got[5:7] == [want.replace(microsecond=100_000), want.replace(microsecond=900_123)]
+    assert got[7:] == [None] * 7
 
 
 def test_parse_iso_is_zone_independent(spark):
@@ -55,13 +58,6 @@ def test_fillna_touches_strings_only(spark):
     assert r["s"] == "NA" and r["d"] is None and r["b"] is None
 
 
-def test_with_defaults_typed(spark):
-    df = spark.createDataFrame([(None, None, None, None, None)],
-                               "s string, i int, d double, b boolean, t timestamp_ntz")
-    r = nulls.with_defaults(df).first()
-    assert tuple(r) == ("", 0, 0.0, False, dt.datetime(1970, 1, 1))
-
-
 def test_quote_lookup_missing_currency_is_null(spark):
     df = spark.createDataFrame([({"USD": {"price": 1.5}},), ({"EUR": {"price": 2.0}},), (None,)],
                                T.StructType([T.StructField("quotes", T.MapType(T.StringType(), schemas.QUOTE))]))

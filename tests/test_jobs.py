@@ -73,7 +73,8 @@ def test_metadata_backfill_and_posts_jobs(spark, tmpdir_path):
     prices = sorted((r.coin_id, r.read_timestamp) for r in spark.read.parquet(price_path).collect())
     assert prices == [("btc-bitcoin", dt.datetime(2024, 5, 1, 10)), ("eth-ethereum", dt.datetime(2024, 4, 1)),
                       ("new-coin", dt.datetime(2024, 4, 1))]
-    assert spark.read.parquet(q_path).count() == 2        # the empty-timestamp points of eth and new-coin
+    bad = spark.read.parquet(q_path).collect()            # the empty-timestamp points of eth and new-coin
+    assert sorted((json.loads(r.payload)["coin_id"], json.loads(r.payload)["point"]["price"]) for r in bad) == [("eth-ethereum", 11.0), ("new-coin", 11.0)]
 
     # Posts for monitored coins, stored once per (coin, post) even when both keywords hit
     posts = spark.createDataFrame(
@@ -88,10 +89,25 @@ def test_metadata_backfill_and_posts_jobs(spark, tmpdir_path):
     post_path = f"{tmpdir_path}/posts_t"
     jobs.load_posts(coins_kw, posts, records, post_path, limit=10, sort_type=search.SORT_TOP)
     got = sorted((r.coin_id, r.submission_id) for r in spark.read.parquet(post_path).collect())
+    jobs.load_posts(coins_kw, posts, records, post_path + "2", limit=10, since="2024-01-01 12:00:00", until="2024-01-03 00:00:00")
+    assert {r.submission_id for r in spark.read.parquet(post_path + "2").collect()} == {"p2"}
     # 'news' holds 'new' (substring match, as in the source search): new-coin finds p2 too
     assert got == [("btc-bitcoin", "p1"), ("eth-ethereum", "p2"), ("new-coin", "p2")]
 
 
+def test_backfill_from_a_start_date_and_interval(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "hist")
+    os.makedirs(p)
+    points = [{"timestamp": f"2024-04-0{d}T{h:02d}:00:00Z", "price": d * 100 + h} for d in (1, 2, 3) for h in (0, 5, 23)]
+    with open(os.path.join(p, "h.json"), "w") as f:
+        f.write(json.dumps({"coin_id": "a", "points": points}) + "\n")
+    path = f"{tmpdir_path}/prices"
+    jobs.backfill(spark.createDataFrame([("a",)], "coin_id string"), files.read_historic(spark, p), path, f"{tmpdir_path}/q",
+                  start_date="2024-04-02", interval="1d")
+    assert sorted(r.price for r in spark.read.parquet(path).collect()) == [223.0, 323.0]
+    assert files.read_historic(spark, p, since="2024-04-03", interval="12h").count() == 2
+
+
 def test_hourly_price_refresh_from_landed_tickers(spark, tmpdir_path):
     tick = files.read_tickers(spark, _land(tmpdir_path, "tick", [
         {"id": "btc-bitcoin", "last_updated": "2024-05-01T10:00:00Z", "quotes": {"USD": {"price": 60000.5}}},
@@ -103,4 +119,6 @@ def test_hourly_price_refresh_from_landed_tickers(spark, tmpdir_path):
     jobs.refresh_prices(monitored, tick, path, quarantine)          # the next run re-reads the same landing
     got = [(r.coin_id, r.price, r.hour) for r in spark.read.parquet(path).collect()]
     assert got == [("btc-bitcoin", 60000.5, 10)]                       # old-coin not monitored, eth has no USD
-    assert {r.reason for r in spark.read.parquet(quarantine).collect()} == {"missing USD quote"}
+    bad = spark.read.schema(schemas.QUARANTINE).parquet(quarantine).collect()
+    assert [(r.source, r.reason) for r in bad] == [("tickers", "missing USD quote")]       # once, though the job ran twice
+    assert json.loads(bad[0].payload)["quotes"]["EUR"]["price"] == 3000.0                 # the document as it landed

@@ -14,7 +14,7 @@ def plan(df) -> str:
 def test_top_n_per_keyword_limits_before_each_shuffle(spark):
     p = plan(E.queries()["keyword_search_topk"](spark, SF_SMALL))
     assert p.count("WindowGroupLimit") >= 4 and "Partial" in p          # salted and final phase, map side
-    assert "BroadcastNestedLoopJoin" in p and "BroadcastExchange" in p  # keywords broadcast, posts stream
+    assert "BroadcastNestedLoopJoin" not in p and "Python" not in p     # keywords are found by an equi-join on grams
 
 
 def test_dedup_is_partially_aggregated_before_the_shuffle(spark):
@@ -34,7 +34,7 @@ def test_filters_and_projection_reach_the_scan(spark):
 def test_anti_join_right_side_is_distinct_ids(spark):
     p = plan(E.queries()["missing_ids_anti"](spark, SF_SMALL))
     assert "LeftAnti" in p and "HashAggregate" in p
-    assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double>" in p
+    assert "ReadSchema: struct<user_id:bigint>" in p
 
 
 def test_resample_uses_decomposable_max_by(spark):

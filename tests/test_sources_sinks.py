@@ -78,6 +78,19 @@ def test_ddl_truncate_and_drop(spark, tmpdir_path):
     assert spark.catalog.listTables("tv_test") == []
 
 
+def test_drop_one_table_of_a_database_and_odd_names(spark, tmpdir_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS tv_d1")
+    for name in ("tv_d1.tv_t", "default.tv_t"):
+        ddl.create_index_table(spark, name)
+    assert connectors.drop_tables(spark, "tv_t", "tv_d1") == ["tv_t"]
+    assert not spark.catalog.tableExists("tv_d1.tv_t") and spark.catalog.tableExists("default.tv_t")
+    connectors.drop_tables(spark, "default.tv_t")
+    assert not spark.catalog.tableExists("default.tv_t")
+    ddl.create_table(spark, "tv_d1.select", schemas.INDEX_TABLE, f"{tmpdir_path}/it's")
+    connectors.drop_tables(spark, database="tv_d1")
+    assert ddl.quoted("a`b", "d") == "`d`.`a``b`"
+
+
 def test_scale_conf_sizes_partitions_from_volume():
     from tickvault.session import scale_conf
     big = scale_conf(100 * 2 ** 40, 8000)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickvault import schemas
 from tickvault.streaming import ingest
-from tickvault.streaming.messages import array_messages, bad_messages, explode_messages
+from tickvault.streaming.messages import array_messages, explode_messages
 
 
 def _write_messages(folder, name, lines):
@@ -66,14 +66,17 @@ def test_post_stream_array_messages(spark, tmpdir_path):
     post = {"coin_id": "btc", "submission_id": "s1", "title": "t", "score": 1, "url": "", "num_comments": 0,
             "created_utc": "2024-01-01T00:00:00Z", "selftext": "b", "subreddit": "all", "author": None,
             "sort_type": "hot", "flair": ""}
-    _write_messages(topic, "m.json", [json.dumps([post, dict(post, submission_id="s2")]), "not json",
-                                      json.dumps([dict(post, title="again")]),
-                                      json.dumps([dict(post, submission_id="s3", created_utc="")])])
+    _write_messages(topic, "m.json", [json.dumps([dict(post, title="z old", score=9, event_id=1), dict(post, submission_id="s2")]), "not json",
+                                      json.dumps([dict(post, title="again", event_id=2)]),
+                                      json.dumps([dict(post, submission_id="s3", created_utc="")]),
+                                      json.dumps([dict(post, submission_id="s4", score="not a number")])])
     ingest.start_post_stream(spark, topic, table, quarantine, ckpt).awaitTermination()
     rows = sorted((r.submission_id, r.title) for r in spark.read.parquet(table).collect())
-    assert rows in ([("s1", "again"), ("s2", "t")], [("s1", "t"), ("s2", "t")])
-    assert sorted(r.reason for r in spark.read.parquet(quarantine).collect()) == \
-        ["missing or bad created_utc", "not decodable"]
+    assert rows == [("s1", "again"), ("s2", "t")]              # the last write, not the greatest values
+    bad = {r.reason: r for r in spark.read.parquet(quarantine).collect()}
+    assert sorted(bad) == ["bad field", "missing or bad created_utc", "not decodable"]
+    assert json.loads(bad["bad field"].payload)["score"] == "not a number" and bad["bad field"].source == "posts"
+    assert json.loads(bad["missing or bad created_utc"].payload)["selftext"] == "b"
 
 
 def test_two_streams_side_by_side_and_listener(spark, tmpdir_path):
@@ -109,8 +112,6 @@ def test_array_messages_bounded_and_roundtrip(spark):
     assert sizes == [1, 4, 8, 8]
     back = explode_messages(msgs, "array<struct<conv:int,turn:int,text:string>>")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
-    junk = spark.createDataFrame([("nope",)], "value string")
-    assert bad_messages(junk, "array<struct<a:int>>", "t").count() == 1
 
 
 def test_transform_hook_applies_before_merge(spark, tmpdir_path):
@@ -143,6 +144,49 @@ def test_kafka_source_is_requested_with_the_built_options(spark):
     assert "kafka" in str(e.value).lower()
 
 
+def test_last_message_of_a_key_wins_and_fractions_are_kept(spark, tmpdir_path):
+    topic, table, quarantine, ckpt = _paths(tmpdir_path)
+    lines = [json.dumps({**json.loads(_tick("btc", "2024-01-01T01:00:00.100Z", p)), "event_id": i}) for i, p in enumerate([10.0, 5.0])]
+    lines.append(_tick("btc", "2024-01-01T01:00:00.900Z", 7.0))
+    lines.append(_tick("btc", "2024-01-01T03:00:00.100+02:00", 1.0).replace('"id"', '"event_id": -1, "id"'))
+    _write_messages(topic, "m.json", lines)
+    ingest.start_price_stream(spark, topic, table, quarantine, ckpt).awaitTermination()
+    assert _table(spark, table) == [("btc", "2024-01-01 01:00:00.100000", 5.0), ("btc", "2024-01-01 01:00:00.900000", 7.0)]
+
+
+def test_streams_and_jobs_share_a_quarantine_without_loss(spark, tmpdir_path):
+    """Price and post stream, a second checkpoint and a batch job write to one root; nothing is erased."""
+    from tickvault.sinks.quarantine import quarantine_batch
+    topic, table, quarantine, ckpt = _paths(tmpdir_path)
+    _write_messages(topic, "m.json", ["junk", _tick("btc", "", 1.0)])
+    _write_messages(f"{topic}2", "m.json", ["junk posts"])
+    q1 = ingest.start_price_stream(spark, topic, table, quarantine, ckpt)
+    q2 = ingest.start_post_stream(spark, f"{topic}2", f"{table}2", quarantine, f"{ckpt}2")
+    q1.awaitTermination()
+    q2.awaitTermination()
+    ingest.start_price_stream(spark, topic, table, quarantine, f"{ckpt}3").awaitTermination()
+    bad = spark.createDataFrame([("missing", "x"), ("missing", "x")], "reason string, payload string")
+    for _ in range(2):
+        quarantine_batch(bad, quarantine, "history")
+    rows = spark.read.schema(schemas.QUARANTINE).parquet(quarantine).collect()
+    assert sorted((r.source, r.payload) for r in rows if r.payload in ("junk", "junk posts", "x")) == \
+        [("history", "x"), ("history", "x"), ("posts", "junk posts"), ("prices", "junk"), ("prices", "junk")]
+
+
+def test_publisher_stream_is_triggered_and_repeatable(spark, tmpdir_path):
+    landing, topic = f"{tmpdir_path}/landing", f"{tmpdir_path}/topic"
+    _write_messages(landing, "a.json", [_tick("btc", "2024-01-01T01:00:00Z", 1.0)])
+    landed = spark.readStream.schema(schemas.TICKER).json(landing)
+    ingest.start_publisher(landed, topic, f"{tmpdir_path}/pub").awaitTermination()
+    _write_messages(landing, "b.json", [_tick("eth", "2024-01-01T01:00:00Z", 2.0)])
+    q = ingest.start_publisher(landed, topic, f"{tmpdir_path}/pub", interval="1 second")
+    q.processAllAvailable()
+    q.stop()
+    table = f"{tmpdir_path}/table"
+    ingest.start_price_stream(spark, topic, table, f"{tmpdir_path}/quar", f"{tmpdir_path}/ckpt").awaitTermination()
+    assert [r[0] for r in _table(spark, table)] == ["btc", "eth"]
+
+
 def test_replayed_batch_does_not_duplicate_quarantine(spark, tmpdir_path):
     topic, table, quarantine, _ = _paths(tmpdir_path)
     _write_messages(topic, "m.json", [_tick("btc", "2024-01-01T01:00:00Z", 1.0), "junk"])

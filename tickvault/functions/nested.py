@@ -1,4 +1,4 @@
-"""Nested lookups and JSON."""
+"""Nested lookups and JSON."""
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
@@ -13,11 +13,6 @@ def quote_field(quotes, field: str, currency: str = "USD") -> Column:
     return F.try_element_at(_col(quotes), F.lit(currency)).getField(field)
 
 
-def strict_quote_field(quotes, field: str, currency: str = "USD") -> Column:
-    """M2: the same lookup; callers route NULL results to quarantine (see ``streaming``)."""
-    return quote_field(quotes, field, currency)
-
-
 def present(c) -> Column:
     """B3: "attribute present" flag."""
     return _col(c).isNotNull()

@@ -37,18 +37,6 @@ def typed_default(dtype: T.DataType):
     return None
 
 
-def with_defaults(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """N1 over every top-level column whose type has a default."""
-    out = []
-    for f in df.schema.fields:
-        d = typed_default(f.dataType)
-        if d is None or f.name in exclude:
-            out.append(F.col(f"`{f.name}`"))
-        else:
-            out.append(F.coalesce(F.col(f"`{f.name}`"), F.lit(d).cast(f.dataType)).alias(f.name))
-    return df.select(*out)
-
-
 def falsy_default(c, value: str = "") -> Column:
     """Python ``x or ""`` on text: null and '' both become ``value``."""
     return F.coalesce(F.nullif(_col(c), F.lit("")), F.lit(value))

@@ -1,8 +1,8 @@
 """Time parsing and formatting.
 
-The engine keeps UTC wall-clock time as TIMESTAMP_NTZ. Parsing goes through ``try_to_timestamp``
-(null, not an error, on '' or junk under ANSI) and back to NTZ with the same zone, so the wall
-clock of the text is kept whatever the session zone is.
+The engine keeps UTC wall-clock time as TIMESTAMP_NTZ with microseconds. A text is parsed whole:
+fraction and zone count, anything else after them makes it NULL (not an error under ANSI). Text
+without a zone is UTC, whatever the session zone is.
 """
 from __future__ import annotations
 
@@ -11,6 +11,9 @@ from pyspark.sql import Column, functions as F
 # Text patterns of the sources.
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"        # 2024-01-01T00:00:00Z  (tickers, posts)
 ISO_SPACE = "yyyy-MM-dd HH:mm:ss"          # 2024-01-01 00:00:00   (metadata rows, tweets)
+ISO_MICROS_Z = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+ISO_TEXT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?(?:Z|[+-]\d{2}:?\d{2})?$"
+ISO_ZONE = r"(?:Z|[+-]\d{2}:?\d{2})$"
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
@@ -24,13 +27,15 @@ def strip_iso(c) -> Column:
 
 
 def parse_iso(c) -> Column:
-    """ISO text (with 'T' or ' ', optional fraction, optional Z/+00:00) -> TIMESTAMP_NTZ.
+    """ISO text (with 'T' or ' ', optional fraction, optional Z or offset) -> TIMESTAMP_NTZ.
 
-    The first 19 characters carry date and time, so a zone suffix or fraction is cut rather than
-    matched; 'T' -> ' ' is a character translation, not a regex. Empty or malformed text gives NULL.
+    The whole text is parsed: an offset moves the time to UTC, a fraction is kept to the
+    microsecond, and empty or malformed text (also a valid time followed by anything) gives NULL.
     """
-    secs = F.substring(F.translate(_col(c), "T", " "), 1, 19)
-    return F.try_to_timestamp(secs, F.lit(ISO_SPACE)).cast("timestamp_ntz")
+    text = _col(c)
+    zoned = F.when(text.rlike(ISO_ZONE), text).otherwise(F.concat(text, F.lit("Z")))
+    instant = F.try_to_timestamp(F.when(text.rlike(ISO_TEXT), zoned))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(EPOCH_NTZ))
 
 
 def iso_from_epoch(seconds) -> Column:

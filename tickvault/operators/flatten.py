@@ -76,21 +76,24 @@ def price_rows_from(coin_id: Column, ts_text: Column, price: Column, volume: Col
             cap.cast("double").alias("market_cap")]
 
 
-def price_points(tickers: DataFrame, currency: str = "USD") -> DataFrame:
-    """Ticker document -> (coin_id, read_timestamp, date, hour, price, volume_24h, market_cap).
+def price_points(tickers: DataFrame, currency: str = "USD", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Ticker document -> (coin_id, read_timestamp, date, hour, price, volume_24h, market_cap),
+    then the ``carry`` columns (message order, raw payload) as they are.
 
-    Rows whose key time or quote is missing keep NULLs here; ``valid_price_rows`` splits them off.
+    Rows whose key time or quote is missing keep NULLs here; ``price_row_problem`` names them.
     """
     q = F.try_element_at(F.col("quotes"), F.lit(currency))
     return tickers.select(*price_rows_from(F.col("id"), F.col("last_updated"), q["price"],
-                                           q["volume_24h"], q["market_cap"]))
+                                           q["volume_24h"], q["market_cap"]), *carry)
 
 
-def historic_points(history: DataFrame) -> DataFrame:
-    """(coin_id, points ARRAY<STRUCT>) -> one price row per point (``explode``)."""
+def historic_points(history: DataFrame, payload: bool = False) -> DataFrame:
+    """(coin_id, points ARRAY<STRUCT>) -> one price row per point (``explode``); with ``payload``
+    also the raw point as JSON, for the quarantine."""
     p = history.select("coin_id", F.explode("points").alias("p"))
+    raw = [F.to_json(F.struct("coin_id", F.col("p").alias("point"))).alias("payload")] if payload else []
     return p.select(*price_rows_from(F.col("coin_id"), F.col("p.timestamp"), F.col("p.price"),
-                                     F.col("p.volume_24h"), F.col("p.market_cap")))
+                                     F.col("p.volume_24h"), F.col("p.market_cap")), *raw)
 
 
 def price_row_problem() -> Column:

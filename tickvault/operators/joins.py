@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tickvault.operators.selection import difference
+
 
 def latest_docs(docs: DataFrame, key: str = "id", version: str | None = "landed_at") -> DataFrame:
     """One document per key: the newest fetch (by ``version`` when present, then the whole row,
@@ -34,7 +36,7 @@ def missing_ids(active: DataFrame, existing: DataFrame, key: str = "coin_id", me
     ids = active.select(key).filter(F.col(key).isNotNull()).distinct()
     seen = existing.select(key).filter(F.col(key).isNotNull()).distinct()
     if method == "except":
-        return ids.subtract(seen)
+        return difference(ids, seen)
     return ids.join(seen, key, "left_anti")
 
 

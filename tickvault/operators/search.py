@@ -5,16 +5,17 @@ lower-cased keywords are matched against each post once; hits are cut to ``limit
 in the requested sort mode (skew-safe top-n); only then are they fanned back out to the coins
 that share a keyword (an equi-join on the keyword).
 
-Matching is ``contains(lower(text), lower(keyword))``. Up to ``BROADCAST_KEYWORDS`` distinct
-keywords are broadcast into a nested-loop join evaluated in generated code. Beyond that one
-Aho-Corasick automaton per chunk of at most ``BROADCAST_KEYWORDS`` keywords scans each post in
-a vectorised ``mapInPandas`` pass: cost per post is its length, not length x keywords. Both paths
-return exactly the same pairs.
+Matching is ``contains(lower(text), lower(keyword))``, found through an equi-join: every keyword has
+one anchor, its first ``GRAM`` characters (all of a shorter one), and every post its distinct
+character grams of the anchor sizes in use. Only posts and keywords that share an anchor are checked with
+``contains``. Spark broadcasts the keyword side or shuffles both by size; the result is the same
+for any number of keywords, and nothing passes through the driver but the anchor sizes.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tickvault.functions.nested import keywords
 from tickvault.operators.topn import top_n_per_group
 
 # The sort modes of the post search.
@@ -22,73 +23,37 @@ SORT_HOT = "hot"
 SORT_TOP = "top"
 SORT_RELEVANCE = "relevance"
 
-BROADCAST_KEYWORDS = 256           # broadcast nested-loop join up to this many distinct keywords
-AUTOMATON_CHUNK = 50_000           # keywords per broadcast automaton beyond that
+GRAM = 4                           # longest anchor
 SALT_BUCKETS = 64                  # hot-keyword split for the per-keyword limit
 
 
 def coin_keywords(coins: DataFrame, name: str = "name", symbol: str = "symbol") -> DataFrame:
     """One row per (coin, keyword); name and symbol are both keywords."""
-    return (coins.select("coin_id", F.explode(F.array(F.col(name), F.col(symbol))).alias("keyword"))
+    return (coins.select("coin_id", F.explode(keywords(name, symbol)).alias("keyword"))
                  .filter(F.col("keyword").isNotNull() & (F.col("keyword") != ""))
                  .withColumn("kw", F.lower("keyword")))
 
 
-def _contains_pairs(posts_lc: DataFrame, kws: DataFrame) -> DataFrame:
-    return posts_lc.join(F.broadcast(kws), F.col("_tv_lc").contains(F.col("kw")), "inner")
+def _grams(text: Column, size: int) -> Column:
+    """The distinct character grams of one size in a text (linear: over its characters, once)."""
+    def of(chars: Column) -> Column:
+        return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(chars) - size), lambda i: F.concat(*[F.get(chars, i + k) for k in range(size)])))
+    chars = F.element_at(F.transform(F.array(F.split(text, "")), lambda c: F.when(F.size(c) >= size, of(c))), 1)
+    return F.when(F.length(text) >= size, chars)
 
 
-def _automaton_pairs(posts_lc: DataFrame, kw_chunk: list[str]) -> DataFrame:
-    spark = posts_lc.sparkSession
-    bc = spark.sparkContext.broadcast(sorted(kw_chunk))
-    out_schema = T.StructType(posts_lc.schema.fields + [T.StructField("kw", T.StringType())])
+def keyword_pairs(posts: DataFrame, text: Column, kws: DataFrame, key: str = "submission_id") -> DataFrame:
+    """every (post, keyword) with ``lower(keyword)`` inside ``lower(text)``; ``kws`` has ``kw``.
 
-    def scan(batches):
-        import ahocorasick
-        import pandas as pd
-        auto = ahocorasick.Automaton()
-        for w in bc.value:
-            auto.add_word(w, w)
-        auto.make_automaton()
-        for pdf in batches:
-            rows, kws = [], []
-            for i, text in enumerate(pdf["_tv_lc"].tolist()):
-                if text is None:
-                    continue
-                for kw in sorted({k for _, k in auto.iter(text)}):
-                    rows.append(i)
-                    kws.append(kw)
-            out = pdf.iloc[rows].reset_index(drop=True)
-            out["kw"] = pd.Series(kws, dtype=object)
-            yield out
-
-    return posts_lc.mapInPandas(scan, out_schema)
-
-
-def keyword_pairs(posts: DataFrame, text: Column, kws: DataFrame, strategy: str = "auto") -> DataFrame:
-    """every (post, keyword) with ``lower(keyword)`` inside ``lower(text)``; ``kws`` has ``kw``."""
+    Adds ``kw`` and the lower-cased text ``_tv_lc`` to ``posts``, whose ``key`` must be unique."""
     posts_lc = posts.withColumn("_tv_lc", F.lower(text))
-    distinct_kw = kws.select("kw").distinct()
-    if strategy == "auto":
-        n_kw = distinct_kw.count()   # bounds the broadcast; the keyword list is a coin dimension
-        strategy = "broadcast" if n_kw <= BROADCAST_KEYWORDS else "automaton"
-    if strategy == "broadcast":
-        pairs = _contains_pairs(posts_lc, distinct_kw)
-    else:
-        pairs = None
-        chunk: list[str] = []
-        for row in distinct_kw.orderBy("kw").toLocalIterator():   # one chunk on the driver at a time
-            chunk.append(row["kw"])
-            if len(chunk) == AUTOMATON_CHUNK:
-                part = _automaton_pairs(posts_lc, chunk)
-                pairs = part if pairs is None else pairs.unionByName(part)
-                chunk = []
-        if chunk:
-            part = _automaton_pairs(posts_lc, chunk)
-            pairs = part if pairs is None else pairs.unionByName(part)
-        if pairs is None:
-            pairs = posts_lc.withColumn("kw", F.lit(None).cast("string")).limit(0)
-    return pairs
+    anchors = kws.select("kw").distinct().withColumn("_tv_gram", F.substring("kw", 1, GRAM))
+    sizes = [r[0] for r in anchors.select(F.length("_tv_gram").alias("n")).distinct().collect()]     # at most GRAM values
+    if not sizes:
+        return posts_lc.withColumn("kw", F.lit(None).cast("string")).limit(0)
+    grams = F.concat(*[F.coalesce(_grams(F.col("_tv_lc"), n), F.expr("CAST(array() AS array<string>)")) for n in sorted(sizes)])
+    maybe = posts_lc.select(key, F.explode(grams).alias("_tv_gram")).join(anchors, "_tv_gram").select(key, "kw")
+    return posts_lc.join(maybe, key).filter(F.col("_tv_lc").contains(F.col("kw")))
 
 
 def sort_order(mode: str) -> list[Column]:
@@ -105,7 +70,7 @@ def sort_order(mode: str) -> list[Column]:
 
 
 def keyword_search(posts: DataFrame, coins: DataFrame, text: Column, limit: int = 500,
-                   sort_type: str = SORT_HOT, subreddit: str = "all", strategy: str = "auto",
+                   sort_type: str = SORT_HOT, subreddit: str = "all",
                    salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """J3 + O3 + U4: per coin and keyword, the first ``limit`` matching posts in ``sort_type``.
 
@@ -114,7 +79,7 @@ def keyword_search(posts: DataFrame, coins: DataFrame, text: Column, limit: int
     """
     from tickvault.operators.selection import community
     ck = coin_keywords(coins)
-    pairs = keyword_pairs(community(posts, subreddit), text, ck, strategy)
+    pairs = keyword_pairs(community(posts, subreddit), text, ck)
     occurrences = F.floor((F.length("_tv_lc") - F.length(F.replace(F.col("_tv_lc"), F.col("kw"), F.lit(""))))
                           / F.length("kw")).cast("int")
     pairs = pairs.withColumn("hits", occurrences).drop("_tv_lc")
@@ -122,3 +87,25 @@ def keyword_search(posts: DataFrame, coins: DataFrame, text: Column, limit: int
                            salt_on=["submission_id"], salt_buckets=salt_buckets)
     return (best.join(ck, "kw", "inner").drop("kw")
                 .withColumn("sort_type", F.lit(sort_type)))
+
+
+def search_and_fetch(posts: DataFrame, records: DataFrame, query: str, text: Column, limit: int = 500,
+                     after=None, before=None, subreddit: str = "all", sort_type: str = SORT_TOP) -> DataFrame:
+    """One query in a time range, at most ``limit`` posts, each with its full record."""
+    from tickvault.operators.joins import lookup
+    from tickvault.operators.selection import community, time_range
+    p = time_range(community(posts, subreddit), "created_utc", after=after, before=before)
+    q = F.lower(F.lit(query))
+    p = p.withColumn("_tv_lc", F.lower(text)).filter(F.col("_tv_lc").contains(q))
+    hits = F.floor((F.length("_tv_lc") - F.length(F.replace(F.col("_tv_lc"), q, F.lit("")))) / F.length(q)).cast("int")
+    found = p.withColumn("hits", hits).orderBy(*sort_order(sort_type)).limit(limit).select("submission_id", "hits")
+    return lookup(found, records, "submission_id")
+
+
+def text_search(posts: DataFrame, query: str, lang: str, text: Column, n: int, since=None, until=None) -> DataFrame:
+    """S7 + F9 + O4: posts of one language that hold ``query``, from ``since`` on and before ``until``, the ``n`` newest."""
+    from tickvault.operators.selection import language, time_range, top_k
+    p = time_range(language(posts, lang).filter(F.lower(text).contains(F.lower(F.lit(query)))), "created_utc", before=until)
+    if since is not None:
+        p = p.filter(F.col("created_utc") >= F.lit(since).cast("timestamp_ntz"))
+    return top_k(p, n, [F.col("created_utc").desc()], key="submission_id")

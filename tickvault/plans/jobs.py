@@ -16,10 +16,12 @@ from tickvault.plans.oracle_ctes import COINS, HISTORY, META, POSTS, PRICES, TIC
 from tickvault.session import delete_path, scratch_path
 from tickvault.errors import logged
 from tickvault.sinks.merge import upsert
+from tickvault.sinks.quarantine import quarantine_batch
+from tickvault.sources.files import history_range
 
 TOP_N = 20
-SEARCH_RANK = 3
-SEARCH_LIMIT = 50
+SEARCH_LIMIT = 500
+VERSION = ["landed_at", "event_id"]      # columns that order several versions of a document, where present
 CORRECTION_FROM = "2024-01-10 00:00:00"
 STORED_UNTIL = "2024-01-20 00:00:00"
 
@@ -64,113 +66,126 @@ FROM meta m JOIN tick t ON m.id = t.id WHERE m.id IN (SELECT coin_id FROM uni)""
 # ---- K2 end to end ------------------------------------------------------------------------
 
 def upsert_latest(spark: SparkSession, d: str) -> DataFrame:
-    """K2: the price table holds ticks up to 01-20; a correction batch (prices doubled) for
-    01-10 on is merged in. Overlapping keys take the batch row; one row per key."""
-    rows = flatten.price_points(tb.price_ticks(spark, d))
+    """K2: the price table holds ticks up to 01-20; a correction batch (prices halved, and each tick
+    sent a second time as a later event at a quarter) for 01-10 on is merged in. Overlapping keys take the
+    batch's last version; one row per key."""
+    rows = flatten.price_points(tb.price_ticks(spark, d), carry=("event_id",))
     stored = rows.filter(F.col("read_timestamp") < F.lit(STORED_UNTIL).cast("timestamp_ntz"))
-    batch = rows.filter(F.col("read_timestamp") >= F.lit(CORRECTION_FROM).cast("timestamp_ntz")) \
-        .withColumn("price", F.col("price") * 2)
+    batch = rows.filter(F.col("read_timestamp") >= F.lit(CORRECTION_FROM).cast("timestamp_ntz"))
+    last = batch.withColumn("price", F.col("price") / 4).withColumn("event_id", F.col("event_id") * 2 + 1)
+    batch = batch.withColumn("price", F.col("price") / 2).withColumn("event_id", F.col("event_id") * 2).unionByName(last)
     path = scratch_path(spark, "prices")
-    upsert(stored, path, schemas.PRICE_KEY, schemas.PRICE_TABLE, schemas.PRICE_PARTITION)
-    upsert(batch, path, schemas.PRICE_KEY, schemas.PRICE_TABLE, schemas.PRICE_PARTITION)
+    for b in (stored, batch):
+        upsert(b, path, schemas.PRICE_KEY, schemas.PRICE_TABLE, schemas.PRICE_PARTITION, order=["event_id"])
     return read_table(spark, path, schemas.PRICE_TABLE)
 
 
 UPSERT_LATEST_SQL = with_(PRICES) + f""",
 cand AS (
-  SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap, 0 AS src FROM prices
+  SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap, 0 AS src, event_id FROM prices
   WHERE read_timestamp < TIMESTAMP '{STORED_UNTIL}'
   UNION ALL
-  SELECT coin_id, read_timestamp, date, hour, price * 2, volume_24h, market_cap, 1 AS src FROM prices
+  SELECT coin_id, read_timestamp, date, hour, price / 4, volume_24h, market_cap, 1 AS src, event_id FROM prices
   WHERE read_timestamp >= TIMESTAMP '{CORRECTION_FROM}')
 SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM (
-  SELECT *, row_number() OVER (PARTITION BY coin_id, read_timestamp
-                               ORDER BY src DESC, date DESC, hour DESC, price DESC, volume_24h DESC, market_cap DESC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY coin_id, read_timestamp ORDER BY src DESC, event_id DESC) AS rn
   FROM cand) WHERE rn = 1"""
 
 
 # ---- W3 ---------------------------------------------------------------------------------
 
+def _store(rows: DataFrame, path: str, quarantine: str, source: str, order: list[str]) -> None:
+    """Price rows with ``problem`` and ``payload`` -> price table and quarantine. Staged first, so both
+    sides see the same rows and the table may be one the rows were chosen by."""
+    spark = rows.sparkSession
+    stage = scratch_path(spark, source)
+    try:
+        rows.write.mode("overwrite").parquet(stage)
+        staged = spark.read.schema(rows.schema).parquet(stage)
+        upsert(staged.filter(F.col("problem").isNull()), path, schemas.PRICE_KEY, schemas.PRICE_TABLE,
+               schemas.PRICE_PARTITION, order=order)
+        quarantine_batch(staged.filter(F.col("problem").isNotNull()).select(F.col("problem").alias("reason"), "payload"), quarantine, source)
+    finally:
+        delete_path(spark, stage)
+
+
 @logged("jobs.refresh_prices")
 def refresh_prices(monitored_ids: DataFrame, tickers: DataFrame, path: str, quarantine: str) -> None:
     """F7 -> J5 (monitored coins x their landed tickers) -> P2 -> K2 into the price table;
-    tickers without a usable time or USD quote go to quarantine."""
-    spark = monitored_ids.sparkSession
-    ticks = tickers.join(monitored_ids.select(F.col("coin_id").alias("id")), "id", "left_semi")
-    rows = flatten.price_points(ticks).withColumn("problem", flatten.price_row_problem())
-    stage = scratch_path(spark, "refresh")
-    rows.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    upsert(staged.filter(F.col("problem").isNull()).drop("problem"), path, schemas.PRICE_KEY,
-           schemas.PRICE_TABLE, schemas.PRICE_PARTITION)
-    staged.filter(F.col("problem").isNotNull()).select(
-        F.lit("tickers").alias("source"), F.col("problem").alias("reason"),
-        F.to_json(F.struct("coin_id", "price")).alias("payload")).write.mode("append").parquet(quarantine)
-    delete_path(spark, stage)
+    tickers without a usable time or USD quote go to quarantine, as they came."""
+    order = [c for c in VERSION if c in tickers.columns]
+    ticks = tickers.join(monitored_ids.select(F.col("coin_id").alias("id")).distinct(), "id", "left_semi")
+    ticks = ticks.withColumn("payload", F.to_json(F.struct(*[c for c in tickers.columns if c not in VERSION])))
+    rows = flatten.price_points(ticks, carry=("payload", *order)).withColumn("problem", flatten.price_row_problem())
+    _store(rows, path, quarantine, "tickers", order)
+
+
+def monitored_coins(spark: SparkSession, d: str) -> DataFrame:
+    """F7 over the test tables: the monitored, active coins of the metadata table."""
+    docs = joins.merge_right_wins(tb.meta_docs(spark, d), tb.ticker_docs(spark, d), "id")
+    return selection.monitored(flatten.metadata_rows(docs)).filter("is_active").select("coin_id", "name", "symbol")
 
 
 def job_price_refresh(spark: SparkSession, d: str) -> DataFrame:
-    """W3 over the test tables: active coins' tick messages into a fresh price table."""
+    """W3 over the test tables: the monitored coins' tick messages into a fresh price table."""
     path, quarantine = scratch_path(spark, "prices"), scratch_path(spark, "quarantine")
-    monitored = tb.meta_docs(spark, d).filter(F.col("is_active")).select(F.col("id").alias("coin_id"))
-    refresh_prices(monitored, tb.price_ticks(spark, d), path, quarantine)
+    refresh_prices(monitored_coins(spark, d).select("coin_id"), tb.price_ticks(spark, d), path, quarantine)
     return read_table(spark, path, schemas.PRICE_TABLE)
 
 
-JOB_PRICE_REFRESH_SQL = with_(PRICES, META) + """
+JOB_PRICE_REFRESH_SQL = with_(PRICES, META, TICK) + """
 SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM (
-  SELECT *, row_number() OVER (PARTITION BY coin_id, read_timestamp
-                               ORDER BY date DESC, hour DESC, price DESC, volume_24h DESC, market_cap DESC) AS rn
-  FROM prices WHERE coin_id IN (SELECT id FROM meta WHERE is_active)) WHERE rn = 1"""
+  SELECT *, row_number() OVER (PARTITION BY coin_id, read_timestamp ORDER BY event_id DESC) AS rn
+  FROM prices WHERE coin_id IN (SELECT m.id FROM meta m JOIN tick t ON m.id = t.id WHERE m.is_active)) WHERE rn = 1"""
 
 
 # ---- W2 ---------------------------------------------------------------------------------
 
 @logged("jobs.backfill")
-def backfill(monitored_ids: DataFrame, history: DataFrame, path: str, quarantine: str) -> None:
-    """F7 -> J2 (coins without stored prices) -> S4 history of those -> P3 -> K2.
+def backfill(monitored_ids: DataFrame, history: DataFrame, path: str, quarantine: str,
+             start_date: str | None = None, interval: str | None = None) -> None:
+    """F7 -> J2 (coins without stored prices) -> S4 history of those from ``start_date`` on, one
+    point per ``interval`` (A4) -> P3 -> K2.
 
-    Points with a missing time (part of the key) go to quarantine instead of the table.
+    Points with a missing time (part of the key) go to quarantine instead of the table. "Missing" is
+    decided against the table as it is now (``_store`` stages the points before the table changes).
     """
-    spark = monitored_ids.sparkSession
     from tickvault.sources.files import read_or_empty
-    stored = read_or_empty(spark, path, schemas.PRICE_TABLE)
+    stored = read_or_empty(monitored_ids.sparkSession, path, schemas.PRICE_TABLE)
     missing = joins.missing_ids(monitored_ids, stored, "coin_id")
-    # "missing" must be decided against the table as it is now: stage the selected points before
-    # the table changes, then store and quarantine from the staged files
-    stage = scratch_path(spark, "backfill")
-    history.join(missing, "coin_id", "left_semi").withColumn("problem", flatten.price_row_problem()) \
-        .write.mode("overwrite").parquet(stage)
-    pts = spark.read.parquet(stage)
-    upsert(pts.filter(F.col("problem").isNull()).drop("problem"), path, schemas.PRICE_KEY,
-           schemas.PRICE_TABLE, schemas.PRICE_PARTITION)
-    pts.filter(F.col("problem").isNotNull()).select(
-        F.lit("history").alias("source"), F.col("problem").alias("reason"),
-        F.to_json(F.struct("coin_id", "price")).alias("payload")).write.mode("append").parquet(quarantine)
-    delete_path(spark, stage)
+    if "payload" not in history.columns:
+        history = history.withColumn("payload", F.to_json(F.struct("*")))
+    points = history_range(history.join(missing, "coin_id", "left_semi"), start_date, interval)
+    order = [c for c in VERSION if c in history.columns]
+    _store(points.withColumn("problem", flatten.price_row_problem()), path, quarantine, "history", order)
+
+
+START_DATE, INTERVAL = "1995-01-01", "1d"
 
 
 def job_backfill(spark: SparkSession, d: str) -> DataFrame:
     path, quarantine = scratch_path(spark, "prices"), scratch_path(spark, "quarantine")
-    upsert(flatten.price_points(tb.price_ticks(spark, d)), path, schemas.PRICE_KEY, schemas.PRICE_TABLE,
-           schemas.PRICE_PARTITION)
+    upsert(flatten.price_points(tb.price_ticks(spark, d), carry=("event_id",)), path, schemas.PRICE_KEY, schemas.PRICE_TABLE,
+           schemas.PRICE_PARTITION, order=["event_id"])
     docs = joins.merge_right_wins(tb.meta_docs(spark, d), tb.ticker_docs(spark, d), "id")
     monitored = selection.monitored(flatten.metadata_rows(docs), ["coin_id"])
-    backfill(monitored, flatten.historic_points(tb.history_docs(spark, d)), path, quarantine)
+    backfill(monitored, flatten.historic_points(tb.history_docs(spark, d), payload=True), path, quarantine, START_DATE, INTERVAL)
     return read_table(spark, path, schemas.PRICE_TABLE)
 
 
-JOB_BACKFILL_SQL = with_(PRICES, META, TICK, HISTORY) + """,
-existing AS (SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM prices),
+JOB_BACKFILL_SQL = with_(PRICES, META, TICK, HISTORY) + f""",
+existing AS (SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap, event_id FROM prices),
 missing AS (SELECT DISTINCT m.id FROM meta m JOIN tick t ON m.id = t.id
             WHERE m.id NOT IN (SELECT coin_id FROM existing)),
 hist AS (SELECT coin_id, read_timestamp, CAST(read_timestamp AS DATE) AS date,
-                CAST(hour(read_timestamp) AS INTEGER) AS hour, price, volume_24h, market_cap
-         FROM points WHERE coin_id IN (SELECT id FROM missing) AND read_timestamp IS NOT NULL),
+                CAST(hour(read_timestamp) AS INTEGER) AS hour, price, volume_24h, market_cap, 0 AS event_id
+         FROM (SELECT *, row_number() OVER (PARTITION BY coin_id, CAST(read_timestamp AS DATE)
+                                            ORDER BY read_timestamp DESC, price DESC, volume_24h DESC, market_cap DESC) AS last
+               FROM points WHERE coin_id IN (SELECT id FROM missing) AND read_timestamp >= TIMESTAMP '{START_DATE} 00:00:00')
+         WHERE last = 1),
 cand AS (SELECT * FROM existing UNION ALL SELECT * FROM hist)
 SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM (
-  SELECT *, row_number() OVER (PARTITION BY coin_id, read_timestamp
-                               ORDER BY date DESC, hour DESC, price DESC, volume_24h DESC, market_cap DESC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY coin_id, read_timestamp ORDER BY event_id DESC) AS rn
   FROM cand) WHERE rn = 1"""
 
 
@@ -178,23 +193,30 @@ SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM (
 
 @logged("jobs.load_posts")
 def load_posts(coins: DataFrame, posts: DataFrame, records: DataFrame, path: str,
-               limit: int = SEARCH_LIMIT, sort_type: str = search.SORT_TOP) -> None:
-    """Monitored coins -> keyword search (J3/O3) -> full records (J4) -> P4 -> K2 on
-    (coin_id, submission_id): a post found by both keywords of a coin is stored once (D9)."""
+               limit: int = SEARCH_LIMIT, sort_type: str = search.SORT_TOP, since=None, until=None) -> None:
+    """Monitored coins -> posts created after ``since`` and before ``until`` (F6) -> keyword search
+    (J3/O3) -> full records (J4) -> P4 -> K2 on (coin_id, submission_id): a post found by both keywords
+    of a coin is stored once (D9)."""
+    posts = selection.time_range(posts, "created_utc", after=since, before=until)
     hits = search.keyword_search(posts, coins, F.col("text"), limit, sort_type)
     found = hits.select("coin_id", "submission_id", "sort_type").dropDuplicates(["coin_id", "submission_id"])
     rows = joins.lookup(found, records.drop("coin_id", "sort_type"), "submission_id") \
         .withColumn("created_utc", times.parse_iso("created_utc")) \
         .withColumn("created_date", F.to_date("created_utc"))
-    upsert(rows, path, schemas.POST_KEY, schemas.POST_TABLE, schemas.POST_PARTITION)
+    upsert(rows, path, schemas.POST_KEY, schemas.POST_TABLE, schemas.POST_PARTITION,
+           order=[c for c in VERSION if c in records.columns])
+
+
+POSTS_SINCE, POSTS_UNTIL = "2024-01-03 00:00:00", "2024-02-01 00:00:00"
 
 
 def job_posts(spark: SparkSession, d: str) -> DataFrame:
+    """W4 over the test tables: the coins W1 monitors, posts of one month."""
     path = scratch_path(spark, "posts")
-    coins = selection.rank_range(tb.coins(spark, d), SEARCH_RANK)
+    coins = selection.universe(tb.coins(spark, d), TOP_N, distinct=True)
     records = flatten.submission_rows(tb.raw_posts(spark, d, with_labels=False), F.lit(None).cast("string"),
                                       search.SORT_TOP)
-    load_posts(coins, tb.posts(spark, d), records, path)
+    load_posts(coins, tb.posts(spark, d), records, path, since=POSTS_SINCE, until=POSTS_UNTIL)
     return read_table(spark, path, schemas.POST_TABLE).select(
         "coin_id", "submission_id", "title", "score", "num_comments", "created_utc", "subreddit", "author",
         "sort_type", "flair")
@@ -202,10 +224,13 @@ def job_posts(spark: SparkSession, d: str) -> DataFrame:
 
 JOB_POSTS_SQL = with_(COINS, POSTS) + f""",
 ck AS (SELECT coin_id, keyword, lower(keyword) AS kw FROM (
-         SELECT coin_id, unnest([name, symbol]) AS keyword FROM coins WHERE rank > 0 AND rank <= {SEARCH_RANK})
+         SELECT coin_id, unnest([name, symbol]) AS keyword FROM (
+           SELECT * FROM coins WHERE rank > 0 AND rank <= {TOP_N}
+           UNION (SELECT * FROM coins WHERE is_new AND is_active ORDER BY rank, coin_id LIMIT {TOP_N // 2})))
        WHERE keyword IS NOT NULL AND keyword <> ''),
 kws AS (SELECT DISTINCT kw FROM ck),
-pairs AS (SELECT p.submission_id, p.score, k.kw FROM posts p JOIN kws k ON contains(lower(p.text), k.kw)),
+pairs AS (SELECT p.submission_id, p.score, k.kw FROM posts p JOIN kws k ON contains(lower(p.text), k.kw)
+          WHERE p.created_utc > TIMESTAMP '{POSTS_SINCE}' AND p.created_utc < TIMESTAMP '{POSTS_UNTIL}'),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kw ORDER BY score DESC NULLS LAST, submission_id) AS rn
                         FROM pairs) WHERE rn <= {SEARCH_LIMIT}),
 found AS (SELECT DISTINCT c.coin_id, b.submission_id FROM best b JOIN ck c ON b.kw = c.kw)

@@ -38,7 +38,7 @@ tick AS (
   FROM last_order l JOIN order_stats s ON l.o_custkey = s.o_custkey)"""
 
 PRICES = """prices AS (
-  SELECT CAST(user_id AS VARCHAR) AS coin_id, date_trunc('second', ts) AS read_timestamp,
+  SELECT CAST(user_id AS VARCHAR) AS coin_id, ts AS read_timestamp,
          CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour, value AS price,
          value * CAST(json_extract(props, '$.k') AS BIGINT) AS volume_24h,
          CAST(json_extract(props, '$.k') AS DOUBLE) * 1000.0 AS market_cap,

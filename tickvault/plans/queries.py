@@ -21,9 +21,7 @@ ORACLE: dict[str, str] = {}
 
 # Fixed parameters of the query set.
 TOP_N = 20                 # coins per metadata load (top-n by rank plus n // 2 new ones)
-BIG_ORDER = 400000.0       # orders above this price stand for "stored price history"
-SEARCH_RANK = 3            # coins searched by keyword: rank 1..3
-SEARCH_LIMIT = 50          # posts per keyword
+SEARCH_LIMIT = 500         # posts per keyword (the source's default)
 SINCE_ANCHOR = "1999-01-01"
 SINCE_DAYS = 364
 
@@ -52,7 +50,7 @@ SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, value AS usd_p
 FROM events""")
 def nested_quote(spark, d):
     """M1 + B1: decode the props document; map lookup with a present and an absent currency."""
-    t = tb.price_ticks(spark, d).join(tb.table(spark, d, "events").select("event_id", "props"), "event_id")
+    t = tb.price_ticks(spark, d)
     return t.select("event_id", F.from_json("props", "k BIGINT").k.alias("k"),
                     quote_field("quotes", "price", "USD").alias("usd_price"),
                     quote_field("quotes", "price", "EUR").alias("eur_price"))
@@ -60,19 +58,23 @@ def nested_quote(spark, d):
 
 @query("iso_parse", """
 SELECT event_id,
-       CASE WHEN event_type = 'error' THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS iso_text,
-       CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('second', ts) END AS parsed,
+       CASE WHEN event_type = 'error' THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') END AS iso_text,
+       CASE WHEN event_type = 'error' THEN NULL ELSE ts END AS parsed,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS stripped,
-       date_trunc('second', ts) AS parsed_space
+       date_trunc('second', ts) AS parsed_space,
+       ts - INTERVAL 2 HOUR AS parsed_zone, CAST(NULL AS TIMESTAMP) AS parsed_junk
 FROM events""")
 def iso_parse(spark, d):
     """T1 + X1: ISO text (with an empty value) -> timestamp; 'T'/'Z' stripping."""
     e = tb.table(spark, d, "events")
-    iso = F.when(F.col("event_type") == "error", F.lit("")).otherwise(times.to_text("ts", times.ISO_Z))
+    full = times.to_text("ts", times.ISO_MICROS_Z)
+    iso = F.when(F.col("event_type") == "error", F.lit("")).otherwise(full)
     return e.select("event_id", iso.alias("iso_text"), times.to_text("ts", times.ISO_Z).alias("z"),
-                    times.to_text("ts", times.ISO_SPACE).alias("space")).select(
+                    times.to_text("ts", times.ISO_SPACE).alias("space"), full.alias("full")).select(
         "event_id", "iso_text", times.parse_iso("iso_text").alias("parsed"),
-        times.strip_iso("z").alias("stripped"), times.parse_iso("space").alias("parsed_space"))
+        times.strip_iso("z").alias("stripped"), times.parse_iso("space").alias("parsed_space"),
+        times.parse_iso(F.replace("full", F.lit("Z"), F.lit("+02:00"))).alias("parsed_zone"),
+        times.parse_iso(F.concat("full", F.lit(" x"))).alias("parsed_junk"))
 
 
 @query("epoch_iso", """
@@ -103,8 +105,8 @@ def resample_interval(spark, d):
 
 
 @query("ohlc_bars", with_(PRICES) + """
-SELECT coin_id, date_trunc('day', ts) AS bucket_start, arg_min(price, ts) AS open, max(price) AS high,
-       min(price) AS low, arg_max(price, ts) AS close, count(*) AS n_ticks
+SELECT coin_id, date_trunc('day', ts) AS bucket_start, first(price ORDER BY ts, event_id) AS open, max(price) AS high,
+       min(price) AS low, last(price ORDER BY ts, event_id) AS close, count(*) AS n_ticks
 FROM prices GROUP BY coin_id, date_trunc('day', ts)""")
 def ohlc_bars(spark, d):
     """§2.14: daily open/high/low/close per coin."""
@@ -114,7 +116,7 @@ def ohlc_bars(spark, d):
 
 
 @query("price_indicators", with_(PRICES) + """,
-bars AS (SELECT coin_id, date_trunc('day', ts) AS bucket_start, arg_max(price, ts) AS close
+bars AS (SELECT coin_id, date_trunc('day', ts) AS bucket_start, last(price ORDER BY ts, event_id) AS close
          FROM prices GROUP BY coin_id, date_trunc('day', ts))
 SELECT coin_id, bucket_start, close,
        lag(close) OVER w AS prev_close,
@@ -234,46 +236,40 @@ def active_coins(spark, d):
     return apply_filters(rows, {"is_monitored": True, "is_active": True}).select("coin_id", "name", "symbol")
 
 
-@query("missing_ids_anti", with_(META) + f"""
-SELECT DISTINCT id AS coin_id FROM meta
-WHERE id NOT IN (SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_totalprice > {BIG_ORDER})""")
+@query("missing_ids_anti", with_(META) + """
+SELECT DISTINCT id AS coin_id FROM meta WHERE id NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events)""")
 def missing_ids_anti(spark, d):
     """Coins without stored prices (anti join on distinct ids)."""
-    hist = tb.table(spark, d, "orders").filter(F.col("o_totalprice") > BIG_ORDER) \
-        .select(F.col("o_custkey").cast("string").alias("coin_id"))
+    hist = tb.table(spark, d, "events").select(F.col("user_id").cast("string").alias("coin_id"))
     active = tb.meta_docs(spark, d).select(F.col("id").alias("coin_id"))
     return joins.missing_ids(active, hist, "coin_id", "anti")
 
 
-@query("missing_ids_except", with_(META) + f"""
+@query("missing_ids_except", with_(META) + """
 SELECT id AS coin_id FROM meta
 EXCEPT
-SELECT CAST(o_custkey AS VARCHAR) FROM orders WHERE o_totalprice > {BIG_ORDER}""")
+SELECT CAST(user_id AS VARCHAR) FROM events""")
 def missing_ids_except(spark, d):
     """The same as a set difference."""
-    hist = tb.table(spark, d, "orders").filter(F.col("o_totalprice") > BIG_ORDER) \
-        .select(F.col("o_custkey").cast("string").alias("coin_id"))
+    hist = tb.table(spark, d, "events").select(F.col("user_id").cast("string").alias("coin_id"))
     active = tb.meta_docs(spark, d).select(F.col("id").alias("coin_id"))
     return joins.missing_ids(active, hist, "coin_id", "except")
 
 
-@query("distinct_ids", f"""
-SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS coin_id FROM orders WHERE o_totalprice > {BIG_ORDER}""")
+@query("distinct_ids", """
+SELECT DISTINCT CAST(user_id AS VARCHAR) AS coin_id FROM events""")
 def distinct_ids(spark, d):
     """A2."""
-    hist = tb.table(spark, d, "orders").filter(F.col("o_totalprice") > BIG_ORDER) \
-        .select(F.col("o_custkey").cast("string").alias("coin_id"))
+    hist = tb.table(spark, d, "events").select(F.col("user_id").cast("string").alias("coin_id"))
     return aggregate.distinct_ids(hist)
 
 
-@query("id_exists", with_(META) + f"""
+@query("id_exists", with_(META) + """
 SELECT m.id AS coin_id, coalesce(h.n, 0) AS n_rows, h.n IS NOT NULL AS exists_flag
-FROM meta m LEFT JOIN (SELECT CAST(o_custkey AS VARCHAR) AS coin_id, count(*) AS n FROM orders
-                       WHERE o_totalprice > {BIG_ORDER} GROUP BY 1) h ON m.id = h.coin_id""")
+FROM meta m LEFT JOIN (SELECT CAST(user_id AS VARCHAR) AS coin_id, count(*) AS n FROM events GROUP BY 1) h ON m.id = h.coin_id""")
 def id_exists(spark, d):
     """F8 for many ids at once: stored row count per coin (0 = absent)."""
-    hist = tb.table(spark, d, "orders").filter(F.col("o_totalprice") > BIG_ORDER) \
-        .select(F.col("o_custkey").cast("string").alias("coin_id"))
+    hist = tb.table(spark, d, "events").select(F.col("user_id").cast("string").alias("coin_id"))
     counts = hist.groupBy("coin_id").agg(F.count(F.lit(1)).alias("n"))
     m = tb.meta_docs(spark, d).select(F.col("id").alias("coin_id"))
     j = m.join(counts, "coin_id", "left")
@@ -356,25 +352,60 @@ def falsy_default(spark, d):
                     F.col("title").isNull().alias("title_was_null"), (F.col("title") == "").alias("title_was_empty"))
 
 
-@query("keyword_search_topk", with_(COINS, POSTS) + f""",
-ck AS (SELECT coin_id, keyword, lower(keyword) AS kw FROM (
-         SELECT coin_id, unnest([name, symbol]) AS keyword FROM coins WHERE rank > 0 AND rank <= {SEARCH_RANK})
+def _search_sql(order: str, sort_type: str, where: str = "TRUE") -> str:
+    return with_(COINS, POSTS) + f""",
+ck AS (SELECT coin_id, keyword, lower(keyword) AS kw FROM (SELECT coin_id, unnest([name, symbol]) AS keyword FROM coins)
        WHERE keyword IS NOT NULL AND keyword <> ''),
 kws AS (SELECT DISTINCT kw FROM ck),
 pairs AS (SELECT p.submission_id, p.score, p.created_utc, k.kw,
                  CAST(floor((length(lower(p.text)) - length(replace(lower(p.text), k.kw, ''))) / length(k.kw)) AS INTEGER) AS hits
-          FROM posts p JOIN kws k ON contains(lower(p.text), k.kw)),
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kw ORDER BY score DESC NULLS LAST, submission_id) AS rank
+          FROM posts p JOIN kws k ON contains(lower(p.text), k.kw) WHERE {where}),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kw ORDER BY {order}, submission_id) AS rank
                         FROM pairs) WHERE rank <= {SEARCH_LIMIT})
 SELECT c.coin_id, c.keyword, b.submission_id, b.score, b.created_utc, b.hits, CAST(b.rank AS INTEGER) AS rank,
-       'top' AS sort_type
-FROM best b JOIN ck c ON b.kw = c.kw""")
+       '{sort_type}' AS sort_type
+FROM best b JOIN ck c ON b.kw = c.kw"""
+
+
+def _keyword_search(spark, d, sort_type, subreddit="all"):
+    out = search.keyword_search(tb.posts(spark, d), tb.coins(spark, d), F.col("text"), SEARCH_LIMIT, sort_type, subreddit)
+    return out.select("coin_id", "keyword", "submission_id", "score", "created_utc", "hits", "rank", "sort_type")
+
+
+@query("keyword_search_topk", _search_sql("score DESC NULLS LAST", "top"))
 def keyword_search_topk(spark, d):
     """S5 + F5 + F10 + J3 + O3 + R1 + U4: posts per coin keyword, best ``limit`` by score."""
-    coins = selection.rank_range(tb.coins(spark, d), SEARCH_RANK)
-    posts = tb.posts(spark, d)
-    out = search.keyword_search(posts, coins, F.col("text"), SEARCH_LIMIT, search.SORT_TOP)
-    return out.select("coin_id", "keyword", "submission_id", "score", "created_utc", "hits", "rank", "sort_type")
+    return _keyword_search(spark, d, search.SORT_TOP)
+
+
+@query("keyword_search_hot", _search_sql("created_utc DESC NULLS LAST, score DESC NULLS LAST", "hot"))
+def keyword_search_hot(spark, d):
+    """O3, the source's default mode: the newest posts per keyword."""
+    return _keyword_search(spark, d, search.SORT_HOT)
+
+
+@query("keyword_search_relevance", _search_sql("hits DESC, score DESC NULLS LAST", "relevance", "p.subreddit = 'src0'"))
+def keyword_search_relevance(spark, d):
+    """O3 + F10: most occurrences first, in one community."""
+    return _keyword_search(spark, d, search.SORT_RELEVANCE, "src0")
+
+
+@query("search_and_fetch", with_(RAW_POSTS, POSTS) + """,
+hits AS (SELECT submission_id, CAST(floor((length(lower(text)) - length(replace(lower(text), 'ring', ''))) / 4) AS INTEGER) AS hits
+         FROM posts WHERE contains(lower(text), 'ring') AND created_utc > TIMESTAMP '2024-01-02 00:00:00'
+                      AND created_utc < TIMESTAMP '2024-03-01 00:00:00'
+         ORDER BY score DESC NULLS LAST, submission_id LIMIT 100)
+SELECT CAST(r.id AS VARCHAR) AS submission_id, h.hits, coalesce(nullif(r.title, ''), '') AS title, CAST(r.score AS INTEGER) AS score, r.url,
+       CAST(r.num_comments AS INTEGER) AS num_comments,
+       strftime(make_timestamp(CAST(r.created_utc AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS created_utc,
+       coalesce(nullif(r.selftext, ''), nullif(r.title, ''), '') AS selftext, r.subreddit, r.author, 'top' AS sort_type,
+       coalesce(nullif(r.link_flair_text, ''), '') AS flair
+FROM hits h JOIN raw_posts r ON h.submission_id = CAST(r.id AS VARCHAR)""")
+def search_and_fetch(spark, d):
+    """Query + time range + limit, then the full record of each post found."""
+    records = flatten.submission_rows(tb.raw_posts(spark, d), F.lit(None).cast("string"), search.SORT_TOP).drop("coin_id")
+    return search.search_and_fetch(tb.posts(spark, d), records, "ring", F.col("text"), 100,
+                                   after="2024-01-02 00:00:00", before="2024-03-01 00:00:00")
 
 
 @query("post_lookup", with_(POSTS) + """
@@ -401,17 +432,13 @@ def time_range_filter(spark, d):
 
 @query("lang_text_search", with_(POSTS) + """
 SELECT submission_id, created_utc, score FROM posts
-WHERE lang = 'en' AND contains(lower(text), 'market')
+WHERE lang = 'en' AND contains(lower(text), 'that')
   AND created_utc >= TIMESTAMP '2024-01-05 00:00:00' AND created_utc < TIMESTAMP '2024-03-01 00:00:00'
 ORDER BY created_utc DESC, submission_id LIMIT 100""")
 def lang_text_search(spark, d):
     """S7 + F9 + O4: query text, language, since/until, at most n results (newest first)."""
-    p = selection.language(tb.posts(spark, d), "en")
-    p = p.filter(F.lower("text").contains("market"))
-    p = selection.time_range(p, "created_utc", after=None, before="2024-03-01 00:00:00") \
-        .filter(F.col("created_utc") >= F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"))
-    return selection.top_k(p.select("submission_id", "created_utc", "score"), 100,
-                           [F.col("created_utc").desc()], key="submission_id")
+    return search.text_search(tb.posts(spark, d), "That", "en", F.col("text"), 100, since="2024-01-05 00:00:00",
+                              until="2024-03-01 00:00:00").select("submission_id", "created_utc", "score")
 
 
 @query("index_projection", with_(RAW_POSTS) + """
@@ -424,8 +451,7 @@ def index_projection(spark, d):
     """K6 + K8: the typed 8-field search-index row of each stored post."""
     raw = tb.raw_posts(spark, d)
     subs = flatten.submission_rows(raw, F.lit(None).cast("string"), search.SORT_TOP)
-    subs = subs.join(raw.select(F.col("id").cast("string").alias("submission_id"), "lang"), "submission_id")
-    return flatten.index_rows(subs, F.upper("lang"))
+    return flatten.index_rows(subs, F.upper("flair"))      # the flair holds the post's language
 
 
 @query("tweet_flatten", """
@@ -434,7 +460,7 @@ SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS tweet_id,
        text, role AS "user", CAST(conv_id AS VARCHAR) AS user_id, CAST(turn * 10 AS INTEGER) AS user_followers_count,
        role = 'assistant' AS user_verified, CAST(length(text) AS INTEGER) AS retweet_count,
        CAST(turn AS INTEGER) AS favorite_count,
-       array_to_string(string_split(text, ' ')[1:3], '|') AS hashtags, 'conv' AS coin, upper(role) AS symbol,
+       array_to_string(string_split(text, ' '), '|') AS hashtags, 'conv' AS coin, upper(role) AS symbol,
        'https://twitter.com/' || role || '/status/' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS tweet_url,
        'en' AS lang, turn > 0 AS is_retweet
 FROM conversations""")
@@ -481,6 +507,7 @@ def _register_late():
         ("job_price_refresh", jobs.job_price_refresh, jobs.JOB_PRICE_REFRESH_SQL),
         ("job_posts", jobs.job_posts, jobs.JOB_POSTS_SQL),
         ("stream_price_ingest", ingest.stream_price_ingest, ingest.STREAM_PRICE_SQL),
+        ("stream_quarantine", ingest.stream_quarantine, ingest.STREAM_QUARANTINE_SQL),
         ("stream_posts_ingest", ingest.stream_posts_ingest, ingest.STREAM_POSTS_SQL),
     ]:
         QUERIES[name] = fn

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickvault.functions import times
-from tickvault.sources.files import spread
 
 # Anchors of the derived time columns.
 POST_EPOCH_START = 1704067200          # 2024-01-01T00:00:00Z, first post; one post per hour of doc_id
@@ -18,8 +17,7 @@ META_START = "2010-01-01 00:00:00"     # started_at = META_START + c_custkey hou
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; a large one stored as a single split is spread over the cores."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def iso_z(ts: Column) -> Column:
@@ -107,9 +105,9 @@ def price_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (k * F.lit(1000.0)).alias("market_cap"))
     return e.select(
         F.col("user_id").cast("string").alias("id"),
-        iso_z(F.col("ts")).alias("last_updated"),
+        times.to_text(F.col("ts"), times.ISO_MICROS_Z).alias("last_updated"),
         F.create_map(F.lit("USD"), quote).alias("quotes"),
-        "event_id", "event_type",
+        "event_id", "event_type", "props",
     )
 
 
@@ -171,7 +169,7 @@ def raw_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     created = F.timestamp_add("MINUTE", F.col("turn"),
                              F.timestamp_add("HOUR", F.col("conv_id"), F.lit(META_START).cast("timestamp_ntz")))
-    words = F.slice(F.split("text", " "), 1, 3)
+    words = F.split("text", " ")
     return c.select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id_str"),
         created.alias("created_at"),

@@ -85,10 +85,19 @@ POST_KEY = ["coin_id", "submission_id"]
 # touch recent days, so a merge rewrites those days, not the whole post table
 POST_PARTITION = ["created_date"]
 
+INDEX_PARTITION = ["created_date"]
 INDEX_TABLE = _st(("coin_id", S), ("symbol", S), ("title", S), ("selftext", S), ("score", I),
                   ("num_comments", I), ("created_utc", TS), ("sentiment_score", F))
 
-QUARANTINE = _st(("source", S), ("reason", S), ("payload", S))
+# partitioned by source and run (a stream's query and epoch, or a batch's content)
+QUARANTINE = _st(("reason", S), ("payload", S), ("source", S), ("run", S))
+QUARANTINE_PARTITION = ["source", "run"]
+CORRUPT = "_corrupt"
+
+# the part of a ticker message that a price row needs; a field of another type fills CORRUPT
+PRICE_MESSAGE = _st(("id", S), ("last_updated", S),
+                    ("quotes", T.MapType(S, _st(("price", D), ("volume_24h", D), ("market_cap", D)))), (CORRUPT, S))
+POST_MESSAGE = T.StructType(SUBMISSION.fields + [T.StructField(CORRUPT, S)])
 
 # sink-side decimal types of the stores (the engine computes in DOUBLE)
 SQL_STORE_PRICE = T.DecimalType(20, 8)

@@ -100,3 +100,33 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def swap_in(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished folder ``new`` (on the same file system) in the place of ``path``: the old folder
+    is set aside, the new one renamed, then the old one deleted. At every moment one complete copy
+    exists; after a crash between the two renames ``restore_path`` puts the old one back."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    old = p.suffix(f".old-{uuid.uuid4().hex}")
+    if fs.exists(p) and not fs.rename(p, old):
+        raise OSError(f"cannot set aside {path}")
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(new), p):
+        fs.rename(old, p)
+        raise OSError(f"cannot rename {new} to {path}")
+    fs.delete(old, True)
+
+
+def restore_path(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` exist? A copy set aside by an interrupted ``swap_in`` is put back first."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        return True
+    found = fs.globStatus(p.suffix(".old-*"))
+    return bool(found) and len(found) > 0 and fs.rename(found[0].getPath(), p)

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickvault.sinks.ddl import quoted
+
 
 def cassandra_options(table: str, keyspace: str, host: str, port: int | str,
                       user: str | None = None, password: str | None = None) -> dict[str, str]:
@@ -47,24 +49,28 @@ def write_es(df: DataFrame, options: dict[str, str]) -> None:
 
 def upsert_index(docs: DataFrame, path: str, id_col: str = "submission_id") -> None:
     """K6 semantics without a search cluster: the typed 8-field index rows plus the document id,
-    merged by that id into a parquet table (a re-indexed document replaces the old one)."""
-    from pyspark.sql import types as T
+    merged by that id into a parquet table (a re-indexed document replaces the old one). The table is
+    partitioned by the day of ``created_utc`` (fixed by the id; null days share a partition), so a
+    changed document rewrites its day, not the index."""
+    from pyspark.sql import functions as F, types as T
     from tickvault import schemas
     from tickvault.sinks.merge import upsert
-    schema = T.StructType([T.StructField(id_col, T.StringType())] + list(schemas.INDEX_TABLE.fields))
-    upsert(docs, path, [id_col], schema)
+    day = T.StructField(schemas.INDEX_PARTITION[0], T.DateType())
+    schema = T.StructType([T.StructField(id_col, T.StringType())] + list(schemas.INDEX_TABLE.fields) + [day])
+    docs = docs.withColumn(day.name, F.coalesce(F.to_date("created_utc"), F.lit("1970-01-01").cast("date")))
+    upsert(docs, path, [id_col], schema, schemas.INDEX_PARTITION)
 
 
-def truncate(spark: SparkSession, table: str) -> None:
+def truncate(spark: SparkSession, table: str, database: str | None = None) -> None:
     """K9."""
-    spark.sql(f"TRUNCATE TABLE {table}")
+    spark.sql(f"TRUNCATE TABLE {quoted(table, database)}")
 
 
 def drop_tables(spark: SparkSession, table: str | None = None, database: str | None = None) -> list[str]:
     """Drop one table, or every table of the database; returns the dropped names."""
     names = [table] if table else [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
     for n in names:
-        spark.sql(f"DROP TABLE IF EXISTS {database + '.' if database and not table else ''}{n}")
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(n, database)}")
     return names
 
 

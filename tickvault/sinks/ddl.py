@@ -6,14 +6,21 @@ from pyspark.sql import SparkSession
 from tickvault import schemas
 
 
+def quoted(name: str, database: str | None = None) -> str:
+    """A table name as SQL identifiers. Without ``database`` a dotted name is taken apart at its dots."""
+    parts = [database, name] if database else name.split(".")
+    return ".".join(f"`{p.strip('`').replace('`', '``')}`" for p in parts)
+
+
 def create_table(spark: SparkSession, name: str, schema, location: str | None = None,
                  partition_cols: list[str] | None = None, fmt: str = "parquet") -> None:
     """``CREATE TABLE IF NOT EXISTS`` with the declared columns (create-if-missing, K8)."""
-    sql = f"CREATE TABLE IF NOT EXISTS {name} ({schemas.ddl(schema)}) USING {fmt}"
+    sql = f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({schemas.ddl(schema)}) USING {fmt}"
     if partition_cols:
-        sql += f" PARTITIONED BY ({', '.join(partition_cols)})"
+        sql += f" PARTITIONED BY ({', '.join(quoted(c) for c in partition_cols)})"
     if location:
-        sql += f" LOCATION '{location}'"
+        escaped = location.replace("\\", "\\\\").replace("'", "\\'")
+        sql += f" LOCATION '{escaped}'"
     spark.sql(sql)
 
 

@@ -1,19 +1,21 @@
 """Partition-keyed overwrite and key-merge upsert (K1, K2, K3, ST6).
 
-``upsert`` keeps one row per key in a partitioned parquet table:
-
-0. the batch is de-duplicated by key (``max_by``, pre-combined map-side) and staged as a parquet
-   table in the shared checkpoint folder - it is computed once; when none of its keys exist in
-   the partitions it touches (new ticks - the normal case), it is appended, nothing rewritten;
-1. otherwise read only the partitions the batch touches (``left_semi`` on the batch's partition
-   values -> dynamic partition pruning at the scan);
-2. keep the stored rows whose key is not in the batch (a left-anti join against the batch's keys,
-   broadcast when the batch is small - no shuffle of the stored partitions) and add the batch:
-   the table holds one row per key and the batch always wins, so this equals the full merge
-   ``merge_frames`` (stored tagged 0, batch 1, greatest version per key);
-3. stage the result in the shared checkpoint folder (cuts the lineage so a lost executor
-   recomputes from the staged files, never from a half-replaced target);
-4. dynamically overwrite exactly those partitions of the target from the staged copy.
+``upsert`` keeps one row per key in a parquet table:
+
+0. the batch is reduced to the last version of each key by ``order`` (the position of the message:
+   sequence, time, offset; ``max_by``, pre-combined map-side) and staged as a parquet table in the
+   shared checkpoint folder - it is computed once;
+1. the stored side is read with the batch's distinct partition values as literals in the filter
+   (``PartitionFilters``: only those folders are listed and scanned), or with their range and a
+   semi-join when they are many; when none of the batch's keys exist there (new ticks - the normal
+   case), the batch is appended and nothing rewritten;
+2. otherwise: stored rows whose key is not in the batch (a left-anti join against the batch's keys,
+   broadcast by size) plus the batch; the table holds one row per key and the batch always wins,
+   so this equals the full merge ``merge_frames``;
+3. the result is staged (cuts the lineage, so a lost executor recomputes from the staged files,
+   never from a half-replaced target);
+4. the touched partitions are dynamically overwritten from the staged copy; an unpartitioned table
+   is written beside the old one and swapped in (``session.swap_in``).
 
 Merging the same batch twice gives the same table (idempotent), which is what makes stream
 redelivery harmless. One writer per table is assumed; plain parquet has no atomic multi-partition
@@ -26,7 +28,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from tickvault.operators.topn import latest_per_key
-from tickvault.session import delete_path, path_exists, scratch_path
+from tickvault.session import delete_path, restore_path, scratch_path, swap_in
 from tickvault.sources.files import estimated_bytes
 
 SRC = "_tv_src"
@@ -43,11 +45,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: str | list[st
     if cols and not clustered:
         df = df.repartition(*cols)
     w = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if cols:
-        # tasks commit straight into Spark's own staging folder, which is swapped in per partition
-        # at job commit - one rename pass instead of two, same visibility guarantees
-        w = w.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy(*cols)
-    w.save(path)
+    (w.partitionBy(*cols) if cols else w).save(path)
 
 
 def merge_frames(existing: DataFrame, batch: DataFrame, key: list[str], order: list[str] | None = None) -> DataFrame:
@@ -57,18 +55,16 @@ def merge_frames(existing: DataFrame, batch: DataFrame, key: list[str], order: l
 
 
 WRITE_TASK_BYTES = 256 * 1024 * 1024
+MAX_LITERALS = 1000          # distinct partition values of a batch that become filter literals
 
 
 def _write_tasks(df: DataFrame) -> int:
-    """Write tasks for ``df``: one per ~256 MB of its estimated size, at least one per core,
-    at most ``spark.sql.shuffle.partitions`` (sized for the cluster by the deployment)."""
+    """Write tasks for ``df``: one per ~256 MB of its estimated size, at least one per core."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    cap = max(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
     size = estimated_bytes(df)
-    if size is None:  # pragma: no cover - statistics unavailable: use the cap
-        return cap
-    return max(cores, min(cap, -(-size // WRITE_TASK_BYTES)))
+    if size is None:  # pragma: no cover - statistics unavailable
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(spark.sparkContext.defaultParallelism, -(-size // WRITE_TASK_BYTES))
 
 
 def _layout(df: DataFrame, parts: list[str], key: list[str]) -> DataFrame:
@@ -103,51 +99,66 @@ def _overlaps(batch: DataFrame, stored: DataFrame, key: list[str]) -> bool:
     return bool(batch.select(*key).join(stored.select(*key), key, "left_semi").limit(1).count())
 
 
+def touched(stored: DataFrame, fresh: DataFrame, parts: list[str]) -> DataFrame:
+    """The stored partitions that ``fresh`` touches. Up to ``MAX_LITERALS`` distinct values become
+    literals in the filter, so the scan is pruned when it is planned; beyond that the range of the
+    first partition column prunes, and a semi-join does the rest."""
+    values = fresh.select(*parts).distinct()
+    some = values.limit(MAX_LITERALS + 1).collect()
+    if len(some) <= MAX_LITERALS:
+        for c in parts:
+            stored = stored.filter(F.col(c).isin(sorted({r[c] for r in some if r[c] is not None})))
+        return stored if len(parts) == 1 else stored.join(values, parts, "left_semi")
+    low, high = values.agg(F.min(parts[0]), F.max(parts[0])).first()
+    return stored.filter(F.col(parts[0]).between(low, high)).join(values, parts, "left_semi")
+
+
 def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
            partition_cols: list[str] | None = None, order: list[str] | None = None,
            stats: bool = False, insert_only: bool = True) -> dict | None:
-    """K2/K3: merge ``batch`` into the table at ``path`` by ``key``.
+    """K2/K3: merge ``batch`` into the table at ``path`` by ``key``; the last write wins.
 
-    ``partition_cols`` must be non-null functions of the key (e.g. ``date`` of
+    ``order``: columns of ``batch`` (they need not be stored) that say which of several versions of a
+    key came last. ``partition_cols`` must be non-null functions of the key (e.g. ``date`` of
     ``read_timestamp``), so a key never moves between partitions; callers quarantine rows
     without them. With ``stats`` it returns the written row count
     (observed during the write, no second pass) and whether it appended or merged.
     """
     spark = batch.sparkSession
     parts = list(partition_cols or [])
-    batch = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    exists = path_exists(spark, path)
-    # the batch is computed once: de-duplicated by key and staged as a table in the shared
-    # checkpoint folder, which also cuts its lineage (a lost executor re-reads these files)
-    stages = []
-    fresh = _stage(merge_frames(spark.createDataFrame([], schema), batch, key, order), schema, stages)
-    stored = spark.read.schema(schema).parquet(path).select(*schema.fieldNames()) if exists else None
-    if stored is not None and parts:
-        stored = stored.join(fresh.select(*parts).distinct(), parts, "left_semi")   # touched partitions only
-    append = stored is None or (insert_only and not _overlaps(fresh, stored, key))
-    if append:
-        # new keys only (the normal hourly case): write the batch, rewrite nothing
-        staged = fresh
-    else:
-        # the table holds one row per key and the batch always wins, so the merge is "stored rows
-        # whose key is not in the batch" + the batch: an anti join against the batch's keys (small,
-        # broadcast by size), not a re-aggregation of whole partitions. Staged before the overwrite
-        # replaces what it was read from.
-        staged = _stage(replace_keys(stored, fresh, key), schema, stages)
-    laid_out = _layout(staged, parts, key)
-    obs = None
-    if stats:
-        # A1: count the written rows on the way out (no second pass over the data)
-        obs = Observation(f"upsert_{uuid.uuid4().hex}")
-        laid_out = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if append:
-        w = laid_out.write.mode("append" if exists else "overwrite")
-        (w.partitionBy(*parts) if parts else w).parquet(path)
-    elif parts:
-        overwrite_partitions(laid_out, path, parts, clustered=True)
-    else:
-        laid_out.write.mode("overwrite").parquet(path)
-    out = {"rows": obs.get["rows"], "mode": "append" if append else "merge"} if stats else None
-    for st in stages:
-        delete_path(spark, st)
-    return out
+    names = schema.fieldNames()
+    position = [c for c in order or [] if c not in names]
+    batch = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *position)
+    exists = restore_path(spark, path)
+    stages: list[str] = []
+    try:
+        # the batch is computed once: de-duplicated by key and staged as a table in the shared
+        # checkpoint folder, which also cuts its lineage (a lost executor re-reads these files)
+        fresh = _stage(latest_per_key(batch, key, list(order or [])).select(*names), schema, stages)
+        stored = spark.read.schema(schema).parquet(path).select(*names) if exists else None
+        if stored is not None and parts:
+            stored = touched(stored, fresh, parts)
+        append = stored is None or (insert_only and not _overlaps(fresh, stored, key))
+        # new keys only (the normal hourly case): write the batch, rewrite nothing; else the merge is
+        # staged before the overwrite replaces what it was read from
+        staged = fresh if append else _stage(replace_keys(stored, fresh, key), schema, stages)
+        laid_out = _layout(staged, parts, key)
+        obs = None
+        if stats:
+            # A1: count the written rows on the way out (no second pass over the data)
+            obs = Observation(f"upsert_{uuid.uuid4().hex}")
+            laid_out = laid_out.observe(obs, F.count(F.lit(1)).alias("rows"))
+        if append:
+            w = laid_out.write.mode("append" if exists else "overwrite")
+            (w.partitionBy(*parts) if parts else w).parquet(path)
+        elif parts:
+            overwrite_partitions(laid_out, path, parts, clustered=True)
+        else:
+            new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+            stages.append(new)
+            laid_out.write.parquet(new)
+            swap_in(spark, new, path)
+        return {"rows": obs.get["rows"], "mode": "append" if append else "merge"} if stats else None
+    finally:
+        for st in stages:
+            delete_path(spark, st)

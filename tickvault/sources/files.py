@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tickvault import schemas
-from tickvault.session import path_exists
+from tickvault.session import restore_path
 
 
 def read_json_docs(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False,
@@ -45,17 +45,28 @@ def read_meta(spark: SparkSession, path: str, landed_at: bool = False) -> DataFr
     return read_json_docs(spark, path, schemas.META, multiline=True, landed_at=landed_at)
 
 
-def read_historic(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
-    """Landed history documents ``{coin_id, points:[...]}``, exploded to one row per point.
+def read_historic(spark: SparkSession, path: str, since: str | None = None, interval: str | None = None) -> DataFrame:
+    """Landed history documents ``{coin_id, points:[...]}``, exploded to one row per point, with
+    the raw point as ``payload``.
 
-    ``since`` keeps points at or after that date (the API's ``start``); applied after explode
-    on the parsed time so it is exact.
+    ``since`` and ``interval`` (the API's ``start`` and ``interval``) work as in ``history_range``.
     """
     from tickvault.operators.flatten import historic_points
-    pts = historic_points(read_json_docs(spark, path, schemas.HISTORIC_DOC))
+    return history_range(historic_points(read_json_docs(spark, path, schemas.HISTORIC_DOC), payload=True), since, interval)
+
+
+def history_range(points: DataFrame, since: str | None = None, interval: str | None = None) -> DataFrame:
+    """S4 + A4: points at or after ``since`` and, with ``interval`` ('1d', '12h', ...), the last of them
+    per coin and interval. Points without a usable time are kept, so that a job can quarantine them."""
+    bad = points.filter(F.col("read_timestamp").isNull())
+    good = points.filter(F.col("read_timestamp").isNotNull())
     if since is not None:
-        pts = pts.filter(F.col("read_timestamp") >= F.to_timestamp_ntz(F.lit(since)))
-    return pts
+        good = good.filter(F.col("read_timestamp") >= F.to_timestamp_ntz(F.lit(since)))
+    if interval is not None:
+        from tickvault.operators.aggregate import resample_last
+        rest = [c for c in points.columns if c not in ("coin_id", "read_timestamp")]
+        good = resample_last(good, "coin_id", "read_timestamp", rest, interval, tiebreak=[c for c in rest if c not in ("date", "hour")]).select(*points.columns)
+    return good.unionByName(bad)
 
 
 def apply_filters(df: DataFrame, filters: dict | None) -> DataFrame:
@@ -77,12 +88,12 @@ def load_table(spark: SparkSession, path: str, fmt: str = "parquet", columns: li
     if schema is not None:
         reader = reader.schema(schema)
     df = apply_filters(reader.load(path), filters)
-    return df.select(*columns) if columns else df
+    return select_columns(df, columns)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """A stored table, or an empty frame of its schema when the path does not exist yet."""
-    if path_exists(spark, path):
+    if restore_path(spark, path):
         return spark.read.format(fmt).schema(schema).load(path).select(*schema.fieldNames())
     return spark.createDataFrame([], schema)
 
@@ -92,9 +103,6 @@ def frame_from_records(spark: SparkSession, records, schema: T.StructType) -> Da
     return spark.createDataFrame(records, schema)
 
 
-SPREAD_MIN_BYTES = 1 << 20
-
-
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate (for a file scan: the file index Spark already listed)."""
     try:
@@ -104,18 +112,6 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-heavy per-row work (JSON, regex, text search) every core when a large input
-    arrives in fewer splits than cores (a single-row-group file). On a cluster reading many
-    files this is a no-op: the scan already has more partitions than there are cores."""
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    size = estimated_bytes(df)
-    if size is not None and size < SPREAD_MIN_BYTES:
-        return df
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def select_columns(df: DataFrame, columns: list[str | Column] | None) -> DataFrame:
     """P5: projection by list."""
     return df.select(*columns) if columns else df

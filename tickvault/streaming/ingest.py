@@ -11,13 +11,14 @@ from __future__ import annotations
 import logging
 import zlib
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from tickvault import schemas
 from tickvault.functions import times
 from tickvault.operators import flatten
 from tickvault.sinks.merge import upsert
+from tickvault.sinks.quarantine import write_quarantine
 from tickvault.session import scratch_path
 
 log = logging.getLogger("tickvault.streaming")
@@ -25,8 +26,13 @@ log = logging.getLogger("tickvault.streaming")
 MESSAGE = T.StructType([T.StructField("value", T.StringType())])
 
 
+ORDER = ["_seq", "_sent_at", "_part", "_offset"]     # position of a message, for the last write per key
+FILES_PER_TRIGGER = 1000                               # bound of one micro-batch (files, or offsets below)
+OFFSETS_PER_TRIGGER = 5_000_000
+
+
 def publish(df: DataFrame, target: str | dict, key=None) -> None:
-    """ST3/K7: one JSON message per row, to a Kafka topic (``target`` = Kafka sink options) or
+    """K7: one JSON message per row, to a Kafka topic (``target`` = Kafka sink options) or
     appended to a message folder (``target`` = path; the file transport used in tests)."""
     from tickvault.sources.kafka import json_value
     msgs = json_value(df, key)
@@ -36,103 +42,143 @@ def publish(df: DataFrame, target: str | dict, key=None) -> None:
         msgs.select("value").write.mode("append").text(target)
 
 
+def start_publisher(landed: DataFrame, target: str | dict, checkpoint: str, interval: str | None = None,
+                    key=None, epoch_column: str | None = None):
+    """ST3: publish a stream of landed documents on a processing-time trigger (3600 s in the source;
+    ``interval=None`` publishes what is there and stops). In a folder each micro-batch is its own
+    subfolder, replaced when the batch is repeated."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        if isinstance(target, dict):
+            publish(batch, target, key)
+        else:
+            from tickvault.sources.kafka import json_value
+            json_value(batch, key).select("value").write.mode("overwrite").text(f"{target.rstrip('/')}/epoch-{epoch:010d}")
+    w = landed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (w.trigger(processingTime=interval) if interval else w.trigger(availableNow=True)).start()
+
+
 def message_stream(spark: SparkSession, source: str | dict, max_per_trigger: int | None = None) -> DataFrame:
-    """Messages as a stream of ``value`` strings: from Kafka (``source`` = Kafka source options,
-    see ``sources.kafka.kafka_source_options``) or from a folder of JSON message files."""
+    """Messages as a stream of ``value`` strings with their position (``ORDER``): from Kafka
+    (``source`` = Kafka source options, see ``sources.kafka.kafka_source_options``) or from a folder
+    of JSON message files. A micro-batch is bounded by ``max_per_trigger`` offsets or files."""
     if isinstance(source, dict):
         from tickvault.sources.kafka import read_kafka_stream
-        opts = dict(source)
-        if max_per_trigger:
-            opts["maxOffsetsPerTrigger"] = str(max_per_trigger)
-        return read_kafka_stream(spark, opts).select("value")
-    r = spark.readStream.schema(MESSAGE)
-    if max_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_per_trigger)
-    return r.text(source)
+        opts = {"maxOffsetsPerTrigger": str(max_per_trigger or OFFSETS_PER_TRIGGER), **source}
+        m = read_kafka_stream(spark, opts)
+        return m.select("value", F.col("timestamp").alias("_sent_at"), F.col("partition").alias("_part"), F.col("offset").alias("_offset"))
+    m = (spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", max_per_trigger or FILES_PER_TRIGGER)
+         .option("recursiveFileLookup", "true").text(source))
+    return m.select("value", F.col("_metadata.file_modification_time").alias("_sent_at"), F.lit(0).alias("_part"),
+                    F.col("_metadata.file_block_start").alias("_offset"))
+
+
+def _sequence(payload: str) -> Column:
+    return F.get_json_object(F.col(payload), "$.event_id").try_cast("long")
+
+
+def _position(msgs: DataFrame, payload: str) -> list[Column]:
+    """The ORDER columns: the message's own sequence number (``event_id``) if it has one, then where
+    the transport put it. Missing ones are NULL, which sorts first."""
+    have = {c: F.col(c) for c in ORDER if c in msgs.columns}
+    return [_sequence(payload).alias("_seq"), *[have.get(c, F.lit(None).cast("timestamp" if c == "_sent_at" else "long")).alias(c) for c in ORDER[1:]]]
 
 
 def decode_prices(msgs: DataFrame) -> DataFrame:
-    """ST1 decode: ticker message -> price row + ``problem`` (NULL when storable) + raw payload.
+    """ST1 decode: ticker message -> price row + ``problem`` (NULL when storable) + raw payload + position.
 
-    M2: a message without a USD quote, with an empty ``last_updated`` or not JSON at all is not
-    an error that stops the stream; it gets a ``problem`` and goes to quarantine.
+    M2: a message without a USD quote, with an unusable ``last_updated``, with a field of the wrong type
+    or not JSON at all is not an error that stops the stream; it gets a ``problem`` and goes to
+    quarantine.
     """
-    doc = msgs.select(F.col("value").alias("payload"), F.from_json("value", schemas.TICKER).alias("t"))
-    q = F.try_element_at(F.col("t.quotes"), F.lit("USD"))
-    undecodable = F.col("t").isNull() | (F.to_json(F.col("t")) == F.lit("{}"))
-    out = doc.select("payload", undecodable.alias("_bad"),
+    options = {"columnNameOfCorruptRecord": schemas.CORRUPT}
+    doc = msgs.select(F.col("value").alias("payload"), F.from_json("value", schemas.PRICE_MESSAGE, options).alias("t"), *_position(msgs, "value"))
+    q = strict_quote(F.col("t.quotes"))
+    corrupt, empty = F.col(f"t.{schemas.CORRUPT}").isNotNull(), F.coalesce(F.col("t.id"), F.col("t.last_updated")).isNull() & F.col("t.quotes").isNull()
+    out = doc.select("payload", (F.col("t").isNull() | empty).alias("_bad"), corrupt.alias("_field"), *ORDER,
                      *flatten.price_rows_from(F.col("t.id"), F.col("t.last_updated"), q["price"],
                                               q["volume_24h"], q["market_cap"]))
     problem = (F.when(F.col("payload").isNull(), F.lit("null message"))
                 .when(F.col("_bad"), F.lit("not decodable"))
+                .when(F.col("_field"), F.lit("bad field"))
                 .otherwise(flatten.price_row_problem()))
-    return out.withColumn("problem", problem).drop("_bad")
+    return out.withColumn("problem", problem).drop("_bad", "_field")
 
 
-def write_quarantine(bad: DataFrame, path: str, epoch_id: int) -> None:
-    """Quarantine rows of one micro-batch under ``epoch=<batch id>``, replacing that partition:
-    a batch replayed after a failure rewrites its own rows instead of adding them again."""
-    (bad.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
+def strict_quote(quotes: Column, currency: str = "USD") -> Column:
+    """M2: the quote of a currency; NULL sends the message to quarantine."""
+    return F.try_element_at(quotes, F.lit(currency))
 
 
-def price_batch_writer(table_path: str, quarantine_path: str, partition_cols=None):
-    """foreachBatch body: storable rows -> key merge, the rest -> quarantine (per micro-batch)."""
+def price_batch_writer(table_path: str, quarantine_path: str, partition_cols=None, query: str = "prices"):
+    """foreachBatch body: storable rows -> key merge, the rest -> quarantine (per query and micro-batch)."""
     parts = schemas.PRICE_PARTITION if partition_cols is None else partition_cols
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
-            good = batch.filter(F.col("problem").isNull()).select(*schemas.PRICE_TABLE.fieldNames())
-            upsert(good, table_path, schemas.PRICE_KEY, schemas.PRICE_TABLE, parts)
-            bad = batch.filter(F.col("problem").isNotNull()).select(
-                F.lit("prices").alias("source"), F.col("problem").alias("reason"), "payload")
-            write_quarantine(bad, quarantine_path, epoch_id)
+            good = batch.filter(F.col("problem").isNull())
+            upsert(good, table_path, schemas.PRICE_KEY, schemas.PRICE_TABLE, parts, order=[c for c in ORDER if c in good.columns])
+            bad = batch.filter(F.col("problem").isNotNull()).select(F.col("problem").alias("reason"), "payload")
+            write_quarantine(bad, quarantine_path, "prices", f"{query}-{epoch_id:010d}")
         finally:
             batch.unpersist()
     return write
 
 
+def query_name(kind: str, table_path: str, checkpoint: str) -> str:
+    """Stable over restarts of one query (its checkpoint), different for any other."""
+    return f"{kind}_{zlib.crc32(table_path.encode()):08x}_{zlib.crc32(checkpoint.encode()):08x}"
+
+
 def start_price_stream(spark: SparkSession, source: str | dict, table_path: str, quarantine_path: str,
                        checkpoint: str, available_now: bool = True, interval: str | None = None,
-                       partition_cols=None, transform=None):
+                       partition_cols=None, transform=None, max_per_trigger: int | None = None):
     """ST1: start the price ingest query (``availableNow`` or a processing-time trigger).
 
     ``transform`` is the extension point (a ``DataFrame -> DataFrame`` applied with
     ``df.transform`` to the decoded rows before they are merged).
     """
-    rows = decode_prices(message_stream(spark, source))
+    rows = decode_prices(message_stream(spark, source, max_per_trigger))
     if transform is not None:
         rows = rows.transform(transform)
-    w = (rows.writeStream.foreachBatch(price_batch_writer(table_path, quarantine_path, partition_cols))
-             .option("checkpointLocation", checkpoint).queryName(f"prices_{zlib.crc32(table_path.encode())}"))
+    name = query_name("prices", table_path, checkpoint)
+    w = (rows.writeStream.foreachBatch(price_batch_writer(table_path, quarantine_path, partition_cols, name))
+             .option("checkpointLocation", checkpoint).queryName(name))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "3600 seconds")
     return w.start()
 
 
-def post_batch_writer(table_path: str, quarantine_path: str, transform=None):
+def decode_posts(msgs: DataFrame) -> DataFrame:
+    """ST2 decode: array messages -> one row per element with its raw text, position and ``problem``. An
+    element with a field of the wrong type is a problem, never a silent NULL."""
+    elements = F.from_json("payload", "array<string>")
+    dec = msgs.select("payload", elements.alias("m"), *_position(msgs, "payload"))
+    one = F.explode(F.when(F.col("m").isNotNull(), F.col("m")).otherwise(F.array(F.col("payload")))).alias("element")
+    rows = dec.select(F.col("m").isNull().alias("_junk"), *ORDER, one)
+    rows = rows.withColumn("_seq", F.coalesce(_sequence("element"), "_seq"))      # an element's own number, if it has one
+    s = F.from_json("element", schemas.POST_MESSAGE, {"columnNameOfCorruptRecord": schemas.CORRUPT})
+    rows = rows.select("_junk", *ORDER, F.col("element").alias("payload"), s.alias("s")).select("_junk", *ORDER, "payload", "s.*")
+    rows = rows.withColumn("created_utc", times.parse_iso("created_utc"))
+    rows = rows.withColumn("created_date", F.to_date("created_utc"))
+    problem = (F.when(F.col("_junk"), F.lit("not decodable")).when(F.col(schemas.CORRUPT).isNotNull(), F.lit("bad field"))
+                .when(F.col("coin_id").isNull() | F.col("submission_id").isNull(), F.lit("missing key"))
+                .when(F.col("created_utc").isNull(), F.lit("missing or bad created_utc")))
+    return rows.withColumn("problem", problem).drop("_junk", schemas.CORRUPT)
+
+
+def post_batch_writer(table_path: str, quarantine_path: str, transform=None, query: str = "posts"):
     """foreachBatch body: decode array messages, explode, optional ``transform``, key merge;
-    undecodable messages -> quarantine."""
+    what cannot be stored -> quarantine, as it came."""
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
-            dec = batch.select("payload", F.from_json("payload", schemas.SUBMISSION_MESSAGE).alias("m"))
-            rows = dec.filter(F.col("m").isNotNull()).select(F.explode("m").alias("s")).select("s.*")
-            rows = rows.withColumn("created_utc", times.parse_iso("created_utc"))
-            rows = rows.withColumn("created_date", F.to_date("created_utc"))
+            rows = decode_posts(batch)
+            good = rows.filter(F.col("problem").isNull()).drop("problem", "payload")
             if transform is not None:
-                rows = rows.transform(transform)
-            problem = (F.when(F.col("coin_id").isNull() | F.col("submission_id").isNull(), F.lit("missing key"))
-                        .when(F.col("created_utc").isNull(), F.lit("missing or bad created_utc")))
-            rows = rows.withColumn("problem", problem)
-            upsert(rows.filter(F.col("problem").isNull()).drop("problem"), table_path, schemas.POST_KEY,
-                   schemas.POST_TABLE, schemas.POST_PARTITION)
-            bad_rows = rows.filter(F.col("problem").isNotNull()).select(
-                F.lit("posts").alias("source"), F.col("problem").alias("reason"),
-                F.to_json(F.struct("coin_id", "submission_id", "title")).alias("payload"))
-            undecodable = dec.filter(F.col("m").isNull()).select(
-                F.lit("posts").alias("source"), F.lit("not decodable").alias("reason"), "payload")
-            write_quarantine(undecodable.unionByName(bad_rows), quarantine_path, epoch_id)
+                good = good.transform(transform)
+            upsert(good, table_path, schemas.POST_KEY, schemas.POST_TABLE, schemas.POST_PARTITION, order=[c for c in ORDER if c in good.columns])
+            bad = rows.filter(F.col("problem").isNotNull()).select(F.col("problem").alias("reason"), "payload")
+            write_quarantine(bad, quarantine_path, "posts", f"{query}-{epoch_id:010d}")
         finally:
             batch.unpersist()
     return write
@@ -140,11 +186,12 @@ def post_batch_writer(table_path: str, quarantine_path: str, transform=None):
 
 def start_post_stream(spark: SparkSession, source: str | dict, table_path: str, quarantine_path: str,
                       checkpoint: str, available_now: bool = True, interval: str | None = None,
-                      transform=None):
+                      transform=None, max_per_trigger: int | None = None):
     """ST2: array messages of posts -> key merge on (coin_id, submission_id)."""
-    msgs = message_stream(spark, source).select(F.col("value").alias("payload"))
-    w = (msgs.writeStream.foreachBatch(post_batch_writer(table_path, quarantine_path, transform))
-             .option("checkpointLocation", checkpoint).queryName(f"posts_{zlib.crc32(table_path.encode())}"))
+    msgs = message_stream(spark, source, max_per_trigger).withColumnRenamed("value", "payload")
+    name = query_name("posts", table_path, checkpoint)
+    w = (msgs.writeStream.foreachBatch(post_batch_writer(table_path, quarantine_path, transform, name))
+             .option("checkpointLocation", checkpoint).queryName(name))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval or "43200 seconds")
     return w.start()
 
@@ -169,18 +216,75 @@ class ErrorListener(StreamingQueryListener):
 
 # ---- registered stream queries (run over the test tables) --------------------------------
 
-def stream_price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST1 + ST3 + ST5 + ST6: events published as ticker messages (error events carry an empty
-    ``last_updated`` and are quarantined), streamed with ``availableNow`` into the price table.
-    Every message is delivered twice; the table is the same as after one delivery."""
+def _price_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as ticker messages: error events have an empty time, signups no USD quote, clicks a price
+    that is no number; a purchase is followed by a correction of half the price (a later event)."""
+    from tickvault.plans import tables as tb
+    t = tb.price_ticks(spark, sf_dir)
+    sent = t.select("id", F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("last_updated")).alias("last_updated"),
+                    F.transform_keys("quotes", lambda k, v: F.when(F.col("event_type") == "signup", F.lit("EUR")).otherwise(k)).alias("quotes"),
+                    (F.col("event_id") * 2).alias("event_id"))
+    later = t.filter("event_type = 'purchase'").select("id", "last_updated", F.transform_values(
+        "quotes", lambda k, v: F.struct((v["price"] / 2).alias("price"), v["volume_24h"].alias("volume_24h"), v["market_cap"].alias("market_cap"))).alias("quotes"),
+        (F.col("event_id") * 2 + 1).alias("event_id"))
+    return sent.unionByName(later)
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """ST7: the price and the post stream side by side on one quarantine; every price message is
+    delivered twice. Returns the price table, the post table and the quarantine."""
     from tickvault.plans import tables as tb
-    ticks = tb.price_ticks(spark, sf_dir)
-    msgs = ticks.select(
-        "id", F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("last_updated")).alias("last_updated"),
-        "quotes", "event_id")
+    from tickvault.operators.search import SORT_TOP
+    from tickvault.streaming.messages import array_messages
+    topic, posts, table, post_table, quarantine, c1, c2 = (scratch_path(spark, k) for k in (
+        "topic", "post-topic", "table", "post-table", "quarantine", "ckpt", "post-ckpt"))
+    events = tb.table(spark, sf_dir, "events").filter("event_type = 'click'")
+    broken = events.select(F.concat(F.lit('{"event_id": '), (F.col("event_id") * 2).cast("string"), F.lit(', "id": "'), F.col("user_id").cast("string"),
+                                    F.lit('", "quotes": {"USD": {"price": "n/a"}}}')).alias("value"))
+    messages = _price_messages(spark, sf_dir)
+    for _ in range(2):
+        publish(messages, topic)
+        broken.write.mode("append").text(topic)
+    raw = tb.raw_posts(spark, sf_dir, with_labels=True)
+    subs = flatten.submission_rows(raw, F.col("subreddit"), SORT_TOP).withColumn("_ord", F.col("submission_id").cast("long"))
+    toxic = tb.table(spark, sf_dir, "labels").filter("toxic = 1").select(F.col("doc_id").cast("string").alias("submission_id"))
+    for part in (subs.join(toxic, "submission_id", "left_anti"), subs.join(toxic, "submission_id", "left_semi").withColumn("score", F.lit("n/a"))):
+        array_messages(part, ["coin_id"], "_ord", 8, payload_cols=subs.drop("_ord").columns).write.mode("append").text(posts)
+    q1 = start_price_stream(spark, topic, table, quarantine, c1)
+    q2 = start_post_stream(spark, posts, post_table, quarantine, c2)
+    q1.awaitTermination()
+    q2.awaitTermination()
+    return table, post_table, quarantine
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST5 + ST7: what two streams side by side could not store, with the id of the raw message."""
+    _, _, quarantine = _streamed(spark, sf_dir)
+    rows = spark.read.schema(schemas.QUARANTINE).parquet(quarantine)
+    ref = F.coalesce(F.get_json_object("payload", "$.event_id"), F.get_json_object("payload", "$.submission_id"))
+    return rows.select("source", "reason", ref.alias("ref"), F.get_json_object("payload", "$.score").alias("score"))
+
+
+STREAM_QUARANTINE_SQL = """
+WITH e AS (SELECT event_type, CAST(event_id * 2 AS VARCHAR) AS ref FROM events),
+twice AS (SELECT unnest([1, 2]) AS n)
+SELECT 'prices' AS source,
+       CASE event_type WHEN 'error' THEN 'missing or bad last_updated' WHEN 'signup' THEN 'missing USD quote' ELSE 'bad field' END AS reason,
+       ref, CAST(NULL AS VARCHAR) AS score
+FROM e, twice WHERE event_type IN ('error', 'signup', 'click')
+UNION ALL
+SELECT 'posts', 'bad field', CAST(d.doc_id AS VARCHAR), 'n/a'
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.toxic = 1"""
+
+
+def stream_price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1 + ST3 + ST6: events published as ticker messages and streamed with ``availableNow`` into
+    the price table. Every message is delivered twice, and a purchase has a later correction to a lower
+    price: the table holds the last version of each key, as after one delivery."""
     folder, table, quarantine, ckpt = (scratch_path(spark, k) for k in ("topic", "table", "quarantine", "ckpt"))
-    publish(msgs.drop("event_id"), folder)
-    publish(msgs.drop("event_id"), folder)          # every message is delivered twice
+    messages = _price_messages(spark, sf_dir)
+    publish(messages, folder)
+    publish(messages, folder)                       # every message is delivered twice
     q = start_price_stream(spark, folder, table, quarantine, ckpt)
     q.awaitTermination()
     return spark.read.schema(schemas.PRICE_TABLE).parquet(table).select(*schemas.PRICE_TABLE.fieldNames())
@@ -188,14 +292,14 @@ def stream_price_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 STREAM_PRICE_SQL = """
 WITH p AS (
-  SELECT CAST(user_id AS VARCHAR) AS coin_id, date_trunc('second', ts) AS read_timestamp,
-         CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour, value AS price,
+  SELECT CAST(user_id AS VARCHAR) AS coin_id, ts AS read_timestamp,
+         CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour,
+         CASE WHEN event_type = 'purchase' THEN value / 2 ELSE value END AS price,
          value * CAST(json_extract(props, '$.k') AS BIGINT) AS volume_24h,
-         CAST(json_extract(props, '$.k') AS DOUBLE) * 1000.0 AS market_cap
-  FROM events WHERE event_type <> 'error')
+         CAST(json_extract(props, '$.k') AS DOUBLE) * 1000.0 AS market_cap, event_id
+  FROM events WHERE event_type NOT IN ('error', 'signup'))
 SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM (
-  SELECT *, row_number() OVER (PARTITION BY coin_id, read_timestamp
-                               ORDER BY date DESC, hour DESC, price DESC, volume_24h DESC, market_cap DESC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY coin_id, read_timestamp ORDER BY event_id DESC) AS rn
   FROM p) WHERE rn = 1"""
 
 

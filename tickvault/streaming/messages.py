@@ -3,6 +3,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tickvault.functions.nested import decode
+
 
 def array_messages(df: DataFrame, group_cols: list[str], ordinal: str, max_items: int,
                    payload_cols: list[str] | None = None) -> DataFrame:
@@ -20,18 +22,11 @@ def array_messages(df: DataFrame, group_cols: list[str], ordinal: str, max_items
 
 def decode_messages(msgs: DataFrame, schema, value: str = "value") -> DataFrame:
     """B1: ``value`` -> ``msg`` (NULL when the text is not JSON of that shape), raw text kept."""
-    return msgs.select(F.col(value).alias("payload"), F.from_json(F.col(value), schema).alias("msg"))
+    return msgs.select(F.col(value).alias("payload"), decode(value, schema).alias("msg"))
 
 
 def explode_messages(msgs: DataFrame, schema, value: str = "value") -> DataFrame:
-    """ST2: each element of an array message becomes a row. Undecodable messages are dropped
-    here - ``bad_messages`` returns them for the quarantine sink."""
+    """B1: each element of an array message becomes a row (the post stream, which must lose nothing,
+    uses ``ingest.decode_posts``)."""
     d = decode_messages(msgs, schema, value)
     return d.filter(F.col("msg").isNotNull()).select(F.explode("msg").alias("e")).select("e.*")
-
-
-def bad_messages(msgs: DataFrame, schema, source: str, value: str = "value") -> DataFrame:
-    """ST5: messages that do not decode, as quarantine rows (source, reason, payload)."""
-    d = decode_messages(msgs, schema, value)
-    return d.filter(F.col("msg").isNull()).select(F.lit(source).alias("source"),
-                                                 F.lit("not decodable").alias("reason"), "payload")
