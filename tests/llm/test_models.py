@@ -214,8 +214,9 @@ def test_near_duplicate_classes_equal_brute_force(spark, docs, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     expected = brute.near_classes(rows)
     sizes = collections.Counter(expected.values())
-    for many in (neardup.MANY_PAIRS, 0):                       # directly, and after star rounds
-        monkeypatch.setattr(neardup, "MANY_PAIRS", many)
+    for large, rare in ((neardup.LARGE_BUCKET, neardup.RARE), (2, 3), (10**9, 1)):      # bounds as they are, everywhere, nowhere
+        monkeypatch.setattr(neardup, "LARGE_BUCKET", large)
+        monkeypatch.setattr(neardup, "RARE", rare)
         got = neardup.near_duplicates(df).collect()
         assert {r.doc_id: r.class_id for r in got} == expected and all(r.class_size == sizes[r.class_id] for r in got)
     kept = neardup.keep_one(df)

@@ -207,3 +207,16 @@ def test_chat_without_quotes_keeps_every_turn_in_order(spark):
     assert len(rows) == len(given)
     assert all(r.depth == r.position for r in rows)
     assert {(r.conv_id, r.turn, r.body) for r in rows} == {(r.conv_id, r.turn, r.text.strip()) for r in given}
+
+
+def test_chat_sql_says_the_same(spark):
+    import duckdb
+
+    from tickvault.llm.oracles import CHAT
+    m = [(1, 0, "user", "Hello there, how do I sort a list?\nSecond question: what is a tuple?"), (1, 1, "assistant", "Use sorted().\nA tuple is immutable."),
+         (1, 2, "user", "> Use  SORTED().\nThanks, and in reverse?"), (1, 3, "bot", "On Monday Bob wrote:\n> Second question: what is a tuple?\nIt is like a list."),
+         (1, 4, "user", ">> Use sorted().\n> Thanks, and in reverse?\n\nreverse=True"), (2, 5, "user", ""), (2, 9, "user", "> said later"), (2, 11, "user", "said later")]
+    df = spark.createDataFrame(m, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    con.register("conversations", df.toPandas())
+    assert sorted(con.execute(CHAT).fetchall()) == sorted(tuple(r) for r in chat.reply_ordered(df).collect())

@@ -124,7 +124,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, spent: list[str] | None
 
 def leaked_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per leaking document row and item: doc_id, item_id and the evidence."""
-    leaks = stage(contaminated(docs, benchmark), "bench-leaks")
+    spent: list[str] = []
+    leaks = stage(contaminated(docs, benchmark, spent), "bench-leaks")
+    drop_stages(docs.sparkSession, spent)
     at = docs.select("doc_id", text_key(F.col("text")).alias("text_key"))
     ids = F.when(F.col("null_id"), F.concat("item_ids", F.array(F.lit(None).cast("long")))).otherwise(F.col("item_ids"))
     return (at.join(leaks, "text_key").select("doc_id", F.explode(ids).alias("item_id"), "n_tokens", "covered", "longest", "n_slots", "n_changed"))

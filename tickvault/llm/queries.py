@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickvault.llm import oracles
 from tickvault.llm.common import table
 
 
@@ -91,5 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat": op10_chat,
 }
 
-#: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+#: DuckDB SQL of the queries that SQL can express. The others train, iterate or choose by statistics over
+#: regular expressions that SQL engines lack; tests/llm compares them with brute-force versions.
+ORACLES: dict[str, str] = {
+    "op10_chat": oracles.CHAT,
+}

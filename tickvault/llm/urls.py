@@ -88,11 +88,11 @@ def template_verdicts(urls: DataFrame, labelled: DataFrame, threshold: float = T
     marks = labelled.filter("bad IS NOT NULL").select("host", path_shape(F.col("path")).alias("shape"), F.lit(0), F.lit(1), F.col("bad").cast("int"))
     shapes = seen.union(marks).groupBy("host", "shape").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
     parts = F.split(F.col("shape"), "/", MAX_DEPTH + 1)                # the last part keeps deeper segments
+    spent: list[str] = []
     tree = stage(shapes.withColumn("segments", F.when(F.col("shape") == "", F.expr("CAST(array() AS array<string>)"))
-                                   .otherwise(F.slice(parts, F.lit(2), F.lit(MAX_DEPTH)))).withColumn("template", F.lit("")), "url-shapes")
+                                   .otherwise(F.slice(parts, F.lit(2), F.lit(MAX_DEPTH)))).withColumn("template", F.lit("")), "url-shapes", spent)
     for d in range(MAX_DEPTH):
         tree = _level(tree, d)
-    spent: list[str] = []
     tree = stage(tree, "url-templates", spent)
     total = tree.agg((F.sum("bad") / F.greatest(F.sum("labelled"), F.lit(1))).alias("global_rate"))
     rate = lambda bad, n, prior: (F.sum(bad) + PRIOR_WEIGHT * prior) / (F.sum(n) + PRIOR_WEIGHT)
