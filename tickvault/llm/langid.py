@@ -32,6 +32,8 @@ ship(__name__)
 
 BUCKETS, DIM, MAX_GRAM = 1 << 16, 12, 4
 SAMPLE_PER_LANG, SEGMENTS, SEGMENT_CHARS = 400, 4, 240
+#: Languages learnt, the most frequent first (the model holds a column for each).
+MAX_LANGS = 1000
 EPOCHS, BATCH, RATE, REJECT_ALPHA = 6, 32, 0.6, 0.001
 #: Code points scored at once, so memory does not depend on a text's length.
 CHUNK = 1 << 18
@@ -180,9 +182,9 @@ def fit(docs: DataFrame) -> Model:
     """Train on documents (doc_id, text, lang) that are not held out. What reaches the driver is
     bounded by the sample parameters: sparse buckets of the segments, never texts."""
     usable = docs.filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    sample = (usable.select("doc_id", "lang", "text", draw.alias("draw")).join(sizes, "lang")
+    sample = (usable.select("doc_id", "lang", "text", draw.alias("draw")).join(F.broadcast(sizes), "lang")   # MAX_LANGS rows
               .filter(F.col("draw") * F.col("n") < SAMPLE_PER_LANG).select("lang", "draw", "doc_id", "text"))
 
     letters = letter_table()
