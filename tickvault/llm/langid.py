@@ -9,7 +9,7 @@ tasks get: ``BUCKETS`` x languages floats, whatever the corpus size. Every text
 
 Calibration: a fifth of the sampled documents is kept out of training; on their segments the softmax
 temperature is fitted, and the rejection threshold is the conformal quantile below which at most
-``REJECT_ALPHA`` of correctly classified segments score.
+``REJECT_ALPHA`` of correctly classified segments score (``REJECT_BELOW`` at most).
 
 Null texts and texts without a letter: ``und``, score 0, rejected. No training rows: all ``und``.
 Null languages are never learnt. Repeated rows are predicted alike.
@@ -35,6 +35,9 @@ SAMPLE_PER_LANG, SEGMENTS, SEGMENT_CHARS = 400, 4, 240
 #: Languages learnt, the most frequent first (the model holds a column for each).
 MAX_LANGS = 1000
 EPOCHS, BATCH, RATE, REJECT_ALPHA = 6, 32, 0.6, 0.001
+#: The threshold is never higher than this, so texts in two languages, whose best one has about half of
+#: the probability, are kept.
+REJECT_BELOW = 0.4
 #: Code points scored at once, so memory does not depend on a text's length.
 CHUNK = 1 << 18
 UNKNOWN = "und"
@@ -170,7 +173,8 @@ def train(lang: list[str], segments: list[np.ndarray], calibration: np.ndarray,
         p = model.probabilities(sums, n)
         right = np.sort(p.max(axis=1)[p.argmax(axis=1) == y[held]])
         k = int(REJECT_ALPHA * (len(right) + 1))                          # conformal: at most this share scores below
-        model.threshold = float(right[k - 1]) if k >= 1 else float(right[0] if len(right) else 0.0) * 0.9
+        quantile = float(right[k - 1]) if k >= 1 else float(right[0] if len(right) else 0.0) * 0.9
+        model.threshold = min(quantile, REJECT_BELOW)
     return model
 
 
