@@ -13,11 +13,15 @@ multisets is ``SIMILARITY`` or more, and classes are the connected components of
   registers x elements.
 * Candidates: ``BANDS`` bands of ``ROWS`` registers, one hash each (a pair at 0.8 shares a band with
   probability 0.9999). Equal texts are one node from the start.
-* Verification: in each band bucket all nodes are compared with one node of it, exactly (multiset
-  overlap of the whole texts); confirmed pairs give classes. Pairs of nodes of one class need no
-  further look, so after that only pairs across classes in a bucket are left; star rounds with other
-  centres shrink them while they are many, and then every one of them is compared. So no
-  candidate link is lost and the pairs made follow the number of texts, not the square of a group.
+* Verification (exact multiset overlap of the whole texts) first compares all nodes of a bucket with one
+  centre, and all nodes that share a rare shingle with one of them; confirmed pairs give classes.
+  Pairs of nodes of one class need no further look. Of the pairs across classes in a bucket, every one
+  that can reach the threshold is then compared: in large buckets a shingle is rare if at most ``RARE``
+  of their nodes have it, two nodes without a common rare shingle overlap in at most
+  ``total - rare`` of either, and nodes with a common one are few and found by a join on it. The node
+  of the smallest rare share is also the best centre: it is the text that the others were edited from.
+  So no candidate link is lost, and the pairs made follow the number of texts, not the square of a
+  group.
 
 Null text counts as empty; empty texts (and texts of white space only) are copies of each other only
 if equal. Rows with equal ids or null ids are rows of their own. Empty table: empty result.
@@ -41,7 +45,8 @@ REGISTERS = BANDS * ROWS
 #: Words of texts put through numpy together (a longer text is a batch of its own).
 BATCH_WORDS = 1 << 16
 CHUNK_BYTES = 1 << 20
-STAR_ROUNDS, MANY_PAIRS = 4, 4
+#: Buckets of so many nodes are pruned by rare shingles, those that at most RARE of their nodes have.
+LARGE_BUCKET, RARE = 16, 8
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
 _P_INVERSE = pow(_P, -1, 1 << 64)
@@ -173,7 +178,7 @@ def node_of(text: Column) -> Column:
 
 
 def _signed(rows: DataFrame) -> DataFrame:
-    """(node, bands) of rows (node, text); texts without words have no bands."""
+    """(node, total, bands) of rows (node, text): shingles and band hashes; texts without words have none."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             nodes, bags, words = [], [], 0
@@ -185,9 +190,28 @@ def _signed(rows: DataFrame) -> DataFrame:
                     bags.append(bag)
                     words += len(bag[0])
                 if bags and (words >= BATCH_WORDS or i == last):
-                    yield pd.DataFrame({"node": nodes, "bands": list(band_hashes(signatures(bags)))})
+                    yield pd.DataFrame({"node": nodes, "total": [int(b[1].sum()) for b in bags], "bands": list(band_hashes(signatures(bags)))})
                     nodes, bags, words = [], [], 0
-    return rows.select("node", "text").mapInPandas(run, "node binary, bands array<bigint>")
+    return rows.select("node", "text").mapInPandas(run, "node binary, total long, bands array<bigint>")
+
+
+def _rare(texts: DataFrame, spent: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Of the shingles that at most RARE of these texts have: (node, rare), their number in each text, and
+    (node, shingle), those that two or more texts share."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for node, text in zip(pdf["node"], pdf["text"]):
+                h, n = shingles(text)
+                high, low = np.frombuffer(node, ">i8")
+                yield pd.DataFrame({"high": np.full(len(h), high, np.int64), "low": np.full(len(h), low, np.int64), "shingle": h.view(np.int64), "n": n})
+    node = F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in ("high", "low")])).alias("node")
+    each = stage(texts.select("node", "text").mapInPandas(run, "high long, low long, shingle long, n long"), "dup-shingles", spent)
+    few = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), *[F.min(c).alias(c) for c in ("high", "low", "n")]).filter(F.col("df") <= RARE)
+    few = stage(few, "dup-few", spent)
+    # the owner of a shingle that only one text has is known; only shared ones are joined back
+    shared = stage(each.join(few.filter("df > 1").select("shingle").hint("merge"), "shingle").select(node, "shingle", "n"), "dup-rare", spent)
+    weight = few.filter("df = 1").select(node, "n").union(shared.select("node", "n")).groupBy("node").agg(F.sum("n").alias("rare"))
+    return weight, shared.select("node", "shingle")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -212,64 +236,75 @@ def components(edges: DataFrame, spent: list[str]) -> DataFrame:
     itself and its neighbours, and the edges move to the hooks; node ids are hashes, so that a round
     removes a constant share of the nodes and a few rounds suffice, whatever the shape."""
     edges = stage(edges.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cc-edges", spent)
-    hooks = []
-    while edges.limit(1).count():
+    out = None
+    while not edges.isEmpty():
         ends = edges.union(edges.select("b", "a"))
         hook = stage(ends.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("up")), "cc-hooks", spent)
-        hooks.append(hook)
         moved = (edges.join(hook.select(F.col("node").alias("a"), F.col("up").alias("ua")), "a")
                  .join(hook.select(F.col("node").alias("b"), F.col("up").alias("ub")), "b").filter("ua != ub"))
         edges = stage(moved.select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct(), "cc-edges", spent)
-    if not hooks:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    out = hooks[0].select("node", F.col("up").alias("root"))
-    for hook in hooks[1:]:
-        out = (out.join(hook.select(F.col("node").alias("root"), F.col("up").alias("__up")), "root", "left")
-               .select("node", F.coalesce("__up", "root").alias("root")))
-    return out
-
-
-def _classes(members: DataFrame, texts: DataFrame, threshold: float, spent: list[str]) -> DataFrame:
-    """(node, root) for every node of ``members`` (bucket, node), buckets of two nodes or more."""
-    size = members.count()
-    centre = members.groupBy("bucket").agg(F.min("node").alias("a"))
-    pairs = stage(members.join(centre, "bucket").filter("node != a").select("a", F.col("node").alias("b")).distinct(), "dup-pairs", spent)
-    links = stage(_confirmed(pairs, texts, threshold), "dup-links", spent)
-    tested = pairs
-    known = stage(components(links, spent), "dup-classes", spent)
-    for r in range(STAR_ROUNDS + 1):
-        # the classes inside each bucket; nodes without a link are classes of their own
-        at = (members.join(known, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root")))
-        parts = at.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-        mixed = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("squares"),
-                                            F.max_by("root", F.struct("n", "root")).alias("main")).filter("k > 1").drop("k")
-        mixed = stage(mixed, "dup-mixed", spent)
-        cross = mixed.agg(F.sum((F.col("all") * F.col("all") - F.col("squares")) / 2)).first()[0] or 0
-        if not cross:
-            break
-        inside = stage(at.join(mixed.select("bucket", "main"), "bucket"), "dup-inside", spent)
-        last = cross <= MANY_PAIRS * size or r == STAR_ROUNDS
-        if last:
-            # all pairs across classes: the smaller classes' nodes against the rest of their bucket
-            few = inside.filter("root != main").select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"))
-            every = inside.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"), "main")
-            pairs = few.join(every.hint("merge"), "bucket").filter((F.col("rb") == F.col("main")) | (F.col("ra") < F.col("rb")))
-        else:
-            centre = inside.groupBy("bucket").agg(F.max_by(F.struct("node", "root"), F.xxhash64("node", F.lit(r))).alias("c"))
-            pairs = (inside.join(centre, "bucket").filter(F.col("root") != F.col("c.root"))
-                     .select(F.col("c.node").alias("a"), F.col("c.root").alias("ra"), F.col("node").alias("b"), F.col("root").alias("rb")))
-        swap = F.col("a") > F.col("b")
-        ordered = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
-        pairs = pairs.select(ordered("a", "b").alias("a"), ordered("b", "a").alias("b")).distinct()
-        seen = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = stage(pairs.join(seen, ["a", "b"], "left_anti"), "dup-pairs", spent)
-        tested = tested.union(pairs)
-        links = links.union(_confirmed(pairs, texts, threshold))
-        links = stage(links, "dup-links", spent)
-        known = stage(components(links, spent), "dup-classes", spent)
-        if last:
-            break
-    return known
+        out = _moved(out, hook)
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")) if out is None else out
+
+
+def _moved(known: DataFrame | None, hook: DataFrame) -> DataFrame:
+    """Roots after their nodes have hooked onto others: (node, root) through (node, up)."""
+    if known is None:
+        return hook.select("node", F.col("up").alias("root"))
+    return (known.join(hook.select(F.col("node").alias("root"), F.col("up").alias("__up")), "root", "left")
+            .select("node", F.coalesce("__up", "root").alias("root")))
+
+
+def _joined(known: DataFrame | None, links: DataFrame, spent: list[str]) -> DataFrame:
+    """The classes ``known`` (node, root), joined along ``links`` (a, b)."""
+    if known is None:
+        return stage(components(links, spent), "dup-classes", spent)
+    root = lambda c, r: known.select(F.col("node").alias(c), F.col("root").alias(r))
+    ends = (links.join(root("a", "ra"), "a", "left").join(root("b", "rb"), "b", "left")
+            .select("a", "b", F.coalesce("ra", "a").alias("ra"), F.coalesce("rb", "b").alias("rb")))
+    ends = stage(ends, "dup-ends", spent)
+    merged = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")), spent)
+    nodes = known.union(ends.select("a", "ra")).union(ends.select("b", "rb")).distinct()
+    return stage(_moved(nodes, merged.withColumnRenamed("root", "up")), "dup-classes", spent)
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _classes(members: DataFrame, rare: DataFrame, texts: DataFrame, threshold: float, spent: list[str]) -> DataFrame:
+    """(node, root) for every node that has a link. ``members`` (bucket, node, total, rare): buckets have
+    two nodes or more; ``rare`` (node, shingle): shingles that 2 to RARE of the large buckets' nodes share."""
+    share = F.struct((F.col("rare") / F.col("total")).alias("share"), "node")
+    centre = members.groupBy("bucket").agg(F.min(share)["node"].alias("a"))
+    stars = members.join(centre, "bucket").select("a", F.col("node").alias("b"))
+    first = rare.groupBy("shingle").agg(F.min("node").alias("a"))
+    stars = stars.union(rare.join(first, "shingle").select("a", F.col("node").alias("b"))).filter("a != b")
+    tested = stage(_ordered(stars), "dup-stars", spent)
+    known = _joined(None, stage(_confirmed(tested, texts, threshold), "dup-links", spent), spent)
+    # the classes inside each bucket; nodes without a link are classes of their own. A node whose frequent
+    # shingles can't reach the threshold even with the bucket's smallest text is done with here
+    rooted = lambda df: df.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    left = F.col("total") - F.col("rare")
+    low = members.groupBy("bucket").agg(F.min("total").alias("low"))
+    at = rooted(members.join(low, "bucket").filter(left >= threshold * (F.col("low") + F.col("rare")) - 1e-9).drop("low"))
+    at = stage(at, "dup-at", spent)
+    parts = at.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.max_by("root", F.struct("n", "root")).alias("main")).filter("k > 1")
+    inside = at.join(mixed.select("bucket", "main"), "bucket")
+    side = lambda c: [F.col("node").alias(c), F.col("root").alias(f"r{c}"), F.col("total").alias(f"t{c}"), F.col("rare").alias(f"u{c}")]
+    shared = F.least(F.col("ta") - F.col("ua"), F.col("tb") - F.col("ub"))                 # most that two nodes can have in common
+    reachable = shared >= threshold * (F.col("ta") + F.col("tb") - shared) - 1e-9
+    # the smaller classes' nodes against the rest of their bucket
+    few, every = inside.filter("root != main").select("bucket", *side("a")), inside.select("bucket", "main", *side("b"))
+    across = (F.col("rb") == F.col("main")) | (F.col("ra") < F.col("rb"))
+    pairs = few.join(every.hint("merge"), "bucket").filter(across & reachable).select("a", "b")
+    # and the nodes of different classes with a common rare shingle, at most RARE each
+    of = rooted(rare)
+    left_, right_ = of.select("shingle", F.col("node").alias("a"), F.col("root").alias("ra")), of.select("shingle", F.col("node").alias("b"), F.col("root").alias("rb"))
+    pairs = pairs.union(left_.join(right_.hint("merge"), "shingle").filter("ra < rb").select("a", "b"))
+    pairs = stage(_ordered(pairs).join(tested, ["a", "b"], "left_anti"), "dup-pairs", spent)
+    return _joined(known, stage(_confirmed(pairs, texts, threshold), "dup-links", spent), spent)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -279,13 +314,19 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, doc_id: str
     rows = docs.select(F.col(doc_id).alias("doc_id"), node_of(F.col(text)).alias("node"), F.col(text).alias("text"))
     ids = rows.select("doc_id", "node")
     signed = stage(_signed(rows), "dup-signatures", spent)
-    buckets = signed.groupBy("node").agg(F.first("bands").alias("bands")).select("node", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    members = stage(buckets.join(shared.hint("merge"), "bucket").select("bucket", "node"), "dup-members", spent)
+    buckets = (signed.groupBy("node").agg(F.first("bands").alias("bands"), F.first("total").alias("total"))
+               .select("node", "total", F.explode("bands").alias("bucket")))
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = stage(buckets.join(shared.hint("merge"), "bucket").select("bucket", "node", "total", "n"), "dup-buckets", spent)
     texts = (rows.select("node", "text").join(members.select("node").distinct().hint("merge"), "node", "left_semi")
              .dropDuplicates(["node"]))
     texts = stage(texts, "dup-texts", spent)
-    known = stage(_classes(members, texts, threshold, spent), "dup-roots")
+    in_large = members.filter(F.col("n") >= LARGE_BUCKET).select("node").distinct()
+    weight, rare = _rare(texts.join(in_large.hint("merge"), "node", "left_semi"), spent)
+    # in smaller buckets the bound isn't used: partners there may be outside the nodes that were counted
+    own = F.when(F.col("n") >= LARGE_BUCKET, F.coalesce("rare", F.lit(0))).otherwise(0)
+    members = stage(members.join(weight, "node", "left").select("bucket", "node", "total", own.cast("long").alias("rare")), "dup-members", spent)
+    known = stage(_classes(members, rare, texts, threshold, spent), "dup-roots")
     drop_stages(spark, spent)
     rooted = stage(ids.join(known, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root")), "dup-rows")
     first = F.min(F.struct(_id_or_last(F.col("doc_id")).alias("id"), "node"))
