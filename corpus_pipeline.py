@@ -18,8 +18,8 @@ from tickvault.llm.common import stage, table
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; rejected ones go."""
     model = langid.fit(docs.select("doc_id", "text", "lang"))
-    plain = docs.select(F.struct("*").alias("row"), F.col("text").alias("text"))
-    return langid.predict(plain, model).filter("NOT rejected").select("row.*")
+    rows = docs.select(F.struct("*").alias("row"))            # whole rows, so that no column of theirs is replaced
+    return langid.predict(rows, model, text="row.text").filter("NOT rejected").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -214,8 +215,8 @@ def fit(docs: DataFrame) -> Model:
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = False) -> DataFrame:
     """``docs`` with lang_pred, score and rejected (columns of these names are replaced). Without
-    ``keep_text`` the text column is not carried along."""
-    added = ("lang_pred", "score", "rejected")
+    ``keep_text`` the text column is not carried along. ``text`` may name a field of a struct column."""
+    added, path = ("lang_pred", "score", "rejected"), text.split(".")
     names = [c for c in docs.columns if c not in added]
     out = [c for c in names if keep_text or c != text]
     schema = T.StructType([docs.schema[c] for c in out] + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
@@ -225,7 +226,10 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep_text: bool =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shared.value)
         for batch in batches:
-            langs, score = m.predict(batch.column(text).to_pylist())
+            whole = batch.column(path[0])
+            for field_name in path[1:]:
+                whole = pc.struct_field(whole, field_name)
+            langs, score = m.predict(whole.to_pylist())
             rejected = [(x == UNKNOWN) or bool(s < m.threshold) for x, s in zip(langs, score)]
             new = [pa.array(langs, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in out] + new, names=[*out, *added])
