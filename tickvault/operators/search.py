@@ -34,12 +34,17 @@ def coin_keywords(coins: DataFrame, name: str = "name", symbol: str = "symbol")
                  .withColumn("kw", F.lower("keyword")))
 
 
+def _gram(chars: list[Column]) -> Column:
+    """A character gram as a 64-bit hash (a collision costs one ``contains``, nothing else)."""
+    return F.xxhash64(*chars)
+
+
 def _grams(text: Column, size: int) -> Column:
     """The distinct character grams of one size in a text (linear: over its characters, once)."""
     def of(chars: Column) -> Column:
-        return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(chars) - size), lambda i: F.concat(*[F.get(chars, i + k) for k in range(size)])))
-    chars = F.element_at(F.transform(F.array(F.split(text, "")), lambda c: F.when(F.size(c) >= size, of(c))), 1)
-    return F.when(F.length(text) >= size, chars)
+        return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(chars) - size), lambda i: _gram([F.get(chars, i + k) for k in range(size)])))
+    grams = F.element_at(F.transform(F.array(F.split(text, "")), lambda c: F.when(F.size(c) >= size, of(c))), 1)
+    return F.when(F.length(text) >= size, grams)
 
 
 def keyword_pairs(posts: DataFrame, text: Column, kws: DataFrame, key: str = "submission_id") -> DataFrame:
@@ -47,12 +52,16 @@ def keyword_pairs(posts: DataFrame, text: Column, kws: DataFrame, key: str = "su
 
     Adds ``kw`` and the lower-cased text ``_tv_lc`` to ``posts``, whose ``key`` must be unique."""
     posts_lc = posts.withColumn("_tv_lc", F.lower(text))
-    anchors = kws.select("kw").distinct().withColumn("_tv_gram", F.substring("kw", 1, GRAM))
-    sizes = [r[0] for r in anchors.select(F.length("_tv_gram").alias("n")).distinct().collect()]     # at most GRAM values
+    anchors = kws.select("kw").distinct().withColumn("_tv_n", F.least(F.length("kw"), F.lit(GRAM)))
+    sizes = sorted(r[0] for r in anchors.select("_tv_n").distinct().collect() if r[0])     # at most GRAM values
     if not sizes:
         return posts_lc.withColumn("kw", F.lit(None).cast("string")).limit(0)
-    grams = F.concat(*[F.coalesce(_grams(F.col("_tv_lc"), n), F.expr("CAST(array() AS array<string>)")) for n in sorted(sizes)])
-    maybe = posts_lc.select(key, F.explode(grams).alias("_tv_gram")).join(anchors, "_tv_gram").select(key, "kw")
+    first = F.lit(None).cast("long")
+    for n in sizes:
+        first = F.when(F.col("_tv_n") == n, _gram([F.substring("kw", i + 1, 1) for i in range(n)])).otherwise(first)
+    anchors = anchors.select("kw", first.alias("_tv_gram"))
+    grams = F.concat(*[F.coalesce(_grams(F.col("_tv_lc"), n), F.expr("CAST(array() AS array<bigint>)")) for n in sizes])
+    maybe = posts_lc.select(key, F.explode(grams).alias("_tv_gram")).join(anchors, "_tv_gram").select(key, "kw").distinct()
     return posts_lc.join(maybe, key).filter(F.col("_tv_lc").contains(F.col("kw")))
 
 
