@@ -67,6 +67,16 @@ def test_packing_of_odd_texts(spark, tokenize, monkeypatch):
     assert packing.pack(df.limit(0)).count() == 0
 
 
+def test_packing_gives_special_token_strings_their_id(spark):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(packing.tokenizer_file())
+    texts = {1: "a <|endoftext|> b", 2: "<|endoftext|>", 3: "x<|endoftext|><|endoftext|>\n y", 4: " <|endoftext |> <|endoftext", 5: "é<|endoftext|>中 " * 40}
+    tokens = {d: [*t.encode(x, add_special_tokens=False).ids, packing.END] for d, x in texts.items()}
+    assert tokens[1] == [64, 220, 50256, 275, packing.END]
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    check_packing(packing.pack(df, capacity=64).collect(), tokens, 64)
+
+
 def test_plans_cover_the_histogram_exactly():
     rng = np.random.default_rng(5)
     for lengths in (rng.integers(1, 65, 500), np.full(77, 33), np.array([64] * 9), rng.integers(30, 40, 900), np.array([1])):

@@ -53,7 +53,8 @@ def tokenizer_file(name: str = TOKENIZER) -> str:
 
 def encoder(path: str):
     """Byte-level BPE of a tokenizers JSON file. The merges are run by tiktoken, which gives the same
-    ids several times faster; the vocabulary is the file's."""
+    ids several times faster; the vocabulary is the file's. Its added tokens are matched in the text
+    before the merges, as tokenizers does, so a text that holds one gets its id."""
     if path not in _encoders:
         import tiktoken
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]      # bytes that stand for themselves
@@ -61,9 +62,9 @@ def encoder(path: str):
         back = {chr(b): b for b in keep} | {chr(256 + i): b for i, b in enumerate(rest)}
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        special = {t["content"] for t in spec.get("added_tokens", []) if t.get("special")}
-        ranks = {bytes(back[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-        _encoders[path] = tiktoken.Encoding("own", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+        added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        ranks = {bytes(back[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in added}
+        _encoders[path] = tiktoken.Encoding("own", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens=added)
     return _encoders[path]
 
 
@@ -81,7 +82,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
             for at in range(0, batch.num_rows, BATCH):
                 part, row, rows, cuts = batch.slice(at, BATCH), [], [], []
                 for i, t in enumerate(part.column("text").to_pylist()):
-                    tokens = np.append(np.frombuffer(enc.encode_to_numpy(t or ""), dtype="<u4"), np.uint32(END)).astype("<u4")
+                    tokens = np.append(np.frombuffer(enc.encode_to_numpy(t or "", allowed_special="all"), dtype="<u4"), np.uint32(END)).astype("<u4")
                     ends = [*range(len(tokens) % capacity or capacity, len(tokens), capacity), len(tokens)] if len(tokens) > capacity else [len(tokens)]
                     for piece, (start, end) in enumerate(zip([0, *ends], ends)):
                         own = tokens[start:end]
