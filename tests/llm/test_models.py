@@ -132,6 +132,27 @@ def test_language_of_odd_texts_and_tables(spark, docs):
     assert langid.languages(docs.limit(0)).count() == 0
 
 
+def test_language_rejects_unlearnt_languages_and_letter_junk(spark):
+    """Also where the softmax can't: with one learnt language it is always 1, with two at least 0.5."""
+    docs = spark.read.parquet(SF_SMALL.replace("0.001", "0.01") + "/documents.parquet")
+    texts = collections.defaultdict(list)
+    for r in docs.select("lang", "text").collect():
+        texts[r.lang].append(r.text)
+    rng = np.random.default_rng(1)
+    junk = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz    "), 400)) for _ in range(50)]
+    junk += ["Tämä on suomenkielinen teksti, jossa kerrotaan kaupungista ja sen asukkaista hyvin pitkästi ja perusteellisesti.",
+             "Ez egy magyar nyelvű szöveg, amely a városról és lakóiról szól hosszasan és alaposan.",
+             "Это русский текст о городе и его жителях, довольно длинный."]
+    for learnt in (["en"], ["de", "en"], ["de", "en", "es", "fr"]):
+        model = langid.fit(docs.filter(F.col("lang").isin(learnt)).select("doc_id", "text", "lang"))
+        rejected = lambda rows: [s < model.threshold for s in model.predict(rows)[1]]
+        assert all(rejected(junk)), learnt
+        for lang in texts:
+            assert np.mean(rejected(texts[lang])) <= 0.01 if lang in learnt else np.mean(rejected(texts[lang])) >= 0.9, (learnt, lang)
+        mixed = [a[:400] + " " + b[:400] for i, x in enumerate(learnt) for z in learnt[i + 1:] for a, b in zip(texts[x][:40], texts[z])]
+        assert not mixed or np.mean(rejected(mixed)) <= 0.02
+
+
 def test_whole_texts_are_scored_across_chunks(docs, monkeypatch):
     rows = [r.text for r in docs.select("text").limit(40).collect()] + [None, ""]
     rng = np.random.default_rng(0)

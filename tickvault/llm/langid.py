@@ -8,8 +8,11 @@ prediction embeddings and softmax fold into one table (bucket -> score per langu
 tasks get: ``BUCKETS`` x languages floats, whatever the corpus size. Every text is scored whole.
 
 Calibration: a fifth of the sampled documents is kept out of training; on their segments the softmax
-temperature is fitted, and the rejection threshold is the conformal quantile below which at most
-``REJECT_ALPHA`` of correctly classified segments score (``REJECT_BELOW`` at most).
+temperature is fitted. A text is rejected by either of two conformal cuts, below each of which at most
+``REJECT_ALPHA`` of the calibration rows lie: its largest probability (over segments, and over pairs of
+segments of two languages, so that mixed texts are kept), and its familiarity, the mean log frequency
+of its subwords in the learnt language where each is most frequent. Texts in no learnt language are
+unfamiliar however sure the softmax is; they score 0.
 
 Null texts and texts without a letter: ``und``, score 0, rejected. No training rows: all ``und``.
 Null languages are never learnt. Repeated rows are predicted alike.
@@ -36,9 +39,8 @@ SAMPLE_PER_LANG, SEGMENTS, SEGMENT_CHARS = 400, 4, 240
 #: Languages learnt, the most frequent first (the model holds a column for each).
 MAX_LANGS = 1000
 EPOCHS, BATCH, RATE, REJECT_ALPHA = 6, 32, 0.6, 0.001
-#: The threshold is never higher than this, so texts in two languages, whose best one has about half of
-#: the probability, are kept.
-REJECT_BELOW = 0.4
+#: Pseudo-count of a subword that a language's sample does not hold.
+UNSEEN = 0.1
 #: Code points scored at once, so memory does not depend on a text's length.
 CHUNK = 1 << 18
 UNKNOWN = "und"
@@ -87,15 +89,29 @@ class Model:
     bias: np.ndarray = field(default_factory=lambda: np.zeros(0))
     temperature: float = 1.0
     threshold: float = 0.0
+    seen: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, np.float32))     # log frequency of a bucket
+    usual: np.ndarray = field(default_factory=lambda: np.zeros(0))                      # mean of seen, per language
+    usual_n: float = 1.0                                                                # subwords of a segment
+    unfamiliar: float = -np.inf
 
     def probabilities(self, sums: np.ndarray, n: np.ndarray) -> np.ndarray:
         z = (sums / np.maximum(n, 1)[:, None] + self.bias) / self.temperature
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
+    def familiarity(self, seen: np.ndarray, n: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """Distance of a text's mean log frequency from its language's, in units that allow short texts more."""
+        usual = self.usual[best] if len(self.usual) else 0.0
+        return (seen / np.maximum(n, 1) - usual) / np.sqrt(1 / np.maximum(n, 1) + 1 / self.usual_n)
+
     def score_sums(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Summed scores and subword counts of whole texts, CHUNK code points at a time."""
+        return self.text_sums(texts)[:2]
+
+    def text_sums(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``score_sums`` and the summed log frequencies."""
         sums, n = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), np.int64)
+        seen = np.zeros(len(texts))
         queue, owner, size = [], [], 0
 
         def flush() -> None:
@@ -105,6 +121,7 @@ class Model:
                 start, bucket = grams(codes)
                 doc = who[start]
                 n[:] += np.bincount(doc, minlength=len(texts))
+                seen[:] += np.bincount(doc, weights=self.seen[bucket], minlength=len(texts))
                 for k in range(len(self.langs)):
                     sums[:, k] += np.bincount(doc, weights=self.table[bucket, k], minlength=len(texts))
             queue, owner, size = [], [], 0
@@ -119,16 +136,36 @@ class Model:
                 if size >= CHUNK:
                     flush()
         flush()
-        return sums, n
+        return sums, n, seen
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         if not self.langs:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        sums, n = self.score_sums(texts)
+        sums, n, seen = self.text_sums(texts)
         p = self.probabilities(sums, n)
         best = p.argmax(axis=1)
         langs = [self.langs[b] if m else UNKNOWN for b, m in zip(best, n)]
-        return langs, np.where(n > 0, np.clip(p.max(axis=1), 0.0, 1.0), 0.0)
+        known = (n > 0) & (self.familiarity(seen, n, best) >= self.unfamiliar)
+        return langs, np.where(known, np.clip(p.max(axis=1), 0.0, 1.0), 0.0)
+
+
+def conformal(scores: np.ndarray) -> float:
+    """The score below which at most ``REJECT_ALPHA`` of the rows lie; with too few rows to tell, a tenth
+    of its size below the lowest."""
+    ranked = np.sort(scores)
+    k = int(REJECT_ALPHA * (len(ranked) + 1))
+    return float(ranked[k - 1]) if k >= 1 else float(ranked[0] - 0.1 * abs(ranked[0]))
+
+
+def log_frequencies(segments: list[np.ndarray], y: np.ndarray, fit: np.ndarray, n_langs: int) -> np.ndarray:
+    """Per bucket, the log frequency in the language where it is most frequent."""
+    out = np.full(BUCKETS, -np.inf)
+    for k in range(n_langs):
+        own = [segments[i] for i in fit if y[i] == k]
+        if own:
+            counts = np.bincount(np.concatenate(own), minlength=BUCKETS)
+            np.maximum(out, np.log((counts + UNSEEN) / (counts.sum() + UNSEEN * BUCKETS)), out=out)
+    return out.astype(np.float32)
 
 
 def train(lang: list[str], segments: list[np.ndarray], calibration: np.ndarray, letters: np.ndarray, seed: int = 7) -> Model:
@@ -162,6 +199,7 @@ def train(lang: list[str], segments: list[np.ndarray], calibration: np.ndarray,
             for d in range(DIM):
                 emb[hit, d] -= rate * np.bincount(inverse, weights=per[:, d])
     model = Model(langs, letters, (emb @ soft).astype(np.float32), bias)
+    model.seen = log_frequencies(segments, y, fit, len(langs))
     held = np.flatnonzero(calibration)
     if len(held):
         sums = np.stack([model.table[segments[i]].sum(axis=0) for i in held]).astype(float)
@@ -172,10 +210,18 @@ def train(lang: list[str], segments: list[np.ndarray], calibration: np.ndarray,
             losses[t] = -np.log(np.maximum(model.probabilities(sums, n)[np.arange(len(held)), y[held]], 1e-12)).mean()
         model.temperature = float(min(losses, key=losses.get))
         p = model.probabilities(sums, n)
-        right = np.sort(p.max(axis=1)[p.argmax(axis=1) == y[held]])
-        k = int(REJECT_ALPHA * (len(right) + 1))                          # conformal: at most this share scores below
-        quantile = float(right[k - 1]) if k >= 1 else float(right[0] if len(right) else 0.0) * 0.9
-        model.threshold = min(quantile, REJECT_BELOW)
+        best, own = p.argmax(axis=1), y[held]
+        right = best == own
+        with_other = rng.permutation(len(held))                           # the mixed texts: two segments each
+        with_other, one = with_other[own[with_other] != own], np.flatnonzero(own[with_other] != own)
+        mixed = model.probabilities(sums[one] + sums[with_other], n[one] + n[with_other])
+        of_two = (mixed.argmax(axis=1) == own[one]) | (mixed.argmax(axis=1) == own[with_other])
+        scores = np.concatenate([p.max(axis=1)[right], mixed.max(axis=1)[of_two]])
+        model.threshold = conformal(scores) if len(scores) else 0.0
+        seen = np.array([model.seen[segments[i]].sum(dtype=float) for i in held])
+        model.usual_n = float(np.median(n))
+        model.usual = np.array([(seen / n)[own == k].mean() if (own == k).any() else (seen / n).mean() for k in range(len(langs))])
+        model.unfamiliar = conformal(model.familiarity(seen, n, best)[right]) if right.any() else -np.inf
     return model
 
 
