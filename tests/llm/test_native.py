@@ -146,6 +146,15 @@ def test_reparameterised_questions_need_consistent_slots(spark):
     assert contamination.leaked_documents(docs_, items.limit(0)).count() == 0 and contamination.leaked_documents(docs_.limit(0), items).count() == 0
 
 
+def test_partly_changed_slots_do_not_hide_a_leak(spark):
+    long = "we counted 7 birds near the old stone bridge on that cold morning and later saw 7 birds more behind the tall green barn by the river"
+    items = spark.createDataFrame([(1, long), (2, "a crate holds 3 apples and stays shut for 3 days so count the fruit")], "item_id long, text string")
+    d = [(10, long), (11, long.replace("saw 7", "saw 9")), (12, "a crate holds 5 apples and stays shut for 7 days so count the fruit"),
+         (13, long.replace("counted 7", "counted 4").replace("saw 7", "saw 9").replace("old", "new").replace("morning", "night").replace("tall", "low").replace("river", "sea"))]
+    got = contamination.leaked_documents(spark.createDataFrame(d, "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(10, 1), (11, 1), (12, 2)}
+
+
 def check_shards(rows, texts, shards=sharding.SHARDS):
     counts = collections.Counter(r.shard for r in rows)
     assert max(counts.values(), default=0) - min((counts.get(s, 0) for s in range(shards)), default=0) <= 1

@@ -4,10 +4,11 @@ A text becomes a token sequence in which numbers, names (capitalised words insid
 units are typed placeholders, so a re-parameterised copy of a question ("Ann has 3 apples" /
 "Bob has 7 apples") has the same template. Template windows of ``WINDOW`` tokens (and whole items
 that are shorter) are hashed (64 bits) and joined with the documents' windows. The windows that match
-at one alignment of item and document are put together and their slots are checked: one value of
-the item must always become the same value in the document. An item leaks into a document if the
-matched windows cover ``COVERAGE`` of it or run over ``RUN`` tokens, with at least ``LITERALS`` plain
-words among them and consistent slots.
+at one alignment of item and document are put together. An item leaks into a document if the matched
+windows cover ``COVERAGE`` of it or run over ``RUN`` tokens, with at least ``LITERALS`` plain words
+among them. Windows with unchanged slots count by themselves; those with changed slots count if the
+slots are consistent: one value of the item always becomes the same value in the document (equal
+numbers before different words are different values), or only one slot is changed.
 
 DataFrame functions only. Null and empty texts have no tokens. Documents are compared by distinct
 text, so copies cost nothing extra and all of them are reported. Items of fewer than ``LITERALS``
@@ -57,10 +58,12 @@ def _literal(t: Column) -> Column:
     return ~t.isin(NUMBER, NAME, UNIT)
 
 
-def windows(raw: Column, size: int) -> Column:
+def windows(raw: Column, size: int, keyed: bool = False) -> Column:
     """array<struct<w, pos, hash, slots>> of all windows of ``size`` tokens: the 64-bit hash of the
-    template window, and the values behind its placeholders in order (null if the text has none)."""
-    none = F.expr("CAST(NULL AS array<string>)")
+    template window, and the values behind its placeholders in order (null if the text has none).
+    ``keyed``: each value as struct<p, v, key>, with its position and what it must be consistent by."""
+    kind = "struct<p:int,v:string,key:string>" if keyed else "string"
+    none = F.expr(f"CAST(NULL AS array<{kind}>)")
 
     def at(tpl: Column, h: Column, values: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.size(h) - size), lambda i: F.struct(
@@ -68,10 +71,14 @@ def windows(raw: Column, size: int) -> Column:
             F.when(values.isNull(), none).otherwise(F.filter(F.slice(values, i + 1, size), lambda v: v.isNotNull())).alias("slots")))
 
     def of(tpl: Column) -> Column:
-        values = F.when(F.exists(tpl, lambda t: ~_literal(t)), F.zip_with(tpl, raw, lambda t, r: F.when(~_literal(t), r))).otherwise(none)
+        def slot(t: Column, i: Column) -> Column:
+            v = F.get(raw, i)
+            key = F.when(t == NUMBER, F.concat_ws(" ", v, F.get(raw, i + 1))).otherwise(v)
+            return F.when(~_literal(t), F.struct(i.alias("p"), v.alias("v"), key.alias("key")) if keyed else v)
+        values = F.when(F.exists(tpl, lambda t: ~_literal(t)), F.transform(tpl, slot)).otherwise(none)
         return let(F.transform(tpl, lambda w: F.xxhash64(w)), lambda h: let(values, lambda v: at(tpl, h, v)))
 
-    empty = F.expr("CAST(array() AS array<struct<w:int,pos:int,hash:bigint,slots:array<string>>>)")
+    empty = F.expr(f"CAST(array() AS array<struct<w:int,pos:int,hash:bigint,slots:array<{kind}>>>)")
     return F.when(F.size(raw) < size, empty).otherwise(let(template(raw), of))
 
 
@@ -93,7 +100,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, spent: list[str] | None
     if not sizes:
         return docs.sparkSession.createDataFrame([], "text_key string, item_ids array<bigint>, null_id boolean, n_tokens int, covered int, "
                                                  "longest int, n_slots int, n_changed int")
-    in_items = reduce(DataFrame.union, [items.filter(width == w).select("item_no", F.explode(windows(F.col("raw"), w)).alias("x")) for w in sizes])
+    in_items = reduce(DataFrame.union, [items.filter(width == w).select("item_no", F.explode(windows(F.col("raw"), w, keyed=True)).alias("x")) for w in sizes])
     at = F.struct("item_no", F.col("x.pos").alias("i_pos"), F.col("x.slots").alias("i_slots"))
     in_items = stage(in_items.groupBy("x.w", "x.hash").agg(F.collect_set(at).alias("at")), "bench-windows", own)
     keys = in_items.select("w", "hash")
@@ -101,22 +108,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, spent: list[str] | None
     every = docs.select(text_key(F.col("text")).alias("text_key"), tokens(F.col("text")).alias("raw"))
     found = (every.select("text_key", F.explode(F.concat(*[windows(F.col("raw"), w) for w in sizes])).alias("x")).select("text_key", "x.*")
              .join(keys, ["w", "hash"], "left_semi").distinct())
+    pairs = F.coalesce(F.zip_with("at.i_slots", "slots", lambda a, b: F.struct(a["p"].alias("p"), a["v"].alias("a"), a["key"].alias("key"), b.alias("b"))),
+                       F.expr("CAST(array() AS array<struct<p:int,a:string,key:string,b:string>>)"))
+    same = ~F.exists("pairs", lambda x: x["a"] != x["b"])
     placed = (found.join(in_items, ["w", "hash"]).select("text_key", "w", "pos", "slots", F.explode("at").alias("at"))
-              .groupBy("text_key", "at.item_no", (F.col("pos") - F.col("at.i_pos")).alias("shift"))
-              .agg(F.collect_set(F.struct(F.col("at.i_pos").alias("pos"), "w", F.col("at.i_slots").alias("a"), F.col("slots").alias("b"))).alias("hits")))
-    hit = F.transform(F.sequence(F.lit(0), F.size("tpl") - 1), lambda p: F.exists("hits", lambda h: (h["pos"] <= p) & (p < h["pos"] + h["w"])))
+              .select("text_key", "at.item_no", (F.col("pos") - F.col("at.i_pos")).alias("shift"), F.col("at.i_pos").alias("pos"), "w", pairs.alias("pairs"))
+              .groupBy("text_key", "item_no", "shift").agg(F.collect_set(F.struct("pos", "w", "pairs", same.alias("same"))).alias("hits")))
     step = lambda acc, s: F.struct(F.when(s, acc["run"] + 1).otherwise(0).alias("run"),
                                    F.greatest(acc["best"], F.when(s, acc["run"] + 1).otherwise(0)).alias("best"))
-    slots = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.coalesce(
-        F.zip_with(h["a"], h["b"], lambda a, b: F.struct(a.alias("a"), b.alias("b"))), F.expr("CAST(array() AS array<struct<a:string,b:string>>)")))))
-    judged = (placed.join(items, "item_no").withColumn("hit", hit).withColumn("slots", slots)
-              .withColumn("covered", F.size(F.filter("hit", lambda x: x)))
-              .withColumn("longest", F.aggregate("hit", F.struct(F.lit(0).alias("run"), F.lit(0).alias("best")), step, lambda acc: acc["best"]))
-              .withColumn("literals", F.size(F.filter(F.zip_with("hit", "tpl", lambda s, t: s & _literal(t)), lambda x: x)))
+
+    def evidence(df: DataFrame, tail: str) -> DataFrame:
+        """The tokens that the hits (``_same``: those with unchanged slots) cover, and whether they are enough."""
+        hit, covered, longest, literals = (c + tail for c in ("hit", "covered", "longest", "literals"))
+        at = F.transform(F.sequence(F.lit(0), F.size("tpl") - 1), lambda p: F.exists(
+            "hits", lambda h: (h["same"] | F.lit(not tail)) & (h["pos"] <= p) & (p < h["pos"] + h["w"])))
+        return (df.withColumn(hit, at).withColumn(covered, F.size(F.filter(hit, lambda x: x)))
+                .withColumn(longest, F.aggregate(hit, F.struct(F.lit(0).alias("run"), F.lit(0).alias("best")), step, lambda acc: acc["best"]))
+                .withColumn(literals, F.size(F.filter(F.zip_with(hit, "tpl", lambda s, t: s & _literal(t)), lambda x: x)))
+                .withColumn("enough" + tail, ((F.col(covered) >= COVERAGE * F.size("tpl")) | (F.col(longest) >= RUN)) & (F.col(literals) >= LITERALS)))
+
+    distinct = lambda of: F.size(F.array_distinct(F.transform("pairs", of)))
+    judged = (placed.join(items, "item_no").withColumn("pairs", F.array_distinct(F.flatten(F.transform("hits", lambda h: h["pairs"]))))
+              .withColumn("slots", F.array_distinct(F.transform("pairs", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))))
               .withColumn("n_tokens", F.size("tpl")).withColumn("n_slots", F.size("slots"))
               .withColumn("n_changed", F.size(F.filter("slots", lambda x: x["a"] != x["b"])))
-              .withColumn("consistent", F.size(F.array_distinct(F.transform("slots", lambda x: x["a"]))) == F.col("n_slots")))
-    leaks = judged.filter(((F.col("covered") >= COVERAGE * F.col("n_tokens")) | (F.col("longest") >= RUN)) & (F.col("literals") >= LITERALS) & F.col("consistent"))
+              .withColumn("consistent", (distinct(lambda x: x["key"]) == distinct(lambda x: F.struct(x["key"], x["b"])))
+                          | (F.size(F.array_distinct(F.transform(F.filter("pairs", lambda x: x["a"] != x["b"]), lambda x: x["p"]))) <= 1)))
+    judged = evidence(evidence(judged, ""), "_same")
+    leaks = judged.filter((F.col("enough") & F.col("consistent")) | F.col("enough_same"))
     best = F.max(F.struct("covered", "longest", "n_tokens", "n_slots", "n_changed"))
     return (leaks.groupBy("text_key", "item_no").agg(best.alias("b"), F.first("item_ids").alias("item_ids"), F.first("null_id").alias("null_id"))
             .select("text_key", "item_ids", "null_id", "b.n_tokens", "b.covered", "b.longest", "b.n_slots", "b.n_changed"))
