@@ -155,6 +155,16 @@ def test_partly_changed_slots_do_not_hide_a_leak(spark):
     assert {(r.doc_id, r.item_id) for r in got} == {(10, 1), (11, 1), (12, 2)}
 
 
+def test_leaks_in_other_white_space_quotes_and_case(spark):
+    item = "on the old road Alice met a tall Baker who sold Carol seven loaves"
+    d = [item, item.replace(" Alice", "\nAlice").replace(" Baker", "\tBaker").replace(" Carol", "  Carol"), item.lower(), item.upper(), item.title(),
+         item.replace("Alice", '"Alice"').replace("Baker", "(Baker)").replace("Carol", "\u201cCarol\u201d"), "on the new path nobody met anyone at all"]
+    df = spark.createDataFrame(list(enumerate(d)), "doc_id long, text string")
+    for given in (item, item.lower()):
+        out = contamination.leaked_documents(df, spark.createDataFrame([(1, given)], "item_id long, text string"))
+        assert {r.doc_id for r in out.collect()} == {0, 1, 2, 3, 4, 5}
+
+
 def check_shards(rows, texts, shards=sharding.SHARDS):
     counts = collections.Counter(r.shard for r in rows)
     assert max(counts.values(), default=0) - min((counts.get(s, 0) for s in range(shards)), default=0) <= 1

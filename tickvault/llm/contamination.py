@@ -3,7 +3,8 @@
 A text becomes a token sequence in which numbers, names (capitalised words inside a sentence) and
 units are typed placeholders, so a re-parameterised copy of a question ("Ann has 3 apples" /
 "Bob has 7 apples") has the same template. Template windows of ``WINDOW`` tokens (and whole items
-that are shorter) are hashed (64 bits) and joined with the documents' windows. The windows that match
+that are shorter) are hashed (64 bits) and joined with the documents' windows. A window with names is
+hashed a second time with them as plain words, so that copies in other case match too. The windows that match
 at one alignment of item and document are put together. An item leaks into a document if the matched
 windows cover ``COVERAGE`` of it or run over ``RUN`` tokens, with at least ``LITERALS`` plain words
 among them. Windows with unchanged slots count by themselves; those with changed slots count if the
@@ -31,16 +32,16 @@ NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 UNITS = ("mm|cm|m|km|inch|inches|ft|feet|foot|yard|yards|mile|miles|mg|g|kg|lb|lbs|pound|pounds|oz|ounce|ounces|ton|tons|ml|l|litre|litres|"
          "liter|liters|gallon|gallons|second|seconds|minute|minutes|hour|hours|day|days|week|weeks|month|months|year|years|"
          "dollar|dollars|cent|cents|euro|euros|percent|degrees|mph|kmh|watts|volts|joules|newtons")
-# a name: capitalised word right after a small letter, digit or comma and one blank; it is marked
-# with a leading U+0001 so that the tokens keep both the type and the value
-_NAME = r"(?<=[\p{Ll}\p{N},;:]\x20)(?=\p{Lu}\p{Ll})"
+# a name: capitalised word after a small letter, digit or comma and any white space, quotes and
+# brackets; it is marked with a leading U+0001 so that the tokens keep both the type and the value
+_NAME = r"""([\p{Ll}\p{N},;:])[\s\p{Z}"'`\u2018-\u201f\u00ab\u00bb\u2039\u203a()\[\]{}]++(?=\p{Lu}\p{Ll})"""
 _TOKEN = r"\x01?[\p{L}\p{M}]+|[0-9]++(?:[.,][0-9]++)*+"
 
 
 def tokens(text: Column) -> Column:
     """Lower-cased words and numbers in order; names keep a leading U+0001."""
     clean = F.translate(F.coalesce(text, F.lit("")), "\x01", " ")
-    return F.regexp_extract_all(F.lower(F.regexp_replace(clean, _NAME, "\x01")), F.lit(_TOKEN), F.lit(0))
+    return F.regexp_extract_all(F.lower(F.regexp_replace(clean, _NAME, "$1 \x01")), F.lit(_TOKEN), F.lit(0))
 
 
 def _units() -> Column:
@@ -65,18 +66,25 @@ def windows(raw: Column, size: int, keyed: bool = False) -> Column:
     kind = "struct<p:int,v:string,key:string>" if keyed else "string"
     none = F.expr(f"CAST(NULL AS array<{kind}>)")
 
-    def at(tpl: Column, h: Column, values: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(h) - size), lambda i: F.struct(
+    def at(h: Column, values: Column, starts: Column) -> Column:
+        return F.transform(starts, lambda i: F.struct(
             F.lit(size).alias("w"), i.alias("pos"), F.xxhash64(*[F.get(h, i + k) for k in range(size)]).alias("hash"),
             F.when(values.isNull(), none).otherwise(F.filter(F.slice(values, i + 1, size), lambda v: v.isNotNull())).alias("slots")))
 
-    def of(tpl: Column) -> Column:
+    def hashed(tpl: Column, words: Column, starts: Column) -> Column:
         def slot(t: Column, i: Column) -> Column:
-            v = F.get(raw, i)
-            key = F.when(t == NUMBER, F.concat_ws(" ", v, F.get(raw, i + 1))).otherwise(v)
+            v = F.get(words, i)
+            key = F.when(t == NUMBER, F.concat_ws(" ", v, F.get(words, i + 1))).otherwise(v)
             return F.when(~_literal(t), F.struct(i.alias("p"), v.alias("v"), key.alias("key")) if keyed else v)
         values = F.when(F.exists(tpl, lambda t: ~_literal(t)), F.transform(tpl, slot)).otherwise(none)
-        return let(F.transform(tpl, lambda w: F.xxhash64(w)), lambda h: let(values, lambda v: at(tpl, h, v)))
+        return let(F.transform(tpl, lambda w: F.xxhash64(w)), lambda h: let(values, lambda v: at(h, v, starts)))
+
+    def of(tpl: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(raw) - size)
+        named = F.filter(starts, lambda i: F.array_contains(F.slice(tpl, i + 1, size), NAME))
+        plain = F.transform(raw, lambda t: F.ltrim(t, F.lit("\x01")))
+        folded = let(plain, lambda words: let(template(words), lambda t: let(named, lambda n: hashed(t, words, n))))
+        return F.when(F.array_contains(tpl, NAME), F.concat(hashed(tpl, raw, starts), folded)).otherwise(hashed(tpl, raw, starts))
 
     empty = F.expr(f"CAST(array() AS array<struct<w:int,pos:int,hash:bigint,slots:array<{kind}>>>)")
     return F.when(F.size(raw) < size, empty).otherwise(let(template(raw), of))
