@@ -79,6 +79,24 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reply_ordered(table(spark, sf_dir, "conversations"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by the contract's rule and repaired at least cost."""
+    from tickvault.llm.repair import repair_digest
+    return repair_digest(table(spark, sf_dir, "conversations"))
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best vectors, by inner product, for every vector whose id is divisible by 50."""
+    from tickvault.llm.topk import search_digest
+    return search_digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs of words, and its text without their repetitions."""
+    from tickvault.llm.periods import run_digest
+    return run_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_language": op2_language,
@@ -90,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_decontamination": op9_decontamination,
     "op10_chat": op10_chat,
+    "op11_repair": op11_repair,
+    "op12_topk": op12_topk,
+    "op13_periods": op13_periods,
 }
 
 #: DuckDB SQL of the queries that SQL can express. The others train, iterate or choose by statistics over
