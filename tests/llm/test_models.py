@@ -23,7 +23,6 @@ def docs(spark):
 def tokenize():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(packing.tokenizer_file())
-    t.encode_special_tokens = True
     return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, packing.END]
 
 
