@@ -76,6 +76,23 @@ def test_packing_gives_special_token_strings_their_id(spark):
     check_packing(packing.pack(df, capacity=64).collect(), tokens, 64)
 
 
+def test_packing_of_very_long_white_space(spark, tokenize):
+    texts = {1: " " * 1_000_000 + "x", 2: "a" + "\n" * 400_000 + "\t \u00a0" * 200_000 + "é", 3: "x " * 60_000, 4: "y" + "\u3000" * 150_000}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    check_packing(packing.pack(df).collect(), {d: tokenize(t) for d, t in texts.items()}, packing.CAPACITY)
+
+
+def test_the_program_places_most_pieces_and_never_loses_to_best_fit():
+    rng = np.random.default_rng(2)
+    for sizes in (rng.integers(100, 900, 20_000), rng.integers(600, 761, 50_000), np.clip(rng.lognormal(5.3, 1.1, 50_000).astype(int) + 1, 1, 2047)):
+        given = collections.Counter(sizes.tolist())
+        lengths = np.array(sorted(given))
+        alone = packing.best_fit(lengths, np.array([given[x] for x in lengths.tolist()]), packing.CAPACITY)
+        assert packing.sequences(packing.plan(given)) <= packing.sequences(alone)
+        made, left = packing.lp_fillings(given)
+        assert left.total() < 0.35 * len(sizes) and sum(n * len(f) for f, n in made) + left.total() == len(sizes)
+
+
 def test_plans_cover_the_histogram_exactly():
     rng = np.random.default_rng(5)
     for lengths in (rng.integers(1, 65, 500), np.full(77, 33), np.array([64] * 9), rng.integers(30, 40, 900), np.array([1])):

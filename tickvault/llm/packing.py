@@ -5,10 +5,12 @@ Documents are tokenised, ended by ``END`` and, only if longer than a sequence, c
 histogram of piece lengths, which has at most ``CAPACITY`` rows whatever the corpus size:
 
 1. the configuration linear program (how many sequences of each filling, so that every length is
-   covered) is solved by multiplicative weights: each round a knapsack dynamic program finds the
-   filling worth most under the current prices, then the prices of the lengths it covers fall;
-2. the fractional solution is rounded down, never beyond the pieces there are;
-3. the pieces left are placed best-fit decreasing, again on counts (equal bins together).
+   covered) is solved by multiplicative weights: each round a knapsack dynamic program prices all
+   fillings, the best ones are used, then the prices of the lengths they cover fall;
+2. the fractional solution is rounded to whole sequences, never beyond the pieces there are, and solved
+   again for the pieces left, as long as that places some;
+3. the few pieces left are placed best-fit decreasing, again on counts (equal bins together). If best-fit
+   alone needs fewer sequences, its plan is taken.
 
 The plan is a list of (filling, count). Pieces are numbered inside their length by Spark and look up
 their sequence and offset; no task or driver ever holds a corpus-sized list.
@@ -19,6 +21,7 @@ packed. An empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -35,7 +38,9 @@ ship(__name__)
 
 CAPACITY, END = 2048, 0
 TOKENIZER = "byte_bpe_50k.json"
-ROUNDS, ETA = 300, 0.5
+ROUNDS, ETA, COLUMNS = 24, 0.5, 128
+#: Share of a sequence that a rounded filling may leave empty.
+WASTE = 0.002
 #: Long pieces are worth a little more than their length, so that short ones are left to fill gaps.
 LONG_FIRST = 0.3
 #: Pieces numbered by one task; lengths with more are salted.
@@ -43,6 +48,9 @@ BUCKET_ROWS = 20_000
 #: Rows tokenised together.
 BATCH = 64
 _SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: White space in a row that the fast encoder takes.
+LONG_BLANK = 100_000
+_long_blank = re.compile(r"\s{%d}" % LONG_BLANK)
 _encoders: dict = {}
 
 
@@ -51,6 +59,17 @@ def tokenizer_file(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def _tokens(path: str, text: str) -> np.ndarray:
+    """A text's ids. White space of more than LONG_BLANK characters goes to tokenizers itself: the pattern's
+    look-ahead would exhaust tiktoken's stack."""
+    if len(text) > LONG_BLANK and _long_blank.search(text):
+        if ("whole", path) not in _encoders:
+            from tokenizers import Tokenizer
+            _encoders["whole", path] = Tokenizer.from_file(path)
+        return np.array(_encoders["whole", path].encode(text, add_special_tokens=False).ids, dtype="<u4")
+    return np.frombuffer(encoder(path).encode_to_numpy(text, allowed_special="all"), dtype="<u4")
+
+
 def encoder(path: str):
     """Byte-level BPE of a tokenizers JSON file. The merges are run by tiktoken, which gives the same
     ids several times faster; the vocabulary is the file's. Its added tokens are matched in the text
@@ -77,12 +96,11 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType)] + [T.StructField(n, k) for n, k in zip(names[1:], types)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):
                 part, row, rows, cuts = batch.slice(at, BATCH), [], [], []
                 for i, t in enumerate(part.column("text").to_pylist()):
-                    tokens = np.append(np.frombuffer(enc.encode_to_numpy(t or "", allowed_special="all"), dtype="<u4"), np.uint32(END)).astype("<u4")
+                    tokens = np.append(_tokens(path, t or ""), np.uint32(END)).astype("<u4")
                     ends = [*range(len(tokens) % capacity or capacity, len(tokens), capacity), len(tokens)] if len(tokens) > capacity else [len(tokens)]
                     for piece, (start, end) in enumerate(zip([0, *ends], ends)):
                         own = tokens[start:end]
@@ -98,48 +116,59 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-def knapsack(lengths: np.ndarray, value: np.ndarray, limit: np.ndarray, capacity: int) -> Counter:
-    """The filling of largest value, as length -> copies (never more copies than ``limit``)."""
+def knapsack(lengths: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every room up to ``capacity``: the largest value that fits into it, and the last length taken (-1: none)."""
     best, take = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
     for c in range(int(lengths[0]), capacity + 1):
-        k = np.searchsorted(lengths, c, side="right")
+        k = fits[c]
         offer = best[c - lengths[:k]] + value[:k]
         i = int(offer.argmax())
         if offer[i] > best[c - 1]:
             best[c], take[c] = offer[i], i
         else:
-            best[c], take[c] = best[c - 1], -1
-    filling, c = Counter(), capacity
+            best[c] = best[c - 1]
+    return best, take
+
+
+def filling_with(first: int, lengths: np.ndarray, take: np.ndarray, left: np.ndarray, capacity: int) -> Counter:
+    """The best filling that holds length number ``first`` (number -> copies), no more copies than are left."""
+    filling, c = Counter({first: 1}), capacity - int(lengths[first])
     while c > 0:
-        if take[c] < 0:
+        i = int(take[c])
+        if i < 0:
             c -= 1
             continue
-        i = int(take[c])
-        if filling[int(lengths[i])] < limit[i]:
-            filling[int(lengths[i])] += 1
+        if filling[i] < left[i]:
+            filling[i] += 1
         c -= int(lengths[i])
-    return +filling
+    return filling
 
 
 def linear_program(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> list[tuple[tuple[int, ...], float]]:
-    """Fillings and their fractional counts, by multiplicative weights: prices fall with coverage."""
-    covered, picked = np.zeros(len(lengths)), Counter()
+    """Fillings and their fractional counts, by multiplicative weights: prices fall with coverage. One knapsack
+    table prices all fillings; each round uses the ``COLUMNS`` best that hold different lengths."""
+    left, picked = counts.astype(float), Counter()
     bins = max(1.0, float((lengths * counts).sum()) / capacity)
-    per_round = bins / rounds
-    at = {int(x): i for i, x in enumerate(lengths)}
+    share = max(1.0, bins / rounds / COLUMNS)
+    size = lengths / capacity
     for _ in range(rounds):
-        need = np.clip(1.0 - covered / counts, 0.0, 1.0)
-        size = lengths / capacity
-        price = size * (1 + LONG_FIRST * size) * np.exp(ETA * (need - 1)) * (need > 0)
-        if not price.any():
+        need = np.clip(left / counts, 0.0, 1.0)
+        some = np.flatnonzero(left >= 1)
+        if not len(some):
             break
-        filling = knapsack(lengths, price + 1e-12 * lengths, counts, capacity)
-        # a filling is used for its share of the sequences, or until one of its lengths is covered
-        room = min((counts[at[x]] - covered[at[x]]) / k for x, k in filling.items() if counts[at[x]] > covered[at[x]])
-        share = min(per_round, max(room, 1e-3))
-        for x, k in filling.items():
-            covered[at[x]] += share * k
-        picked[tuple(sorted(filling.elements(), reverse=True))] += share
+        price = (size * (1 + LONG_FIRST * size) * np.exp(ETA * (need - 1)) + 1e-12 * lengths)[some]
+        sizes = lengths[some]
+        best, take = knapsack(sizes, price, capacity)
+        worth = price + best[capacity - sizes]
+        for j in np.argsort(-worth, kind="stable")[:COLUMNS]:
+            if left[some[j]] < 1:
+                continue
+            filling = filling_with(int(j), sizes, take, left[some], capacity)
+            n = min(share, min(left[some[i]] / k for i, k in filling.items()))
+            for i, k in filling.items():
+                left[some[i]] -= n * k
+            picked[tuple(sorted((int(sizes[i]) for i in filling.elements()), reverse=True))] += n
     return sorted(picked.items(), key=lambda x: -x[1])
 
 
@@ -172,26 +201,45 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tup
     return [(f, n) for level in space for f, n in level.items()]
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[tuple[int, ...], int]]:
-    """(filling, sequences) covering every piece of the histogram exactly once."""
-    left = Counter({x: n for x, n in histogram.items() if n > 0 and x < capacity})
-    out = [((capacity,), histogram[capacity])] if histogram.get(capacity) else []
-    if left:
+def sequences(fillings: list[tuple[tuple[int, ...], int]]) -> int:
+    return sum(n for _, n in fillings)
+
+
+def lp_fillings(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> tuple[list[tuple[tuple[int, ...], int]], Counter]:
+    """Whole numbers of the program's fillings that waste at most ``WASTE`` of a sequence, and what they leave.
+    Shares are rounded to the nearest number that the pieces allow; the program is solved again for the
+    pieces left, until it places hardly any."""
+    left, out = +Counter(histogram), []
+    while left:
         lengths = np.array(sorted(left), dtype=np.int64)
         counts = np.array([left[int(x)] for x in lengths], dtype=np.float64)
+        placed = 0
         for filling, share in linear_program(lengths, counts, capacity, rounds):
-            if sum(filling) < capacity:
-                continue                                                  # rounding keeps full sequences only
+            if sum(filling) < (1 - WASTE) * capacity:
+                continue
             need = Counter(filling)
-            n = min([int(share)] + [left[x] // k for x, k in need.items()])
+            n = min([int(share + 0.5)] + [left[x] // k for x, k in need.items()])
             if n > 0:
                 out.append((filling, n))
                 left.subtract({x: n * k for x, k in need.items()})
+                placed += n * len(filling)
         left = +left
-        if left:
-            lengths = np.array(sorted(left), dtype=np.int64)
-            out += best_fit(lengths, np.array([left[int(x)] for x in lengths]), capacity)
-    return out
+        if placed < 0.02 * (placed + left.total()):
+            break
+    return out, left
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[tuple[int, ...], int]]:
+    """(filling, sequences) covering every piece of the histogram exactly once: the program's fillings, best-fit
+    decreasing for the few pieces they leave. Best-fit alone if that needs fewer sequences."""
+    short = {x: n for x, n in histogram.items() if n > 0 and x < capacity}
+    out = [((capacity,), histogram[capacity])] if histogram.get(capacity) else []
+    if not short:
+        return out
+    fit = lambda h: best_fit(np.array(sorted(h), dtype=np.int64), np.array([h[x] for x in sorted(h)]), capacity) if h else []
+    made, left = lp_fillings(short, capacity, rounds)
+    made, alone = made + fit(left), fit(short)
+    return out + (made if sequences(made) <= sequences(alone) else alone)
 
 
 def seats(fillings: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
