@@ -6,7 +6,7 @@ checkpoint folder and return the table as read back.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickvault import schemas
 from tickvault.functions import times
@@ -15,7 +15,7 @@ from tickvault.plans import tables as tb
 from tickvault.plans.oracle_ctes import COINS, HISTORY, META, POSTS, PRICES, TICK, with_
 from tickvault.session import delete_path, scratch_path
 from tickvault.errors import logged
-from tickvault.sinks.merge import upsert
+from tickvault.sinks.merge import message_version, upsert
 from tickvault.sinks.quarantine import quarantine_batch
 from tickvault.sources.files import history_range
 
@@ -94,6 +94,11 @@ SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM (
 
 # ---- W3 ---------------------------------------------------------------------------------
 
+def _version(order: list[str]) -> Column:
+    """The stored version of a landed document, in one order with the streams' messages."""
+    return message_version(seq=F.col("event_id") if "event_id" in order else None, at=F.col("landed_at") if "landed_at" in order else None)
+
+
 def _store(rows: DataFrame, path: str, quarantine: str, source: str, order: list[str]) -> None:
     """Price rows with ``problem`` and ``payload`` -> price table and quarantine. Staged first, so both
     sides see the same rows and the table may be one the rows were chosen by."""
@@ -103,7 +108,7 @@ def _store(rows: DataFrame, path: str, quarantine: str, source: str, order: list
         rows.write.mode("overwrite").parquet(stage)
         staged = spark.read.schema(rows.schema).parquet(stage)
         upsert(staged.filter(F.col("problem").isNull()), path, schemas.PRICE_KEY, schemas.PRICE_TABLE,
-               schemas.PRICE_PARTITION, order=order)
+               schemas.PRICE_PARTITION, version=_version(order))
         quarantine_batch(staged.filter(F.col("problem").isNotNull()).select(F.col("problem").alias("reason"), "payload"), quarantine, source)
     finally:
         delete_path(spark, stage)
@@ -204,7 +209,7 @@ def load_posts(coins: DataFrame, posts: DataFrame, records: DataFrame, path: str
         .withColumn("created_utc", times.parse_iso("created_utc")) \
         .withColumn("created_date", F.to_date("created_utc"))
     upsert(rows, path, schemas.POST_KEY, schemas.POST_TABLE, schemas.POST_PARTITION,
-           order=[c for c in VERSION if c in records.columns])
+           version=_version([c for c in VERSION if c in records.columns]))
 
 
 POSTS_SINCE, POSTS_UNTIL = "2024-01-03 00:00:00", "2024-02-01 00:00:00"

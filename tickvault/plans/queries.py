@@ -499,7 +499,7 @@ def json_roundtrip(spark, d):
 
 def _register_late():
     from tickvault.plans import jobs
-    from tickvault.streaming import ingest
+    from tickvault.streaming import ingest, live
     for name, fn, sql in [
         ("upsert_latest", jobs.upsert_latest, jobs.UPSERT_LATEST_SQL),
         ("job_metadata", jobs.job_metadata, jobs.JOB_METADATA_SQL),
@@ -507,7 +507,11 @@ def _register_late():
         ("job_price_refresh", jobs.job_price_refresh, jobs.JOB_PRICE_REFRESH_SQL),
         ("job_posts", jobs.job_posts, jobs.JOB_POSTS_SQL),
         ("stream_price_ingest", ingest.stream_price_ingest, ingest.STREAM_PRICE_SQL),
+        ("stream_price_order", ingest.stream_price_order, ingest.STREAM_PRICE_SQL),
         ("stream_quarantine", ingest.stream_quarantine, ingest.STREAM_QUARANTINE_SQL),
+        ("stream_distinct_messages", live.stream_distinct_messages, live.STREAM_DISTINCT_SQL),
+        ("stream_live_bars", live.stream_live_bars, live.STREAM_BARS_SQL),
+        ("stream_post_prices", live.stream_post_prices, live.STREAM_PAIRS_SQL),
         ("stream_posts_ingest", ingest.stream_posts_ingest, ingest.STREAM_POSTS_SQL),
     ]:
         QUERIES[name] = fn

@@ -17,21 +17,40 @@
 4. the touched partitions are dynamically overwritten from the staged copy; an unpartitioned table
    is written beside the old one and swapped in (``session.swap_in``).
 
+Versioned tables: with ``version`` the table keeps, beside each row, where its message stood in the
+order of all messages (``message_version``: its own sequence number, then time, partition and offset of
+the transport). A batch row then replaces a stored one only if its version is greater, so an older
+message that is delivered again in a later batch loses, whatever the batch sizes; partitions that only
+hold such rows are not rewritten at all. Rows stored without a version lose to any batch. Readers that
+ask for the table's declared schema do not see the column.
+
 Merging the same batch twice gives the same table (idempotent), which is what makes stream
 redelivery harmless. One writer per table is assumed; plain parquet has no atomic multi-partition
 swap, so readers may briefly see a mix of old and new partitions.
 """
 from __future__ import annotations
 
+import functools
 import uuid
 
-from pyspark.sql import DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from tickvault.operators.topn import latest_per_key
 from tickvault.session import delete_path, restore_path, scratch_path, swap_in
 from tickvault.sources.files import estimated_bytes
 
 SRC = "_tv_src"
+VERSION = "_version"
+VERSION_TYPE = T.StructType([T.StructField("seq", T.LongType()), T.StructField("at", T.TimestampType()),
+                             T.StructField("part", T.IntegerType()), T.StructField("offset", T.LongType())])
+
+
+def message_version(seq: Column | None = None, at: Column | None = None, part: Column | None = None, offset: Column | None = None) -> Column:
+    """Where a message stands among all versions of its key; parts not given are NULL, which sorts
+    first. Without any part it is NULL: such a row replaces only rows that have no version either."""
+    given = [(F.lit(None) if c is None else c).cast(f.dataType) for c, f in zip((seq, at, part, offset), VERSION_TYPE.fields)]
+    known = functools.reduce(Column.__or__, [c.isNotNull() for c in given])
+    return F.when(known, F.struct(*[c.alias(f.name) for c, f in zip(given, VERSION_TYPE.fields)]))
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: str | list[str] | None,
@@ -94,6 +113,15 @@ def replace_keys(stored: DataFrame, batch: DataFrame, key: list[str]) -> DataFra
     return stored.join(batch.select(*key), key, "left_anti").unionByName(batch)
 
 
+def newer(batch: DataFrame, stored: DataFrame, key: list[str]) -> DataFrame:
+    """The batch rows that no stored row of their key is at least as new as. Only keys and versions of the
+    touched partitions are read; of those the older ones' keys leave the batch by an anti join."""
+    known = stored.filter(F.col(VERSION).isNotNull()).select(*key, F.col(VERSION).alias("_tv_stored"))
+    kept = F.col(VERSION).isNull() | (F.col("_tv_stored") >= F.col(VERSION))
+    older = batch.select(*key, VERSION).join(known, key).filter(kept).select(*key)
+    return batch.join(older, key, "left_anti")
+
+
 def _overlaps(batch: DataFrame, stored: DataFrame, key: list[str]) -> bool:
     """Does any batch key already exist in the touched partitions? Reads only the key columns."""
     return bool(batch.select(*key).join(stored.select(*key), key, "left_semi").limit(1).count())
@@ -115,17 +143,21 @@ def touched(stored: DataFrame, fresh: DataFrame, parts: list[str]) -> DataFrame:
 
 def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
            partition_cols: list[str] | None = None, order: list[str] | None = None,
-           stats: bool = False, insert_only: bool = True) -> dict | None:
+           stats: bool = False, insert_only: bool = True, version: Column | None = None) -> dict | None:
     """K2/K3: merge ``batch`` into the table at ``path`` by ``key``; the last write wins.
 
     ``order``: columns of ``batch`` (they need not be stored) that say which of several versions of a
-    key came last. ``partition_cols`` must be non-null functions of the key (e.g. ``date`` of
+    key came last inside the batch. ``version`` (``message_version`` over columns of ``batch``) says it
+    for all batches: it is stored, and the greater one wins whichever comes in first. ``partition_cols`` must be non-null functions of the key (e.g. ``date`` of
     ``read_timestamp``), so a key never moves between partitions; callers quarantine rows
     without them. With ``stats`` it returns the written row count
     (observed during the write, no second pass) and whether it appended or merged.
     """
     spark = batch.sparkSession
     parts = list(partition_cols or [])
+    if version is not None:
+        batch, order = batch.withColumn(VERSION, version), [VERSION]
+        schema = T.StructType([*schema.fields, T.StructField(VERSION, VERSION_TYPE)])
     names = schema.fieldNames()
     position = [c for c in order or [] if c not in names]
     batch = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *position)
@@ -138,6 +170,11 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
         stored = spark.read.schema(schema).parquet(path).select(*names) if exists else None
         if stored is not None and parts:
             stored = touched(stored, fresh, parts)
+        if stored is not None and version is not None:
+            fresh = _stage(newer(fresh, stored, key), schema, stages)
+            if fresh.isEmpty():
+                return {"rows": 0, "mode": "none"} if stats else None
+            stored = touched(stored, fresh, parts) if parts else stored
         append = stored is None or (insert_only and not _overlaps(fresh, stored, key))
         # new keys only (the normal hourly case): write the batch, rewrite nothing; else the merge is
         # staged before the overwrite replaces what it was read from

@@ -3,8 +3,9 @@
 Transport is Kafka in production (``sources.kafka``); the same plans run over a folder of JSON
 message files, which is how they are tested here. Each micro-batch is decoded, split into
 storable rows and quarantine rows, and merged by key with ``sinks.merge.upsert`` inside
-``foreachBatch`` - so a redelivered batch rewrites the same rows (idempotent, ST6), and progress
-is the query checkpoint (ST4).
+``foreachBatch``. The tables keep each row's message position, so the table is the same for any size of
+micro-batch and a redelivered message, in whichever batch, changes nothing (ST6); progress is the query
+checkpoint (ST4).
 """
 from __future__ import annotations
 
@@ -17,7 +18,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 from tickvault import schemas
 from tickvault.functions import times
 from tickvault.operators import flatten
-from tickvault.sinks.merge import upsert
+from tickvault.sinks.merge import message_version, upsert
 from tickvault.sinks.quarantine import write_quarantine
 from tickvault.session import scratch_path
 
@@ -83,6 +84,11 @@ def _position(msgs: DataFrame, payload: str) -> list[Column]:
     return [_sequence(payload).alias("_seq"), *[have.get(c, F.lit(None).cast("timestamp" if c == "_sent_at" else "long")).alias(c) for c in ORDER[1:]]]
 
 
+def _version(rows: DataFrame) -> Column:
+    """The ORDER columns that the rows (still) have, as a stored version."""
+    return message_version(*[F.col(c) if c in rows.columns else None for c in ORDER])
+
+
 def decode_prices(msgs: DataFrame) -> DataFrame:
     """ST1 decode: ticker message -> price row + ``problem`` (NULL when storable) + raw payload + position.
 
@@ -117,7 +123,7 @@ def price_batch_writer(table_path: str, quarantine_path: str, partition_cols=Non
         batch = batch.persist()
         try:
             good = batch.filter(F.col("problem").isNull())
-            upsert(good, table_path, schemas.PRICE_KEY, schemas.PRICE_TABLE, parts, order=[c for c in ORDER if c in good.columns])
+            upsert(good, table_path, schemas.PRICE_KEY, schemas.PRICE_TABLE, parts, version=_version(good))
             bad = batch.filter(F.col("problem").isNotNull()).select(F.col("problem").alias("reason"), "payload")
             write_quarantine(bad, quarantine_path, "prices", f"{query}-{epoch_id:010d}")
         finally:
@@ -176,7 +182,7 @@ def post_batch_writer(table_path: str, quarantine_path: str, transform=None, que
             good = rows.filter(F.col("problem").isNull()).drop("problem", "payload")
             if transform is not None:
                 good = good.transform(transform)
-            upsert(good, table_path, schemas.POST_KEY, schemas.POST_TABLE, schemas.POST_PARTITION, order=[c for c in ORDER if c in good.columns])
+            upsert(good, table_path, schemas.POST_KEY, schemas.POST_TABLE, schemas.POST_PARTITION, version=_version(good))
             bad = rows.filter(F.col("problem").isNotNull()).select(F.col("problem").alias("reason"), "payload")
             write_quarantine(bad, quarantine_path, "posts", f"{query}-{epoch_id:010d}")
         finally:
@@ -303,6 +309,21 @@ SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM (
   FROM p) WHERE rn = 1"""
 
 
+ORDER_FILES = 6
+
+
+def stream_price_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST6 across micro-batches: one file per trigger; corrections come first, the messages they correct in
+    later batches, and in the last ones everything once more. The stored versions decide, so the table is
+    the one that ``stream_price_ingest`` gets from a single batch."""
+    folder, table, quarantine, ckpt = (scratch_path(spark, k) for k in ("topic", "table", "quarantine", "ckpt"))
+    messages = _price_messages(spark, sf_dir)
+    for part in (messages.filter("event_id % 2 = 1"), messages.filter("event_id % 2 = 0"), messages):
+        publish(part.repartition(ORDER_FILES // 3, "event_id"), folder)
+    start_price_stream(spark, folder, table, quarantine, ckpt, max_per_trigger=1).awaitTermination()
+    return spark.read.schema(schemas.PRICE_TABLE).parquet(table).select(*schemas.PRICE_TABLE.fieldNames())
+
+
 def stream_posts_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST2: posts published as array messages (<= 8 posts per message, per subreddit), streamed
     into the post table keyed by (coin_id, submission_id)."""
