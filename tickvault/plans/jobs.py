@@ -165,7 +165,54 @@ def backfill(monitored_ids: DataFrame, history: DataFrame, path: str, quarantine
     _store(points.withColumn("problem", flatten.price_row_problem()), path, quarantine, "history", order)
 
 
+@logged("jobs.fill_gaps")
+def fill_gaps(monitored_ids: DataFrame, history: DataFrame, path: str, quarantine: str, start: str, end: str, interval: str = "1d") -> DataFrame:
+    """W2 for holes inside a coin's history: the ranges of intervals in [start, end) that the monitored coins
+    have no price in are found, and exactly those are filled from ``history`` (one point per interval).
+    Returns the ranges asked for (key, from_ts, to_ts, n_missing)."""
+    from tickvault.operators import gaps
+    from tickvault.sources.files import read_or_empty
+    spark = monitored_ids.sparkSession
+    stored = read_or_empty(spark, path, schemas.PRICE_TABLE)
+    asked = scratch_path(spark, "ranges")
+    gaps.missing_ranges(monitored_ids, stored, start, end, interval).write.parquet(asked)      # before the table changes
+    ranges = spark.read.parquet(asked)
+    if "payload" not in history.columns:
+        history = history.withColumn("payload", F.to_json(F.struct("*")))
+    wanted = history.join(monitored_ids.select("coin_id").distinct(), "coin_id", "left_semi")
+    order = [c for c in VERSION if c in history.columns]
+    points = history_range(gaps.only_missing(wanted.filter(F.col("read_timestamp").isNotNull()), stored, start, end, interval), None, interval)
+    points = points.unionByName(wanted.filter(F.col("read_timestamp").isNull()))               # for the quarantine
+    _store(points.withColumn("problem", flatten.price_row_problem()), path, quarantine, "history", order)
+    return ranges
+
+
 START_DATE, INTERVAL = "1995-01-01", "1d"
+GAPS_FROM, GAPS_TO = "1996-01-01 00:00:00", "1996-03-01 00:00:00"
+
+
+def job_fill_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """W2 over the test tables: the table holds every coin's even history days; the holes of two months are
+    filled from the whole history, one point a day."""
+    path, quarantine = scratch_path(spark, "prices"), scratch_path(spark, "quarantine")
+    history = flatten.historic_points(tb.history_docs(spark, d), payload=True)
+    even = history.filter((F.datediff("date", F.lit("1970-01-01")) % 2 == 0) & F.col("date").between(GAPS_FROM[:10], GAPS_TO[:10]))
+    upsert(even, path, schemas.PRICE_KEY, schemas.PRICE_TABLE, schemas.PRICE_PARTITION)
+    ids = tb.meta_docs(spark, d).select(F.col("id").alias("coin_id"))
+    fill_gaps(ids, history, path, quarantine, GAPS_FROM, GAPS_TO, INTERVAL)
+    return read_table(spark, path, schemas.PRICE_TABLE)
+
+
+JOB_FILL_GAPS_SQL = with_(META, HISTORY) + f""",
+good AS (SELECT DISTINCT coin_id, read_timestamp, CAST(read_timestamp AS DATE) AS date, CAST(hour(read_timestamp) AS INTEGER) AS hour,
+                price, volume_24h, market_cap FROM points WHERE read_timestamp IS NOT NULL),
+keyed AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY coin_id, read_timestamp ORDER BY price DESC, volume_24h DESC, market_cap DESC) AS n FROM good) WHERE n = 1),
+stored AS (SELECT * FROM keyed WHERE date_diff('day', DATE '1970-01-01', date) % 2 = 0 AND date BETWEEN DATE '{GAPS_FROM[:10]}' AND DATE '{GAPS_TO[:10]}'),
+holes AS (SELECT * FROM (SELECT k.*, row_number() OVER (PARTITION BY k.coin_id, k.date ORDER BY read_timestamp DESC) AS last FROM keyed k
+                         WHERE read_timestamp >= TIMESTAMP '{GAPS_FROM}' AND read_timestamp < TIMESTAMP '{GAPS_TO}'
+                           AND coin_id IN (SELECT id FROM meta) AND (coin_id, date) NOT IN (SELECT (coin_id, date) FROM stored)) WHERE last = 1)
+SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM stored
+UNION ALL SELECT coin_id, read_timestamp, date, hour, price, volume_24h, market_cap FROM holes"""
 
 
 def job_backfill(spark: SparkSession, d: str) -> DataFrame:

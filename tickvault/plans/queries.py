@@ -470,6 +470,90 @@ def tweet_flatten(spark, d):
     return t.withColumn("hashtags", F.array_join("hashtags", "|"))
 
 
+# ---- holes in histories, recursive indicators (events) ----------------------------------------
+
+GAP_START, GAP_END, GAP_STEP = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "6 hours"
+_BUCKETS = f"""
+ids AS (SELECT DISTINCT id AS coin_id FROM meta),
+have AS (SELECT DISTINCT coin_id, time_bucket(INTERVAL {GAP_STEP}, read_timestamp, TIMESTAMP '1970-01-01') AS b FROM prices)"""
+
+
+@query("missing_ranges", with_(META, PRICES).rstrip() + "," + _BUCKETS + f""",
+grid AS (SELECT coin_id, unnest(generate_series(TIMESTAMP '{GAP_START}', TIMESTAMP '{GAP_END}' - INTERVAL {GAP_STEP}, INTERVAL {GAP_STEP})) AS b FROM ids),
+holes AS (SELECT coin_id, b, row_number() OVER (PARTITION BY coin_id ORDER BY b) AS n FROM grid ANTI JOIN have USING (coin_id, b))
+SELECT coin_id, min(b) AS from_ts, max(b) + INTERVAL {GAP_STEP} AS to_ts, count(*) AS n_missing
+FROM holes GROUP BY coin_id, b - n * INTERVAL {GAP_STEP}""")
+def missing_ranges(spark, d):
+    """A4 + W2: the maximal ranges of intervals without a stored price, of every coin."""
+    from tickvault.operators import gaps
+    ids = tb.meta_docs(spark, d).select(F.col("id").alias("coin_id"))
+    return gaps.missing_ranges(ids, flatten.price_points(tb.price_ticks(spark, d)), GAP_START, GAP_END, GAP_STEP)
+
+
+@query("resample_filled", with_(PRICES) + f""",
+bars AS (SELECT coin_id, time_bucket(INTERVAL {GAP_STEP}, read_timestamp, TIMESTAMP '1970-01-01') AS bucket_start,
+                arg_max(price, read_timestamp) AS price FROM prices GROUP BY 1, 2),
+grid AS (SELECT coin_id, unnest(generate_series(min(bucket_start), max(bucket_start), INTERVAL {GAP_STEP})) AS bucket_start FROM bars GROUP BY coin_id)
+SELECT g.coin_id, g.bucket_start, b.price, b.bucket_start <> g.bucket_start AS is_filled
+FROM grid g ASOF JOIN bars b ON g.coin_id = b.coin_id AND g.bucket_start >= b.bucket_start""")
+def resample_filled(spark, d):
+    """A4: one price per coin and interval, gaps filled by the last one before."""
+    from tickvault.operators import gaps
+    rows = flatten.price_points(tb.price_ticks(spark, d))
+    bars = aggregate.resample_last(rows, "coin_id", "read_timestamp", ["price"], GAP_STEP)
+    return gaps.filled(bars, ["price"], GAP_STEP)
+
+
+@query("price_trend", "WITH RECURSIVE " + PRICES + f""",
+t AS (SELECT coin_id, read_timestamp, price, row_number() OVER (PARTITION BY coin_id ORDER BY read_timestamp, event_id) AS n FROM prices),
+r AS (SELECT coin_id, read_timestamp, price, n, price AS f, price AS s, CAST(0 AS DOUBLE) AS g, CAST(0 AS DOUBLE) AS l, CAST(0 AS DOUBLE) AS m FROM t WHERE n = 1
+      UNION ALL
+      SELECT t.coin_id, t.read_timestamp, t.price, t.n, f + 2.0::DOUBLE / 13 * (t.price - f), s + 2.0::DOUBLE / 27 * (t.price - s),
+             g + 1.0::DOUBLE / 14 * (greatest(t.price - r.price, 0) - g), l + 1.0::DOUBLE / 14 * (greatest(r.price - t.price, 0) - l),
+             m + 0.2::DOUBLE * ((f + 2.0::DOUBLE / 13 * (t.price - f)) - (s + 2.0::DOUBLE / 27 * (t.price - s)) - m)
+      FROM r JOIN t ON t.coin_id = r.coin_id AND t.n = r.n + 1)
+SELECT coin_id, read_timestamp, price, round(f, 6) AS ema_fast, round(s, 6) AS ema_slow, round(f - s, 6) AS macd, round(m, 6) AS macd_signal,
+       round(CASE WHEN g + l > 0 THEN 100 * g / (g + l) END, 6) AS rsi
+FROM r""")
+def price_trend(spark, d):
+    """§2.14 recursive indicators over every tick: EMA 12 / 26, MACD with signal, RSI 14."""
+    from tickvault.operators import recurrence
+    rows = flatten.price_points(tb.price_ticks(spark, d), carry=("event_id",)).select("coin_id", "read_timestamp", "price", "event_id")
+    out = recurrence.trend(rows, tie=["event_id"], block="7 days")
+    return out.select("coin_id", "read_timestamp", "price", *[F.round(c, 6).alias(c) for c in ("ema_fast", "ema_slow", "macd", "macd_signal", "rsi")])
+
+
+# ---- relevance (documents, benchmark) --------------------------------------------------------
+
+RELEVANT = 10
+
+
+@query("search_bm25", r"""
+WITH words AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+lens AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+size AS (SELECT count(*) AS posts, avg(n) AS mean FROM lens),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')) AS term FROM benchmark),
+scored AS (SELECT a.query_id, t.doc_id, round(sum(ln(1 + (z.posts - d.df + 0.5::DOUBLE) / (d.df + 0.5::DOUBLE))
+                  * (t.tf * 2.2::DOUBLE / (t.tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * l.n / z.mean)))), 6) AS score
+           FROM asked a JOIN df d USING (term) JOIN tf t USING (term) JOIN lens l ON l.doc_id = t.doc_id CROSS JOIN size z GROUP BY 1, 2)
+SELECT query_id, doc_id, score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored)
+WHERE rank <= """ + str(RELEVANT))
+def search_bm25(spark, d):
+    """O3 + K6: a stored inverted index, filled in two merges (every third post first with its first line only,
+    then as it is), searched with every benchmark item: the posts that BM25 ranks first."""
+    from tickvault.session import scratch_path
+    from tickvault.sinks import text_index
+    posts = tb.posts(spark, d).select("submission_id", "title", "text")
+    third = F.col("submission_id").cast("long") % 3 == 0
+    path = scratch_path(spark, "text-index")
+    text_index.update_index(posts.withColumn("text", F.when(third, F.col("title")).otherwise(F.col("text"))), path, text="text")
+    text_index.update_index(posts.filter(third), path, text="text")
+    return text_index.bm25_search(spark, path, tb.table(spark, d, "benchmark"), RELEVANT, query_id="item_id")
+
+
 # ---- JSON messages (conversations) -------------------------------------------------------
 
 MESSAGE_TURNS = 8   # a message carries at most this many turns of one conversation
@@ -504,6 +588,7 @@ def _register_late():
         ("upsert_latest", jobs.upsert_latest, jobs.UPSERT_LATEST_SQL),
         ("job_metadata", jobs.job_metadata, jobs.JOB_METADATA_SQL),
         ("job_backfill", jobs.job_backfill, jobs.JOB_BACKFILL_SQL),
+        ("job_fill_gaps", jobs.job_fill_gaps, jobs.JOB_FILL_GAPS_SQL),
         ("job_price_refresh", jobs.job_price_refresh, jobs.JOB_PRICE_REFRESH_SQL),
         ("job_posts", jobs.job_posts, jobs.JOB_POSTS_SQL),
         ("stream_price_ingest", ingest.stream_price_ingest, ingest.STREAM_PRICE_SQL),
