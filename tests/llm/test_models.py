@@ -210,6 +210,35 @@ def test_html_cases(page, text):
     assert html_text.main_text(page) == text
 
 
+PROSE = "The committee met on Tuesday, and it agreed to publish the whole report; nobody objected, and the minutes were signed."
+
+
+def prose(name):
+    return f"{name}: {PROSE}"
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<nav><a>Home</a></nav><article><h1>One</h1><p>{a} {b}</p></article><article><p>{c}</p></article><footer>f</footer>", "One\n{a} {b}\n{c}"),
+    ("<div class=x><p>{a}</p></div><article><h1>T</h1><p>{b} {c}</p><p>{b}</p></article><div>Log in</div>", "{a}\nT\n{b} {c}\n{b}"),
+    ("<article><p>{a}</p><div class='social-history'><p>{b}</p></div><div class='social-share'>Share it</div></article>", "{a}\n{b}"),
+    ("<article><p>{a}</p><div class='share-price'>up</div></article>", "{a}"),
+    ("<article><p>He <button>b</button> sat, and <label>x<b>y</b></label>then he stood up.</p></article>", "He sat, and then he stood up."),
+    ("<div id=top><a>Home</a><a>News</a></div><div id=c><h2>Head</h2><p>{a}</p><p>Short.</p><p>{b}</p></div><div id=z><a>Terms</a></div>", "Head\n{a}\nShort.\n{b}"),
+    ("<main><p>{a}</p></main><div class='user-comments'><p>{b}</p></div><div class='advert2'><p>{c}</p></div>", "{a}"),
+    ("<article><p>{a}</p><form><p>{b}</p></form><select><option>o</select></article>", "{a}")])
+def test_html_paths_decide(page, text):
+    parts = {k: prose(k) for k in "abc"}
+    assert html_text.main_text(page.format(**parts)) == text.format(**parts)
+
+
+def test_html_ratios_change_the_result(monkeypatch):
+    """With constant ratios every block is as good as any other: teasers come in."""
+    page = f"<div id=a><a>Home</a><a>News</a></div><div id=b><p>{PROSE}</p><p>{PROSE}</p></div><div id=c><span>Terms</span></div>"
+    assert html_text.main_text(page) == f"{PROSE}\n{PROSE}"
+    monkeypatch.setattr(html_text, "_smooth", lambda v: np.ones(len(v)))
+    assert html_text.main_text(page) == f"HomeNews\n{PROSE}\n{PROSE}\nTerms"
+
+
 def test_html_table_with_odd_columns(spark):
     df = spark.createDataFrame([(1, "u", "<p>a</p>", "old"), (1, "u", "<p>a</p>", "old"), (None, None, None, None)], "page_id long, url string, html string, text string")
     rows = html_text.extract(df).collect()

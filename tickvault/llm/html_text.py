@@ -3,12 +3,18 @@
 A page is cut into blocks; each block has the root-to-leaf path of its tags (with the class or id
 words of containers). Per path, the text length and the punctuation of all its blocks are divided
 by the number of its tags; both ratios are smoothed over neighbouring blocks in page order and fused
-by multiplication (text share x punctuation share). Paths whose fused ratio passes a threshold made
-of the page's own spread are content paths. The content region is the innermost element that holds
-nearly all of their weight (``article`` and ``main`` count more), and the region's blocks are
-returned whole and in order, headings and short paragraphs included. Elements that are never article
-text (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, reader comments, by
-tag, role or class/id words) have no weight and are left out inside the region too.
+by multiplication (text share x punctuation share; inside ``article`` and ``main`` it counts more).
+Paths whose fused ratio passes a threshold made of the page's own spread are content paths; they
+decide what is returned:
+
+* every ``article`` or ``main`` that holds a content path, whole (headings, lists and short paragraphs
+  included), and the blocks of content paths beside them, such as a lead in a ``div`` of its own;
+* on a page without such elements, the innermost element that holds all content paths, whole.
+
+Elements that are never article text (menus, headers, footers, sidebars, notices, adverts, forms,
+scripts, styles, reader comments, by tag, role, or a class or id made of words for them) have no weight
+and are left out, inside articles too. A class name that has other words as well (``social-history``; not with
+the words for adverts and comments) is only a doubt: such an element is left out unless its paths are content paths.
 
 Null or empty html, and pages without text: empty text. Broken html (unclosed tags, cut pages,
 stray ends) is read as browsers do for blocks: a new block closes an open paragraph. Every page is
@@ -52,26 +58,34 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _PUNCTUATION = re.compile(r"[.,;:!?。、，！？…]")
 #: Words that also rule out an ``article`` element (comments and teasers are often marked up as one).
 NOT_THE_ARTICLE = frozenset("ad ads advert comment comments reply replies related recommended promo promoted sponsored".split())
-SIGMA, THRESHOLD, HOLDS, BOOST = 1.0, 0.5, 0.9, 4.0
+#: Words that say nothing about an element, beside one of the above in a class name.
+PLAIN_WORDS = frozenset("""area article bar blog block body bottom box btn button card cell col column container content div el element en
+ entry facebook fb field form frame full global google group head header holder icon id inner item items js large latest layout left line link
+ links list main mini mobile module more news on outer page panel part popular post reader readers right row section side site slot small span
+ story tab tag text thread title top twitter ui unit user users view web wide wrap wrapper zone""".split())
+SIGMA, THRESHOLD, BOOST = 0.7, 0.6, 1.5
 #: Elements nested deeper than this get no node of their own (as in browsers); their text stays.
 MAX_DEPTH = 512
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "outside", "path", "weight", "boost", "within", "depth")
+    __slots__ = ("tag", "parent", "outside", "doubt", "path", "boost", "within", "depth", "held")
 
     def __init__(self, tag: str, parent: "_Element | None", attrs: str) -> None:
-        self.tag, self.parent, self.weight = tag, parent, 0.0
+        self.tag, self.parent, self.held = tag, parent, None
         self.depth = parent.depth + 1 if parent else 0
         found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if attrs.strip() else {}
-        words = _WORD.findall(_CAMEL.sub(" ", found.get("class", "") + " " + found.get("id", "")).lower())
+        names = [_WORD.findall(_CAMEL.sub(" ", n).lower()) for n in (found.get("class", "") + " " + found.get("id", "")).split()]
+        words = [w for n in names for w in n]
         style = found.get("style", "").replace(" ", "").lower()
         self.boost = tag in ("article", "main") or found.get("role") == "main" or found.get("itemprop") == "articleBody"
         inside = parent is not None and parent.within
         self.within = self.boost or inside
         out = (tag in OUTSIDE and not (tag == "header" and inside)) or found.get("role", "").lower() in OUTSIDE_ROLES
         ruled_out = frozenset() if tag in ("html", "body", "main") else NOT_THE_ARTICLE if tag == "article" else OUTSIDE_WORDS
-        out = out or not ruled_out.isdisjoint(words)
+        told = [n for n in names if not ruled_out.isdisjoint(n)]
+        out = out or any(not NOT_THE_ARTICLE.isdisjoint(n) or all(w in ruled_out or w in PLAIN_WORDS or w.isdigit() for w in n) for n in told)
+        self.doubt = (bool(told) and not out) or (parent is not None and parent.doubt)
         out = out or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style
         self.outside = out or (parent is not None and parent.outside)
         name = tag + ("." + "-".join(words[:2]) if words and tag not in ("p", "span", "a", "b", "i", "em", "strong") else "")
@@ -92,6 +106,11 @@ def _blocks(html: str) -> list[tuple[_Element, str]]:
             buffer = []
 
     def pop_to(i: int) -> None:
+        nonlocal buffer, owner
+        for e in reversed(stack[i:]):
+            if e.held is not None:                               # an inline element left out: its block goes on
+                flush()
+                buffer, owner = e.held
         del stack[i:]
 
     at, end, raw = 0, len(html), None
@@ -116,7 +135,7 @@ def _blocks(html: str) -> list[tuple[_Element, str]]:
                 if stack[i].tag == tag:
                     if tag not in BLOCKS and any(e.tag in BLOCKS for e in stack[i + 1:]):
                         break                                   # a stray inline end can't close a block
-                    if stack[i].outside:
+                    if stack[i].outside and stack[i].held is None:
                         flush()
                     pop_to(i)
                     break
@@ -139,7 +158,10 @@ def _blocks(html: str) -> list[tuple[_Element, str]]:
             continue
         element = _Element(tag, stack[-1], attrs)
         if element.outside != stack[-1].outside and tag not in RAW:
-            flush()
+            if tag in BLOCKS or not buffer or len(stack) >= MAX_DEPTH:
+                flush()
+            else:
+                element.held, buffer = (buffer, owner), []
         if tag in RAW and not attrs.rstrip().endswith("/"):
             close = re.compile(rf"</{re.escape(tag)}\b[^>]*+>", re.I).search(html, at)
             at = close.end() if close else end
@@ -151,6 +173,8 @@ def _blocks(html: str) -> list[tuple[_Element, str]]:
             owner = stack[-1]
         buffer.append(html[at:])
     flush()
+    pop_to(1)
+    flush()
     return out
 
 
@@ -174,30 +198,38 @@ def main_text(html: str | None) -> str:
     text_ratio = _smooth(np.array([chars[e.path] / tags[e.path] for e, _ in kept]))
     mark_ratio = _smooth(np.array([marks[e.path] / tags[e.path] for e, _ in kept]))
     fused = (text_ratio / max(text_ratio.max(), 1e-9)) * ((mark_ratio + 0.1) / (mark_ratio.max() + 0.1))
+    fused = fused * np.array([BOOST if e.within else 1.0 for e, _ in kept])
     by_path: dict[int, list[float]] = {}
     for (e, _), f in zip(kept, fused):
         by_path.setdefault(e.path, []).append(f)
     mean = {p: sum(v) / len(v) for p, v in by_path.items()}
     cut = THRESHOLD * float(np.std(list(mean.values()))) if len(mean) > 1 else 0.0
-    # the innermost element that holds nearly all of the content paths' weight
-    total, best = 0.0, {}
-    for (e, text), _f in zip(kept, fused):
-        if mean[e.path] < cut:
-            continue
-        w = mean[e.path] * len(text) * (BOOST if e.within else 1.0)
-        total += w
-        up: _Element | None = e
-        while up is not None:
-            up.weight += w
-            best[id(up)] = up
-            up = up.parent
-    boosted = [e for e in best.values() if e.boost and not any(p.boost for p in _ancestors(e))]
-    region = max(boosted, key=lambda e: e.weight) if boosted else max(
-        (e for e in best.values() if e.weight >= HOLDS * total and (e.tag in BLOCKS or e.parent is None) and e.tag not in ("p", "li", "td", "h1", "h2", "h3")),
-        key=lambda e: e.depth)
+    content = {p for p, m in mean.items() if m >= cut}
+    kept = [b for b in kept if not b[0].doubt or b[0].path in content]
+    chosen = [e for e, _ in kept if e.path in content]
+    articles = {id(a) for e in chosen for a in [_article(e)] if a is not None}
+    if articles:
+        return "\n".join(text for e, text in kept if e.path in content or id(_article(e)) in articles)
+    region = _common(chosen)
     return "\n".join(text for e, text in kept if e is region or region in _ancestors(e))
 
 
+def _article(e: _Element) -> "_Element | None":
+    """The outermost article or main that holds an element."""
+    return next((a for a in reversed([e, *_ancestors(e)]) if a.boost), None)
+
+
+def _common(elements: list[_Element]) -> "_Element | None":
+    """The innermost element that holds all of these (a block itself if there is one only: its container)."""
+    shared = [e for e in reversed([elements[0], *_ancestors(elements[0])])]
+    for e in elements[1:]:
+        chain = list(reversed([e, *_ancestors(e)]))
+        n = next((i for i, (x, y) in enumerate(zip(shared, chain)) if x is not y), min(len(shared), len(chain)))
+        shared = shared[:n]
+    inner = ("p", "li", "td", "h1", "h2", "h3", "h4", "h5", "h6", "span", "a", "b", "i", "em", "strong")
+    return next((e for e in reversed(shared) if e.tag not in inner), shared[0])
+
+
 def _ancestors(e: _Element) -> list[_Element]:
     out, up = [], e.parent
     while up is not None:
