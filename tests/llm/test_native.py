@@ -1,6 +1,8 @@
 import collections
 import hashlib
 import math
+import random
+import re
 import zlib
 
 import pytest
@@ -77,6 +79,55 @@ def test_urls_parts_and_rules(spark):
         assert rows[i].verdict == (verdict or "allow")
 
 
+def brute_templates(shapes):
+    """{(host, shape): template} by the level rule, on {(host, shape): [pages, labelled, bad]}."""
+    parts = {k: (k[1][1:] if k[1].startswith("/") else k[1]).split("/") if k[1] else [] for k in shapes}
+    out, d, open_ = {k: "" for k in shapes}, 0, set(shapes)
+    while open_:
+        nodes = collections.defaultdict(lambda: collections.defaultdict(lambda: [0, 0, 0]))
+        for k in open_:
+            own = nodes[k[0], out[k]][parts[k][d] if d < len(parts[k]) else None]
+            for i in range(3):
+                own[i] += shapes[k][i]
+        step = {}
+        for node, branches in nodes.items():
+            n, labelled, bad = (sum(b[i] for b in branches.values()) for i in range(3))
+            variable = len(branches) >= urls.VARIABLE_MIN and n <= urls.VARIABLE_MEAN * len(branches)
+            for seg, (_, own, own_bad) in branches.items():
+                rest, rest_bad, p = labelled - own, bad - own_bad, bad / max(labelled, 1)
+                spread = (p * (1 - p) * (1 / max(own, 1) + 1 / max(rest, 1))) ** 0.5
+                apart = own > 0 and rest > 0 and abs(own_bad / max(own, 1) - rest_bad / max(rest, 1)) > urls.Z_APART * spread and not variable
+                worse = own_bad * max(rest, 1) > rest_bad * own
+                step[node, seg] = "$" if seg is None else seg if len(branches) == 1 or (apart and worse) else "*-" if apart else "*"
+        for k in open_:
+            out[k] += "/" + step[(k[0], out[k]), parts[k][d] if d < len(parts[k]) else None]
+        d += 1
+        if d % urls.LEVELS == 0:
+            together = collections.Counter((k[0], out[k]) for k in open_)
+            for k in list(open_):
+                if together[k[0], out[k]] == 1 or len(parts[k]) <= d:
+                    out[k] += "".join(f"/{x}" for x in parts[k][d:])
+                    open_.discard(k)
+    return out
+
+
+def test_url_tree_reaches_every_depth(spark):
+    rng = random.Random(8)
+    rows = [(f"http://h.org/2024/{m}/{s}/{rng.getrandbits(60):x}z", int(s == "spam")) for s in ("spam", "news", "blog") for m in range(1, 61)]
+    rows += [(f"http://g.org/a/b/c/d/e/{'bad' if i % 2 else 'good'}/f/{'x/' * (i % 5)}{chr(97 + i % 26)}q", i % 2) for i in range(120)]
+    rows += [(f"http://e.org/{x}", 0) for x in ("", "/", "//", "a", "a/", "a/b/c/d/e/f/g/h", "a/b/c/d/e/f/g/i")]
+    df = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id long, url string, bad int")
+    got = {r.url: r for r in urls.judge(df.select("page_id", "url"), df.select("url", "bad")).collect()}
+    assert {r.verdict for u, r in got.items() if "/spam/" in u or "/bad/" in u} == {"block"}
+    assert {r.verdict for u, r in got.items() if "/spam/" not in u and "/bad/" not in u} == {"allow"}
+    shapes = collections.defaultdict(lambda: [0, 0, 0])
+    key = lambda u: (brute.url_parts(u)[0], re.sub("[0-9]+", "#", brute.url_parts(u)[1]))
+    for u, b in rows:
+        shapes[key(u)] = [x + y for x, y in zip(shapes[key(u)], (1, 1, b))]
+    want = brute_templates(shapes)
+    assert {key(u): r.template for u, r in got.items()} == want
+
+
 def test_url_tree_blocks_a_bad_branch_only(spark):
     rows = [(f"http://h.com/{b}/{i}", int(b == "spam")) for b in ("spam", "news", "blog") for i in range(60)]
     rows += [(f"http://h.com/{b}/x{i}/deep/er", None) for b in ("spam", "news") for i in range(5)]

@@ -25,7 +25,7 @@ from tickvault.llm.common import drop_stages, stage
 
 #: (verdict, rule): the rule's host, then its path prefix.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-MAX_DEPTH = 3
+LEVELS = 3                                # levels between two staged tables
 VARIABLE_MIN, VARIABLE_MEAN = 20, 3.0    # at least so many branches, with at most so many pages each
 Z_APART, PRIOR_WEIGHT, THRESHOLD = 2.58, 8.0, 0.5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -80,6 +80,25 @@ def _level(shapes: DataFrame, d: int) -> DataFrame:
             .select("s.host", "s.shape", "s.segments", F.col("d.__next").alias("template"), "s.n", "s.labelled", "s.bad"))
 
 
+def _grown(tree: DataFrame, spent: list[str]) -> DataFrame:
+    """All shapes with their templates. A shape leaves the loop when its path has ended or no other shape is in its
+    node, so the rounds follow the depth that paths share, and later rounds only hold what is still open."""
+    settled, d = [], 0
+    while True:
+        for d in range(d, d + LEVELS):
+            tree = _level(tree, d)
+        d += 1
+        tree = stage(tree, "url-levels", spent)
+        alone = tree.groupBy("host", "template").agg((F.count(F.lit(1)) == 1).alias("alone"))
+        tree = stage(tree.join(alone, ["host", "template"]).withColumn("settled", F.col("alone") | (F.size("segments") <= d)), "url-open", spent)
+        rest = F.when(F.size("segments") > d, F.slice("segments", F.lit(d + 1), F.greatest(F.size("segments") - d, F.lit(1))))
+        columns = ["host", "shape", "segments", "template", "n", "labelled", "bad"]
+        settled.append(tree.filter("settled").withColumn("template", F.concat_ws("/", F.col("template"), rest)).select(*columns))
+        tree = tree.filter("NOT settled").select(*columns)
+        if tree.isEmpty():
+            return reduce(DataFrame.union, settled)
+
+
 def template_verdicts(urls: DataFrame, labelled: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(host, shape, template, bad_rate, verdict) for every shape in ``urls`` (host, path).
 
@@ -87,13 +106,11 @@ def template_verdicts(urls: DataFrame, labelled: DataFrame, threshold: float = T
     seen = urls.select("host", path_shape(F.col("path")).alias("shape"), F.lit(1).alias("n"), F.lit(0).alias("labelled"), F.lit(0).alias("bad"))
     marks = labelled.filter("bad IS NOT NULL").select("host", path_shape(F.col("path")).alias("shape"), F.lit(0), F.lit(1), F.col("bad").cast("int"))
     shapes = seen.union(marks).groupBy("host", "shape").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")])
-    parts = F.split(F.col("shape"), "/", MAX_DEPTH + 1)                # the last part keeps deeper segments
     spent: list[str] = []
-    tree = stage(shapes.withColumn("segments", F.when(F.col("shape") == "", F.expr("CAST(array() AS array<string>)"))
-                                   .otherwise(F.slice(parts, F.lit(2), F.lit(MAX_DEPTH)))).withColumn("template", F.lit("")), "url-shapes", spent)
-    for d in range(MAX_DEPTH):
-        tree = _level(tree, d)
-    tree = stage(tree, "url-templates", spent)
+    parts = F.split(F.regexp_replace("shape", "^/", ""), "/", -1)
+    tree = stage(shapes.withColumn("segments", F.when(F.col("shape") == "", F.expr("CAST(array() AS array<string>)")).otherwise(parts))
+                 .withColumn("template", F.lit("")), "url-shapes", spent)
+    tree = stage(_grown(tree, spent), "url-templates", spent)
     total = tree.agg((F.sum("bad") / F.greatest(F.sum("labelled"), F.lit(1))).alias("global_rate"))
     rate = lambda bad, n, prior: (F.sum(bad) + PRIOR_WEIGHT * prior) / (F.sum(n) + PRIOR_WEIGHT)
     g = float(total.first()[0] or 0.0)                                 # one number; no labels, no block
