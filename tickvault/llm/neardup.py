@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +43,10 @@ ship(__name__)
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
-#: Words of texts put through numpy together (a longer text is a batch of its own).
-BATCH_WORDS = 1 << 16
+#: Words of texts put through numpy together (a longer text is a batch of its own), texts whose signatures are
+#: drawn together, elements and points of the drawing: they bound a worker's matrices whatever the texts' lengths.
+BATCH_WORDS, BATCH_TEXTS = 1 << 16, 256
+ELEMENTS, POINTS = 1 << 16, 1 << 18
 CHUNK_BYTES = 1 << 20
 #: Buckets of so many nodes are pruned by rare shingles, those that at most RARE of their nodes have.
 LARGE_BUCKET, RARE = 16, 8
@@ -114,6 +117,11 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 def signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int = REGISTERS) -> np.ndarray:
     """BagMinHash signature (identities of the earliest points) of each non-empty multiset."""
+    some = [_signatures(bags[at:at + BATCH_TEXTS], registers) for at in range(0, len(bags), BATCH_TEXTS)]
+    return np.concatenate(some) if some else np.zeros((0, registers), _U)
+
+
+def _signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int) -> np.ndarray:
     sig = np.zeros((len(bags), registers), _U)
     todo, slack = np.array([i for i, b in enumerate(bags) if len(b[0])], dtype=np.int64), 4.0
     while len(todo):
@@ -130,38 +138,45 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int = REGIS
             height = max(low, 1)
             parts.append((doc[at], mix(element[at] ^ mix(np.full(1, level + 1, _U))), weight[at], np.full(len(at), low), np.full(len(at), height)))
             low, level = low + height, level + 1
-        d, seed, w, lo, hi = (np.concatenate(x) for x in zip(*parts))
-        rate = hi * float(registers)
-        time, count = np.zeros(len(d)), np.zeros(len(d), _U)
+        drawn = [np.concatenate(x) for x in zip(*parts)]
         best_t = np.full(len(todo) * registers, np.inf)
         best_id = np.zeros(len(todo) * registers, _U)
-        while len(d):
-            expected = float((rate * (limit[d] - time)).mean())
-            block = int(np.clip(expected * 1.5 + 2, 2, max(2, 4_000_000 // len(d))))
-            k = count[:, None] + np.arange(1, block + 1, dtype=_U)
-            u = mix(seed[:, None] + k * _U(_P))
-            t = time[:, None] + np.cumsum(-np.log(((u >> _U(11)).astype(float) + 0.5) * 2.0**-53) / rate[:, None], axis=1)
-            v = mix(u ^ _U(0xD6E8FEB86659FD93))
-            place = lo[:, None] + hi[:, None] * ((v >> _U(32)).astype(float) * 2.0**-32)
-            r, c = np.nonzero((t <= limit[d][:, None]) & (place < w[:, None]))
-            register = d[r] * registers + ((v[r, c] & _U(0xFFFFFFFF)) * _U(registers) >> _U(32)).astype(np.int64)
-            when, point = t[r, c], u[r, c]
-            order = np.argsort(-when, kind="stable")                      # the earliest is written last
-            register, when, point = register[order], when[order], point[order]
-            earliest = np.full(len(best_t), np.inf)
-            first = np.zeros(len(best_t), _U)
-            earliest[register], first[register] = when, point
-            better = earliest < best_t
-            best_t[better], best_id[better] = earliest[better], first[better]
-            more = np.flatnonzero(t[:, -1] <= limit[d])
-            time, count = t[more, -1], count[more] + _U(block)
-            d, seed, w, lo, hi, rate = d[more], seed[more], w[more], lo[more], hi[more], rate[more]
+        for at in range(0, len(drawn[0]), ELEMENTS):
+            _draw(*(x[at:at + ELEMENTS] for x in drawn), limit, registers, best_t, best_id)
         filled = np.isfinite(best_t).reshape(len(todo), registers).all(axis=1)
         sig[todo[filled]] = best_id.reshape(len(todo), registers)[filled]
         todo, slack = todo[~filled], slack + 6.0
     return sig
 
 
+def _draw(d: np.ndarray, seed: np.ndarray, w: np.ndarray, lo: np.ndarray, hi: np.ndarray, limit: np.ndarray, registers: int,
+          best_t: np.ndarray, best_id: np.ndarray) -> None:
+    """Run the elements' processes up to their texts' time limits; registers keep their earliest point."""
+    rate = hi * float(registers)
+    time, count = np.zeros(len(d)), np.zeros(len(d), _U)
+    while len(d):
+        expected = float((rate * (limit[d] - time)).mean())
+        block = int(np.clip(expected * 1.5 + 2, 2, max(2, POINTS // len(d))))
+        k = count[:, None] + np.arange(1, block + 1, dtype=_U)
+        u = mix(seed[:, None] + k * _U(_P))
+        t = time[:, None] + np.cumsum(-np.log(((u >> _U(11)).astype(float) + 0.5) * 2.0**-53) / rate[:, None], axis=1)
+        v = mix(u ^ _U(0xD6E8FEB86659FD93))
+        place = lo[:, None] + hi[:, None] * ((v >> _U(32)).astype(float) * 2.0**-32)
+        r, c = np.nonzero((t <= limit[d][:, None]) & (place < w[:, None]))
+        register = d[r] * registers + ((v[r, c] & _U(0xFFFFFFFF)) * _U(registers) >> _U(32)).astype(np.int64)
+        when, point = t[r, c], u[r, c]
+        order = np.lexsort((when, register))                             # the earliest of each register comes first
+        register, when, point = register[order], when[order], point[order]
+        first = np.ones(len(register), bool)
+        first[1:] = register[1:] != register[:-1]
+        register, when, point = register[first], when[first], point[first]
+        better = when < best_t[register]
+        best_t[register[better]], best_id[register[better]] = when[better], point[better]
+        more = np.flatnonzero(t[:, -1] <= limit[d])
+        time, count = t[more, -1], count[more] + _U(block)
+        d, seed, w, lo, hi, rate = d[more], seed[more], w[more], lo[more], hi[more], rate[more]
+
+
 def band_hashes(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """One signed 64-bit hash per band of registers."""
     n, bands = len(sig), sig.shape[1] // rows
@@ -179,20 +194,25 @@ def node_of(text: Column) -> Column:
 
 def _signed(rows: DataFrame) -> DataFrame:
     """(node, total, bands) of rows (node, text): shingles and band hashes; texts without words have none."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    def signed(nodes: list[bytes], bags: list) -> pa.RecordBatch:
+        bands = band_hashes(signatures(bags))
+        offsets = np.arange(0, bands.size + 1, bands.shape[1], dtype=np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array([int(b[1].sum()) for b in bags], pa.int64()),
+                                           pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.ravel()))], names=["node", "total", "bands"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:                                            # one text at a time becomes a Python string
             nodes, bags, words = [], [], 0
-            last = len(pdf) - 1
-            for i, (node, text) in enumerate(zip(pdf["node"], pdf["text"])):
-                bag = shingles(text)
+            for i in range(batch.num_rows):
+                bag = shingles(batch["text"][i].as_py())
                 if len(bag[0]):
-                    nodes.append(node)
+                    nodes.append(batch["node"][i].as_py())
                     bags.append(bag)
                     words += len(bag[0])
-                if bags and (words >= BATCH_WORDS or i == last):
-                    yield pd.DataFrame({"node": nodes, "total": [int(b[1].sum()) for b in bags], "bands": list(band_hashes(signatures(bags)))})
+                if bags and (words >= BATCH_WORDS or i == batch.num_rows - 1):
+                    yield signed(nodes, bags)
                     nodes, bags, words = [], [], 0
-    return rows.select("node", "text").mapInPandas(run, "node binary, total long, bands array<bigint>")
+    return rows.select("node", "text").mapInArrow(run, "node binary, total long, bands array<bigint>")
 
 
 def _rare(texts: DataFrame, spent: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -219,16 +239,17 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFram
     wide = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
             .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a").select("a", "b", "text_a", "text_b"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, bag = None, None
-        for pdf in batches:
+        for batch in batches:
             keep = []
-            for a, ta, tb in zip(pdf["a"], pdf["text_a"], pdf["text_b"]):
+            for i in range(batch.num_rows):
+                a = batch["a"][i].as_py()
                 if a != last:                                            # rows come sorted by a
-                    last, bag = a, shingles(ta)
-                keep.append(similarity(bag, shingles(tb)) >= threshold)
-            yield pdf.loc[keep, ["a", "b"]]
-    return wide.mapInPandas(run, "a binary, b binary")
+                    last, bag = a, shingles(batch["text_a"][i].as_py())
+                keep.append(similarity(bag, shingles(batch["text_b"][i].as_py())) >= threshold)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    return wide.mapInArrow(run, "a binary, b binary")
 
 
 def components(edges: DataFrame, spent: list[str]) -> DataFrame:
