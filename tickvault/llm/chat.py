@@ -1,9 +1,9 @@
 """Chat formatting by quotation linking.
 
 Each message is split into its own body and its quoted lines (leading ``>`` marks, nested levels;
-a line announcing a quote, "... wrote:", goes with it). Quoted lines, and all lines of one level
-together, are normalised and hashed, and joined to the earliest message of the conversation that
-said them. A message replies to the message it quotes at the lowest level (most quoted characters,
+a line announcing a quote, "... wrote:", goes with it). Quoted lines, runs of quoted lines, all lines of
+one level together and the sentences in them are normalised and hashed, whatever their length, and joined to
+the earliest message of the conversation that said them (as a line, a sentence or its whole body). A message replies to the message it quotes at the lowest level (most quoted characters,
 then the latest turn); without a link it replies to the turn before it. Conversations come out in
 reply order (depth in the reply tree, then turn), without quotes, one row per message, so a
 conversation of any length is never held in one task.
@@ -21,7 +21,7 @@ from tickvault.llm.common import drop_stages, let, positions, stage
 
 ANNOUNCES = r"(?i)^(on|am|le|el)\b.{0,200}\b(wrote|schrieb|a écrit|escribió)\s?:$"
 _MARKS = r"^[\x20\t]*+(?:>[\x20\t]*+)*+"
-MIN_QUOTE = 3            # normalised characters below which a line identifies nothing
+ENDS = "[.!?\u2026\u3002\uff01\uff1f]+"       # of sentences
 MAX_ROUNDS = 64
 
 
@@ -40,15 +40,33 @@ def parsed_lines(text: Column) -> Column:
         (x["level"] == 0) & F.trim(x["line"]).rlike(ANNOUNCES) & F.coalesce(F.get(all_, i + 1)["level"] > 0, F.lit(False)))))
 
 
+def _passages(lines: Column) -> Column:
+    """array<struct<level, s>>: what may be quoted (level 0) or is quoted. Single lines, all lines of one level
+    together, each run of successive quoted lines, and the sentences of these texts, so that a passage is
+    found however it was wrapped."""
+    text = lambda some: F.array_join(F.transform(some, lambda x: x["line"]), " ")
+    made = lambda level, s: F.struct(level.alias("level"), s.alias("s"))
+
+    def runs(all_: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(all_) - 1), lambda i: (i == 0) | (F.get(all_, i)["level"] != F.get(all_, i - 1)["level"]))
+        ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(all_)))
+        return let(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda z: F.filter(F.transform(z, lambda r: made(
+            F.get(all_, r["a"])["level"], text(F.slice(all_, r["a"] + 1, r["b"] - r["a"])))), lambda r: r["level"] > 0))
+
+    def levels(all_: Column) -> Column:
+        return F.transform(F.array_distinct(F.transform(all_, lambda x: x["level"])), lambda v: made(v, text(F.filter(all_, lambda x: x["level"] == v))))
+
+    def sentences(texts: Column) -> Column:
+        return F.flatten(F.transform(texts, lambda t: F.transform(F.split(t["s"], ENDS), lambda x: made(t["level"], x))))
+    single = lambda all_: F.transform(all_, lambda x: made(x["level"], x["line"]))
+    return let(lines, lambda all_: let(F.concat(levels(all_), runs(all_)), lambda texts: F.concat(single(all_), texts, sentences(texts))))
+
+
 def _keys(lines: Column) -> Column:
-    """array<struct<level, key, chars>>: each line, and all lines of one level together."""
-    plain = F.filter(F.transform(lines, lambda x: F.struct(x["level"].alias("level"), normalised(x["line"]).alias("s"))), lambda x: F.length(x["s"]) >= MIN_QUOTE)
-
-    def joined(p: Column) -> Column:
-        levels = F.array_distinct(F.transform(p, lambda x: x["level"]))
-        whole = F.transform(levels, lambda v: F.struct(v.alias("level"), F.array_join(F.transform(F.filter(p, lambda x: x["level"] == v), lambda x: x["s"]), " ").alias("s")))
-        return F.array_distinct(F.transform(F.concat(p, whole), lambda x: F.struct(x["level"].alias("level"), F.xxhash64(x["s"]).alias("key"), F.length(x["s"]).alias("chars"))))
-    return let(plain, joined)
+    """array<struct<level, key, chars>> of a message's passages, normalised; each once."""
+    plain = F.transform(_passages(lines), lambda x: F.struct(x["level"].alias("level"), normalised(x["s"]).alias("s")))
+    plain = F.array_distinct(F.filter(plain, lambda x: x["s"] != ""))
+    return F.transform(plain, lambda x: F.struct(x["level"].alias("level"), F.xxhash64(x["s"]).alias("key"), F.length(x["s"]).alias("chars")))
 
 
 def _numbered(slots: DataFrame, order: list[str], name: str, kind: str, spent: list[str]) -> DataFrame:

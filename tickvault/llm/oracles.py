@@ -12,13 +12,19 @@ kept AS (
   SELECT * FROM (SELECT *, lead(level) OVER (PARTITION BY conv_id, turn ORDER BY i) AS following FROM leveled)
   WHERE NOT (level = 0 AND coalesce(following, 0) > 0
              AND regexp_matches(trim(line), '^(on|am|le|el)\b.{0,200}\b(wrote|schrieb|a écrit|escribió)\s?:$', 'i'))),
-plain AS (
-  SELECT *, trim(regexp_replace(lower(line), '[^\p{L}\p{N}]+', ' ', 'g')) AS s FROM kept),
-words AS (SELECT * FROM plain WHERE length(s) >= 3),
+stretches AS (
+  SELECT *, sum(CAST(level IS DISTINCT FROM before AS INTEGER)) OVER (PARTITION BY conv_id, turn ORDER BY i) AS stretch
+  FROM (SELECT *, lag(level) OVER (PARTITION BY conv_id, turn ORDER BY i) AS before FROM kept)),
+texts AS (
+  SELECT conv_id, turn, level, string_agg(line, ' ' ORDER BY i) AS s FROM kept GROUP BY conv_id, turn, level
+  UNION ALL
+  SELECT conv_id, turn, level, string_agg(line, ' ' ORDER BY i) FROM stretches WHERE level > 0 GROUP BY conv_id, turn, level, stretch),
+passages AS (
+  SELECT conv_id, turn, level, line AS s FROM kept
+  UNION ALL SELECT conv_id, turn, level, s FROM texts
+  UNION ALL SELECT conv_id, turn, level, unnest(regexp_split_to_array(s, '[.!?…。！？]+')) FROM texts),
 keys AS (
-  SELECT DISTINCT conv_id, turn, level, s FROM words
-  UNION
-  SELECT conv_id, turn, level, string_agg(s, ' ' ORDER BY i) FROM words GROUP BY conv_id, turn, level),
+  SELECT * FROM (SELECT DISTINCT conv_id, turn, level, trim(regexp_replace(lower(s), '[^\p{L}\p{N}]+', ' ', 'g')) AS s FROM passages) WHERE s <> ''),
 said AS (SELECT conv_id, s, min(turn) AS to_turn FROM keys WHERE level = 0 GROUP BY conv_id, s),
 links AS (
   SELECT q.conv_id, q.turn, q.level, a.to_turn, sum(length(q.s)) AS chars
