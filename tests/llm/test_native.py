@@ -216,6 +216,28 @@ def test_leaks_in_other_white_space_quotes_and_case(spark):
         assert {r.doc_id for r in out.collect()} == {0, 1, 2, 3, 4, 5}
 
 
+def test_names_at_sentence_starts_short_items_and_unspaced_scripts(spark):
+    items = {1: "Ann has 3 apples. Ann eats 2. How many remain for Ann?", 2: "What is 12 plus 30?", 3: "小明有三个苹果他吃了两个还剩几个", 4: "Yes or no", 5: "3 4 5 6 7 8 9 10 11 12", 6: "どれ?"}
+    d = {10: "Bob has 7 apples. Bob eats 4. How many remain for Bob?", 11: "Bob has 7 apples. Carl eats 4. How many remain for Dan?",
+         12: "Test. What is 12 plus 30? I ask", 13: "What is 13 plus 30?", 14: "题目:小明有三个苹果,他吃了两个,还剩几个?", 15: "yes, or no!", 16: "Say yes or no now",
+         17: "a 3 4 5 6 7 8 9 10 11 12 b", 18: "a 3 4 5 6 7 8 9 10 11 13 b", 19: "小红有五本书", 20: items[1].upper(), 21: "どれ", 22: "どれか", 23: "So " + items[1] + " How quick, and How late"}
+    frame = lambda rows, c: spark.createDataFrame(list(rows.items()), f"{c} long, text string")
+    out = contamination.leaked_documents(frame(d, "doc_id"), frame(items, "item_id"))
+    no_python(out)
+    assert {(r.doc_id, r.item_id) for r in out.collect()} == {(10, 1), (20, 1), (23, 1), (12, 2), (14, 3), (15, 4), (17, 5), (21, 6)}
+
+
+def test_a_window_that_many_items_share_is_no_long_row(spark, docs):
+    head = "please read the following question with care and answer it "
+    items = spark.createDataFrame([(i, head + f"w{i}a x{i}b y{i}c z{i}d " * 5) for i in range(300)], "item_id long, text string")
+    d = spark.createDataFrame([(i, head + "nothing else") for i in range(20)] + [(99, f"{head} w7a x7b y7c z7d " * 5)], "doc_id long, text string")
+    made = contamination.leaked_documents(d, items)
+    got = {(r.doc_id, r.item_id) for r in made.collect()}
+    norm = [(r.doc_id, r.text) for r in d.collect()], [(r.item_id, r.text) for r in items.collect()]
+    assert got == {(a, b) for a, b in brute.leaks(*norm)} | {(99, 7)}
+    assert "at:array" not in plan_of(made)
+
+
 def check_shards(rows, texts, shards=sharding.SHARDS):
     counts = collections.Counter(r.shard for r in rows)
     assert max(counts.values(), default=0) - min((counts.get(s, 0) for s in range(shards)), default=0) <= 1
@@ -271,6 +293,29 @@ def test_chat_links_quotes_and_orders_replies(spark):
     assert chat.reply_ordered(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+QUOTING = [
+    (1, 0, "a", "I went there on Monday. The shop was closed because of the long public holiday, they said. Will you go again?"), (1, 1, "b", "Hm."), (1, 2, "c", "Well."),
+    (1, 3, "d", "> The shop was closed because of\n> the long public holiday, they said.\nWhich holiday?"),
+    (2, 0, "a", "No"), (2, 1, "b", "Sure?"), (2, 2, "c", "Wait."), (2, 3, "a", "> No\nReally not"), (2, 4, "c", "> 好\nx"), (2, 5, "c", "好。行。"), (2, 6, "d", ">> 行\n> x\ny"),
+    (3, 0, "a", "First point here.\nSecond point there."), (3, 1, "b", "Other words."), (3, 2, "c", "More words."),
+    (3, 3, "d", "> First\n> point here.\nyes\n> Second\n> point there.\nno"), (3, 4, "e", "> point here\nnot a whole sentence"), (3, 5, "f", "")]
+
+
+def test_chat_links_rewrapped_sentences_runs_and_short_quotes(spark):
+    """Against a plain reading: the earliest earlier message that has the quoted sentence, line or text."""
+    df = spark.createDataFrame(QUOTING, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.parent_turn, r.by_quote) for r in chat.reply_ordered(df).collect()}
+    assert got[1, 3] == (0, True) and got[2, 3] == (0, True) and got[2, 4] == (3, False) and got[2, 6] == (4, True)
+    assert got[3, 3] == (0, True) and got[3, 4] == (3, False)
+    plain = lambda t: " ".join(re.findall(r"[^\W_]+", t.lower()))
+    for c, t, _, text in QUOTING:
+        quoted = [x.lstrip("> ") for x in text.split("\n") if x.startswith(">")]
+        said = [n for k, n, _, other in QUOTING if k == c and n < t and not other.startswith(">") and quoted
+                and {plain(x) for x in re.split("[.!?。]+", " ".join(quoted))} & {plain(x) for x in re.split("[.!?。]+|\n", other)} - {""}]
+        if not text.startswith(">>"):
+            assert got[c, t] == ((min(said), True) if said else (t - 1 if t else None, False))
+
+
 def test_chat_without_quotes_keeps_every_turn_in_order(spark):
     rows = QUERIES["op10_chat"](spark, SF_SMALL).collect()
     given = spark.read.parquet(f"{SF_SMALL}/conversations.parquet").collect()
@@ -286,6 +331,7 @@ def test_chat_sql_says_the_same(spark):
     m = [(1, 0, "user", "Hello there, how do I sort a list?\nSecond question: what is a tuple?"), (1, 1, "assistant", "Use sorted().\nA tuple is immutable."),
          (1, 2, "user", "> Use  SORTED().\nThanks, and in reverse?"), (1, 3, "bot", "On Monday Bob wrote:\n> Second question: what is a tuple?\nIt is like a list."),
          (1, 4, "user", ">> Use sorted().\n> Thanks, and in reverse?\n\nreverse=True"), (2, 5, "user", ""), (2, 9, "user", "> said later"), (2, 11, "user", "said later")]
+    m += [(c + 10, *rest) for c, *rest in QUOTING]
     df = spark.createDataFrame(m, "conv_id long, turn long, role string, text string")
     con = duckdb.connect()
     con.register("conversations", df.toPandas())

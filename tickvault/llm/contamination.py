@@ -9,11 +9,15 @@ at one alignment of item and document are put together. An item leaks into a doc
 windows cover ``COVERAGE`` of it or run over ``RUN`` tokens, with at least ``LITERALS`` plain words
 among them. Windows with unchanged slots count by themselves; those with changed slots count if the
 slots are consistent: one value of the item always becomes the same value in the document (equal
-numbers before different words are different values), or only one slot is changed.
+numbers before different words are different values), or only one slot is changed. Items of fewer than
+``LITERALS`` plain words leak only if a document holds all of their tokens with unchanged slots; of fewer
+than ``LITERALS`` tokens, if it is nothing else.
+
+A capitalised word at the start of a sentence is a name if the text has it as one elsewhere. Scripts without
+blanks between words are cut into single characters.
 
 DataFrame functions only. Null and empty texts have no tokens. Documents are compared by distinct
-text, so copies cost nothing extra and all of them are reported. Items of fewer than ``LITERALS``
-plain words can't be told from chance and never leak. Ids may repeat or be null; equal rows are
+text, so copies cost nothing extra and all of them are reported. Ids may repeat or be null; equal rows are
 reported alike, one row for each (document row, item id).
 """
 from __future__ import annotations
@@ -35,13 +39,28 @@ UNITS = ("mm|cm|m|km|inch|inches|ft|feet|foot|yard|yards|mile|miles|mg|g|kg|lb|l
 # a name: capitalised word after a small letter, digit or comma and any white space, quotes and
 # brackets; it is marked with a leading U+0001 so that the tokens keep both the type and the value
 _NAME = r"""([\p{Ll}\p{N},;:])[\s\p{Z}"'`\u2018-\u201f\u00ab\u00bb\u2039\u203a()\[\]{}]++(?=\p{Lu}\p{Ll})"""
-_TOKEN = r"\x01?[\p{L}\p{M}]+|[0-9]++(?:[.,][0-9]++)*+"
+# a capitalised word at the start of a text or sentence, marked U+0002
+_START = r"""(^|[.!?…:;\n]["'`\u2018-\u201f\u00ab\u00bb)\]]*+)[\s\p{Z}"'`\u2018-\u201f\u00ab\u00bb(\[]*+(?=\p{Lu}\p{Ll})"""
+#: Scripts written without blanks between words: every character is a token.
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_TOKEN = rf"[\x01\x02]?[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]+|[{_UNSPACED}]|[0-9]++(?:[.,][0-9]++)*+"
+
+
+_NO_WINDOWS = "CAST(array() AS array<struct<w:int,pos:int,hash:bigint,slots:array<string>>>)"
 
 
 def tokens(text: Column) -> Column:
     """Lower-cased words and numbers in order; names keep a leading U+0001."""
-    clean = F.translate(F.coalesce(text, F.lit("")), "\x01", " ")
-    return F.regexp_extract_all(F.lower(F.regexp_replace(clean, _NAME, "$1 \x01")), F.lit(_TOKEN), F.lit(0))
+    clean = F.translate(F.coalesce(text, F.lit("")), "\x01\x02", "  ")
+    marked = F.regexp_replace(F.regexp_replace(clean, _NAME, "$1 \x01"), _START, "$1 \x02")
+    found = F.regexp_extract_all(F.lower(marked), F.lit(_TOKEN), F.lit(0))
+
+    def starts(all_: Column) -> Column:
+        names = F.array_distinct(F.filter(all_, lambda t: t.startswith("\x01")))
+        name = lambda t: F.concat(F.lit("\x01"), F.substring(t, F.lit(2), F.length(t)))
+        return let(names, lambda known: F.transform(all_, lambda t: F.when(~t.startswith("\x02"), t).when(
+            (F.size(known) > 0) & F.array_contains(known, name(t)), name(t)).otherwise(F.ltrim(t, F.lit("\x02")))))
+    return let(found, starts)
 
 
 def _units() -> Column:
@@ -86,10 +105,16 @@ def windows(raw: Column, size: int, keyed: bool = False) -> Column:
         folded = let(plain, lambda words: let(template(words), lambda t: let(named, lambda n: hashed(t, words, n))))
         return F.when(F.array_contains(tpl, NAME), F.concat(hashed(tpl, raw, starts), folded)).otherwise(hashed(tpl, raw, starts))
 
-    empty = F.expr(f"CAST(array() AS array<struct<w:int,pos:int,hash:bigint,slots:array<{kind}>>>)")
+    empty = F.expr(_NO_WINDOWS.replace("array<string>", f"array<{kind}>"))
     return F.when(F.size(raw) < size, empty).otherwise(let(template(raw), of))
 
 
+def _wanted(raw: Column, size: int) -> Column:
+    """A document's windows of one size; of the smallest sizes only a document that is nothing else."""
+    made = windows(raw, size)
+    return made if size >= LITERALS else F.when(F.size(raw) == size, made).otherwise(F.expr(_NO_WINDOWS))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, spent: list[str] | None = None) -> DataFrame:
     """(text_key, item_ids, null_id, n_tokens, covered, longest, n_slots, n_changed) for each distinct
     document text and distinct benchmark text that leaks into it. ``docs``: ``text``; ``benchmark``:
@@ -100,8 +125,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, spent: list[str] | None
     as the item has tokens."""
     own: list[str] = [] if spent is None else spent
     items = (benchmark.select("item_id", tokens(F.col("text")).alias("raw")).withColumn("tpl", template(F.col("raw")))
-             .filter(F.size(F.filter("tpl", _literal)) >= LITERALS)
-             .groupBy("tpl", "raw").agg(F.collect_set("item_id").alias("item_ids"), F.max(F.col("item_id").isNull()).alias("null_id")))
+             .filter(F.size("raw") > 0).groupBy("tpl", "raw").agg(F.collect_set("item_id").alias("item_ids"), F.max(F.col("item_id").isNull()).alias("null_id")))
     items = stage(items.withColumn("item_no", F.xxhash64("raw")), "bench-items", own)
     width = F.least(F.size("tpl"), F.lit(WINDOW))
     sizes = [r[0] for r in items.select(width.alias("w")).distinct().collect()]      # at most WINDOW values
@@ -109,19 +133,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, spent: list[str] | None
         return docs.sparkSession.createDataFrame([], "text_key string, item_ids array<bigint>, null_id boolean, n_tokens int, covered int, "
                                                  "longest int, n_slots int, n_changed int")
     in_items = reduce(DataFrame.union, [items.filter(width == w).select("item_no", F.explode(windows(F.col("raw"), w, keyed=True)).alias("x")) for w in sizes])
-    at = F.struct("item_no", F.col("x.pos").alias("i_pos"), F.col("x.slots").alias("i_slots"))
-    in_items = stage(in_items.groupBy("x.w", "x.hash").agg(F.collect_set(at).alias("at")), "bench-windows", own)
-    keys = in_items.select("w", "hash")
+    # a row for each window and item: a window that many items share is many rows, never one long list
+    in_items = stage(in_items.select("item_no", "x.w", "x.hash", F.col("x.pos").alias("i_pos"), F.col("x.slots").alias("i_slots")).distinct(), "bench-windows", own)
+    keys = in_items.select("w", "hash").distinct()
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_WINDOWS else keys
     every = docs.select(text_key(F.col("text")).alias("text_key"), tokens(F.col("text")).alias("raw"))
-    found = (every.select("text_key", F.explode(F.concat(*[windows(F.col("raw"), w) for w in sizes])).alias("x")).select("text_key", "x.*")
-             .join(keys, ["w", "hash"], "left_semi").distinct())
-    pairs = F.coalesce(F.zip_with("at.i_slots", "slots", lambda a, b: F.struct(a["p"].alias("p"), a["v"].alias("a"), a["key"].alias("key"), b.alias("b"))),
+    every = every.select("text_key", F.size("raw").alias("size"), F.explode(F.concat(*[_wanted(F.col("raw"), w) for w in sizes])).alias("x"))
+    found = every.select("text_key", "size", "x.*").join(keys, ["w", "hash"], "left_semi").distinct()
+    pairs = F.coalesce(F.zip_with("i_slots", "slots", lambda a, b: F.struct(a["p"].alias("p"), a["v"].alias("a"), a["key"].alias("key"), b.alias("b"))),
                        F.expr("CAST(array() AS array<struct<p:int,a:string,key:string,b:string>>)"))
     same = ~F.exists("pairs", lambda x: x["a"] != x["b"])
-    placed = (found.join(in_items, ["w", "hash"]).select("text_key", "w", "pos", "slots", F.explode("at").alias("at"))
-              .select("text_key", "at.item_no", (F.col("pos") - F.col("at.i_pos")).alias("shift"), F.col("at.i_pos").alias("pos"), "w", pairs.alias("pairs"))
-              .groupBy("text_key", "item_no", "shift").agg(F.collect_set(F.struct("pos", "w", "pairs", same.alias("same"))).alias("hits")))
+    placed = (found.join(in_items, ["w", "hash"])
+              .select("text_key", "size", "item_no", (F.col("pos") - F.col("i_pos")).alias("shift"), F.col("i_pos").alias("pos"), "w", pairs.alias("pairs"))
+              .groupBy("text_key", "size", "item_no", "shift").agg(F.collect_set(F.struct("pos", "w", "pairs", same.alias("same"))).alias("hits")))
     step = lambda acc, s: F.struct(F.when(s, acc["run"] + 1).otherwise(0).alias("run"),
                                    F.greatest(acc["best"], F.when(s, acc["run"] + 1).otherwise(0)).alias("best"))
 
@@ -143,7 +167,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, spent: list[str] | None
               .withColumn("consistent", (distinct(lambda x: x["key"]) == distinct(lambda x: F.struct(x["key"], x["b"])))
                           | (F.size(F.array_distinct(F.transform(F.filter("pairs", lambda x: x["a"] != x["b"]), lambda x: x["p"]))) <= 1)))
     judged = evidence(evidence(judged, ""), "_same")
-    leaks = judged.filter((F.col("enough") & F.col("consistent")) | F.col("enough_same"))
+    plain = F.size(F.filter("tpl", _literal))
+    exact = (F.col("covered_same") == F.size("tpl")) & ((F.size("tpl") >= LITERALS) | (F.col("size") == F.size("tpl")))
+    leaks = judged.filter(F.when(plain >= LITERALS, (F.col("enough") & F.col("consistent")) | F.col("enough_same")).otherwise(exact))
     best = F.max(F.struct("covered", "longest", "n_tokens", "n_slots", "n_changed"))
     return (leaks.groupBy("text_key", "item_no").agg(best.alias("b"), F.first("item_ids").alias("item_ids"), F.first("null_id").alias("null_id"))
             .select("text_key", "item_ids", "null_id", "b.n_tokens", "b.covered", "b.longest", "b.n_slots", "b.n_changed"))
