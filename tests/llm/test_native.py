@@ -229,8 +229,9 @@ def test_names_at_sentence_starts_short_items_and_unspaced_scripts(spark):
 
 def test_a_window_that_many_items_share_is_no_long_row(spark, docs):
     head = "please read the following question with care and answer it "
-    items = spark.createDataFrame([(i, head + f"w{i}a x{i}b y{i}c z{i}d " * 5) for i in range(300)], "item_id long, text string")
-    d = spark.createDataFrame([(i, head + "nothing else") for i in range(20)] + [(99, f"{head} w7a x7b y7c z7d " * 5)], "doc_id long, text string")
+    own = lambda i: " ".join(f"{chr(97 + i // 26)}{c}{chr(97 + i % 26)}" for c in "klmnopqrstuv")
+    items = spark.createDataFrame([(i, head + own(i)) for i in range(300)], "item_id long, text string")
+    d = spark.createDataFrame([(i, head + "nothing else") for i in range(20)] + [(99, f"so {head} {own(7)}")], "doc_id long, text string")
     made = contamination.leaked_documents(d, items)
     got = {(r.doc_id, r.item_id) for r in made.collect()}
     norm = [(r.doc_id, r.text) for r in d.collect()], [(r.item_id, r.text) for r in items.collect()]
