@@ -1,0 +1,78 @@
+"""Lexicon and scores against a plain Python version, and on posts that were not learnt from."""
+import collections
+import math
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from tests.conftest import SF_CHECK
+from tickvault.operators import flatten, sentiment
+from tickvault.plans import tables as tb
+
+WORD = re.compile(r"[^\W_]+")
+
+
+def brute_lexicon(posts, marks):
+    p, n = collections.Counter(), collections.Counter()
+    for k, text in posts.items():
+        if marks.get(k) is not None:
+            (p if marks[k] else n).update(set(WORD.findall((text or "").lower())))
+    terms = p.keys() | n.keys()
+    out = {}
+    for t in terms:
+        w = math.log((p[t] + 0.5) / (p.total() + 0.5 * len(terms))) - math.log((n[t] + 0.5) / (n.total() + 0.5 * len(terms)))
+        if abs(w / math.sqrt(1 / (p[t] + 0.5) + 1 / (n[t] + 0.5))) >= sentiment.Z:
+            out[t] = w
+    return out
+
+
+def brute_score(text, lexicon):
+    found = WORD.findall((text or "").lower())
+    hits = [lexicon[w] * (-1 if set(found[max(0, i - 3):i]) & set(sentiment.NEGATIONS) else 1) for i, w in enumerate(found) if w in lexicon]
+    m = sum(hits) / len(hits) if hits else 0.0
+    return round(m / (1 + abs(m)), 5), len(hits)
+
+
+def test_lexicon_and_scores(spark):
+    rng = random.Random(2)
+    good, bad, plain = "great fine moon rally".split(), "scam crash rug".split(), "the a of coin price not never".split()
+    posts, marks = {}, {}
+    for i in range(200):
+        kind = i % 2 == 0
+        posts[str(i)] = " ".join(rng.choices((good if kind else bad) + plain, k=rng.randint(1, 20)))
+        marks[str(i)] = kind if i % 10 else None
+    posts |= {"neg": "this is not a great, never GREAT coin. Great!", "none": None, "empty": "", "far": "not one two three great", "start": "not"}
+    df = spark.createDataFrame(list(posts.items()), "submission_id string, text string")
+    labels = spark.createDataFrame([*marks.items(), ("1", False), ("absent", True), ("none", True)], "submission_id string, positive boolean")
+    lexicon = sentiment.learn(df, labels)
+    want = brute_lexicon(posts, marks | {"none": True})
+    got = {r.term: r.weight for r in lexicon.collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[t], want[t], rel_tol=1e-9) for t in want)
+    assert {"great", "moon"} <= {t for t, w in got.items() if w > 0} and {"scam", "crash"} <= {t for t, w in got.items() if w < 0} and "the" not in got
+    scores = {r.submission_id: (r.sentiment_score, r.n_terms) for r in sentiment.score(df, lexicon).collect()}
+    assert scores.keys() == posts.keys()
+    for k, text in posts.items():
+        value, n = brute_score(text, want)
+        assert scores[k][1] == n and abs(scores[k][0] - value) <= 1e-5
+    assert scores["far"][0] > 0 > scores["neg"][0] and scores["none"] == (0.0, 0)
+    empty = sentiment.learn(df.limit(0), labels)
+    assert empty.count() == 0 and {r.sentiment_score for r in sentiment.score(df, empty).collect()} == {0.0}
+
+
+def test_scores_of_posts_not_learnt_from_tell_toxic_ones(spark):
+    posts = tb.posts(spark, SF_CHECK).select("submission_id", "text")
+    marks = tb.table(spark, SF_CHECK, "labels").select(F.col("doc_id").cast("string").alias("submission_id"), (F.col("toxic") == 0).alias("positive"))
+    held = F.crc32(F.col("submission_id").cast("binary")) % 3 == 1
+    lexicon = sentiment.learn(posts, marks.filter(~held))
+    rows = sentiment.score(posts.filter(held), lexicon).join(marks.filter(held), "submission_id").collect()
+    good, bad = [r.sentiment_score for r in rows if r.positive], [r.sentiment_score for r in rows if not r.positive]
+    above = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
+    assert above > 0.8, above
+
+
+def test_index_rows_take_the_score(spark):
+    rows = spark.createDataFrame([("c", "S", "t", "x", 1, 2, "2024-01-01T00:00:00Z", 0.25)],
+                                 "coin_id string, symbol string, title string, selftext string, score int, num_comments int, created_utc string, sentiment_score double")
+    assert flatten.index_rows(rows).first().sentiment_score == 0.25
+    assert flatten.index_rows(rows.drop("sentiment_score")).first().sentiment_score is None

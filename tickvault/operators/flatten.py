@@ -151,7 +151,8 @@ def tweet_rows(raw: DataFrame) -> DataFrame:
 
 
 def index_rows(posts: DataFrame, symbol: Column | None = None) -> DataFrame:
-    """K8: the typed 8-field search-index projection of stored posts."""
+    """K8: the typed 8-field search-index projection of stored posts; ``sentiment_score`` is NULL unless the
+    posts have it (``operators.sentiment``)."""
     return posts.select(
         F.col("coin_id").cast("string").alias("coin_id"),
         (symbol if symbol is not None else F.col("symbol")).cast("string").alias("symbol"),
@@ -160,6 +161,6 @@ def index_rows(posts: DataFrame, symbol: Column | None = None) -> DataFrame:
         F.col("score").cast("int").alias("score"),
         F.col("num_comments").cast("int").alias("num_comments"),
         times.parse_iso(F.col("created_utc").cast("string")).alias("created_utc"),
-        F.lit(None).cast("float").alias("sentiment_score"),
+        (F.col("sentiment_score") if "sentiment_score" in posts.columns else F.lit(None)).cast("float").alias("sentiment_score"),
     )
 

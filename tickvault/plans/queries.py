@@ -554,6 +554,31 @@ def search_bm25(spark, d):
     return text_index.bm25_search(spark, path, tb.table(spark, d, "benchmark"), RELEVANT, query_id="item_id")
 
 
+_NEGATIONS = "['" + "', '".join(["not", "no", "never", "none", "nothing", "neither", "nor", "without", "cannot", "nicht", "kein", "keine", "nie", "ne", "pas",
+                                 "jamais", "sans", "nunca", "ni", "sin"]) + "']"
+
+
+@query("post_sentiment", r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+marks AS (SELECT doc_id, max(toxic) = 0 AS positive FROM labels WHERE toxic IS NOT NULL GROUP BY doc_id),
+seen AS (SELECT DISTINCT doc_id, positive, unnest(w) AS term FROM docs JOIN marks USING (doc_id)),
+counts AS (SELECT term, CAST(count(*) FILTER (WHERE positive) AS DOUBLE) AS p, CAST(count(*) FILTER (WHERE NOT positive) AS DOUBLE) AS n FROM seen GROUP BY term),
+total AS (SELECT sum(p) AS tp, sum(n) AS tn, count(*) AS v FROM counts),
+odds AS (SELECT term, p, n, ln((p + 0.5::DOUBLE) / (tp + 0.5::DOUBLE * v)) - ln((n + 0.5::DOUBLE) / (tn + 0.5::DOUBLE * v)) AS weight FROM counts, total),
+lexicon AS (SELECT term, weight FROM odds WHERE abs(weight / sqrt(1 / (p + 0.5::DOUBLE) + 1 / (n + 0.5::DOUBLE))) >= 2),
+tok AS (SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) AS i, w FROM docs),
+hits AS (SELECT doc_id, weight * CASE WHEN list_has_any(w[greatest(i - 3, 1):i - 1], """ + _NEGATIONS + r""") THEN -1 ELSE 1 END AS x FROM tok JOIN lexicon USING (term)),
+means AS (SELECT doc_id, sum(x) / count(*) AS m, count(*) AS n_terms FROM hits GROUP BY doc_id)
+SELECT CAST(d.doc_id AS VARCHAR) AS submission_id, coalesce(round(m / (1 + abs(m)), 5), 0) AS sentiment_score, coalesce(n_terms, 0) AS n_terms
+FROM docs d LEFT JOIN means USING (doc_id)""")
+def post_sentiment(spark, d):
+    """§2.14 / K8: every post's score by the lexicon that the labelled posts give (toxic ones are negative)."""
+    from tickvault.operators import sentiment
+    posts = tb.posts(spark, d).select("submission_id", "text")
+    marks = tb.table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("submission_id"), (F.col("toxic") == 0).alias("positive"))
+    return sentiment.score(posts, sentiment.learn(posts, marks))
+
+
 # ---- JSON messages (conversations) -------------------------------------------------------
 
 MESSAGE_TURNS = 8   # a message carries at most this many turns of one conversation
