@@ -1,0 +1,58 @@
+"""VARIANT documents and their drift; sketches of distinct ids."""
+import datetime as dt
+import json
+import os
+
+from pyspark.sql import functions as F, types as T
+
+from tickvault.operators import sketches
+from tickvault.sources import drift
+
+SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("rank", T.IntegerType()),
+                       T.StructField("quotes", T.MapType(T.StringType(), T.StructType([T.StructField("price", T.DoubleType())]))),
+                       T.StructField("tags", T.ArrayType(T.StructType([T.StructField("n", T.LongType())])))])
+
+
+def docs(spark, *values):
+    return spark.createDataFrame([(v if v is None or isinstance(v, str) else json.dumps(v),) for v in values], "value string")
+
+
+def test_new_nested_fields_are_kept_and_reported(spark, tmpdir_path):
+    df = docs(spark, {"id": "a", "rank": 1, "quotes": {"USD": {"price": 2, "fee": {"maker": 0.1}}}, "tags": [{"n": 1}, {"n": "x", "m": [1]}]},
+              {"id": 7, "rank": "high", "chain": {"name": "sol", "slots": [1, 2]}, "quotes": {"EUR": {"price": 1.5}}}, "not json", None, [1, 2], {"quotes": None, "tags": "none"})
+    got = {(r.path, r.kind, r.status): r.n_docs for r in drift.drift(df, SCHEMA).collect()}
+    assert got == {("$.id", "STRING", "known"): 1, ("$.id", "BIGINT", "type"): 1, ("$.rank", "BIGINT", "known"): 1, ("$.rank", "STRING", "type"): 1,
+                   ("$.quotes", "OBJECT", "known"): 2, ("$.quotes", "VOID", "known"): 1, ("$.quotes.*", "OBJECT", "known"): 2, ("$.quotes.*.price", "BIGINT", "known"): 1,
+                   ("$.quotes.*.price", "DECIMAL", "known"): 1, ("$.quotes.*.fee", "OBJECT", "new"): 1, ("$.tags", "ARRAY", "known"): 1, ("$.tags", "STRING", "type"): 1,
+                   ("$.tags.*", "OBJECT", "known"): 1, ("$.tags.*.n", "BIGINT", "known"): 1, ("$.tags.*.n", "STRING", "type"): 1, ("$.tags.*.m", "ARRAY", "new"): 1,
+                   ("$.chain", "OBJECT", "new"): 1, ("$", "NOT JSON", "type"): 2, ("$", "ARRAY", "type"): 1}
+    path = f"{tmpdir_path}/docs"
+    drift.parsed(df, SCHEMA).write.parquet(path)                         # unknown fields outlive the write
+    rows = spark.read.parquet(path).select("value", "typed", F.to_json("extra").alias("extra"), F.expr("variant_get(extra, '$.chain.slots[1]', 'int')").alias("slot"))
+    by = {r.value: r for r in rows.collect()}
+    second = next(r for v, r in by.items() if v and "chain" in v)
+    assert json.loads(second.extra) == {"chain": {"name": "sol", "slots": [1, 2]}} and second.slot == 2
+    assert second.typed.rank is None and second.typed.quotes["EUR"].price == 1.5
+    first = next(r for v, r in by.items() if v and "fee" in v)
+    assert first.extra is None and first.typed.id == "a" and first.typed.quotes["USD"].price == 2.0
+    assert by["not json"].typed is None and by[None].typed is None
+    assert drift.drift(df.limit(0), SCHEMA).count() == 0
+
+
+def test_sketches_unite_and_stay_in_the_bound(spark, tmpdir_path):
+    path, start = f"{tmpdir_path}/sketches", dt.datetime(2024, 1, 1)
+    ticks = spark.range(60_000).select((F.col("id") % 20_000).cast("string").alias("coin_id"),
+                                       (F.lit(start).cast("timestamp_ntz") + F.make_dt_interval((F.col("id") / 15_000).cast("int"))).alias("read_timestamp"))
+    for part in (ticks.filter("coin_id % 2 = 0"), ticks, ticks):
+        sketches.add_ticks(part, path)
+    got = {r.date.day: r.n_distinct for r in sketches.distinct_trailing(spark, path, 3).collect()}
+    exact = {1: 15_000, 2: 20_000, 3: 20_000, 4: 20_000}
+    assert got.keys() == exact.keys() and all(abs(got[d] - n) <= n * sketches.ERROR_BOUND for d, n in exact.items())
+    before = {d: os.listdir(f"{path}/{d}") for d in os.listdir(path) if d.startswith("date=")}
+    sketches.add_ticks(ticks.filter("read_timestamp >= '2024-01-04'"), path)
+    after = {d: os.listdir(f"{path}/{d}") for d in os.listdir(path) if d.startswith("date=")}
+    assert [d for d in before if before[d] != after[d]] == ["date=2024-01-04"]       # other days are not touched
+    assert {r.date.day: r.n_distinct for r in sketches.distinct_trailing(spark, path, 3).collect()} == got
+    sketches.add_ticks(ticks.limit(0), path)
+    sketches.add_ticks(spark.createDataFrame([(None, start), ("x", None)], "coin_id string, read_timestamp timestamp_ntz"), path)
+    assert {r.date.day: r.n_distinct for r in sketches.distinct_trailing(spark, path, 3).collect()} == got

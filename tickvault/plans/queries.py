@@ -301,6 +301,65 @@ def fillna_strings(spark, d):
     return nulls.fill_strings(o, "NA")
 
 
+TRAILING_DAYS = 7
+
+
+@query("distinct_trailing", f"""
+WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events)
+SELECT d.date, count(DISTINCT e.user_id) AS n_exact, TRUE AS within_bound
+FROM days d JOIN events e ON CAST(e.ts AS DATE) BETWEEN d.date - {TRAILING_DAYS - 1} AND d.date GROUP BY d.date""")
+def distinct_trailing(spark, d):
+    """A2 over time: coins seen in the seven days up to each day, from daily sketches merged in two batches (one of them
+    twice), against the exact number."""
+    from tickvault.operators import sketches
+    from tickvault.session import scratch_path
+    ticks = flatten.price_points(tb.price_ticks(spark, d)).select("coin_id", "read_timestamp")
+    path = scratch_path(spark, "sketches")
+    odd = F.hour("read_timestamp") % 2 == 1
+    for part in (ticks.filter(odd), ticks.filter(~odd), ticks.filter(odd)):
+        sketches.add_ticks(part, path)
+    estimate = sketches.distinct_trailing(spark, path, TRAILING_DAYS)
+    each = ticks.select(F.to_date("read_timestamp").alias("day"), "coin_id").distinct()
+    ahead = F.explode(F.sequence(F.col("day"), F.date_add("day", TRAILING_DAYS - 1))).alias("date")
+    exact = each.select(ahead, "coin_id").distinct().groupBy("date").agg(F.count(F.lit(1)).alias("n_exact"))
+    near = F.abs(F.col("n_distinct") - F.col("n_exact")) <= F.greatest(F.lit(1.0), F.col("n_exact") * sketches.ERROR_BOUND)
+    return estimate.join(exact, "date").select("date", "n_exact", near.alias("within_bound"))
+
+
+@query("schema_drift", """
+WITH d AS (SELECT event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k, value FROM events),
+n AS (SELECT count(*) AS all_, count(*) FILTER (WHERE event_type = 'signup') AS signups, count(*) FILTER (WHERE event_type = 'click') AS clicks,
+             count(*) FILTER (WHERE event_type = 'error') AS errors, count(*) FILTER (WHERE event_type = 'purchase') AS purchases FROM d)
+SELECT path, kind, status, n_docs FROM (
+  SELECT '$.id' AS path, 'STRING' AS kind, 'known' AS status, all_ - errors AS n_docs FROM n
+  UNION ALL SELECT '$.last_updated', 'STRING', 'known', all_ - errors - clicks FROM n
+  UNION ALL SELECT '$.last_updated', 'BIGINT', 'type', clicks FROM n
+  UNION ALL SELECT '$.quotes', 'OBJECT', 'known', all_ - errors FROM n
+  UNION ALL SELECT '$.quotes.*', 'OBJECT', 'known', all_ - errors FROM n
+  UNION ALL SELECT '$.quotes.*.market_cap', 'BIGINT', 'known', all_ - errors FROM n
+  UNION ALL SELECT '$.quotes.*.volume_24h', 'BIGINT', 'known', all_ - errors - purchases FROM n
+  UNION ALL SELECT '$.quotes.*.volume_24h', 'STRING', 'type', purchases FROM n
+  UNION ALL SELECT '$.quotes.*.spread', 'OBJECT', 'new', signups FROM n
+  UNION ALL SELECT '$.venue', 'ARRAY', 'new', signups FROM n
+  UNION ALL SELECT '$', 'NOT JSON', 'type', errors FROM n) WHERE n_docs > 0""")
+def schema_drift(spark, d):
+    """What price messages hold against their declared schema, if signups come with new fields, clicks with a
+    number as time, purchases with a text as volume and errors cut off."""
+    from tickvault import schemas
+    from tickvault.sources import drift
+    e = tb.table(spark, d, "events")
+    k = F.from_json("props", "k BIGINT").k.cast("string")
+    is_ = lambda t: F.col("event_type") == t
+    volume = F.when(is_("purchase"), F.concat(F.lit('"'), k, F.lit('"'))).otherwise(k)
+    spread = F.when(is_("signup"), F.lit(', "spread": {"bid": 1, "ask": 2.5}')).otherwise("")
+    time = F.when(is_("click"), F.col("event_id").cast("string")).otherwise(F.lit('"2024-01-01T00:00:00Z"'))
+    venue = F.when(is_("signup"), F.lit(', "venue": ["a", {"b": null}]')).otherwise("")
+    whole = F.concat(F.lit('{"id": "'), F.col("user_id").cast("string"), F.lit('", "last_updated": '), time, F.lit(', "quotes": {"USD": {"market_cap": 7, "volume_24h": '),
+                     volume, spread, F.lit("}}"), venue, F.lit("}"))
+    messages = e.select(F.when(is_("error"), F.substring(whole, 1, 20)).otherwise(whole).alias("value"))
+    return drift.drift(messages, schemas.PRICE_MESSAGE)
+
+
 # ---- history (orders) -------------------------------------------------------------------
 
 @query("historic_explode", with_(HISTORY) + """
