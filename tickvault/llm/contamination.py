@@ -42,7 +42,7 @@ _NAME = r"""([\p{Ll}\p{N},;:])[\s\p{Z}"'`\u2018-\u201f\u00ab\u00bb\u2039\u203a()
 # a capitalised word at the start of a text or sentence, marked U+0002
 _START = r"""(^|[.!?…:;\n]["'`\u2018-\u201f\u00ab\u00bb)\]]*+)[\s\p{Z}"'`\u2018-\u201f\u00ab\u00bb(\[]*+(?=\p{Lu}\p{Ll})"""
 #: Scripts written without blanks between words: every character is a token.
-_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_UNSPACED = r"\u0e01-\u0edf\u1000-\u109f\u1780-\u17d3\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}"
 _TOKEN = rf"[\x01\x02]?[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]+|[{_UNSPACED}]|[0-9]++(?:[.,][0-9]++)*+"
 
 
