@@ -43,7 +43,8 @@ _NAME = r"""([\p{Ll}\p{N},;:])[\s\p{Z}"'`\u2018-\u201f\u00ab\u00bb\u2039\u203a()
 _START = r"""(^|[.!?…:;\n]["'`\u2018-\u201f\u00ab\u00bb)\]]*+)[\s\p{Z}"'`\u2018-\u201f\u00ab\u00bb(\[]*+(?=\p{Lu}\p{Ll})"""
 #: Scripts written without blanks between words: every character is a token.
 _UNSPACED = r"\u0e01-\u0edf\u1000-\u109f\u1780-\u17d3\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}"
-_TOKEN = rf"[\x01\x02]?[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]+|[{_UNSPACED}]|[0-9]++(?:[.,][0-9]++)*+"
+_TOKEN = r"[\x01\x02]?[\p{L}\p{M}]+|[0-9]++(?:[.,][0-9]++)*+"
+_TOKEN_OR_CHARACTER = rf"[\x01\x02]?[\p{{L}}\p{{M}}&&[^{_UNSPACED}]]+|[{_UNSPACED}]|[0-9]++(?:[.,][0-9]++)*+"
 
 
 _NO_WINDOWS = "CAST(array() AS array<struct<w:int,pos:int,hash:bigint,slots:array<string>>>)"
@@ -52,15 +53,19 @@ _NO_WINDOWS = "CAST(array() AS array<struct<w:int,pos:int,hash:bigint,slots:arra
 def tokens(text: Column) -> Column:
     """Lower-cased words and numbers in order; names keep a leading U+0001."""
     clean = F.translate(F.coalesce(text, F.lit("")), "\x01\x02", "  ")
-    marked = F.regexp_replace(F.regexp_replace(clean, _NAME, "$1 \x01"), _START, "$1 \x02")
-    found = F.regexp_extract_all(F.lower(marked), F.lit(_TOKEN), F.lit(0))
+
+    def cut(marked: Column) -> Column:
+        found = lambda low, pattern: F.regexp_extract_all(low, F.lit(pattern), F.lit(0))
+        return let(F.lower(marked), lambda low: F.when(low.rlike(f"[{_UNSPACED}]"), found(low, _TOKEN_OR_CHARACTER)).otherwise(found(low, _TOKEN)))
 
     def starts(all_: Column) -> Column:
         names = F.array_distinct(F.filter(all_, lambda t: t.startswith("\x01")))
         name = lambda t: F.concat(F.lit("\x01"), F.substring(t, F.lit(2), F.length(t)))
         return let(names, lambda known: F.transform(all_, lambda t: F.when(~t.startswith("\x02"), t).when(
-            (F.size(known) > 0) & F.array_contains(known, name(t)), name(t)).otherwise(F.ltrim(t, F.lit("\x02")))))
-    return let(found, starts)
+            F.array_contains(known, name(t)), name(t)).otherwise(F.ltrim(t, F.lit("\x02")))))
+    # sentence starts matter only in texts that have names
+    return let(F.regexp_replace(clean, _NAME, "$1 \x01"), lambda named: F.when(
+        named.contains("\x01"), let(cut(F.regexp_replace(named, _START, "$1 \x02")), starts)).otherwise(cut(named)))
 
 
 def _units() -> Column:

@@ -3,7 +3,7 @@
 Components become integers ``floor(SCALE * x)``; a score is the integer inner product.
 
 * Vectors are put in order of descending length and packed into blocks of about ``BLOCK_BYTES``;
-  ``GROUP_BLOCKS`` successive blocks at most are a group. Queries are packed the same way.
+  ``GROUP_BLOCKS`` successive blocks at most are a group. Queries are packed in any order.
 * Axes are rotated by the singular vectors of the whole table (from the sums of component products, one
   pass), so that the first few rotated components, the head, carry most of an inner product.
 * The longest vectors (block 0) give every query a first k-th best score. With it a query needs no group whose
@@ -35,7 +35,8 @@ from tickvault.llm.common import drop_stages, ship, stage
 ship(__name__)
 
 K, SCALE, EVERY = 5, 256, 50
-BLOCK_BYTES, GROUP_BLOCKS, SLICE_BLOCKS = 1 << 20, 64, 256
+#: PART_BLOCKS: blocks that a task packs, about.
+BLOCK_BYTES, GROUP_BLOCKS, SLICE_BLOCKS, PART_BLOCKS = 1 << 20, 64, 256, 4
 #: Share of the squared lengths that the head's axes carry.
 HEAD = 0.8
 #: Vectors of more components are not rotated: the products of components would outgrow the driver.
@@ -87,10 +88,11 @@ def rotation(vectors: DataFrame, dims: int) -> tuple[np.ndarray, int]:
     return np.ascontiguousarray(axes), int(min(np.searchsorted(carried, HEAD) + 1, dims))
 
 
-def _blocks(vectors: DataFrame, dims: int, per_group: int, name: str, spent: list[str]) -> DataFrame:
-    """The vectors in blocks by descending length, staged: (group, at, vec_id, vector, longest). Groups of
-    at most ``per_group`` successive blocks are numbered in that order, blocks inside them by ``at``."""
+def _blocks(vectors: DataFrame, dims: int, per_group: int, by_length: bool, name: str, spent: list[str]) -> DataFrame:
+    """The vectors in blocks, staged: (group, at, vec_id, vector, longest). ``by_length``: in order of descending length;
+    groups of at most ``per_group`` successive blocks are numbered in that order, blocks inside them by ``at``."""
     rows = max(1, BLOCK_BYTES // (8 * max(dims, 1)))
+    parts = max(1, -(-vectors.count() // (rows * PART_BLOCKS)))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, done, ids, held, longest = TaskContext.get().partitionId(), 0, [], [], 0.0
@@ -100,7 +102,7 @@ def _blocks(vectors: DataFrame, dims: int, per_group: int, name: str, spent: lis
                                  "vector": [_matrix(held, dims).tobytes()], "longest": [longest]})
         for pdf in batches:
             for i, v, length in zip(pdf["vec_id"], pdf["vector"], pdf["length"]):
-                longest = longest if ids else length
+                longest = max(longest, length) if ids else length
                 ids.append(i)
                 held.append(v)
                 if len(ids) == rows:
@@ -109,7 +111,8 @@ def _blocks(vectors: DataFrame, dims: int, per_group: int, name: str, spent: lis
         if ids:
             yield block()
     order = [F.desc("length"), F.asc("vec_id"), F.asc("__n")]            # __n: rows alike in both are dealt out too
-    dealt = vectors.withColumn("__n", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = vectors.withColumn("__n", F.monotonically_increasing_id())
+    dealt = dealt.repartitionByRange(parts, *order).sortWithinPartitions(*order) if by_length else dealt.repartition(parts)
     packed = dealt.select("vec_id", "vector", "length").mapInPandas(pack, "group bigint, at int, vec_id array<bigint>, vector binary, longest double")
     return stage(packed, name, spent)
 
@@ -198,8 +201,8 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFram
     dims = max(dims, asked, 1)
     try:
         axes, head = rotation(vectors, dims)
-        blocks = _blocks(vectors, dims, GROUP_BLOCKS, "topk-blocks", spent)
-        asking = _blocks(queries, dims, SLICE_BLOCKS, "topk-queries", spent)
+        blocks = _blocks(vectors, dims, GROUP_BLOCKS, True, "topk-blocks", spent)
+        asking = _blocks(queries, dims, SLICE_BLOCKS, False, "topk-queries", spent)
         groups = blocks.groupBy("group").agg(F.max("longest").alias("longest")).orderBy("group").collect()   # one row for GROUP_BLOCKS blocks
         slices = [r[0] for r in asking.select("group").distinct().collect()]                                # one for SLICE_BLOCKS blocks of queries
         first = blocks.filter((F.col("group") == groups[0].group) & (F.col("at") == 0)).select("vec_id", "vector").first()   # one block
