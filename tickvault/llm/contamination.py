@@ -92,7 +92,7 @@ def windows(raw: Column, size: int, keyed: bool = False) -> Column:
 
     def at(h: Column, values: Column, starts: Column) -> Column:
         return F.transform(starts, lambda i: F.struct(
-            F.lit(size).alias("w"), i.alias("pos"), F.xxhash64(*[F.get(h, i + k) for k in range(size)]).alias("hash"),
+            F.lit(size).alias("w"), i.alias("pos"), F.xxhash64(F.slice(h, i + 1, size)).alias("hash"),
             F.when(values.isNull(), none).otherwise(F.filter(F.slice(values, i + 1, size), lambda v: v.isNotNull())).alias("slots")))
 
     def hashed(tpl: Column, words: Column, starts: Column) -> Column:
