@@ -142,8 +142,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, spent: list[str] | None
     in_items = stage(in_items.select("item_no", "x.w", "x.hash", F.col("x.pos").alias("i_pos"), F.col("x.slots").alias("i_slots")).distinct(), "bench-windows", own)
     keys = in_items.select("w", "hash").distinct()
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_WINDOWS else keys
-    every = docs.select(text_key(F.col("text")).alias("text_key"), tokens(F.col("text")).alias("raw"))
-    every = every.select("text_key", F.size("raw").alias("size"), F.explode(F.concat(*[_wanted(F.col("raw"), w) for w in sizes])).alias("x"))
+    # the number of tokens is a column of its own before the explode, whose rows would carry all tokens otherwise
+    every = docs.select(text_key(F.col("text")).alias("text_key"), tokens(F.col("text")).alias("raw")).withColumn("size", F.size("raw"))
+    every = every.select("text_key", "size", F.explode(F.concat(*[_wanted(F.col("raw"), w) for w in sizes])).alias("x"))
     found = every.select("text_key", "size", "x.*").join(keys, ["w", "hash"], "left_semi").distinct()
     pairs = F.coalesce(F.zip_with("i_slots", "slots", lambda a, b: F.struct(a["p"].alias("p"), a["v"].alias("a"), a["key"].alias("key"), b.alias("b"))),
                        F.expr("CAST(array() AS array<struct<p:int,a:string,key:string,b:string>>)"))
