@@ -72,3 +72,22 @@ def test_search_and_fetch_and_text_search(spark):
     newest = search.text_search(posts, "bitcoin", "en", F.col("text"), 1, since="2024-01-01 00:00:00", until="2024-01-05 00:00:00")
     assert [r.submission_id for r in newest.collect()] == ["p2"]
     assert search.text_search(posts, "bitcoin", "de", F.col("text"), 1).count() == 0
+
+
+def test_keywords_with_spaces_and_texts_without(spark):
+    """Anchors lie in runs without a space: keywords with spaces, of spaces only, runs longer than ``RUN`` on either side."""
+    texts = [("a", "x red bolt  y"), ("b", "redbolt"), ("c", "q" * 300 + "red" + "z" * 300), ("d", "名" * 400 + "bolt 中文"), ("e", ""), ("f", None), ("g", "ed")]
+    words = ["red bolt", "red", "bolt", " ", "  ", " y", "中文", "名bolt", "q" * 280 + "", "ed", "d b"]
+    posts = spark.createDataFrame(texts, "submission_id string, text string")
+    got = search.keyword_pairs(posts, F.col("text"), spark.createDataFrame([(w,) for w in words], "kw string")).select("submission_id", "kw").collect()
+    assert sorted(map(tuple, got)) == sorted((i, w) for i, t in texts for w in words if t is not None and w in t)
+
+
+def test_a_keyword_shared_by_many_coins_is_written_by_many_tasks(spark):
+    """The fan-out to the coins is split by coin, whatever keyword they share; before, one task wrote a shared keyword's rows."""
+    posts = spark.createDataFrame(POSTS, PSCHEMA)
+    coins = spark.range(4000).select(F.col("id").cast("string").alias("coin_id"), F.lit("Bitcoin").alias("name"), F.lit("BTC").alias("symbol"))
+    out = search.keyword_search(posts, coins, F.col("text"), limit=2)
+    sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 16000 and len(sizes) >= 8 and max(sizes) < 4000
+    assert "BroadcastExchange" in out._jdf.queryExecution().executedPlan().toString()
