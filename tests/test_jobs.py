@@ -122,3 +122,32 @@ def test_hourly_price_refresh_from_landed_tickers(spark, tmpdir_path):
     bad = spark.read.schema(schemas.QUARANTINE).parquet(quarantine).collect()
     assert [(r.source, r.reason) for r in bad] == [("tickers", "missing USD quote")]       # once, though the job ran twice
     assert json.loads(bad[0].payload)["quotes"]["EUR"]["price"] == 3000.0                 # the document as it landed
+
+
+def test_pairs_of_coin_and_post_travel_without_the_post(spark, tmpdir_path, monkeypatch):
+    """The rows that a shuffle lays out for the write have no text (before, every coin's row carried it); of several
+    versions of a record the last one is stored, and a later load replaces it."""
+    from tickvault.sinks import merge
+    laid_out, real = [], merge._layout
+    monkeypatch.setattr(merge, "_layout", lambda df, *args, **kw: (laid_out.append(df.columns), real(df, *args, **kw))[1])
+    posts = spark.createDataFrame([("p1", "red bolt", 1, dt.datetime(2024, 1, 1), "s"), ("p2", "a bolt", 2, dt.datetime(2024, 1, 2), "s")],
+                                  "submission_id string, text string, score int, created_utc timestamp_ntz, subreddit string")
+    coins = spark.createDataFrame([(str(i), "red bolt", "BOLT") for i in range(50)] + [("7", "red bolt", "BOLT")], "coin_id string, name string, symbol string")
+
+    def records(*versions):
+        rows = spark.createDataFrame(list(versions), "submission_id string, event_id long, title string, created_utc string")
+        return rows.select("*", F.lit(1).alias("score"), F.lit("").alias("url"), F.lit(0).alias("num_comments"), F.concat("title", F.lit(" body")).alias("selftext"),
+                           F.lit("s").alias("subreddit"), F.lit(None).cast("string").alias("author"), F.lit("").alias("flair"))
+
+    def stored():
+        rows = spark.read.schema(schemas.POST_TABLE).parquet(f"{tmpdir_path}/posts").collect()
+        return sorted((int(r.coin_id), r.submission_id, r.title, r.selftext) for r in rows)
+    jobs.load_posts(coins, posts, records(("p1", 1, "old", "2024-01-01T00:00:00Z"), ("p1", 2, "new", "2024-01-01T00:00:00Z"), ("p2", 1, "b", "2024-01-02T00:00:00Z"),
+                                          ("other", 1, "x", "2024-01-02T00:00:00Z")), f"{tmpdir_path}/posts")
+    assert stored() == sorted((i, p, t, f"{t} body") for i in range(50) for p, t in (("p1", "new"), ("p2", "b")))
+    assert laid_out and all("selftext" not in columns for columns in laid_out)
+    jobs.load_posts(coins, posts, records(("p1", 1, "late", "2024-01-01T00:00:00Z"), ("p2", 2, "c", "2024-01-02T00:00:00Z")), f"{tmpdir_path}/posts")
+    assert stored() == sorted((i, p, t, f"{t} body") for i in range(50) for p, t in (("p1", "new"), ("p2", "c")))
+    monkeypatch.setattr(merge, "BROADCAST_BYTES", 0)                          # records too large to broadcast
+    jobs.load_posts(coins, posts, records(("p1", 1, "a", "2024-01-01T00:00:00Z"), ("p2", 1, "b", "2024-01-02T00:00:00Z")), f"{tmpdir_path}/posts2")
+    assert spark.read.parquet(f"{tmpdir_path}/posts2").filter("selftext IS NOT NULL").count() == 100

@@ -74,6 +74,7 @@ def merge_frames(existing: DataFrame, batch: DataFrame, key: list[str], order: l
 
 
 WRITE_TASK_BYTES = 256 * 1024 * 1024
+BROADCAST_BYTES = 64 * 1024 * 1024      # stored size of records that are broadcast to the rows that share them
 MAX_LITERALS = 1000          # distinct partition values of a batch that become filter literals
 
 
@@ -86,14 +87,30 @@ def _write_tasks(df: DataFrame) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-size // WRITE_TASK_BYTES))
 
 
-def _layout(df: DataFrame, parts: list[str], key: list[str]) -> DataFrame:
+def _layout(df: DataFrame, parts: list[str], key: list[str], shared: bool = False) -> DataFrame:
     """Range-partition by (partition columns, key) into a size-derived number of write tasks.
 
     Each task gets a contiguous slice, so a small partition is written as one file by one task,
     a hot partition (one day holding a third of the rows) is split by key range across many
-    tasks, and the task count is not coalesced away by AQE for small inputs.
+    tasks, and the task count is not coalesced away by AQE for small inputs. With ``shared`` (wide
+    columns are joined later) there is a task per shuffle partition, its rows sorted by the partition columns, so
+    that the writer need not sort the wide ones (the optimizer drops a sort below a join unless they are observed).
     """
-    return df.repartitionByRange(_write_tasks(df), *[F.col(c) for c in parts + key])
+    by = [F.col(c) for c in parts + key]
+    if not shared:
+        return df.repartitionByRange(_write_tasks(df), *by)
+    tasks = max(_write_tasks(df), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartitionByRange(tasks, *by).sortWithinPartitions(*by).observe(f"laid_out_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
+def _broadcastable(records: DataFrame) -> bool:
+    size = estimated_bytes(records)
+    return size is not None and size <= BROADCAST_BYTES
+
+
+def _with_records(rows: DataFrame, records: DataFrame, on: str) -> DataFrame:
+    """``rows`` with their records; up to ``BROADCAST_BYTES`` of records are broadcast, so the rows keep their layout."""
+    return rows.join(F.broadcast(records) if _broadcastable(records) else records, on)
 
 
 def _stage(df: DataFrame, schema: T.StructType, stages: list[str]) -> DataFrame:
@@ -143,7 +160,8 @@ def touched(stored: DataFrame, fresh: DataFrame, parts: list[str]) -> DataFrame:
 
 def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
            partition_cols: list[str] | None = None, order: list[str] | None = None,
-           stats: bool = False, insert_only: bool = True, version: Column | None = None) -> dict | None:
+           stats: bool = False, insert_only: bool = True, version: Column | None = None,
+           records: tuple[DataFrame, str] | None = None) -> dict | None:
     """K2/K3: merge ``batch`` into the table at ``path`` by ``key``; the last write wins.
 
     ``order``: columns of ``batch`` (they need not be stored) that say which of several versions of a
@@ -152,6 +170,10 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
     ``read_timestamp``), so a key never moves between partitions; callers quarantine rows
     without them. With ``stats`` it returns the written row count
     (observed during the write, no second pass) and whether it appended or merged.
+
+    ``records`` (a stored frame, one row per its id, and the id's name): columns that many rows of a batch share.
+    ``batch`` then has one row per key already and lacks them; it is staged and laid out without them, and they are
+    joined where the table is written, so a wide record is never shuffled once per row that shares it.
     """
     spark = batch.sparkSession
     parts = list(partition_cols or [])
@@ -160,26 +182,31 @@ def upsert(batch: DataFrame, path: str, key: list[str], schema: T.StructType,
         schema = T.StructType([*schema.fields, T.StructField(VERSION, VERSION_TYPE)])
     names = schema.fieldNames()
     position = [c for c in order or [] if c not in names]
-    batch = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields], *position)
+    shared = [] if records is None else [c for c in records[0].columns if c != records[1]]
+    slim = T.StructType([f for f in schema.fields if f.name not in shared])
+    batch = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in slim.fields], *position)
+    whole = lambda df: df if records is None else _with_records(df, *records).select(*names)
     exists = restore_path(spark, path)
     stages: list[str] = []
     try:
         # the batch is computed once: de-duplicated by key and staged as a table in the shared
         # checkpoint folder, which also cuts its lineage (a lost executor re-reads these files)
-        fresh = _stage(latest_per_key(batch, key, list(order or [])).select(*names), schema, stages)
+        fresh = _stage((latest_per_key(batch, key, list(order or [])) if records is None else batch).select(*slim.fieldNames()), slim, stages)
         stored = spark.read.schema(schema).parquet(path).select(*names) if exists else None
         if stored is not None and parts:
             stored = touched(stored, fresh, parts)
         if stored is not None and version is not None:
-            fresh = _stage(newer(fresh, stored, key), schema, stages)
+            fresh = _stage(newer(fresh, stored, key), slim, stages)
             if fresh.isEmpty():
                 return {"rows": 0, "mode": "none"} if stats else None
             stored = touched(stored, fresh, parts) if parts else stored
         append = stored is None or (insert_only and not _overlaps(fresh, stored, key))
         # new keys only (the normal hourly case): write the batch, rewrite nothing; else the merge is
         # staged before the overwrite replaces what it was read from
-        staged = fresh if append else _stage(replace_keys(stored, fresh, key), schema, stages)
-        laid_out = _layout(staged, parts, key)
+        if append and records is not None and _broadcastable(records[0]):
+            laid_out = whole(_layout(fresh, parts, key, shared=True))
+        else:
+            laid_out = _layout(whole(fresh) if append else _stage(replace_keys(stored, whole(fresh), key), schema, stages), parts, key)
         obs = None
         if stats:
             # A1: count the written rows on the way out (no second pass over the data)
