@@ -185,3 +185,18 @@ def test_search_of_an_empty_index(spark, tmpdir_path):
     asked = spark.createDataFrame([(1, "a")], "query_id int, text string")
     assert text_index.bm25_search(spark, f"{tmpdir_path}/none", asked, 5).collect() == []
     assert text_index.update_index(spark.createDataFrame([], "submission_id string, selftext string"), f"{tmpdir_path}/none") == {"posts": 0, "buckets": []}
+
+
+def test_search_shuffles_a_posting_once_for_all_queries(spark, tmpdir_path):
+    """Between the postings and the ranking there is one shuffle, by post; before, every (query, posting) pair was shuffled."""
+    path = f"{tmpdir_path}/index"
+    text_index.update_index(spark.createDataFrame([(str(i), f"common w{i % 3}") for i in range(30)], "submission_id string, selftext string"), path)
+    asked = spark.createDataFrame([(q, f"common w{q % 3}") for q in range(40)], "query_id int, text string")
+    found = text_index.bm25_search(spark, path, asked, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(query_id#" in plan and not re.search(r"hashpartitioning\(query_id#\d+, doc_id#", plan)
+    texts = {str(i): f"common w{i % 3}" for i in range(30)}
+    got = {(r.query_id, r["rank"]): (r.doc_id, r.score) for r in found.collect()}
+    for q in range(40):
+        want = bm25(texts, f"common w{q % 3}", 3)
+        assert [got[q, k + 1][0] for k in range(3)] == [d for d, _ in want]

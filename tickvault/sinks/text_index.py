@@ -3,15 +3,16 @@
 ``path/docs``: one row per post (id, number of words, its words with their counts), in buckets of ids;
 ``path/postings``: (term, post, count, post's length), in buckets of terms. ``update_index`` merges a batch:
 
-1. the batch's words are counted and compared with what is stored of the same posts; posts that did not
-   change (most re-fetched ones) go no further;
+1. the batch's words are counted and compared with what is stored of the same posts (by a digest); posts that
+   did not change (most re-fetched ones) go no further;
 2. the buckets of the words that the others had or have are the only ones read and rewritten: stored
    postings without the batch's posts (anti join, ids broadcast by size) plus the new ones;
 3. then the posts' rows are replaced. A job that dies before that finds the old words again, so the
    repeated merge touches the same buckets and gives the same index.
 
-A frequent word's postings are rows like any others, written in as many files as their size needs and
-scored where they are read; scores are summed per (query, post) with a map-side part.
+A frequent word's postings are rows like any others, written in as many files as their size needs. A search
+shuffles the asked words' postings once, by post, whatever number of queries ask for them; scores are summed
+and cut per query there.
 """
 from __future__ import annotations
 
@@ -30,6 +31,8 @@ BUCKETS = 64                    # of terms and of posts; fixed when an index is
 K1, B = 1.2, 0.75               # fixed values: the usual BM25 parameters
 SCORE_DIGITS = 6
 SALT_BUCKETS = 16
+BROADCAST_ASKED = 1_000_000     # most (query, word) pairs that are broadcast to the postings
+BROADCAST_IDS = 2_000_000       # most changed posts of a merge whose ids are broadcast to what is stored
 
 
 def words(text: Column) -> Column:
@@ -57,6 +60,10 @@ def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return read("docs", DOCS), read("postings", POSTINGS)
 
 
+def _digest(terms: Column) -> Column:
+    return F.sha2(F.to_json(terms), 256)
+
+
 def _buckets_of(rows: DataFrame) -> list[int]:
     return sorted(r[0] for r in rows.select("bucket").distinct().collect())          # at most the number of buckets
 
@@ -71,17 +78,21 @@ def update_index(batch: DataFrame, path: str, doc_id: str = "submission_id", tex
         df.write.parquet(stages[-1])
         return spark.read.schema(df.schema).parquet(stages[-1])
     try:
-        fresh = staged(counted(batch, doc_id, F.col(text), buckets))
         docs, postings = read_index(spark, path)
-        mine = docs.filter(F.col("bucket").isin(_buckets_of(fresh)))
-        had = mine.select("doc_id", F.col("terms").alias("old"))
-        changed = fresh.join(had, "doc_id", "left").filter(~F.coalesce(F.col("old"), F.array().cast(DOCS["terms"].dataType)).eqNullSafe(F.col("terms")))
-        changed = staged(changed)
-        touched = changed.select(F.explode(F.concat(F.coalesce("old", F.array().cast(DOCS["terms"].dataType)), "terms")).alias("t"))
-        touched = _buckets_of(touched.select("t.term").select(_bucket("term", buckets)))
+        batch = batch.filter(F.col(doc_id).isNotNull())
+        at = _buckets_of(batch.select(F.col(doc_id).cast("string").alias("doc_id")).select(_bucket("doc_id", buckets)))
+        # a stored post is compared by the digest of its words and counts; only that and its words' buckets are shuffled
+        bucket_of = F.array_distinct(F.transform("terms", lambda t: F.pmod(F.xxhash64(t["term"]), F.lit(buckets)).cast("int")))
+        had = docs.filter(F.col("bucket").isin(at)).select("doc_id", _digest(F.col("terms")).alias("was"), bucket_of.alias("old"))
+        none = _digest(F.array().cast(DOCS["terms"].dataType))
+        fresh = counted(batch, doc_id, F.col(text), buckets)
+        changed = fresh.join(had, "doc_id", "left").filter(F.coalesce(F.col("was"), none) != _digest(F.col("terms")))
+        changed = staged(changed.select(*DOCS.fieldNames(), F.array_union(F.coalesce("old", F.array().cast("array<int>")), bucket_of).alias("touched")))
+        touched = _buckets_of(changed.select(F.explode("touched").alias("bucket")))
         if not touched:
             return {"posts": 0, "buckets": []}
-        ids = changed.select("doc_id")
+        n = changed.count()
+        ids = F.broadcast(changed.select("doc_id")) if n <= BROADCAST_IDS else changed.select("doc_id")
         new = changed.select(F.explode("terms").alias("t"), "doc_id", "length").select("t.term", "doc_id", "t.tf", "length").withColumn("bucket", _bucket("term", buckets))
         kept = postings.filter(F.col("bucket").isin(touched)).join(ids, "doc_id", "left_anti").select(*POSTINGS.fieldNames())
         merged = staged(kept.unionByName(new))
@@ -96,7 +107,7 @@ def update_index(batch: DataFrame, path: str, doc_id: str = "submission_id", tex
         for name, gone in (("postings", emptied), ("docs", emptied_docs)):
             for b in gone:
                 delete_path(spark, f"{path}/{name}/bucket={b}")
-        return {"posts": changed.count(), "buckets": touched}
+        return {"posts": n, "buckets": touched}
     finally:
         for p in stages:
             delete_path(spark, p)
@@ -118,7 +129,17 @@ def bm25_search(spark: SparkSession, path: str, queries: DataFrame, n: int, quer
                                                        T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())]).simpleString())
     idf = F.log(1 + (F.lit(total.posts) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(total.mean)))
-    weights = df.select("term", idf.alias("idf"))
-    hits = asked.select("query_id", "term").join(weights, "term").join(found.select("term", "doc_id", weight.alias("w")), "term")
-    scored = hits.groupBy("query_id", "doc_id").agg(F.round(F.sum(F.col("idf") * F.col("w")), SCORE_DIGITS).alias("score"))
+    # stored, so that Spark knows its size: one row per query and word
+    asked_path = scratch_path(spark, "asked")
+    asked.select("query_id", "term").join(df.select("term", idf.alias("idf")), "term").write.parquet(asked_path)
+    weights = spark.read.schema(T.StructType([T.StructField("term", T.StringType()), T.StructField("query_id", queries.schema[query_id].dataType),
+                                              T.StructField("idf", T.DoubleType())])).parquet(asked_path)
+    if weights.count() <= BROADCAST_ASKED:
+        # a posting is shuffled once, to its post, and there meets every query that asks for its word: scores need no further shuffle
+        weights = F.broadcast(weights)
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        found = found.select("doc_id", "term", weight.alias("w")).repartition(tasks, "doc_id")
+    else:
+        found = found.select("doc_id", "term", weight.alias("w"))
+    scored = found.join(weights, "term").groupBy("query_id", "doc_id").agg(F.round(F.sum(F.col("idf") * F.col("w")), SCORE_DIGITS).alias("score"))
     return top_n_per_group(scored, ["query_id"], [F.col("score").desc(), F.col("doc_id")], n, salt_on=["doc_id"], salt_buckets=SALT_BUCKETS)
