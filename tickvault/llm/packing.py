@@ -116,7 +116,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-def knapsack(lengths: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+def best_by_room(lengths: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """For every room up to ``capacity``: the largest value that fits into it, and the last length taken (-1: none)."""
     best, take = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
@@ -131,6 +131,21 @@ def knapsack(lengths: np.ndarray, value: np.ndarray, capacity: int) -> tuple[np.
     return best, take
 
 
+def knapsack(lengths: np.ndarray, value: np.ndarray, limit: np.ndarray, capacity: int) -> Counter:
+    """The filling of largest value, as length -> copies (never more copies than ``limit``)."""
+    _, take = best_by_room(lengths, value, capacity)
+    filling, c = Counter(), capacity
+    while c > 0:
+        i = int(take[c])
+        if i < 0:
+            c -= 1
+            continue
+        if filling[int(lengths[i])] < limit[i]:
+            filling[int(lengths[i])] += 1
+        c -= int(lengths[i])
+    return +filling
+
+
 def filling_with(first: int, lengths: np.ndarray, take: np.ndarray, left: np.ndarray, capacity: int) -> Counter:
     """The best filling that holds length number ``first`` (number -> copies), no more copies than are left."""
     filling, c = Counter({first: 1}), capacity - int(lengths[first])
@@ -159,7 +174,7 @@ def linear_program(lengths: np.ndarray, counts: np.ndarray, capacity: int, round
             break
         price = (size * (1 + LONG_FIRST * size) * np.exp(ETA * (need - 1)) + 1e-12 * lengths)[some]
         sizes = lengths[some]
-        best, take = knapsack(sizes, price, capacity)
+        best, take = best_by_room(sizes, price, capacity)
         worth = price + best[capacity - sizes]
         for j in np.argsort(-worth, kind="stable")[:COLUMNS]:
             if left[some[j]] < 1:
