@@ -196,3 +196,17 @@ def test_replayed_batch_does_not_duplicate_quarantine(spark, tmpdir_path):
     writer(batch, 7)                      # the same micro-batch delivered again after a failure
     assert spark.read.parquet(quarantine).count() == 1
     assert len(_table(spark, table)) == 1
+
+
+def _optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_messages_are_encoded_before_few_files_take_them(spark, tmpdir_path):
+    """A folder of two files is written by two tasks, but its messages are encoded by all (before: by those two)."""
+    df = spark.range(100).select(F.col("id").alias("event_id"), F.lit("x").alias("a"))
+    top, *below = _optimized(ingest.encoded(df, key="event_id", files=2)).splitlines()
+    assert top.startswith("RepartitionByExpression") and "Json" in "".join(below)
+    ingest.publish(df, f"{tmpdir_path}/topic", key="event_id", files=2)
+    assert len([f for f in os.listdir(f"{tmpdir_path}/topic") if f.endswith(".txt")]) == 2
+    assert sorted(json.loads(r.value)["event_id"] for r in spark.read.text(f"{tmpdir_path}/topic").collect()) == list(range(100))

@@ -32,11 +32,18 @@ FILES_PER_TRIGGER = 1000                               # bound of one micro-batc
 OFFSETS_PER_TRIGGER = 5_000_000
 
 
-def publish(df: DataFrame, target: str | dict, key=None) -> None:
-    """K7: one JSON message per row, to a Kafka topic (``target`` = Kafka sink options) or
-    appended to a message folder (``target`` = path; the file transport used in tests)."""
+def encoded(df: DataFrame, key=None, files: int | None = None) -> DataFrame:
+    """One JSON message per row; with ``files`` dealt to that many tasks (by key, else by message) once it is
+    encoded, so few files do not mean few encoders."""
     from tickvault.sources.kafka import json_value
     msgs = json_value(df, key)
+    return msgs if files is None else msgs.repartition(files, "value" if key is None else "key")
+
+
+def publish(df: DataFrame, target: str | dict, key=None, files: int | None = None) -> None:
+    """K7: one JSON message per row, to a Kafka topic (``target`` = Kafka sink options) or
+    appended to a message folder (``target`` = path; the file transport used in tests), there as ``files`` files."""
+    msgs = encoded(df, key, files)
     if isinstance(target, dict):
         msgs.write.format("kafka").options(**target).save()
     else:
@@ -319,7 +326,7 @@ def stream_price_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, table, quarantine, ckpt = (scratch_path(spark, k) for k in ("topic", "table", "quarantine", "ckpt"))
     messages = _price_messages(spark, sf_dir)
     for part in (messages.filter("event_id % 2 = 1"), messages.filter("event_id % 2 = 0"), messages):
-        publish(part.repartition(ORDER_FILES // 3, "event_id"), folder)
+        publish(part, folder, key="event_id", files=ORDER_FILES // 3)
     start_price_stream(spark, folder, table, quarantine, ckpt, max_per_trigger=1).awaitTermination()
     return spark.read.schema(schemas.PRICE_TABLE).parquet(table).select(*schemas.PRICE_TABLE.fieldNames())
 
