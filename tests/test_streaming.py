@@ -202,6 +202,33 @@ def _optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_messages_are_decoded_once(spark, tmpdir_path):
+    """What a post batch stores is filtered from decoded rows (before, the filter parsed each message once per field that it
+    looked at, and the quarantine parsed it again); only what is not stored keeps its payload."""
+    topic, table, quarantine, _ = _paths(tmpdir_path)
+    post = {"coin_id": "btc", "submission_id": "s1", "title": "t", "score": 1, "created_utc": "2024-01-01T00:00:00Z"}
+    _write_messages(topic, "m.json", [json.dumps([post, dict(post, submission_id="s2", score="x")]), "junk"])
+    plans = []
+    batch = spark.read.schema(ingest.MESSAGE).text(topic).withColumnRenamed("value", "payload")
+    ingest.post_batch_writer(table, quarantine, lambda good: (plans.append(_optimized(good)), good)[1])(batch, 0)
+    assert len(plans) == 1 and "InMemoryRelation" in plans[0] and "from_json" not in plans[0].split("InMemoryRelation")[0]
+    assert [r.submission_id for r in spark.read.schema(schemas.POST_TABLE).parquet(table).collect()] == ["s1"]
+    bad = {r.reason: r.payload for r in spark.read.schema(schemas.QUARANTINE).parquet(quarantine).collect()}
+    assert bad.keys() == {"bad field", "not decodable"} and bad["not decodable"] == "junk" and json.loads(bad["bad field"])["score"] == "x"
+
+
+def test_price_messages_of_one_small_file_are_made_once(spark, tmpdir_path):
+    """Messages that are sent twice are read, not made again; null keys and equal rows stay."""
+    rows = [(1, "2024-01-01 00:00:00", 7, "view", 2.0, '{"k": 3}'), (1, "2024-01-01 00:00:00", 7, "view", 2.0, '{"k": 3}'),
+            (None, None, None, "signup", None, None), (2, "2024-01-01 01:00:00", 8, "purchase", 4.0, '{"k": 1}')]
+    events = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{tmpdir_path}/events.parquet")
+    messages = ingest._price_messages(spark, tmpdir_path)
+    assert "from_json" not in _optimized(messages) and "Join" not in _optimized(messages)
+    got = sorted((r.event_id or 0, r.id or "", next(iter(r.quotes)), next(iter(r.quotes.values())).price) for r in messages.collect() if r.event_id)
+    assert got == [(2, "7", "USD", 2.0), (2, "7", "USD", 2.0), (4, "8", "USD", 4.0), (5, "8", "USD", 2.0)] and messages.count() == 5
+
+
 def test_messages_are_encoded_before_few_files_take_them(spark, tmpdir_path):
     """A folder of two files is written by two tasks, but its messages are encoded by all (before: by those two)."""
     df = spark.range(100).select(F.col("id").alias("event_id"), F.lit("x").alias("a"))

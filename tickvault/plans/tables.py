@@ -97,9 +97,9 @@ def ticker_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def price_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as ticker messages: coin = user_id, quote from value and the props document."""
-    e = table(spark, sf_dir, "events")
+def price_ticks(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Events (``events``, else the table) as ticker messages: coin = user_id, quote from value and the props document."""
+    e = table(spark, sf_dir, "events") if events is None else events
     k = F.from_json("props", "k BIGINT").k
     quote = F.struct(F.col("value").alias("price"), (F.col("value") * k).alias("volume_24h"),
                      (k * F.lit(1000.0)).alias("market_cap"))

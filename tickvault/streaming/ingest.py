@@ -122,12 +122,18 @@ def strict_quote(quotes: Column, currency: str = "USD") -> Column:
     return F.try_element_at(quotes, F.lit(currency))
 
 
+def _decoded_once(rows: DataFrame) -> DataFrame:
+    """Decoded messages, cached: the storable rows and the rest are two reads, and a filter on ``problem`` that reached
+    the decoder would parse every message again for each field it looks at. Only the rest keep their payload."""
+    return rows.withColumn("payload", F.when(F.col("problem").isNotNull(), F.col("payload"))).persist()
+
+
 def price_batch_writer(table_path: str, quarantine_path: str, partition_cols=None, query: str = "prices"):
     """foreachBatch body: storable rows -> key merge, the rest -> quarantine (per query and micro-batch)."""
     parts = schemas.PRICE_PARTITION if partition_cols is None else partition_cols
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
+        batch = _decoded_once(batch)
         try:
             good = batch.filter(F.col("problem").isNull())
             upsert(good, table_path, schemas.PRICE_KEY, schemas.PRICE_TABLE, parts, version=_version(good))
@@ -183,9 +189,8 @@ def post_batch_writer(table_path: str, quarantine_path: str, transform=None, que
     """foreachBatch body: decode array messages, explode, optional ``transform``, key merge;
     what cannot be stored -> quarantine, as it came."""
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
+        rows = _decoded_once(decode_posts(batch))
         try:
-            rows = decode_posts(batch)
             good = rows.filter(F.col("problem").isNull()).drop("problem", "payload")
             if transform is not None:
                 good = good.transform(transform)
@@ -193,7 +198,7 @@ def post_batch_writer(table_path: str, quarantine_path: str, transform=None, que
             bad = rows.filter(F.col("problem").isNotNull()).select(F.col("problem").alias("reason"), "payload")
             write_quarantine(bad, quarantine_path, "posts", f"{query}-{epoch_id:010d}")
         finally:
-            batch.unpersist()
+            rows.unpersist()
     return write
 
 
@@ -231,16 +236,19 @@ class ErrorListener(StreamingQueryListener):
 
 def _price_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as ticker messages: error events have an empty time, signups no USD quote, clicks a price
-    that is no number; a purchase is followed by a correction of half the price (a later event)."""
+    that is no number; a purchase is followed by a correction of half the price (a later event). The events are
+    dealt to all tasks, however few files or row groups hold them, and the messages staged, as they are sent twice."""
     from tickvault.plans import tables as tb
-    t = tb.price_ticks(spark, sf_dir)
+    t = tb.price_ticks(spark, sf_dir, tb.table(spark, sf_dir, "events").repartition("event_id", "ts"))
     sent = t.select("id", F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("last_updated")).alias("last_updated"),
                     F.transform_keys("quotes", lambda k, v: F.when(F.col("event_type") == "signup", F.lit("EUR")).otherwise(k)).alias("quotes"),
                     (F.col("event_id") * 2).alias("event_id"))
     later = t.filter("event_type = 'purchase'").select("id", "last_updated", F.transform_values(
         "quotes", lambda k, v: F.struct((v["price"] / 2).alias("price"), v["volume_24h"].alias("volume_24h"), v["market_cap"].alias("market_cap"))).alias("quotes"),
         (F.col("event_id") * 2 + 1).alias("event_id"))
-    return sent.unionByName(later)
+    messages, path = sent.unionByName(later), scratch_path(spark, "messages")
+    messages.write.parquet(path)
+    return spark.read.schema(messages.schema).parquet(path)
 
 
 def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
