@@ -237,3 +237,22 @@ def test_messages_are_encoded_before_few_files_take_them(spark, tmpdir_path):
     ingest.publish(df, f"{tmpdir_path}/topic", key="event_id", files=2)
     assert len([f for f in os.listdir(f"{tmpdir_path}/topic") if f.endswith(".txt")]) == 2
     assert sorted(json.loads(r.value)["event_id"] for r in spark.read.text(f"{tmpdir_path}/topic").collect()) == list(range(100))
+
+
+def test_few_posts_a_day_share_a_folder(spark, tmpdir_path):
+    """Sixty days with one post each are two months and two folders (before: sixty, each with its file); a later post of
+    one month rewrites that month only."""
+    topic, table, quarantine, ckpt = _paths(tmpdir_path)
+    days = [f"2024-{m:02d}-{d:02d}" for m in (1, 3) for d in range(1, 31)]
+    post = lambda day, title, n: {"coin_id": "btc", "submission_id": day, "title": title, "score": 1, "created_utc": f"{day}T05:00:00Z", "event_id": n}
+    _write_messages(topic, "m1.json", [json.dumps([post(d, "old", 1) for d in days])])
+    ingest.start_post_stream(spark, topic, table, quarantine, ckpt).awaitTermination()
+    folders = sorted(f for f in os.listdir(table) if "=" in f)
+    assert folders == ["created_month=2024-01-01", "created_month=2024-03-01"]
+    january = sorted(os.listdir(f"{table}/{folders[0]}"))
+    _write_messages(topic, "m2.json", [json.dumps([post("2024-03-07", "new", 2)])])
+    ingest.start_post_stream(spark, topic, table, quarantine, ckpt).awaitTermination()
+    rows = {r.submission_id: r for r in spark.read.schema(schemas.POST_TABLE).parquet(table).collect()}
+    assert len(rows) == 60 and {d for d, r in rows.items() if r.title == "new"} == {"2024-03-07"}
+    assert all(str(r.created_date) == d and str(r.created_month) == d[:8] + "01" for d, r in rows.items())
+    assert sorted(os.listdir(f"{table}/{folders[0]}")) == january

@@ -57,6 +57,11 @@ def ts_date(c) -> Column:
     return F.to_date(_col(c))
 
 
+def month(c) -> Column:
+    """First day of the month."""
+    return F.trunc(_col(c), "month")
+
+
 def ts_hour(c) -> Column:
     return F.hour(_col(c)).cast("int")
 

@@ -264,16 +264,16 @@ def load_posts(coins: DataFrame, posts: DataFrame, records: DataFrame, path: str
     try:
         best = staged(search.best_posts(posts, ck, F.col("text"), limit, sort_type).select("kw", "submission_id"))
         records = records.drop("coin_id", "sort_type").withColumn("created_utc", times.parse_iso("created_utc")) \
-            .withColumn("created_date", F.to_date("created_utc"))
+            .withColumn("created_date", F.to_date("created_utc")).withColumn("created_month", times.month("created_date"))
         records = records.join(best.select("submission_id").distinct(), "submission_id", "left_semi") \
             .withColumn(VERSION_COLUMN, _version([c for c in VERSION if c in records.columns]))
         stored = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.POST_TABLE.fields if f.name in records.columns]
         records = staged(latest_per_key(records.select(*stored, VERSION_COLUMN), ["submission_id"], [VERSION_COLUMN]))
         found = search.per_coin(best, ck, limit).select("coin_id", "submission_id").dropDuplicates()
-        narrow = records.select("submission_id", "created_date", VERSION_COLUMN)
+        narrow = records.select("submission_id", "created_month", VERSION_COLUMN)
         rows = joins.lookup(found, narrow, "submission_id").withColumn("sort_type", F.lit(sort_type))
         upsert(rows, path, schemas.POST_KEY, schemas.POST_TABLE, schemas.POST_PARTITION, version=F.col(VERSION_COLUMN),
-               records=(records.drop("created_date", VERSION_COLUMN), "submission_id"))
+               records=(records.drop("created_month", VERSION_COLUMN), "submission_id"))
     finally:
         for p in stages:
             delete_path(spark, p)

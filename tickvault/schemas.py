@@ -79,11 +79,12 @@ PRICE_KEY = ["coin_id", "read_timestamp"]
 PRICE_PARTITION = ["date"]
 
 POST_TABLE = _st(*[(f.name, f.dataType) for f in SUBMISSION.fields if f.name != "created_utc"],
-                 ("created_utc", TS), ("created_date", T.DateType()))
+                 ("created_utc", TS), ("created_date", T.DateType()), ("created_month", T.DateType()))
 POST_KEY = ["coin_id", "submission_id"]
 # a post's creation time never changes (a function of its id): re-fetched recent posts only
-# touch recent days, so a merge rewrites those days, not the whole post table
-POST_PARTITION = ["created_date"]
+# touch recent months, so a merge rewrites those, not the whole post table. A day of posts is often a few
+# rows, and opening a file costs more than writing them
+POST_PARTITION = ["created_month"]
 
 INDEX_PARTITION = ["created_date"]
 INDEX_TABLE = _st(("coin_id", S), ("symbol", S), ("title", S), ("selftext", S), ("score", I),

@@ -178,7 +178,7 @@ def decode_posts(msgs: DataFrame) -> DataFrame:
     s = F.from_json("element", schemas.POST_MESSAGE, {"columnNameOfCorruptRecord": schemas.CORRUPT})
     rows = rows.select("_junk", *ORDER, F.col("element").alias("payload"), s.alias("s")).select("_junk", *ORDER, "payload", "s.*")
     rows = rows.withColumn("created_utc", times.parse_iso("created_utc"))
-    rows = rows.withColumn("created_date", F.to_date("created_utc"))
+    rows = rows.withColumn("created_date", F.to_date("created_utc")).withColumn("created_month", times.month("created_date"))
     problem = (F.when(F.col("_junk"), F.lit("not decodable")).when(F.col(schemas.CORRUPT).isNotNull(), F.lit("bad field"))
                 .when(F.col("coin_id").isNull() | F.col("submission_id").isNull(), F.lit("missing key"))
                 .when(F.col("created_utc").isNull(), F.lit("missing or bad created_utc")))
