@@ -76,3 +76,24 @@ def test_index_rows_take_the_score(spark):
                                  "coin_id string, symbol string, title string, selftext string, score int, num_comments int, created_utc string, sentiment_score double")
     assert flatten.index_rows(rows).first().sentiment_score == 0.25
     assert flatten.index_rows(rows.drop("sentiment_score")).first().sentiment_score is None
+
+
+def test_words_meet_the_lexicon_where_they_are_read(spark, monkeypatch):
+    """Only sums per post are shuffled (before: a row for each different word of each post), and a word is looked up without
+    a lambda; a lexicon too large for a broadcast gives the same scores, also for keys that repeat or are null."""
+    rows = [("a", "not a great coin, great"), ("a", "great crash"), (None, "great"), ("b", None), ("c", "no x y z great"), ("d", "never x y crash no")]
+    posts = spark.createDataFrame(rows, "submission_id string, text string")
+    lexicon = spark.createDataFrame([("great", 1.5), ("crash", -2.0)], "term string, weight double")
+    scores = sentiment.score(posts, lexicon)
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and not re.search(r"hashpartitioning\([^)]*term", plan)
+    wide = sorted(map(str, scores.collect()))
+    assert len(wide) == 6 and {(r.submission_id, r.n_terms) for r in scores.collect()} == {("a", 4), (None, 0), ("b", 0), ("c", 1), ("d", 1)}
+    monkeypatch.setattr(sentiment, "BROADCAST_TERMS", 1)
+    assert sorted(map(str, sentiment.score(posts, lexicon).collect())) == wide
+
+
+def test_words_are_counted_once(spark):
+    posts = spark.createDataFrame([("a", "great moon"), ("b", "scam")], "submission_id string, text string")
+    lexicon = sentiment.learn(posts, spark.createDataFrame([("a", True), ("b", False)], "submission_id string, positive boolean"))
+    assert "regexp_extract_all" not in lexicon._jdf.queryExecution().optimizedPlan().toString()
